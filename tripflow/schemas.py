@@ -13,36 +13,58 @@ EVENT_TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ss"
 DEFAULT_CITY = "Harare"
 # --------------------------------------------------------------------------
 
-EVENT_SCHEMA = T.StructType.fromDDL(
-    "event_id string, ride_id string, driver_id string, rider_id string, event_type string, "
-    "event_version string, event_timestamp string, pickup_location string, dropoff_location string, "
-    "fare_usd double, payment_method string, payment_status string"
-)
-EVENT_FIELDS = EVENT_SCHEMA.fieldNames()
+_STRING, _DOUBLE, _TIMESTAMP = T.StringType(), T.DoubleType(), T.TimestampType()
+
+
+def _struct(fields: dict[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+_EVENT = {
+    "event_id": _STRING,
+    "ride_id": _STRING,
+    "driver_id": _STRING,
+    "rider_id": _STRING,
+    "event_type": _STRING,
+    "event_version": _STRING,
+    "event_timestamp": _STRING,
+    "pickup_location": _STRING,
+    "dropoff_location": _STRING,
+    "fare_usd": _DOUBLE,
+    "payment_method": _STRING,
+    "payment_status": _STRING,
+}
+EVENT_SCHEMA = _struct(_EVENT)
+EVENT_FIELDS = list(_EVENT)
 
 # What a topic subscription delivers; file-backed streams use the same shape.
-RECORD_SCHEMA = T.StructType.fromDDL(
-    "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, timestampType int"
-)
+RECORD_SCHEMA = _struct({
+    "key": T.BinaryType(),
+    "value": T.BinaryType(),
+    "topic": _STRING,
+    "partition": T.IntegerType(),
+    "offset": T.LongType(),
+    "timestamp": _TIMESTAMP,
+    "timestampType": T.IntegerType(),
+})
 
-ENVELOPE_TYPES = (
-    "kafka_key string, raw_json string, topic string, partition int, offset bigint, "
-    "kafka_timestamp timestamp, ingested_at timestamp, ingestion_date date"
-)
-ENVELOPE_FIELDS = T.StructType.fromDDL(ENVELOPE_TYPES).fieldNames()
-TRACE_FIELDS = [name for name in ENVELOPE_FIELDS if name != "raw_json"]
+_KEY = {"kafka_key": _STRING}
+_TEXT = {"raw_json": _STRING}
+_TRACE = {
+    "topic": _STRING,
+    "partition": T.IntegerType(),
+    "offset": T.LongType(),
+    "kafka_timestamp": _TIMESTAMP,
+    "ingested_at": _TIMESTAMP,
+    "ingestion_date": T.DateType(),
+}
+ENVELOPE_FIELDS = [*_KEY, *_TEXT, *_TRACE]
 
-# Normalised events carry a zone-free event time; everything else keeps its parsed type.
-EVENT_TYPES_DDL = ", ".join(
-    f"{f.name} {'timestamp_ntz' if f.name == 'event_timestamp' else f.dataType.simpleString()}"
-    for f in EVENT_SCHEMA.fields
-)
-_TRACE_DDL = ENVELOPE_TYPES.replace("raw_json string, ", "")
-RAW_ZONE_SCHEMA = T.StructType.fromDDL(ENVELOPE_TYPES)
-CLEAN_ZONE_SCHEMA = T.StructType.fromDDL(f"{EVENT_TYPES_DDL}, {_TRACE_DDL}")
-REJECTED_ZONE_SCHEMA = T.StructType.fromDDL(
-    f"validation_error string, raw_json string, {EVENT_TYPES_DDL}, {_TRACE_DDL}"
-)
+# Normalised events carry a zone-free event time; every other field keeps its parsed type.
+_NORMALISED = _EVENT | {"event_timestamp": T.TimestampNTZType()}
+RAW_ZONE_SCHEMA = _struct(_KEY | _TEXT | _TRACE)
+CLEAN_ZONE_SCHEMA = _struct(_NORMALISED | _KEY | _TRACE)
+REJECTED_ZONE_SCHEMA = _struct({"validation_error": _STRING} | _TEXT | _NORMALISED | _KEY | _TRACE)
 
 # Warehouse tables as column DDL. VARCHAR lengths are enforced by Spark when rows are inserted.
 TABLES = {

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution sizes shuffles from their real bytes and splits the partitions of hot keys.
 ENGINE_CONF = {
@@ -55,3 +56,14 @@ def shared_folder(spark: SparkSession) -> str:
 def use_shared_checkpoints(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def shared_path(spark: SparkSession, label: str) -> str:
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def write_aside(rows: DataFrame, label: str) -> DataFrame:
+    """Writes rows once as Parquet in the shared folder, for plans that read them several times."""
+    path = shared_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
