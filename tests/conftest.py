@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
         "tests", "local[8]",
         {
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "8",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("catalog")),
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),

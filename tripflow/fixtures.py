@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .schemas import EVENT_TYPES
+from .schemas import EVENT_TIME_PATTERN, EVENT_TYPES
+from .session import spread
 
 # The feed's vocabulary.
 LOCATIONS = [
@@ -77,7 +78,7 @@ def ride_feed(events: DataFrame, faults: bool = True) -> DataFrame:
         "event_type": event_type,
         "event_version": F.lit("1.0"),
         "event_timestamp": F.when(f == 5, "not-a-valid-date").otherwise(
-            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+            F.date_format("ts", EVENT_TIME_PATTERN)
         ),
         "pickup_location": unless(6, _pick(LOCATIONS, r % 10)),
         "dropoff_location": unless(7, _pick(LOCATIONS, (r % 10 + 1 + r % 9) % 10)),
@@ -108,7 +109,7 @@ def ride_feed(events: DataFrame, faults: bool = True) -> DataFrame:
 
 
 def load_feed(spark: SparkSession, sf_dir: str, faults: bool = True) -> DataFrame:
-    return ride_feed(spark.read.parquet(f"{sf_dir}/events.parquet"), faults)
+    return ride_feed(spread(spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "value")), faults)
 
 
 def as_records(feed: DataFrame) -> DataFrame:

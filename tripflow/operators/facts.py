@@ -22,7 +22,7 @@ def fct_ride_events(staging: DataFrame, existing: DataFrame | None = None) -> Da
     return _with_null_keys(rows, event_lookups())
 
 
-def fct_trips(staging: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def completed_trips(staging: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """One row per completed ride: its first completion by event time, then by event id."""
     completed = staging.filter("event_type = 'trip_completed' AND ride_id IS NOT NULL").select(
         "ride_id", "driver_id", "rider_id", "pickup_location", "dropoff_location",
@@ -30,12 +30,16 @@ def fct_trips(staging: DataFrame, existing: DataFrame | None = None) -> DataFram
         "fare_usd", "payment_method", "payment_status", "event_version",
         "event_timestamp", "event_id",
     )
-    rows = insert_if_absent(existing, completed, "ride_id", ["event_timestamp", "event_id"])
+    return insert_if_absent(existing, completed, "ride_id", ["event_timestamp", "event_id"])
+
+
+def fct_trips(staging: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    rows = completed_trips(staging, existing)
     keyed = assign_keys(rows, "ride_id", "trip_key", max_key(existing, "trip_key"))
     return _with_null_keys(keyed, trip_lookups())
 
 
-def fct_payments(staging: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def completed_payments(staging: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """One row per completed payment event. ``event_id`` is unique in staging."""
     payments = staging.filter(
         "event_type = 'payment_completed' AND event_id IS NOT NULL AND ride_id IS NOT NULL"
@@ -44,7 +48,11 @@ def fct_payments(staging: DataFrame, existing: DataFrame | None = None) -> DataF
         "payment_status", F.col("fare_usd").alias("amount_usd"),
         F.col("event_timestamp").alias("payment_timestamp"), "event_version",
     )
-    rows = absent_from(payments, existing, "payment_event_id")
+    return absent_from(payments, existing, "payment_event_id")
+
+
+def fct_payments(staging: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    rows = completed_payments(staging, existing)
     keyed = assign_keys(rows, "payment_event_id", "payment_key", max_key(existing, "payment_key"))
     return _with_null_keys(keyed, payment_lookups())
 

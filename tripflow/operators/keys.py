@@ -23,16 +23,18 @@ def max_key(table: DataFrame | None, key: str) -> int:
 def assign_keys(new_rows: DataFrame, natural_key: str, key: str, start: int = 0) -> DataFrame:
     """Adds ``key`` = ``start`` + rank by ``natural_key``, which must be unique in ``new_rows``.
 
-    The ranking is global but no task sees more than its share: rows are range-partitioned, numbered
-    inside their range, and shifted by the sizes of the ranges before it. Range bounds come from
-    sampling, so the numbered rows are checkpointed once and never recomputed with other bounds.
+    The ranking is global but no task sees more than its share: natural keys are range-partitioned,
+    numbered inside their range, and shifted by the sizes of the ranges before it. Range bounds come
+    from sampling, so the numbered keys are checkpointed once and never recomputed with other bounds.
+    Only the natural keys are ranked and checkpointed; other columns are joined on afterwards, by the
+    hash partitioning that the rows usually have already.
     """
     use_shared_checkpoints(new_rows.sparkSession)
-    slot = F.monotonically_increasing_id()
     numbered = (
-        new_rows.repartitionByRange(natural_key)
+        new_rows.select(natural_key)
+        .repartitionByRange(natural_key)
         .sortWithinPartitions(natural_key)
-        .withColumn("slot", slot)
+        .withColumn("slot", F.monotonically_increasing_id())
         .checkpoint()
         .withColumn("range_no", F.shiftright("slot", _POSITION_BITS))
     )
@@ -43,9 +45,12 @@ def assign_keys(new_rows: DataFrame, natural_key: str, key: str, start: int = 0)
         .select("range_no", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
     )
     position = F.col("slot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    return numbered.join(F.broadcast(offsets), "range_no").select(
-        (F.lit(start) + F.col("offset") + position + 1).cast("bigint").alias(key), *new_rows.columns
+    ranked = numbered.join(F.broadcast(offsets), "range_no").select(
+        (F.lit(start) + F.col("offset") + position + 1).cast("bigint").alias(key), natural_key
     )
+    if new_rows.columns == [natural_key]:
+        return ranked
+    return new_rows.join(ranked, natural_key).select(key, *new_rows.columns)
 
 
 class Lookup(NamedTuple):
@@ -91,7 +96,7 @@ def _location_lookups() -> list[Lookup]:
 
 
 def _fits_broadcast(dim: DataFrame) -> bool:
-    return dim.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return dim.count() <= BROADCAST_ROWS
 
 
 def fill_keys(fact: DataFrame, lookups: list[Lookup], dims: dict[str, DataFrame]) -> DataFrame:

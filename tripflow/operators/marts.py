@@ -1,4 +1,4 @@
-"""Curated reports over the keyed facts."""
+"""Curated reports over the facts. Each is one partial aggregate, so a hot driver or place costs no more."""
 
 from __future__ import annotations
 

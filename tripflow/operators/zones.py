@@ -8,9 +8,9 @@ from ..schemas import CLEAN_ZONE_SCHEMA, RAW_ZONE_SCHEMA, REJECTED_ZONE_SCHEMA
 from .validate import split_valid
 
 
-def raw_zone(validated: DataFrame) -> DataFrame:
-    """Every record as delivered."""
-    return validated.select(*RAW_ZONE_SCHEMA.fieldNames())
+def raw_zone(envelope: DataFrame) -> DataFrame:
+    """Every record as delivered; parsed columns, where there are any, are left out."""
+    return envelope.select(*RAW_ZONE_SCHEMA.fieldNames())
 
 
 def clean_zone(validated: DataFrame) -> DataFrame:

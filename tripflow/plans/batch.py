@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import SparkSession
 
 from ..operators.dims import DIMENSIONS
@@ -10,13 +12,22 @@ from ..sources.files import land_raw_files, newest_file
 from .warehouse import Warehouse
 
 
-def load_star(warehouse: Warehouse) -> dict[str, int]:
-    """Dimensions, then facts with their keys. Returns the row count of every table."""
-    counts = {name: warehouse.load_dimension(name) for name in DIMENSIONS}
-    return counts | {name: warehouse.load_fact(name, with_keys=True) for name in FACTS}
+def load_star(warehouse: Warehouse, since: datetime | None = None) -> dict[str, int]:
+    """Dimensions, then facts with their keys. Returns the row count of every table.
+
+    New fact rows find their keys as they are added. Older rows that were added without keys are
+    filled afterwards; where there are none, that is a statistics check and rewrites nothing.
+    """
+    counts = {name: warehouse.load_dimension(name, since) for name in DIMENSIONS}
+    for name in FACTS:
+        counts[name] = warehouse.load_fact(name, with_keys=True, since=since)
+        warehouse.fill_fact_keys(name)
+    return counts
 
 
-def run_batch(spark: SparkSession, warehouse: Warehouse, source: str, raw_folder: str | None = None) -> dict[str, int]:
+def run_batch(
+    spark: SparkSession, warehouse: Warehouse, source: str, raw_folder: str | None = None, since: datetime | None = None
+) -> dict[str, int]:
     """Lands the newest event file of a folder (or the given ``.jsonl`` file), stages it and loads the star.
 
     Any failing step raises and ends the run. Every step can be repeated, so a new run finishes it.
@@ -25,4 +36,4 @@ def run_batch(spark: SparkSession, warehouse: Warehouse, source: str, raw_folder
     if raw_folder:
         land_raw_files(spark, path, raw_folder)
     staged = warehouse.load_staging(path)
-    return staged | {"ride_events": warehouse.count("ride_events")} | load_star(warehouse)
+    return staged | {"ride_events": warehouse.count("ride_events")} | load_star(warehouse, since)

@@ -47,8 +47,12 @@ def _portable(df: DataFrame) -> DataFrame:
     return df
 
 
+def _envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode_envelope(as_records(load_feed(spark, sf_dir)))
+
+
 def _normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalise(decode_envelope(as_records(load_feed(spark, sf_dir))))
+    return normalise(_envelope(spark, sf_dir))
 
 
 def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +86,7 @@ def validate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _portable(raw_zone(_validated(spark, sf_dir)))
+    return _portable(raw_zone(_envelope(spark, sf_dir)))
 
 
 def valid_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,11 +284,11 @@ def batch_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def driver_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.driver_activity(facts.fct_trips(_staged(spark, sf_dir)))
+    return marts.driver_activity(facts.completed_trips(_staged(spark, sf_dir)))
 
 
 def revenue_by_date_and_method(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.revenue_by_date_and_method(facts.fct_payments(_staged(spark, sf_dir)))
+    return marts.revenue_by_date_and_method(facts.completed_payments(_staged(spark, sf_dir)))
 
 
 def demand_by_pickup_and_hour(spark: SparkSession, sf_dir: str) -> DataFrame:

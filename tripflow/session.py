@@ -14,6 +14,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # The JVM never compiles methods above 8000 bytes of bytecode. Generated code beyond that is slower
+    # than no generated code, so Spark is told to stop there.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -41,6 +44,16 @@ def build_session(app_name: str = "tripflow", master: str | None = None, conf: d
     return builder.getOrCreate()
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Deals the rows of a scan with few splits out to all cores, for the parsing that follows.
+
+    That is a small file, or a compressed one that cannot be split. A scan that already keeps a
+    quarter of the cores busy is returned as it is, so large inputs are never shuffled for this.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() * 4 <= cores else rows
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``. Only a local session may fall back to its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import EVENT_FIELDS, EVENT_SCHEMA
+from ..session import spread
 
 # Amounts are read as written, so that their rounding to two decimals starts from the exact text.
 _TEXT_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in EVENT_SCHEMA.fieldNames()])
@@ -39,7 +40,7 @@ def read_event_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
             F.monotonically_increasing_id().alias("row_no"),
         ).alias("arrival"),
     )
-    return parse_lines(lines, "arrival")
+    return parse_lines(spread(lines), "arrival")
 
 
 def newest_file(spark: SparkSession, folder: str, pattern: str = "*.jsonl") -> str:

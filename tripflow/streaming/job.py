@@ -6,11 +6,11 @@ import logging
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.parse import decode_envelope, normalise
-from ..operators.quality import metric_columns
+from ..operators.quality import batch_metrics
 from ..operators.validate import validate
 from ..operators.zones import clean_zone, rejected_zone
 from ..sources.streams import RecordFiles, TopicSource, read_event_stream
@@ -38,25 +38,22 @@ def route_batch(
 ) -> dict[str, int]:
     """Writes one validated micro-batch to its three zones and returns its counts.
 
-    The counts ride on the raw write, which sees every record, so they cost no pass of their own.
+    The source is read and parsed once: counting fills the cache, and the zones are written from it.
     """
     run_id = run_id or _checkpoint_identity(batch)
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if batch.isEmpty():
-            log.info("batch %s: no records", batch_id)
-            return {"total": 0, "valid": 0, "rejected": 0}
-        counted = Observation()
-        lake.write_raw(batch.observe(counted, *metric_columns()), run_id, batch_id)
-        metrics = counted.get
+        metrics = batch_metrics(batch).first().asDict()
         log.info("batch %s: %s", batch_id, metrics)
-        if show_samples:
+        if show_samples and metrics["total"]:
             clean_zone(batch).show(show_samples, truncate=False)
             rejected_zone(batch).show(show_samples, truncate=False)
+        if metrics["total"]:
+            lake.write_raw(batch, run_id, batch_id, metrics["total"])
         if metrics["valid"]:
-            lake.write_clean(batch, run_id, batch_id)
+            lake.write_clean(batch, run_id, batch_id, metrics["valid"])
         if metrics["rejected"]:
-            lake.write_rejected(batch, run_id, batch_id)
+            lake.write_rejected(batch, run_id, batch_id, metrics["rejected"])
         return metrics
     finally:
         batch.unpersist()

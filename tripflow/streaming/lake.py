@@ -23,32 +23,41 @@ _JSON_OPTIONS = {
 
 @dataclass(frozen=True)
 class Lake:
-    """``raw``, ``clean`` and ``rejected`` folders below one root, on any file system Spark can reach."""
+    """``raw``, ``clean`` and ``rejected`` folders below one root, on any file system Spark can reach.
+
+    ``rows_per_file`` keeps short triggers from leaving one small file per source partition, and bounds
+    the files of a source partition that holds most of a batch.
+    """
 
     root: str
+    rows_per_file: int = 500_000
 
     def path(self, zone: str) -> str:
         return f"{self.root.rstrip('/')}/{zone}/ride_events"
 
-    def _write(self, rows: DataFrame, zone: str, fmt: str, run_id: str, batch_id: int) -> None:
+    def _write(self, rows: DataFrame, zone: str, fmt: str, run_id: str, batch_id: int, count: int) -> None:
         writer = (
-            rows.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")})
+            rows.coalesce(-(-count // self.rows_per_file))
+            .withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")})
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", self.rows_per_file)
             .partitionBy(*PARTITIONS)
         )
         if fmt == "json":
             writer = writer.options(**_JSON_OPTIONS)
         writer.format(fmt).save(self.path(zone))
 
-    def write_raw(self, validated: DataFrame, run_id: str, batch_id: int) -> None:
-        self._write(raw_zone(validated), "raw", "json", run_id, batch_id)
+    # ``count`` is the number of records the zone receives.
+
+    def write_raw(self, validated: DataFrame, run_id: str, batch_id: int, count: int) -> None:
+        self._write(raw_zone(validated), "raw", "json", run_id, batch_id, count)
 
-    def write_clean(self, validated: DataFrame, run_id: str, batch_id: int) -> None:
-        self._write(clean_zone(validated), "clean", "parquet", run_id, batch_id)
+    def write_clean(self, validated: DataFrame, run_id: str, batch_id: int, count: int) -> None:
+        self._write(clean_zone(validated), "clean", "parquet", run_id, batch_id, count)
 
-    def write_rejected(self, validated: DataFrame, run_id: str, batch_id: int) -> None:
-        self._write(rejected_zone(validated), "rejected", "json", run_id, batch_id)
+    def write_rejected(self, validated: DataFrame, run_id: str, batch_id: int, count: int) -> None:
+        self._write(rejected_zone(validated), "rejected", "json", run_id, batch_id, count)
 
     def _read(self, spark: SparkSession, zone: str, fmt: str, schema: T.StructType) -> DataFrame:
         # JSON leaves nulls out, so the schema is given and never inferred from what happens to be there.
