@@ -1,0 +1,112 @@
+import datetime as dt
+
+import pytest
+
+from tripflow.functions import date_parts, parse_event_time, to_money
+from tripflow.operators.parse import decode_envelope, flatten_event, parse_event
+from tripflow.schemas import EVENT_FIELDS
+from pyspark.sql import functions as F
+
+
+def parse(spark, *texts):
+    envelope = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "offset bigint, raw_json string")
+    return {row.offset: row for row in parse_event(envelope).collect()}
+
+
+def test_malformed_text_gives_null_fields_and_keeps_the_record(spark):
+    texts = ["not json", '{"event_id":"e', "[]", "null", "", None, "{}"]
+    rows = parse(spark, *texts)
+    assert len(rows) == len(texts)
+    for i, text in enumerate(texts):
+        assert rows[i].raw_json == text
+        assert all(rows[i][name] is None for name in EVENT_FIELDS)
+
+
+def test_field_conversions(spark):
+    rows = parse(
+        spark,
+        '{"event_id":"a","fare_usd":"abc"}',
+        '{"event_id":"a","fare_usd":"2.5"}',
+        '{"event_id":7,"fare_usd":3}',
+        '{"event_id":{"x":1}}',
+        '{"EVENT_ID":"a"}',
+        '{"event_id":"a","event_id":"b"}',
+        '{"event_id":"a","bad_record_type":"x","fare_usd":NaN}',
+    )
+    assert [rows[i].event_id for i in range(7)] == ["a", "a", "7", '{"x":1}', None, "b", "a"]
+    assert [rows[i].fare_usd for i in range(3)] == [None, None, 3.0]
+    assert rows[6].fare_usd != rows[6].fare_usd  # NaN
+
+
+def test_folding_touches_categories_only(spark):
+    envelope = spark.createDataFrame(
+        [('{"event_id":"EVT","event_type":" Trip_Started","payment_method":"EcoCash","payment_status":"PAID",'
+          '"pickup_location":"Mbare","driver_id":null}',)],
+        "raw_json string",
+    )
+    row = flatten_event(parse_event(envelope)).first()
+    assert (row.event_type, row.payment_method, row.payment_status) == (" trip_started", "ecocash", "paid")
+    assert (row.event_id, row.pickup_location, row.driver_id) == ("EVT", "Mbare", None)
+
+
+GOOD = {
+    "2024-01-02T03:04:05": dt.datetime(2024, 1, 2, 3, 4, 5),
+    "2024-02-29T23:59:59": dt.datetime(2024, 2, 29, 23, 59, 59),
+}
+BAD = [
+    "2024-13-01T00:00:00", "2024-02-30T00:00:00", "2024-01-01T24:00:00", "2024-01-02 03:04:05",
+    "2024-01-02T03:04:05.5", "2024-01-02T03:04:05Z", "2024-01-02", "2024-1-2T03:04:05", " 2024-01-02T03:04:05",
+    "2024-01-02T03:04:05 ", "12024-01-02T03:04:05", "", "not-a-valid-date", None, "2024-01-02T03:04:05\n",
+]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_event_time_pattern(spark, zone):
+    """02:30 on 10 March 2024 does not exist in New York; as an event time it is kept."""
+    good = GOOD | {"2024-03-10T02:30:00": dt.datetime(2024, 3, 10, 2, 30)}
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.createDataFrame([(t,) for t in [*good, *BAD]], "t string")
+        found = [row[1] for row in rows.select("t", parse_event_time(F.col("t"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert found == [*good.values(), *[None] * len(BAD)]
+
+
+def test_money_rounds_half_up_and_rejects_overflow(spark):
+    rows = spark.createDataFrame([(12.345,), (-12.345,), (2.675,), (99999999.99,), (1e8,), (None,)], "x double")
+    found = [None if r[0] is None else str(r[0]) for r in rows.select(to_money(F.col("x"))).collect()]
+    assert found == ["12.35", "-12.35", "2.68", "99999999.99", None, None]
+
+
+def test_date_parts(spark):
+    parts = date_parts(F.col("d"))
+    days = spark.createDataFrame([(dt.date(2024, 5, 4),), (dt.date(2024, 5, 1),)], "d date")
+    rows = [row.asDict() for row in days.select(*(c.alias(n) for n, c in parts.items())).collect()]
+    assert rows[0] == {
+        "date_key": 20240504, "full_date": dt.date(2024, 5, 4), "day_of_month": 4, "month_number": 5,
+        "month_name": "May      ", "quarter_number": 2, "year_number": 2024, "day_name": "Saturday ",
+        "is_weekend": True,
+    }
+    assert (rows[1]["day_name"], rows[1]["is_weekend"]) == ("Wednesday", False)
+
+
+def test_envelope(spark):
+    records = spark.createDataFrame(
+        [(b"k", "{é}".encode(), "t", 1, 5, dt.datetime(2024, 1, 1), 0), (None, None, "t", 1, 6, None, 0)],
+        "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, timestampType int",
+    )
+    rows = decode_envelope(records).collect()
+    assert (rows[0].kafka_key, rows[0].raw_json, rows[1].kafka_key, rows[1].raw_json) == ("k", "{é}", None, None)
+    assert rows[0].ingested_at is not None and rows[0].ingestion_date == rows[0].ingested_at.date()
+
+
+def test_filters_do_not_repeat_the_parse(spark):
+    """The plan of a filtered, validated frame holds exactly one JSON parse."""
+    from tripflow.operators.validate import split_valid, validate
+
+    envelope = spark.createDataFrame([("{}",)], "raw_json string")
+    valid, _ = split_valid(validate(flatten_event(parse_event(envelope))))
+    plan = valid._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1

@@ -7,7 +7,7 @@ through eighteen kinds of damage; with ``faults=False`` only the repeated delive
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .schemas import EVENT_TIME_PATTERN, EVENT_TYPES
@@ -24,87 +24,63 @@ TOPIC = "ride_events"
 TRUNCATED, REPEATED = 16, 17
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, values)), (index + 1).cast("int"))
+def _pick(values: list[str], index: str) -> str:
+    return f"element_at(array({', '.join(repr(value) for value in values)}), CAST({index} + 1 AS INT))"
 
 
-def _number(prefix: str, value: Column, width: int) -> Column:
-    digits = value.cast("string")
-    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
+def _number(prefix: str, value: str, width: int) -> str:
+    digits = f"CAST({value} AS STRING)"
+    return f"concat('{prefix}', lpad({digits}, greatest({width}, length({digits})), '0'))"
 
 
-def _quoted(value: Column) -> Column:
-    return F.coalesce(F.concat(F.lit('"'), value, F.lit('"')), F.lit("null"))
+# Fields of one event. n: row number; r: ride; k: step of the ride; f: kind of damage, -1 for none.
+_FIELDS = {
+    "event_id": f"CASE WHEN f <> 0 THEN {_number('evt_', f'if(f = {REPEATED}, n - 1, n)', 6)} END",
+    "ride_id": f"CASE WHEN f <> 1 THEN {_number('ride_', 'r', 6)} END",
+    "driver_id": f"CASE WHEN f <> 2 THEN {_number('drv_', 'r % 40', 4)} END",
+    "rider_id": f"CASE WHEN f <> 3 THEN {_number('rdr_', 'r * 7 % 150', 4)} END",
+    "event_type": f"""CASE WHEN f = 4 THEN 'unknown_event'
+        WHEN f IN (10, 11) THEN if(n % 2 = 0, 'trip_completed', 'payment_completed')
+        WHEN f = 12 THEN 'payment_completed'
+        WHEN f <> 13 THEN {_pick(EVENT_TYPES, 'k')} END""",
+    "event_version": "'1.0'",
+    "event_timestamp": f"""if(f = 5, 'not-a-valid-date', date_format(ts, "{EVENT_TIME_PATTERN}"))""",
+    "pickup_location": f"CASE WHEN f <> 6 THEN {_pick(LOCATIONS, 'r % 10')} END",
+    "dropoff_location": f"CASE WHEN f <> 7 THEN {_pick(LOCATIONS, '(r % 10 + 1 + r % 9) % 10')} END",
+    "fare_usd": """CASE WHEN f = 10 THEN NULL WHEN f = 11 THEN '-5.0'
+        WHEN f = 12 OR k IN (3, 4) THEN CAST(round(value, 2) AS STRING) END""",
+    "payment_method": f"""CASE WHEN f = 8 THEN 'gold_coins'
+        WHEN f <> 14 THEN {_pick(FEED_PAYMENT_METHODS, 'r % 3')} END""",
+    "payment_status": """CASE WHEN f = 9 THEN 'unknown_status' WHEN f IN (10, 11) AND n % 2 = 1 THEN 'paid'
+        WHEN f = 12 THEN 'pending' WHEN f <> 15 THEN if(k = 4, 'paid', 'pending') END""",
+}
+
+
+def _member(name: str) -> str:
+    if name == "event_id":  # left out of the object when null; all other nulls are written
+        return """concat('"event_id":"', event_id, '"')"""
+    value = name if name == "fare_usd" else f"""concat('"', {name}, '"')"""
+    return f"""concat('"{name}":', coalesce({value}, 'null'))"""
 
 
 def ride_feed(events: DataFrame, faults: bool = True) -> DataFrame:
     """Text envelope plus ``n``, the delivery order."""
-    n = F.col("event_id")
-    r, k = F.floor(n / 5), n % 5
-    kind = F.when(n % 7 == 3, F.floor(n / 7) % 18).otherwise(-1)
-    rows = events.select(
-        n.alias("n"), r.alias("r"), k.alias("k"), "ts", F.round("value", 2).alias("amount"),
-        (kind if faults else F.when(kind == REPEATED, kind).otherwise(-1)).alias("f"),
-    )
-    n, r, k, f = (F.col(name) for name in "nrkf")
-    even = n % 2 == 0
-
-    def unless(kind_no: int, value: Column) -> Column:
-        return F.when(f != kind_no, value)
-
-    event_type = (
-        F.when(f == 4, "unknown_event")
-        .when(f.isin(10, 11), F.when(even, "trip_completed").otherwise("payment_completed"))
-        .when(f == 12, "payment_completed")
-        .when(f == 13, None)
-        .otherwise(_pick(EVENT_TYPES, k))
-    )
-    fare = (
-        F.when(f == 10, None)
-        .when(f == 11, F.lit(-5.0))
-        .when((f == 12) | k.isin(3, 4), F.col("amount"))
-    )
-    status = (
-        F.when(f == 9, "unknown_status")
-        .when(f.isin(10, 11) & ~even, "paid")
-        .when(f == 12, "pending")
-        .when(f == 15, None)
-        .otherwise(F.when(k == 4, "paid").otherwise("pending"))
-    )
-    fields = {
-        "ride_id": unless(1, _number("ride_", r, 6)),
-        "driver_id": unless(2, _number("drv_", r % 40, 4)),
-        "rider_id": unless(3, _number("rdr_", (r * 7) % 150, 4)),
-        "event_type": event_type,
-        "event_version": F.lit("1.0"),
-        "event_timestamp": F.when(f == 5, "not-a-valid-date").otherwise(
-            F.date_format("ts", EVENT_TIME_PATTERN)
-        ),
-        "pickup_location": unless(6, _pick(LOCATIONS, r % 10)),
-        "dropoff_location": unless(7, _pick(LOCATIONS, (r % 10 + 1 + r % 9) % 10)),
-        "fare_usd": fare.cast("string"),
-        "payment_method": F.when(f == 8, "gold_coins").when(f == 14, None).otherwise(
-            _pick(FEED_PAYMENT_METHODS, r % 3)
-        ),
-        "payment_status": status,
-    }
-    event_id = unless(0, _number("evt_", F.when(f == REPEATED, n - 1).otherwise(n), 6))
-    body = F.concat_ws(
-        ",",
-        F.concat(F.lit('"event_id":"'), event_id, F.lit('"')),  # left out when null
-        *(
-            F.concat(F.lit(f'"{name}":'), F.coalesce(value, F.lit("null")) if name == "fare_usd" else _quoted(value))
-            for name, value in fields.items()
-        ),
-    )
-    return rows.select(
-        "n",
-        F.coalesce(fields["ride_id"], event_id, F.concat(F.lit("bad_record_"), n.cast("string"))).alias("kafka_key"),
-        F.when(f == TRUNCATED, '{"event_id":"evt_').otherwise(F.concat(F.lit("{"), body, F.lit("}"))).alias("raw_json"),
-        F.lit(TOPIC).alias("topic"),
-        F.lit(0).alias("partition"),
-        n.alias("offset"),
-        F.col("ts").cast("timestamp").alias("kafka_timestamp"),
+    kind = "if(event_id % 7 = 3, event_id div 7 % 18, -1)"
+    if not faults:
+        kind = f"if({kind} = {REPEATED}, {REPEATED}, -1)"
+    return (
+        events.selectExpr("event_id AS n", "event_id div 5 AS r", "event_id % 5 AS k", "ts", "value", f"{kind} AS f")
+        .selectExpr("n", "f", "ts", *(f"{value} AS {name}" for name, value in _FIELDS.items()))
+        .selectExpr(
+            "n",
+            "coalesce(ride_id, event_id, concat('bad_record_', n)) AS kafka_key",
+            f"""CASE WHEN f = {TRUNCATED} THEN '{{"event_id":"evt_'
+                ELSE concat('{{', concat_ws(',', {', '.join(map(_member, _FIELDS))}), '}}') END AS raw_json""",
+            f"'{TOPIC}' AS topic",
+            "0 AS partition",
+            "n AS offset",
+            "CAST(ts AS TIMESTAMP) AS kafka_timestamp",
+        )
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _NAME_WIDTH = 9  # month and day names are blank-padded to this width
-_EVENT_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$"
+_EVENT_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\z"
 
 
 def fold_case(text: Column) -> Column:
