@@ -43,7 +43,11 @@ def test_an_explicit_null_version_stays_null(spark, tmp_path):
     assert row.event_version is None and row.driver_id is None
 
 
-@pytest.mark.parametrize("line", ["not json", '{"event_id": "evt', "[1, 2", "7", '"text"'])
+@pytest.mark.parametrize("line", [
+    "not json", '{"event_id": "evt', "[1, 2", "7", '"text"', "null", "[]", json.dumps([EVENT]),
+    json.dumps(EVENT) + " tail", json.dumps(EVENT) * 2, json.dumps(EVENT) + "," + json.dumps(EVENT),
+    json.dumps(EVENT).replace('"', "'"),
+])
 def test_one_malformed_line_fails_the_load(spark, tmp_path, line):
     path = write(tmp_path / "a.jsonl", EVENT, line)
     with pytest.raises(Exception):
@@ -78,7 +82,7 @@ def test_an_absent_field_is_not_the_same_as_null(spark, tmp_path):
         path = write(tmp_path / "a.jsonl", EVENT, {k: v for k, v in EVENT.items() if k != name})
         with pytest.raises(StrictLoadError) as caught:
             check_strict(rows_of(spark, path))
-        assert caught.value.violations["all_fields_present"] == 1
+        assert caught.value.violations["one_whole_event_per_line"] == 1
 
 
 def test_limits_are_inclusive(spark, tmp_path):

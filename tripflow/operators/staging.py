@@ -21,7 +21,7 @@ def staging_rows_from_files(events: DataFrame) -> DataFrame:
     }
     return events.select(
         *(typed.get(name, F.col(name)).alias(name) for name in STAGING_FIELDS),
-        F.col("fare_usd").alias("fare_text"), "missing_fields", *FILE_ORDER,
+        F.col("fare_usd").alias("fare_text"), "whole_event", *FILE_ORDER,
     )
 
 

@@ -17,13 +17,13 @@ class StrictLoadError(ValueError):
 def constraints(columns: list[str]) -> dict[str, Column]:
     """Name to violation predicate, for a frame of staging rows.
 
-    Rows read from files also carry ``missing_fields`` and ``fare_text``, which show an absent JSON
-    field and an amount that ``numeric(10,2)`` cannot hold.
+    Rows read from files also carry ``whole_event`` and ``fare_text``, which show an absent JSON field
+    and an amount that ``numeric(10,2)`` cannot hold.
     """
     found = {f"{name}_not_null": F.col(name).isNull() for name in STAGING_REQUIRED}
     found |= {f"{name}_max_length": F.length(name) > limit for name, limit in STAGING_MAX_LENGTH.items()}
-    if "missing_fields" in columns:
-        found["all_fields_present"] = F.coalesce(F.size("missing_fields") > 0, F.lit(True))
+    if "whole_event" in columns:
+        found["one_whole_event_per_line"] = ~F.col("whole_event")
     if "fare_text" in columns:
         found["fare_usd_numeric"] = F.col("fare_text").isNotNull() & F.col("fare_usd").isNull()
     return found

@@ -6,22 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import EVENT_FIELDS, EVENT_SCHEMA
+from ..schemas import EVENT_FIELDS
 from ..session import spread
 
 # Amounts are read as written, so that their rounding to two decimals starts from the exact text.
-_TEXT_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in EVENT_SCHEMA.fieldNames()])
+_TEXT_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in EVENT_FIELDS])
 
 
 def parse_lines(lines: DataFrame, order: str) -> DataFrame:
     """Strict parse of a ``value`` column: malformed text raises when the row is read.
 
-    Adds ``missing_fields``, the event fields that the object does not mention at all.
+    ``whole_event`` is false where a line is not one object that mentions every event field, be it as
+    null. The parser stops at the end of the first object, so a line is parsed as the only element of
+    an array: text after the object then either breaks the array or shows up as a second element.
     """
     wanted = F.array(*map(F.lit, EVENT_FIELDS))
-    event = F.from_json("value", _TEXT_SCHEMA, {"mode": "FAILFAST"})
-    return lines.filter(F.col("value").rlike(r"\S")).select(
-        F.inline(F.array(event)), F.array_except(wanted, F.json_object_keys("value")).alias("missing_fields"), order
+    as_array = F.concat(F.lit("["), "value", F.lit("]"))
+    events = F.from_json(as_array, T.ArrayType(_TEXT_SCHEMA), {"mode": "FAILFAST", "allowSingleQuotes": "false"})
+    complete = F.size(F.array_except(wanted, F.json_object_keys("value"))) == 0
+    return (
+        lines.filter(F.col("value").rlike(r"\S"))
+        .select(F.posexplode(events).alias("position", "event"), complete.alias("complete"), order)
+        .select("event.*", F.coalesce((F.col("position") == 0) & F.col("complete"), F.lit(False)).alias("whole_event"), order)
     )
 
 
