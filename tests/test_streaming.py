@@ -150,3 +150,13 @@ def test_object_store_conf():
     assert conf["spark.hadoop.fs.s3a.endpoint"] == "store:9000"
     assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
     assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
+
+
+def test_a_day_is_read_by_partition_pruning(spark, tmp_path, records):
+    lake = Lake(str(tmp_path / "lake"))
+    drain(spark, RecordFiles(records), lake, str(tmp_path / "cp"))
+    day = lake.read_clean(spark).first().ingestion_date
+    for wanted, rows in ((day.isoformat(), 864), ("1999-01-01", 0)):
+        found = lake.read_clean(spark).filter(F.col("ingestion_date") == F.lit(wanted).cast("date"))
+        assert found.count() == rows
+    assert "PartitionFilters: [isnotnull(ingestion_date" in found._jdf.queryExecution().executedPlan().toString()

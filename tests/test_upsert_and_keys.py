@@ -107,3 +107,28 @@ def test_large_dimension_is_not_broadcast(spark, fact, monkeypatch):
             assert ("BroadcastHashJoin" in plan) is broadcast
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_hot_key_is_split_in_the_shuffle_join(spark, monkeypatch):
+    """Half of the fact has one name; adaptive execution divides that partition among tasks."""
+    monkeypatch.setattr(keys, "BROADCAST_ROWS", 0)
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50000",
+    }
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        fact = spark.range(0, 200_000, numPartitions=8).select(
+            F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id") % 1000).cast("string").alias("name"),
+            F.col("id"), F.lit(None).cast("bigint").alias("name_key"),
+        )
+        dim = spark.range(1000).select(F.col("id").alias("dim_key"), F.col("id").cast("string").alias("dim_name"))
+        filled = fill_keys(fact, [Lookup("name_key", F.col("name"), "dim", "dim_name", "dim_key")], {"dim": dim})
+        assert [r.name for r in filled.filter("name_key <> CAST(name AS BIGINT) OR name_key IS NULL").take(1)] == []
+        assert len(filled.collect()) == 200_000
+        assert "skew=true" in filled._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in conf:
+            spark.conf.unset(name)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 from ..operators.dims import DIMENSIONS
@@ -12,17 +15,27 @@ from ..sources.files import land_raw_files, newest_file
 from .warehouse import Warehouse
 
 
+def _together(spark: SparkSession, load: Callable[[str], int], names: Iterable[str]) -> dict[str, int]:
+    """Runs independent loads at the same time, so that the tail of one does not leave the cluster idle."""
+    names = list(names)
+    with ThreadPoolExecutor(len(names)) as pool:
+        return dict(zip(names, pool.map(inheritable_thread_target(spark)(load), names)))
+
+
 def load_star(warehouse: Warehouse, since: datetime | None = None) -> dict[str, int]:
     """Dimensions, then facts with their keys. Returns the row count of every table.
 
     New fact rows find their keys as they are added. Older rows that were added without keys are
     filled afterwards; where there are none, that is a statistics check and rewrites nothing.
     """
-    counts = {name: warehouse.load_dimension(name, since) for name in DIMENSIONS}
-    for name in FACTS:
-        counts[name] = warehouse.load_fact(name, with_keys=True, since=since)
+
+    def load_fact(name: str) -> int:
+        count = warehouse.load_fact(name, with_keys=True, since=since)
         warehouse.fill_fact_keys(name)
-    return counts
+        return count
+
+    counts = _together(warehouse.spark, lambda name: warehouse.load_dimension(name, since), DIMENSIONS)
+    return counts | _together(warehouse.spark, load_fact, FACTS)
 
 
 def run_batch(

@@ -246,8 +246,10 @@ def stream_to_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_files(spark: SparkSession, sf_dir: str) -> str:
+    """The feed as event files whose names and lines follow the delivery order."""
     folder = f"{shared_path(spark, 'files')}.jsonl"
-    load_feed(spark, sf_dir, faults=False).select("raw_json").write.text(folder)
+    feed = load_feed(spark, sf_dir, faults=False).repartitionByRange("n").sortWithinPartitions("n")
+    feed.select("raw_json").write.text(folder)
     return folder
 
 

@@ -72,10 +72,13 @@ class Warehouse:
         # One task per bucket, so a load adds one file to each bucket and not one per task and bucket.
         return rows.repartition(self.buckets, UNIQUE_COLUMN[name]) if name in BUCKETED else rows
 
-    def append(self, name: str, rows: DataFrame) -> None:
-        if _LOAD_TIME[name] not in rows.columns:
-            rows = rows.withColumn(_LOAD_TIME[name], F.localtimestamp())
-        self._laid_out(name, rows).write.insertInto(f"{self.database}.{name}")
+    def append(self, name: str, rows: DataFrame) -> int:
+        """Adds rows, stamped with the load time, and returns how many. They are counted in the writing
+        tasks, after the last shuffle, so a repeated shuffle task does not count twice."""
+        added = Observation()
+        rows = self._laid_out(name, rows.withColumn(_LOAD_TIME[name], F.localtimestamp()))
+        rows.observe(added, F.count(F.lit(1)).alias("rows")).write.insertInto(f"{self.database}.{name}")
+        return added.get["rows"]
 
     def replace(self, name: str, rows: DataFrame) -> None:
         """Swaps the contents of a table, which ``rows`` may be computed from.
@@ -112,17 +115,17 @@ class Warehouse:
             counts = dict(checked.get)
             attempted = counts.pop("attempted")
             raise_if_violated(counts)
-            before = self.count("ride_events")
             new_rows = stage_events(self.table("ride_events"), self.spark.table(scratch), order)
-            self.append("ride_events", new_rows)
-        return {"attempted": attempted, "inserted": self.count("ride_events") - before}
+            inserted = self.append("ride_events", new_rows)
+        return {"attempted": attempted, "inserted": inserted}
 
     def load_staging(self, path: str | list[str]) -> dict[str, int]:
         """Event files to staging: all of them or none."""
         return self._load_staging(staging_rows_from_files(read_event_files(self.spark, path)), FILE_ORDER)
 
     def stage_from_clean(self, clean: DataFrame) -> dict[str, int]:
-        """Validated events of the clean zone to staging."""
+        """Validated events of the clean zone to staging. Pass the ingestion dates that are new; events
+        that were staged before are left as they are."""
         return self._load_staging(staging_rows_from_clean(clean), ZONE_ORDER)
 
     # -- dimensions and facts ----------------------------------------------------------------------
