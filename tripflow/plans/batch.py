@@ -19,7 +19,9 @@ def _together(spark: SparkSession, load: Callable[[str], int], names: Iterable[s
     """Runs independent loads at the same time, so that the tail of one does not leave the cluster idle."""
     names = list(names)
     with ThreadPoolExecutor(len(names)) as pool:
-        return dict(zip(names, pool.map(inheritable_thread_target(spark)(load), names)))
+        # Wrapped once per load: a wrapper carries one set of local properties, which jobs write to.
+        running = {name: pool.submit(inheritable_thread_target(spark)(load), name) for name in names}
+        return {name: load.result() for name, load in running.items()}
 
 
 def load_star(warehouse: Warehouse, since: datetime | None = None) -> dict[str, int]:
