@@ -86,7 +86,7 @@ def test_fill_keys(spark, fact, monkeypatch, limit):
     lookups = [
         Lookup(column, F.col("name"), "dim", "name", "name_key") for column in ("first_key", "second_key")
     ]
-    filled = fill_keys(fact, lookups, {"dim": dim})
+    filled = fill_keys(fact, lookups, {"dim": dim}, "id")
     found = {r.id: (r.first_key, r.second_key) for r in filled.collect()}
     expected = {1: (10, 900), 2: (20, 20), 3: (None, None), 4: (None, None), 5: (77, 10)}
     assert found == expected | {i: (30, 30) for i in range(6, 1006)}
@@ -103,7 +103,7 @@ def test_large_dimension_is_not_broadcast(spark, fact, monkeypatch):
     try:
         for limit, broadcast in ((10, True), (9, False)):
             monkeypatch.setattr(keys, "BROADCAST_ROWS", limit)
-            plan = fill_keys(fact, lookups, {"dim": dim})._jdf.queryExecution().executedPlan().toString()
+            plan = fill_keys(fact, lookups, {"dim": dim}, "id")._jdf.queryExecution().executedPlan().toString()
             assert ("BroadcastHashJoin" in plan) is broadcast
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -125,7 +125,7 @@ def test_a_hot_key_is_split_in_the_shuffle_join(spark, monkeypatch):
             F.col("id"), F.lit(None).cast("bigint").alias("name_key"),
         )
         dim = spark.range(1000).select(F.col("id").alias("dim_key"), F.col("id").cast("string").alias("dim_name"))
-        filled = fill_keys(fact, [Lookup("name_key", F.col("name"), "dim", "dim_name", "dim_key")], {"dim": dim})
+        filled = fill_keys(fact, [Lookup("name_key", F.col("name"), "dim", "dim_name", "dim_key")], {"dim": dim}, "id")
         assert [r.name for r in filled.filter("name_key <> CAST(name AS BIGINT) OR name_key IS NULL").take(1)] == []
         assert len(filled.collect()) == 200_000
         assert "skew=true" in filled._jdf.queryExecution().executedPlan().toString()

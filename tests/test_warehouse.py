@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tripflow.operators import marts
 from tripflow.operators.dims import DIMENSIONS
 from tripflow.operators.facts import FACTS
-from tripflow.operators.keys import key_coverage
+from tripflow.operators.keys import fill_keys, key_coverage
 from tripflow.operators.strict import StrictLoadError
 from tripflow.plans.batch import load_star, run_batch
 from tripflow.plans.warehouse import Warehouse
@@ -178,6 +178,39 @@ def test_loads_use_the_bucketing(spark, warehouse, files):
     assert "ReadSchema: struct<event_id:string>" in plan
 
 
+def test_large_dimensions_leave_the_fact_in_place(spark, warehouse, files, monkeypatch):
+    """Keys are the same, and the only shuffles are of row ids with a natural key or a found key."""
+    path = files("a", [event(n, rider_id=None if n % 10 == 0 else "rdr_1") for n in range(60)])
+    run_batch(spark, warehouse, path)
+    expected = contents(warehouse, "fct_ride_events")
+    monkeypatch.setattr("tripflow.operators.keys.BROADCAST_ROWS", 0)
+    other = Warehouse(spark, f"w_{uuid.uuid4().hex}", warehouse.location + "_b", buckets=4).create()
+    run_batch(spark, other, path)
+    assert contents(other, "fct_ride_events") == expected
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        build, lookups = FACTS["fct_ride_events"]
+        rows = build(other.table("ride_events"), other.table("fct_ride_events"))
+        filled = fill_keys(rows, lookups(), other.dimensions(), "event_id")
+        plan = filled._jdf.queryExecution().executedPlan()
+        widths = exchanges(plan)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert widths and max(widths) == 2
+
+
+def exchanges(plan):
+    """Column counts of all shuffles below a physical plan node."""
+    found = [plan.output().size()] if plan.nodeName() == "Exchange" else []
+    children = plan.children()
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return exchanges(plan.initialPlan())
+    for i in range(children.size()):
+        found += exchanges(children.apply(i))
+    return found
+
+
 def test_first_completion_of_a_ride_wins(spark, warehouse, files):
     late, early, tie = (
         event(3, event_id=i, event_timestamp=t, fare_usd=f)

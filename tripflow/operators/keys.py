@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -99,36 +101,40 @@ def _fits_broadcast(dim: DataFrame) -> bool:
     return dim.count() <= BROADCAST_ROWS
 
 
-def fill_keys(fact: DataFrame, lookups: list[Lookup], dims: dict[str, DataFrame]) -> DataFrame:
+def fill_keys(fact: DataFrame, lookups: list[Lookup], dims: dict[str, DataFrame], row_id: str) -> DataFrame:
     """Sets each key column that is null and has a match; set keys and unmatched rows stay as they are.
 
-    All keys of a fact are filled in one plan. Natural keys are unique in their dimension, so the left
-    joins never multiply rows. Dimensions within ``BROADCAST_ROWS`` are joined without moving the
-    fact; a larger one goes through a shuffle join, whose hot keys adaptive execution splits.
+    All keys of a fact are filled in one plan. Natural keys are unique in their dimension and ``row_id``
+    in the fact, so no join multiplies rows.
+
+    A dimension within ``BROADCAST_ROWS`` is joined without moving the fact. For a larger one only pairs
+    of row id and natural key travel to the dimension, and row id and key travel back; the fact's other
+    columns stay where they are. Rows without a natural key take no part, so null is never a hot key,
+    and adaptive execution splits the partitions of names that are.
     """
-    filled = fact
     small = {name: _fits_broadcast(dims[name]) for name in {lookup.dim for lookup in lookups}}
+    filled = fact
     for lookup in lookups:
         found, wanted = f"found_{lookup.key_column}", f"wanted_{lookup.key_column}"
         side = dims[lookup.dim].select(
             F.col(lookup.natural_key).alias(wanted), F.col(lookup.dim_key).alias(found)
         )
         if small[lookup.dim]:
-            side = F.broadcast(side)
-        value = lookup.fact_value
-        filled = filled.join(side, value == F.col(wanted), "left").withColumn(
-            lookup.key_column, F.coalesce(lookup.key_column, found)
-        ).drop(found, wanted)
+            filled = filled.join(F.broadcast(side), lookup.fact_value == F.col(wanted), "left")
+        else:
+            pairs = fact.filter(_is_open(lookup)).select(row_id, lookup.fact_value.alias(wanted))
+            filled = filled.join(pairs.join(side, wanted).select(row_id, found), row_id, "left")
+        filled = filled.withColumn(lookup.key_column, F.coalesce(lookup.key_column, found)).drop(found, wanted)
     return filled.select(*fact.columns)
 
 
+def _is_open(lookup: Lookup) -> Column:
+    return F.col(lookup.key_column).isNull() & lookup.fact_value.isNotNull()
+
+
 def unfilled(fact: DataFrame, lookups: list[Lookup]) -> DataFrame:
     """Rows with a key still null although its natural value is known."""
-    open_keys = [F.col(x.key_column).isNull() & x.fact_value.isNotNull() for x in lookups]
-    condition = open_keys[0]
-    for other in open_keys[1:]:
-        condition = condition | other
-    return fact.filter(condition)
+    return fact.filter(reduce(or_, map(_is_open, lookups)))
 
 
 def key_coverage(fact: DataFrame, key_columns: list[str]) -> DataFrame:

@@ -24,7 +24,7 @@ from ..operators.staging import (
 from ..operators.strict import check_strict, strict_violations as count_violations
 from ..operators.validate import split_valid, validate
 from ..operators.zones import clean_zone, raw_zone, rejected_zone
-from ..schemas import EVENT_FIELDS, STAGING_REQUIRED
+from ..schemas import EVENT_FIELDS, STAGING_REQUIRED, UNIQUE_COLUMN
 from ..session import shared_path, write_aside
 from ..sources.files import land_raw_files, parse_lines
 from ..sources.streams import RecordFiles, tap_view
@@ -184,7 +184,7 @@ def _filled(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     build, lookups = facts.FACTS[name]
     wanted = {lookup.dim for lookup in lookups()}
     built = {dim: dims.DIMENSIONS[dim](staged) for dim in wanted}
-    return fill_keys(build(staged), lookups(), built)
+    return fill_keys(build(staged), lookups(), built, UNIQUE_COLUMN[name])
 
 
 def fill_event_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,7 +206,7 @@ def key_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     lookups = facts.event_lookups()
     staged = _staged_once(spark, sf_dir)
     built = {name: build(staged) for name, build in dims.DIMENSIONS.items()}
-    return count_missing_keys(fill_keys(fact, lookups, built), [x.key_column for x in lookups])
+    return count_missing_keys(fill_keys(fact, lookups, built, "event_id"), [x.key_column for x in lookups])
 
 
 # -- end to end ------------------------------------------------------------------------------------

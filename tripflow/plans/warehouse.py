@@ -156,7 +156,7 @@ class Warehouse:
         build, lookups = FACTS[name]
         rows = build(self._staged(since), self.table(name))
         if with_keys:
-            rows = fill_keys(rows, lookups(), self.dimensions())
+            rows = fill_keys(rows, lookups(), self.dimensions(), UNIQUE_COLUMN[name])
         self.append(name, rows)
         return self.count(name)
 
@@ -165,4 +165,4 @@ class Warehouse:
         _, lookups = FACTS[name]
         fact = self.table(name)
         if not unfilled(fact, lookups()).isEmpty():
-            self.replace(name, fill_keys(fact, lookups(), self.dimensions()))
+            self.replace(name, fill_keys(fact, lookups(), self.dimensions(), UNIQUE_COLUMN[name]))
