@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from tripflow.fixtures import FEED_PAYMENT_METHODS, LOCATIONS
-from tripflow.operators.validate import RULES
 from tripflow.schemas import EVENT_TYPES, STAGING_MAX_LENGTH, STAGING_REQUIRED
 
 
@@ -87,9 +86,31 @@ parsed AS (
   FROM feed
 )"""
 
-_CHAIN = " ".join(f"WHEN {rule.fails} THEN '{rule.code}'" for rule in RULES)
+# Written out here, apart from the library's rules, so that the two can disagree.
+_CHAIN = """
+    CASE
+      WHEN event_id IS NULL THEN 'missing_event_id'
+      WHEN ride_id IS NULL THEN 'missing_ride_id'
+      WHEN driver_id IS NULL THEN 'missing_driver_id'
+      WHEN rider_id IS NULL THEN 'missing_rider_id'
+      WHEN event_type IS NULL THEN 'missing_event_type'
+      WHEN NOT list_contains(
+        ['ride_requested', 'driver_assigned', 'trip_started', 'trip_completed', 'payment_completed'], event_type
+      ) THEN 'invalid_event_type'
+      WHEN event_timestamp IS NULL THEN 'missing_or_invalid_event_timestamp'
+      WHEN pickup_location IS NULL THEN 'missing_pickup_location'
+      WHEN dropoff_location IS NULL THEN 'missing_dropoff_location'
+      WHEN payment_method IS NULL THEN 'missing_payment_method'
+      WHEN NOT list_contains(['cash', 'card', 'ecocash'], payment_method) THEN 'invalid_payment_method'
+      WHEN payment_status IS NULL THEN 'missing_payment_status'
+      WHEN NOT list_contains(['pending', 'paid', 'failed'], payment_status) THEN 'invalid_payment_status'
+      WHEN event_type LIKE '%_completed' AND fare_usd IS NULL THEN 'fare_required_for_completed_events'
+      WHEN event_type LIKE '%_completed' AND fare_usd <= 0 THEN 'fare_must_be_positive_for_completed_events'
+      WHEN event_type = 'payment_completed' AND payment_status <> 'paid'
+        THEN 'payment_completed_must_have_paid_status'
+    END"""
 _VALIDATED = f"""{_PARSED},
-validated AS (SELECT *, CASE {_CHAIN} END AS validation_error FROM parsed)"""
+validated AS (SELECT *, {_CHAIN} AS validation_error FROM parsed)"""
 
 _STAGING = """event_id, ride_id, driver_id, rider_id, event_type, event_timestamp, pickup_location, dropoff_location,
     CAST(fare_usd AS DECIMAL(10, 2)) AS fare_usd, payment_method, payment_status, event_version"""

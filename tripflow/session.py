@@ -35,8 +35,16 @@ def object_store_conf(
     }
 
 
-def build_session(app_name: str = "tripflow", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
+def build_session(
+    app_name: str = "tripflow",
+    master: str | None = None,
+    conf: dict[str, str] | None = None,
+    persistent_catalog: bool = False,
+) -> SparkSession:
+    """``persistent_catalog`` uses the cluster's metastore, so that later sessions find the warehouse tables."""
     builder = SparkSession.builder.appName(app_name)
+    if persistent_catalog:
+        builder = builder.enableHiveSupport()
     if master:
         builder = builder.master(master)
     for name, value in {**ENGINE_CONF, **(conf or {})}.items():
