@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +63,11 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(cores) if rows.rdd.getNumPartitions() * 4 <= cores else rows
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="tripflow-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``. Only a local session may fall back to its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -69,9 +75,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tripflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
 
 
 def use_shared_checkpoints(spark: SparkSession) -> None:
