@@ -21,4 +21,42 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
 FROM judged GROUP BY doc_id, rn
 """
 
-LLM_SQL: dict[str, str] = {"op9_line_dedup": OP9}
+_BENCH_WORDS = r"regexp_extract_all(" + _LOWER.format("text") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP5 = f"""
+WITH item_words AS (
+  SELECT item_id, {_BENCH_WORDS} AS w FROM benchmark
+), windows AS (
+  SELECT item_id, n, p, list_slice(w, p, p + n - 1) AS win
+  FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS p
+        FROM item_words WHERE len(w) > 0)
+), doc_words AS (
+  SELECT row_number() OVER () AS rn, doc_id, coalesce({_BENCH_WORDS}, []) AS w FROM documents
+), places AS (
+  SELECT d.rn, s.n, p, list_slice(d.w, p, p + s.n - 1) AS win
+  FROM (SELECT rn, w, unnest(range(1, len(w) + 1)) AS p FROM doc_words) d, (SELECT DISTINCT n FROM windows) s
+  WHERE p + s.n - 1 <= len(d.w) AND w[p] IN (SELECT win[1] FROM windows)
+), matches AS (
+  SELECT DISTINCT rn, places.p, places.n, item_id, places.p - windows.p AS shift
+  FROM places JOIN windows ON places.win = windows.win
+), hits AS (
+  SELECT rn, count(DISTINCT spot) AS n_hit FROM (SELECT rn, unnest(range(p, p + n)) AS spot FROM matches) GROUP BY rn
+), named AS (
+  SELECT rn, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT rn, CAST(item_id AS VARCHAR) AS item FROM matches WHERE item_id IS NOT NULL) GROUP BY rn
+), runs AS (
+  SELECT rn, item_id, min(p) - 1 AS longest_at, count(*) + min(n) - 1 AS longest_match
+  FROM (SELECT *, p - row_number() OVER (PARTITION BY rn, item_id, shift ORDER BY p) AS run FROM matches)
+  GROUP BY rn, item_id, shift, run
+), longest AS (
+  SELECT rn, longest_match, longest_at, CAST(item_id AS VARCHAR) AS longest_item FROM runs
+  QUALIFY row_number() OVER (PARTITION BY rn ORDER BY longest_match DESC, longest_at, item_id) = 1
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+       coalesce(longest_match, 0) AS longest_match, longest_at, longest_item
+FROM doc_words LEFT JOIN hits USING (rn) LEFT JOIN named USING (rn) LEFT JOIN longest USING (rn)
+"""
+
+LLM_SQL: dict[str, str] = {"op5_decontaminate": OP5, "op9_line_dedup": OP9}
