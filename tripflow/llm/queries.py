@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import read_table
 from .decontaminate import contamination_report
 from .line_dedup import line_report
+from .packing import pack
 from .quality_rules import quality_report
 
 
@@ -20,11 +21,15 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(read_table(spark, sf_dir, "documents"))
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op5_decontaminate, op7_quality_rules, op9_line_dedup)
+    for query in (op5_decontaminate, op7_quality_rules, op8_best_fit_packing, op9_line_dedup)
 }
