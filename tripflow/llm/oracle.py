@@ -59,4 +59,41 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM doc_words LEFT JOIN hits USING (rn) LEFT JOIN named USING (rn) LEFT JOIN longest USING (rn)
 """
 
-LLM_SQL: dict[str, str] = {"op5_decontaminate": OP5, "op9_line_dedup": OP9}
+OP4 = f"""
+WITH RECURSIVE doc_words AS (
+  SELECT row_number() OVER () AS rn, doc_id,
+         coalesce(regexp_extract_all({_LOWER.format("text")}, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents
+), sets AS (
+  SELECT rn, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+  FROM doc_words
+), tokens AS (
+  SELECT rn, len(s) AS n, unnest(s) AS t FROM sets WHERE doc_id IS NOT NULL
+), ranked AS (
+  SELECT rn, n, t, row_number() OVER (PARTITION BY rn ORDER BY df, t) AS place
+  FROM tokens JOIN (SELECT t, count(*) AS df FROM tokens GROUP BY t) USING (t)
+), prefixes AS (  -- two sets that are similar enough share one of their rarest tokens
+  SELECT rn, n, t FROM ranked WHERE place <= n - (80 * n + 99) // 100 + 1
+), candidates AS (
+  SELECT DISTINCT x.rn AS a, y.rn AS b FROM prefixes x JOIN prefixes y ON x.t = y.t AND x.rn < y.rn
+  WHERE 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+), links AS (
+  SELECT a, b FROM (
+    SELECT a, b, len(list_intersect(x.s, y.s)) AS i, len(x.s) + len(y.s) AS total
+    FROM candidates JOIN sets x ON x.rn = a JOIN sets y ON y.rn = b)
+  WHERE 100 * i >= 80 * (total - i)
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT rn AS a, rn AS b FROM sets WHERE rn IN (SELECT a FROM both_ways)
+  UNION
+  SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a
+), smallest AS (
+  SELECT reach.a AS rn, min(sets.doc_id) AS least_doc FROM reach JOIN sets ON reach.b = sets.rn GROUP BY reach.a
+)
+SELECT doc_id, len(s) AS n_shingles, coalesce(least_doc, doc_id) AS component_id,
+       doc_id IS NOT DISTINCT FROM coalesce(least_doc, doc_id) AS kept
+FROM sets LEFT JOIN smallest USING (rn)
+"""
+
+LLM_SQL: dict[str, str] = {"op4_near_dedup": OP4, "op5_decontaminate": OP5, "op9_line_dedup": OP9}

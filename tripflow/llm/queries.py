@@ -9,10 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import read_table
 from .decontaminate import contamination_report
 from .line_dedup import line_report
+from .near_dedup import near_report
 from .packing import pack
 from .quality_rules import quality_report
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_report(read_table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -31,5 +36,5 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op5_decontaminate, op7_quality_rules, op8_best_fit_packing, op9_line_dedup)
+    for query in (op4_near_dedup, op5_decontaminate, op7_quality_rules, op8_best_fit_packing, op9_line_dedup)
 }
