@@ -96,4 +96,18 @@ SELECT doc_id, len(s) AS n_shingles, coalesce(least_doc, doc_id) AS component_id
 FROM sets LEFT JOIN smallest USING (rn)
 """
 
-LLM_SQL: dict[str, str] = {"op4_near_dedup": OP4, "op5_decontaminate": OP5, "op9_line_dedup": OP9}
+OP2 = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), named AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS least FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN least IS NOT NULL AND page_id IS DISTINCT FROM least THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM least THEN least END AS refers_to
+FROM named
+"""
+
+LLM_SQL: dict[str, str] = {
+    "op2_warc_bundles": OP2, "op4_near_dedup": OP4, "op5_decontaminate": OP5, "op9_line_dedup": OP9,
+}
