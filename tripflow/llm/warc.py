@@ -136,7 +136,7 @@ class BundleWriter:
         self.store.create_dir(root, recursive=True)
         name = f"{uuid.uuid4().hex}.warc.zst"
         self.path = f"{folder}/{name}"
-        self.file = self.store.open_output_stream(f"{root}/{name}")
+        self.file = self.store.open_output_stream(f"{root}/{name}", compression=None)  # by its name it would be compressed again
         self.packer = zstandard.ZstdCompressor(level=3)
         self.sizes: list[tuple[int, int]] = []
         self.at = 0
