@@ -55,8 +55,9 @@ class Grams:
         known = self.hashes
         if len(known) > CACHED_WORDS:
             known.clear()
-        for token in set(tokens) - known.keys():
-            known[token] = zlib.crc32(token)
+        for token in set(tokens):
+            if token not in known:
+                known[token] = zlib.crc32(token)
         hashes = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
         ones = mix(hashes)
         with np.errstate(over="ignore"):
@@ -68,10 +69,10 @@ def _count_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     grams, counts = Grams(), np.zeros((2, BUCKETS), np.int64)
     for batch in batches:
         for text, trusted in zip(batch.column("text").to_pylist(), batch.column("trusted").to_pylist(), strict=True):
-            found = np.bincount(grams(text), minlength=BUCKETS)
-            counts[0] += found
+            found = grams(text)
+            np.add.at(counts[0], found, 1)
             if trusted:
-                counts[1] += found
+                np.add.at(counts[1], found, 1)
     seen = np.flatnonzero(counts[0])
     yield pa.RecordBatch.from_pydict({"bucket": seen, "raw": counts[0][seen], "target": counts[1][seen]})
 
