@@ -58,8 +58,9 @@ class Shingles:
         known = self.hashes
         if len(known) > CACHED_WORDS:
             known.clear()
-        for word in set(found) - known.keys():
-            known[word] = xxhash.xxh3_64_intdigest(word.lower())
+        for word in set(found):
+            if word not in known:
+                known[word] = xxhash.xxh3_64_intdigest(word.lower())
         hashes = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
         size = min(self.size, len(hashes))
         if not size:
