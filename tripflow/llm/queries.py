@@ -13,6 +13,7 @@ from .near_dedup import near_report
 from .packing import pack
 from .quality_rules import quality_report
 
+from .secrets import scan
 from .warc import archive_report
 
 
@@ -20,6 +21,10 @@ def op2_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_report(read_table(spark, sf_dir, "pages"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(read_table(spark, sf_dir, "documents"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_report(read_table(spark, sf_dir, "documents"))
 
@@ -42,5 +47,5 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op2_warc_bundles, op4_near_dedup, op5_decontaminate, op7_quality_rules, op8_best_fit_packing, op9_line_dedup)
+    for query in (op2_warc_bundles, op3_secret_scan, op4_near_dedup, op5_decontaminate, op7_quality_rules, op8_best_fit_packing, op9_line_dedup)
 }
