@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from ..session import shared_path, use_shared_checkpoints, write_aside
 
 __all__ = [
-    "ASCII_SPACE", "arrow_map", "lower_ascii", "read_table", "row_key", "shared_path", "small_batches",
-    "use_shared_checkpoints", "words", "write_aside",
+    "ASCII_SPACE", "arrow_map", "batch_of", "join_lines_except", "lines_of", "lower_ascii", "mix", "read_table", "row_key",
+    "shared_path", "small_batches", "use_shared_checkpoints", "words", "write_aside",
 ]
 
 #: The characters that end a word.
@@ -37,6 +37,21 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def lines_of(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
+
+
+def join_lines_except(text: Column, lost: Column) -> Column:
+    """The text without the lines at these places."""
+
+    def joined(lines: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), lost)
+        return F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
+
+    # The lines are a lambda variable, so that they are split once and not for every line.
+    return F.get(F.transform(F.array(lines_of(text)), joined), 0)
+
+
 def row_key(text: Column) -> Column:
     """Tells rows that share a doc_id apart by their text."""
     return F.xxhash64(F.coalesce(text, F.lit("")))

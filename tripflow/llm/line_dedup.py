@@ -17,16 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, lower_ascii, row_key
+from .common import ASCII_SPACE, join_lines_except, lines_of, lower_ascii, row_key
 
 MIN_CHARS = 10
 WORD_BITS = 64
 
 
-def lines_of(text: Column) -> Column:
-    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
-
-
 def line_key(line: Column) -> Column:
     return lower_ascii(F.trim(line, F.lit(ASCII_SPACE)))
 
@@ -87,13 +83,7 @@ def _with_bitmaps(docs: DataFrame) -> DataFrame:
 
 
 def kept_text(text: Column, keep: Column) -> Column:
-
-    def joined(lines: Column) -> Column:
-        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), _lost_positions(keep))
-        return F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
-
-    # The lines are a lambda variable, so that they are split once and not for every line.
-    return F.get(F.transform(F.array(lines_of(text)), joined), 0)
+    return join_lines_except(text, _lost_positions(keep))
 
 
 def drop_lines(docs: DataFrame) -> DataFrame:

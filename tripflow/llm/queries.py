@@ -14,6 +14,7 @@ from .packing import pack
 from .quality_rules import quality_report
 
 from .secrets import scan
+from .unit_dedup import removal_report
 from .warc import archive_report
 
 
@@ -45,7 +46,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(read_table(spark, sf_dir, "documents"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removal_report(read_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op2_warc_bundles, op3_secret_scan, op4_near_dedup, op5_decontaminate, op7_quality_rules, op8_best_fit_packing, op9_line_dedup)
+    for query in (op2_warc_bundles, op3_secret_scan, op4_near_dedup, op5_decontaminate, op7_quality_rules, op8_best_fit_packing, op9_line_dedup, op10_substring_dedup)
 }
