@@ -1,11 +1,12 @@
-"""Substring dedup by line hashing: normalised lines are grouped by digest across the corpus, and the earliest ranked occurrence stays.
+"""Substring dedup by line hashing: normalised units are grouped by digest across the corpus, and the earliest ranked occurrence stays.
 
-A unit is a line. Its normal form has A-Z lower-cased, runs of white space as one space, and neither white space nor ASCII punctuation at its
-ends. Units whose normal form has fewer than ``MIN_CHARS`` code points always stay. Occurrences are ranked by doc_id, then by place, so
-a unit that comes back within its own document is removed there too. Removed units keep their offsets in the original text.
+Units are lines and, since passages are also pasted inside lines, the sentences of a line. The normal form of a unit has A-Z lower-cased, runs of
+white space as one space, and neither white space nor ASCII punctuation at its ends. Units whose normal form has fewer than ``MIN_CHARS`` code
+points always stay. Occurrences are ranked by doc_id, then by place, so a unit that comes back within its own document is removed there too.
+Removed units keep their offsets in the original text.
 
 A map task sends at most one row a digest to the search for first documents, however hot the digest; occurrences then meet the repeated
-digests in a join that adaptive execution can split.
+digests in a join that adaptive execution can split. Units are made twice, once for each of these, as they are as large as the texts.
 
 Defined results: a null or empty text has no units. Rows that repeat a doc_id are one document, and a unit stays in each of them. Documents without
 doc_id rank last and are one document. Extra columns are ignored by ``repeated_units`` and kept by ``drop_units``.
@@ -21,70 +22,112 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, batch_of, join_lines_except, lines_of, row_key, write_aside
+from .common import arrow_map, batch_of, row_key, small_batches
 
-MIN_CHARS = 40
+MIN_CHARS = 30
 
-_SPACE = re.compile(r"[\x20\x09-\x0D]+")
+_SENTENCE_END = re.compile(r"[.!?][\x20\x09-\x0D]+")
 #: White space and ASCII punctuation.
-_ENDS = " \t\n\x0b\x0c\r!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+_ENDS = b" \t\n\x0b\x0c\r!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 UNITS = pa.schema([
-    ("doc_id", pa.int64()), ("row", pa.int64()), ("unit", pa.int32()), ("start", pa.int64()), ("end", pa.int64()),
-    ("digest", pa.binary()), ("again", pa.bool_()),
+    ("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("digest", pa.binary()), ("again", pa.bool_()),
 ])
-UNITS_DDL = "doc_id long, row long, unit int, start long, end long, digest binary, again boolean"
+UNITS_DDL = "doc_id long, row long, start long, end long, digest binary, again boolean"
 
 
-def normal_form(unit: str) -> str:
-    return _SPACE.sub(" ", unit.strip(_ENDS)).translate(_LOWER)
+def normal_form(unit: str) -> bytes | None:
+    """In UTF-8; None if it is too short. Splitting and lower-casing bytes touches ASCII only."""
+    form = b" ".join(unit.encode("utf-8", "surrogatepass").strip(_ENDS).split()).lower()
+    if len(form) < 4 * MIN_CHARS and len(form.decode("utf-8", "surrogatepass")) < MIN_CHARS:
+        return None
+    return form
+
+
+def unit_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Start and end of every line, and of every sentence of a line that has several."""
+    start = 0
+    for line in text.split("\n"):
+        end = start + len(line)
+        yield start, end
+        begin = start
+        for stop in _SENTENCE_END.finditer(text, start, end):
+            yield begin, stop.start() + 1
+            begin = stop.end()
+        if start < begin < end:
+            yield begin, end
+        start = end + 1
 
 
 def _units_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for doc_id, row, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "text")), strict=True):
-            start, seen = 0, set()
-            for number, line in enumerate(text.split("\n") if text else []):
-                form = normal_form(line)
-                if len(form) >= MIN_CHARS:
-                    digest = hashlib.blake2b(form.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                    rows.append((doc_id, row, number, start, start + len(line), digest, digest in seen))
-                    seen.add(digest)
-                start += len(line) + 1
+            seen: dict[bytes, int] = {}
+            for start, end in unit_spans(text) if text else ():
+                if end - start < MIN_CHARS:
+                    continue
+                form = normal_form(text[start:end])
+                if form is not None:
+                    digest = hashlib.blake2b(form, digest_size=16).digest()
+                    first = seen.setdefault(digest, start)
+                    # A line and its only sentence may have one form: the same place is not a repetition.
+                    rows.append((doc_id, row, start, end, digest, first != start))
         columns = list(zip(*rows, strict=True)) or [[]] * len(UNITS)
         yield batch_of(UNITS, **dict(zip(UNITS.names, columns, strict=True)))
 
 
 def units_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, unit, start, end, digest, again): offsets in code points; ``again`` if the text has the unit before."""
+    """(doc_id, row, start, end, digest, again): offsets in code points; ``again`` if the text has the unit before."""
     return arrow_map(docs.select("doc_id", row_key(F.col("text")).alias("row"), "text"), _units_task, UNITS_DDL)
 
 
 def repeated_units(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, unit, start, end, digest, first_doc_id) of every unit to be removed, for every row of ``docs``."""
-    units = write_aside(units_of(docs), "units")  # texts are split once
+    """(doc_id, row, start, end, digest, first_doc_id) of every unit to be removed, for every row of ``docs``."""
+    units = units_of(docs)
     least, most = F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id")
-    without = F.max(F.col("doc_id").isNull() | F.col("again")).alias("odd")
-    firsts = units.groupBy("digest").agg(least, most, without).filter("odd OR first_doc_id < last_doc_id")
+    odd = F.max(F.col("doc_id").isNull() | F.col("again")).alias("odd")
+    firsts = units.groupBy("digest").agg(least, most, odd).filter("odd OR first_doc_id < last_doc_id")
     met = units.join(firsts.select("digest", "first_doc_id"), "digest")
     later = F.col("first_doc_id").isNotNull() & (F.col("doc_id").isNull() | (F.col("doc_id") > F.col("first_doc_id")))
-    return met.filter(F.col("again") | later).select("doc_id", "row", "unit", "start", "end", "digest", "first_doc_id")
+    return met.filter(F.col("again") | later).select("doc_id", "row", "start", "end", "digest", "first_doc_id")
 
 
 def removal_report(docs: DataFrame) -> DataFrame:
     """A row per removed unit."""
-    return repeated_units(docs).select(
-        "doc_id", "unit", "start", "end", F.lower(F.hex("digest")).alias("digest"), "first_doc_id"
-    )
+    return repeated_units(docs).select("doc_id", "start", "end", F.lower(F.hex("digest")).alias("digest"), "first_doc_id")
+
+
+def cut(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the spans. A line end goes if nothing is left of its line."""
+    kept, at = [], 0
+    for start, end in sorted(spans):
+        if end <= at:
+            continue
+        if start > at:
+            kept.append(text[at:start])
+        whole_line = (start == 0 or text[start - 1] == "\n") and (end == len(text) or text[end] == "\n")
+        at = end + 1 if whole_line and end < len(text) else end
+    return "".join(kept) + text[at:]
 
 
 def drop_units(docs: DataFrame) -> DataFrame:
-    """The documents without the removed lines, and all other columns as they are."""
-    gone = repeated_units(docs).groupBy("doc_id", "row").agg(F.collect_set("unit").alias("units"))
-    gone = gone.select(F.col("doc_id").alias("__unit_doc"), F.col("row").alias("__unit_row"), F.col("units").alias("__units"))
+    """The documents without the removed units, and all other columns as they are."""
+    gone = repeated_units(docs).groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    gone = gone.select(F.col("doc_id").alias("__unit_doc"), F.col("row").alias("__unit_row"), F.col("spans").alias("__unit_spans"))
     same = F.col("doc_id").eqNullSafe(F.col("__unit_doc")) & (row_key(F.col("text")) == F.col("__unit_row"))
-    joined = docs.join(gone, same, "left")
-    text = F.when(F.col("__units").isNull(), F.col("text")).otherwise(join_lines_except(F.col("text"), F.col("__units")))
-    return joined.withColumn("text", text).select(*docs.columns)
+    joined = docs.join(gone, same, "left").select(*docs.columns, "__unit_spans")
+    place = docs.columns.index("text")
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [
+                text if spans is None else cut(text, [(s["start"], s["end"]) for s in spans])
+                for text, spans in zip(batch.column(place).to_pylist(), batch.column(-1).to_pylist(), strict=True)
+            ]
+            columns = batch.columns[:-1]
+            columns[place] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+
+    small_batches(docs.sparkSession)
+    return joined.mapInArrow(task, docs.schema)
