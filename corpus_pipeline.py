@@ -1,11 +1,18 @@
-"""The training-data pipeline: quality rules and line dedup, so far."""
+"""The training-data pipeline: quality rules, line dedup, near-duplicates, benchmark passages, packing.
+
+Every stage takes all documents that the one before kept. All but the last return the columns of ``documents``; the last returns the packed
+pieces. Between stages the documents are a written table, so a lost executor repeats work of one stage only.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tripflow.llm.common import read_table, write_aside
+from tripflow.llm.decontaminate import drop_contaminated
 from tripflow.llm.line_dedup import drop_lines
+from tripflow.llm.near_dedup import keep_first
+from tripflow.llm.packing import pack
 from tripflow.llm.quality_rules import quality_filter
 
 
@@ -17,7 +24,25 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return drop_lines(docs)
 
 
-STAGES = [("quality_rules", keep_good), ("line_dedup", drop_repeated_lines)]
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_first(docs)
+
+
+def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs)
+
+
+STAGES = [
+    ("quality_rules", keep_good),
+    ("line_dedup", drop_repeated_lines),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_benchmark_passages),
+    ("packing", pack_sequences),
+]
 
 ORACLE_SQL = None  # hashed n-gram models and byte-level BPE are beyond SQL
 
