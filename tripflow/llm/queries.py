@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import read_table
 from .decontaminate import contamination_report
 from .line_dedup import line_report
+from .lm_scoring import lm_scores
 from .near_dedup import near_report
 from .packing import pack
 from .quality_rules import quality_report
@@ -18,6 +19,10 @@ from .unit_dedup import removal_report
 from .warc import archive_report
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(read_table(spark, sf_dir, "documents"))
+
+
 def op2_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_report(read_table(spark, sf_dir, "pages"))
 
@@ -52,5 +57,5 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op2_warc_bundles, op3_secret_scan, op4_near_dedup, op5_decontaminate, op7_quality_rules, op8_best_fit_packing, op9_line_dedup, op10_substring_dedup)
+    for query in (op1_lm_scoring, op2_warc_bundles, op3_secret_scan, op4_near_dedup, op5_decontaminate, op7_quality_rules, op8_best_fit_packing, op9_line_dedup, op10_substring_dedup)
 }
