@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
 from .decontaminate import contamination_report
+from .licenses import scan as license_scan
 from .line_dedup import line_report
 from .lm_scoring import lm_scores
 from .near_dedup import near_report
 from .packing import pack
 from .quality_rules import quality_report
 
-from .secrets import scan
+from .secrets import scan as secret_scan
 from .unit_dedup import removal_report
 from .warc import archive_report
 
@@ -28,7 +29,7 @@ def op2_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(read_table(spark, sf_dir, "documents"))
+    return secret_scan(read_table(spark, sf_dir, "documents"))
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +40,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(read_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -57,5 +62,5 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_lm_scoring, op2_warc_bundles, op3_secret_scan, op4_near_dedup, op5_decontaminate, op7_quality_rules, op8_best_fit_packing, op9_line_dedup, op10_substring_dedup)
+    for query in (op1_lm_scoring, op2_warc_bundles, op3_secret_scan, op4_near_dedup, op5_decontaminate, op6_license_scan, op7_quality_rules, op8_best_fit_packing, op9_line_dedup, op10_substring_dedup)
 }
