@@ -7,9 +7,9 @@ survives at least one path of a tree with probability 0.93 at any depth, and unr
 are compared exhaustively. ``TREES`` independent trees leave a miss below one in a million.
 
 What min-hash values propose is confirmed on full sets. To do little of that, each class first confirms its best partner; other
-proposals follow only if their ends are not connected by then. A node that stays large consists of similar sets. All of its members are
-compared with a pivot at each level, and at the last level members that the pivots left unconnected are compared with everything else there.
-So no group is ever expanded into all its pairs, and none sits in one task.
+proposals follow only if their ends are not connected by then. In a large node all members are compared with ``PIVOTS`` of them. If these
+cover half of the members the node holds similar sets, which branching would keep together: it ends there, and members that are still
+unconnected after confirmation are compared with everything else in it. So no group is ever expanded into all its pairs, and none sits in one task.
 
 Defined results: a text without words (null, empty, blank) has an empty set and is linked with nothing. A document without doc_id is
 linked with nothing, its component_id is null, and it is kept. Rows that repeat a doc_id are judged by their own texts; all rows of a kept id and
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, mix, row_key, small_batches, words, write_aside
+from .common import arrow_map, batch_of, mix, row_key, small_batches, words, write_aside
 from .components import connected_components
 
 SIMILAR_PERCENT = 80
@@ -38,8 +38,11 @@ TREES = 6
 BRANCHES = 2
 LEAF = 32
 DEPTH = 5
-#: Equal min-hash values out of COORDINATES that make a proposal. A pair at the threshold has 51 on average; below 32 is 6 deviations off.
-PROPOSE = 32
+PIVOTS = 8
+#: Equal min-hash values out of COORDINATES that make a proposal. A pair at the threshold has 51 on average; 4 pairs in a million have fewer than 36.
+PROPOSE = 36
+#: Equal values by which a pivot covers a member, and the covered share that ends a node.
+COVER, COVERED = 44, 0.5
 CACHED_WORDS = 200_000
 
 _ODD = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -88,82 +91,93 @@ def _profile_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     shingle = Shingles()
     for batch in batches:
         sets = [shingle(text) for text in batch.column("text").to_pylist()]
+        sigs = [signature(s) if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"), batch.column("row"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
-                pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                pa.array([s.tobytes() if s is not None else None for s in sigs], pa.binary()),
+                pa.array([s.astype(np.uint8).tobytes() if s is not None else None for s in sigs], pa.binary()),
             ],
-            names=["doc_id", "row", "n_shingles", "set_key", "sig"],
+            names=["doc_id", "row", "n_shingles", "set_key", "sig", "sketch"],
         )
 
 
 def profiles(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", "text", row_key(F.col("text")).alias("row"))
-    return arrow_map(texts, _profile_task, "doc_id long, row long, n_shingles long, set_key binary, sig binary")
+    return arrow_map(texts, _profile_task, "doc_id long, row long, n_shingles long, set_key binary, sig binary, sketch binary")
 
 
 # -- trees -----------------------------------------------------------------------------------------
 
 
-def _signatures(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDINATES)
+def _bytes(column: pa.Array, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, COORDINATES)
 
 
-def children(nodes: np.ndarray, sigs: np.ndarray) -> Iterator[np.ndarray]:
+def children(nodes: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
     """A member's children: two different coordinates that depend on the node alone, and the member's values there."""
     with np.errstate(over="ignore"):
         seed = mix(nodes.astype(np.uint64) + _STEP)
         first = seed % np.uint64(COORDINATES)
         second = (first + np.uint64(1) + (seed >> np.uint64(32)) % np.uint64(COORDINATES - 1)) % np.uint64(COORDINATES)
-        for chosen in (first, second):
-            value = sigs[np.arange(len(sigs)), chosen.astype(np.int64)]
-            yield mix(seed * _STEP + (chosen << np.uint64(32)) + value).view(np.int64)
+        rows = np.arange(len(values))
+        return [
+            mix(seed * _STEP + (chosen << np.uint64(32)) + values[rows, chosen.astype(np.int64)]).view(np.int64)
+            for chosen in (first, second)
+        ]
 
 
 def _root_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            sigs = _signatures(batch.column("sig"))
+            sigs = _bytes(batch.column("sig"), np.uint32)
             for tree in range(TREES):
                 for node in children(np.full(len(sigs), tree, np.int64), sigs):
                     yield pa.RecordBatch.from_arrays([pa.array(node), batch.column("cls")], names=["node", "cls"])
 
 
+BRANCH = pa.schema([
+    ("node", pa.int64()), ("cls", pa.int64()), ("covered", pa.bool_()), ("left", pa.int64()), ("right", pa.int64()),
+    ("near", pa.list_(pa.struct([("pivot", pa.int64()), ("equal", pa.int32())]))),
+])
+BRANCH_DDL = "node long, cls long, covered boolean, left long, right long, near array<struct<pivot: long, equal: int>>"
+
+
 def _branch_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of large nodes: proposals with the pivot (equal > 0), and the members' children (equal = 0)."""
-    names = ["x", "y", "equal"]
+    """Members of large nodes: the pivots that are near, whether one covers the member, and the member's children."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        sigs, cls = _signatures(batch.column("sig")), batch.column("cls").to_numpy()
-        pivot = batch.column("pivot").to_numpy()
-        equal = (sigs == _signatures(batch.column("pivot_sig"))).sum(axis=1).astype(np.int32)
-        good = (equal >= PROPOSE) & (pivot != cls)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(pivot, cls)[good]), pa.array(np.maximum(pivot, cls)[good]), pa.array(equal[good])], names=names
-        )
-        for node in children(batch.column("node").to_numpy(), sigs):
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(cls), pa.array(np.zeros(len(cls), np.int32))], names=names)
+        values, nodes, cls = _bytes(batch.column("sketch"), np.uint8), batch.column("node").to_numpy(), batch.column("cls").to_numpy()
+        near, covered = [], []
+        for own, mine, pivots in zip(cls, values, batch.column("pivots").to_pylist(), strict=True):
+            others = [p for p in pivots if p["pivot"] != own]
+            table = np.frombuffer(b"".join(p["sketch"] for p in others), np.uint8).reshape(-1, COORDINATES)
+            equal = (table == mine).sum(axis=1)
+            covered.append(bool((equal >= COVER).any()))
+            near.append([{"pivot": p["pivot"], "equal": int(e)} for p, e in zip(others, equal, strict=True) if e >= PROPOSE])
+        left, right = children(nodes, values)
+        yield batch_of(BRANCH, node=nodes, cls=cls, covered=covered, left=left, right=right, near=near)
 
 
 def _leaf_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Proposals within small nodes. Rows come sorted by node; a node is at most LEAF rows long."""
-    nodes, cls, sigs = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, COORDINATES), np.uint32)
-    old = 0  # rows that were compared with each other before
+    nodes, cls, values = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, COORDINATES), np.uint8)
     for batch in batches:
         if not batch.num_rows:
             continue
+        # The last rows stay for the next batch, whose first node may have begun in them.
         nodes = np.concatenate([nodes[-LEAF:], batch.column("node").to_numpy()])
         cls = np.concatenate([cls[-LEAF:], batch.column("cls").to_numpy()])
-        sigs = np.concatenate([sigs[-LEAF:], _signatures(batch.column("sig"))])
+        values = np.concatenate([values[-LEAF:], _bytes(batch.column("sketch"), np.uint8)])
         old = len(nodes) - batch.num_rows
         for step in range(1, LEAF):
             later = np.arange(max(old, step), len(nodes))
             later = later[nodes[later] == nodes[later - step]]
             if not len(later):
                 break
-            equal = (sigs[later] == sigs[later - step]).sum(axis=1).astype(np.int32)
+            equal = (values[later] == values[later - step]).sum(axis=1).astype(np.int32)
             later, equal = later[equal >= PROPOSE], equal[equal >= PROPOSE]
             a, b = cls[later], cls[later - step]
             yield pa.RecordBatch.from_arrays(
@@ -171,30 +185,46 @@ def _leaf_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _pair_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            equal = (_bytes(batch.column("a_sketch"), np.uint8) == _bytes(batch.column("b_sketch"), np.uint8)).sum(axis=1)
+            good = pa.array(equal >= PROPOSE)
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], names=["a", "b"])
+
+
 def propose(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Proposed pairs (a, b, equal), and the members (node, cls, pivot) of nodes still large at the last level."""
-    sigs = classes.select("cls", "sig")
+    """Proposed pairs (a, b, equal), and the members (node, cls) of large nodes that were not branched."""
+    sketches = classes.select("cls", "sketch")
     pairs: list[DataFrame] = []
-    frontier = arrow_map(sigs, _root_task, "node long, cls long")
+    ended: list[DataFrame] = []
+    frontier = arrow_map(classes.select("cls", "sig"), _root_task, "node long, cls long")
     for level in range(1, DEPTH + 1):
-        # The pivot is the member whose id, scrambled by the node, is smallest.
-        scrambled = F.min(F.col("cls").bitwiseXOR(F.col("node")))
-        sizes = frontier.groupBy("node").agg(F.count("*").alias("size"), scrambled.alias("pivot")).filter("size > 1")
-        sizes = sizes.withColumn("pivot", F.col("pivot").bitwiseXOR(F.col("node")))
-        members = write_aside(frontier.join(sizes, "node"), "members")
-        small = members.filter(F.col("size") <= LEAF).select("node", "cls").join(sigs, "cls")
+        # A pivot is the member whose id, scrambled by the node and its own constant, is smallest.
+        keys = [F.col("node").bitwiseXOR(F.lit(int(mix(np.array([k], np.uint64)).view(np.int64)[0]))) for k in range(1, PIVOTS + 1)]
+        least = [F.min(F.col("cls").bitwiseXOR(key)).alias(f"p{k}") for k, key in enumerate(keys)]
+        sizes = frontier.groupBy("node").agg(F.count("*").alias("size"), *least).filter("size > 1")
+        sizes = write_aside(sizes, "sizes")
+        members = write_aside(frontier.join(sizes.select("node", "size"), "node"), "members")
+        small = members.filter(F.col("size") <= LEAF).select("node", "cls").join(sketches, "cls")
         ordered = small.repartition("node").sortWithinPartitions("node")
         pairs.append(write_aside(arrow_map(ordered, _leaf_task, "a long, b long, equal int"), "pairs"))
-        large = members.filter(F.col("size") > LEAF).select("node", "cls", "pivot")
+        large = members.filter(F.col("size") > LEAF).select("node", "cls")
         if large.isEmpty():
             break
-        pivots = sigs.select(F.col("cls").alias("pivot"), F.col("sig").alias("pivot_sig"))
-        branched = arrow_map(large.join(sigs, "cls").join(pivots, "pivot"), _branch_task, "x long, y long, equal int")
-        branched = write_aside(branched, "branches")
-        pairs.append(branched.filter("equal > 0").select(F.col("x").alias("a"), F.col("y").alias("b"), "equal"))
-        frontier = branched.filter("equal = 0").select(F.col("x").alias("node"), F.col("y").alias("cls"))
+        found = F.array_distinct(F.array(*(F.col(f"p{k}").bitwiseXOR(key) for k, key in enumerate(keys))))
+        pivots = sizes.filter(F.col("size") > LEAF).select("node", F.explode(found).alias("pivot"))
+        pivots = pivots.join(sketches.withColumnRenamed("cls", "pivot"), "pivot")
+        pivots = pivots.groupBy("node").agg(F.collect_list(F.struct("pivot", "sketch")).alias("pivots"))
+        branched = write_aside(arrow_map(large.join(sketches, "cls").join(pivots, "node"), _branch_task, BRANCH_DDL), "branches")
+        near = branched.select("cls", F.explode("near").alias("near"))
+        pairs.append(near.select(F.least("cls", "near.pivot").alias("a"), F.greatest("cls", "near.pivot").alias("b"), "near.equal"))
+        cover = branched.groupBy("node").agg((F.avg(F.col("covered").cast("int")) >= COVERED).alias("dense"))
+        told = branched.select("node", "cls", "left", "right").join(cover, "node")
+        ended.append(told.filter(F.lit(level == DEPTH) | F.col("dense")).select("node", "cls"))
+        frontier = told.filter("NOT dense").select(F.explode(F.array("left", "right")).alias("node"), "cls")
     proposed = reduce(DataFrame.union, pairs).groupBy("a", "b").agg(F.max("equal").alias("equal"))
-    return write_aside(proposed, "proposed"), large
+    return write_aside(proposed, "proposed"), reduce(DataFrame.union, ended, large.limit(0))
 
 
 # -- confirmation ----------------------------------------------------------------------------------
@@ -229,15 +259,32 @@ def confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     return common.filter(100 * F.col("common") >= SIMILAR_PERCENT * (F.col("total") - F.col("common"))).select("a", "b")
 
 
-def _stragglers(large: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of a node's members that are still unconnected: one end is not in the pivot's component."""
+def _roots_of(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ends are not connected."""
+    a_root = roots.select(F.col("vertex").alias("a"), F.col("root").alias("a_root"))
+    b_root = roots.select(F.col("vertex").alias("b"), F.col("root").alias("b_root"))
+    apart = pairs.join(a_root, "a", "left").join(b_root, "b", "left").filter("coalesce(a_root, a) <> coalesce(b_root, b)")
+    return apart.drop("a_root", "b_root")
+
+
+def _best(pairs: DataFrame) -> DataFrame:
+    """For every end its best pair."""
+    both = pairs.select("a", "b", "equal").union(pairs.select("b", "a", "equal"))
+    best = both.groupBy("a").agg(F.max_by("b", "equal").alias("b"))
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _stragglers(classes: DataFrame, ended: DataFrame, roots: DataFrame) -> DataFrame:
+    """Near pairs of a node's members that are still unconnected: one end is not in the node's main component."""
     rooted = roots.select(F.col("vertex").alias("cls"), "root")
-    named = large.join(rooted, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    pivots = named.filter("cls = pivot").select("node", F.col("root").alias("main")).distinct()
-    named = write_aside(named.join(pivots, "node"), "named")
-    odd = named.filter("root <> main").select("node", F.col("cls").alias("x"), F.col("root").alias("x_root"))
+    named = write_aside(ended.join(rooted, "cls", "left").withColumn("root", F.coalesce("root", "cls")), "named")
+    main = named.groupBy("node", "root").count().groupBy("node").agg(F.max_by("root", "count").alias("main"))
+    odd = named.join(main, "node").filter("root <> main").select("node", F.col("cls").alias("x"), F.col("root").alias("x_root"))
     met = odd.join(named.select("node", F.col("cls").alias("y"), "root"), "node").filter("root <> x_root")
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    met = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    sketches = classes.select("cls", "sketch")
+    seen = met.join(sketches.toDF("a", "a_sketch"), "a").join(sketches.toDF("b", "b_sketch"), "b")
+    return arrow_map(seen, _pair_task, "a long, b long")
 
 
 def label_components(docs: DataFrame) -> DataFrame:
@@ -245,26 +292,27 @@ def label_components(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     found = write_aside(profiles(docs), "profiles")
     usable = found.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = usable.groupBy("set_key").agg(F.min("doc_id").alias("least_doc"), F.first("sig").alias("sig"))
+    classes = usable.groupBy("set_key").agg(F.min("doc_id").alias("least_doc"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch"))
     classes = write_aside(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
 
-    proposed, large = propose(classes)
-    best = proposed.groupBy("b").agg(F.max_by("a", "equal").alias("a"))
-    links = write_aside(confirm(docs, classes, best.select("a", "b")), "confirmed")
+    proposed, ended = propose(classes)
+    links = write_aside(confirm(docs, classes, _best(proposed)), "confirmed")
     roots = connected_components(links)
-    a_root = roots.select(F.col("vertex").alias("a"), F.col("root").alias("a_root"))
-    b_root = roots.select(F.col("vertex").alias("b"), F.col("root").alias("b_root"))
-    apart = proposed.join(a_root, "a", "left").join(b_root, "b", "left").filter("coalesce(a_root, a) <> coalesce(b_root, b)")
-    rest = write_aside(apart.select("a", "b").union(_stragglers(large, roots)).distinct(), "rest")
-    more = write_aside(confirm(docs, classes, rest), "confirmed")
-    if not more.isEmpty():
-        roots = connected_components(links.union(more))
+    for pick in (_best, lambda pairs: pairs.select("a", "b")):
+        apart = write_aside(_roots_of(proposed, roots), "apart")
+        if apart.isEmpty():
+            break
+        links = write_aside(links.union(confirm(docs, classes, pick(apart))), "confirmed")
+        roots = connected_components(links)
+    odd = write_aside(_stragglers(classes, ended, roots), "stragglers")
+    if not odd.isEmpty():
+        roots = connected_components(links.union(write_aside(confirm(docs, classes, odd), "confirmed")))
 
     rooted = classes.select("cls", "set_key", "least_doc").join(roots.withColumnRenamed("vertex", "cls"), "cls", "left")
     rooted = write_aside(rooted.withColumn("root", F.coalesce("root", "cls")).drop("cls"), "rooted")
     first = rooted.groupBy("root").agg(F.min("least_doc").alias("component_id"))
     labels = rooted.join(first, "root").select("set_key", "component_id")
-    linked = usable.drop("sig").join(labels, "set_key")
+    linked = usable.select("doc_id", "row", "n_shingles", "set_key").join(labels, "set_key")
     alone = found.filter("NOT (n_shingles > 0 AND doc_id IS NOT NULL)").withColumn("component_id", F.col("doc_id"))
     columns = ["doc_id", "row", "n_shingles", "component_id"]
     together = linked.select(*columns).union(alone.select(*columns))
