@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripflow.fixtures import FEED_PAYMENT_METHODS, LOCATIONS
+from tripflow.fixtures import FEED_PAYMENT_METHODS
 from tripflow.schemas import EVENT_TYPES, STAGING_MAX_LENGTH, STAGING_REQUIRED
 
 
@@ -20,9 +20,9 @@ def _quoted(value: str) -> str:
 
 def _feed(faults: bool) -> str:
     """CTEs ``numbered``, ``fields`` and ``feed``: events to text envelopes."""
-    kind = "CASE WHEN event_id % 7 = 3 THEN (event_id // 7) % 18 ELSE -1 END"
+    kind = "CASE WHEN event_id % 6 = 1 THEN (event_id // 6) % 24 ELSE -1 END"
     if not faults:
-        kind = f"CASE WHEN {kind} = 17 THEN 17 ELSE -1 END"
+        kind = f"CASE WHEN {kind} = 23 THEN 23 ELSE -1 END"
     text_fields = [
         "ride_id", "driver_id", "rider_id", "event_type", "event_version", "event_timestamp",
         "pickup_location", "dropoff_location",
@@ -33,35 +33,34 @@ def _feed(faults: bool) -> str:
     body = " || ',' || ".join(parts)
     return f"""
 numbered AS (
-  SELECT event_id AS n, event_id // 5 AS r, event_id % 5 AS k, ts, round(value, 2) AS amount, {kind} AS f
+  SELECT event_id AS n, user_id AS u, event_id // 5 AS r, event_id % 5 AS k, ts, event_type AS source_type,
+    round(value, 2) AS amount, {kind} AS f
   FROM events
 ),
 fields AS (
   SELECT n, f, ts,
-    CASE WHEN f <> 0 THEN {_number('evt_', 'CASE WHEN f = 17 THEN n - 1 ELSE n END', 6)} END AS event_id,
+    CASE WHEN f <> 0 THEN {_number('evt_', 'CASE WHEN f = 23 THEN n - 1 ELSE n END', 6)} END AS event_id,
     CASE WHEN f <> 1 THEN {_number('ride_', 'r', 6)} END AS ride_id,
-    CASE WHEN f <> 2 THEN {_number('drv_', 'r % 40', 4)} END AS driver_id,
-    CASE WHEN f <> 3 THEN {_number('rdr_', '(r * 7) % 150', 4)} END AS rider_id,
-    CASE WHEN f = 4 THEN 'unknown_event'
-         WHEN f IN (10, 11) THEN CASE WHEN n % 2 = 0 THEN 'trip_completed' ELSE 'payment_completed' END
-         WHEN f = 12 THEN 'payment_completed' WHEN f = 13 THEN NULL
-         ELSE {_list(EVENT_TYPES)}[k + 1] END AS event_type,
-    '1.0' AS event_version,
-    CASE WHEN f = 5 THEN 'not-a-valid-date' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS event_timestamp,
-    CASE WHEN f <> 6 THEN {_list(LOCATIONS)}[r % 10 + 1] END AS pickup_location,
-    CASE WHEN f <> 7 THEN {_list(LOCATIONS)}[(r % 10 + 1 + r % 9) % 10 + 1] END AS dropoff_location,
-    CASE WHEN f = 10 THEN NULL WHEN f = 11 THEN '-5.0'
-         WHEN f = 12 OR k IN (3, 4) THEN CAST(amount AS VARCHAR) END AS fare,
-    CASE WHEN f = 8 THEN 'gold_coins' WHEN f = 14 THEN NULL
-         ELSE {_list(FEED_PAYMENT_METHODS)}[r % 3 + 1] END AS payment_method,
-    CASE WHEN f = 9 THEN 'unknown_status' WHEN f IN (10, 11) AND n % 2 = 1 THEN 'paid' WHEN f = 12 THEN 'pending'
-         WHEN f = 15 THEN NULL WHEN k = 4 THEN 'paid' ELSE 'pending' END AS payment_status
+    CASE WHEN f NOT IN (2, 19) THEN {_number('drv_', '((u * 3 + r % 3) // 4)', 4)} END AS driver_id,
+    CASE WHEN f <> 3 THEN {_number('rdr_', 'u', 4)} END AS rider_id,
+    CASE WHEN f = 4 THEN NULL WHEN f IN (10, 20) THEN 'ride_paused' WHEN f IN (14, 16) THEN 'trip_completed'
+         WHEN f IN (15, 17, 18) THEN 'payment_completed' ELSE {_list(EVENT_TYPES)}[k + 1] END AS event_type,
+    CASE WHEN source_type = 'error' THEN '1.1' ELSE '1.0' END AS event_version,
+    CASE WHEN f IN (5, 20) THEN NULL WHEN f = 13 THEN '2024-02-30T25:61:00'
+         ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS event_timestamp,
+    CASE WHEN f NOT IN (6, 21) THEN {_number('Stop ', '(u // 8)', 1)} END AS pickup_location,
+    CASE WHEN f <> 7 THEN {_number('Stop ', '(u // 8 + 1 + n % 5)', 1)} END AS dropoff_location,
+    CASE WHEN f IN (14, 15) THEN NULL WHEN f = 16 THEN '0.0' WHEN f = 17 THEN '-0.01'
+         WHEN f = 18 OR k IN (3, 4) THEN CAST(amount AS VARCHAR) END AS fare,
+    CASE WHEN f = 8 THEN NULL WHEN f IN (11, 19) THEN 'barter' ELSE {_list(FEED_PAYMENT_METHODS)}[r % 3 + 1] END AS payment_method,
+    CASE WHEN f = 9 THEN NULL WHEN f IN (12, 21) THEN 'on_hold' WHEN f IN (15, 17) THEN 'paid' WHEN f = 18 THEN 'failed'
+         WHEN k = 4 THEN 'paid' ELSE 'pending' END AS payment_status
   FROM numbered
 ),
 feed AS (
   SELECT n, ts,
     coalesce(ride_id, event_id, 'bad_record_' || CAST(n AS VARCHAR)) AS kafka_key,
-    CASE WHEN f = 16 THEN '{{"event_id":"evt_'
+    CASE WHEN f = 22 THEN '{{"event_id"'
          ELSE '{{' || coalesce('"event_id":"' || event_id || '",', '') || {body} || '}}' END AS raw_json
   FROM fields
 )"""
@@ -104,8 +103,8 @@ _CHAIN = """
       WHEN NOT list_contains(['cash', 'card', 'ecocash'], payment_method) THEN 'invalid_payment_method'
       WHEN payment_status IS NULL THEN 'missing_payment_status'
       WHEN NOT list_contains(['pending', 'paid', 'failed'], payment_status) THEN 'invalid_payment_status'
-      WHEN event_type LIKE '%_completed' AND fare_usd IS NULL THEN 'fare_required_for_completed_events'
-      WHEN event_type LIKE '%_completed' AND fare_usd <= 0 THEN 'fare_must_be_positive_for_completed_events'
+      WHEN event_type IN ('trip_completed', 'payment_completed') AND fare_usd IS NULL THEN 'fare_required_for_completed_events'
+      WHEN event_type IN ('trip_completed', 'payment_completed') AND fare_usd <= 0 THEN 'fare_must_be_positive_for_completed_events'
       WHEN event_type = 'payment_completed' AND payment_status <> 'paid'
         THEN 'payment_completed_must_have_paid_status'
     END"""
@@ -298,6 +297,32 @@ SELECT CASE WHEN validation_error IS NULL THEN 'clean' ELSE 'rejected' END AS zo
   {_EVENT_COLUMNS}, {_TRACE} FROM validated""",
     "stream_to_warehouse": f"""WITH {_STAGED}, {_DIMS}, {_TRIPS}
 {_keyed('trips', 'trip_completed_at', 'trip_date_key')}""",
+    "stream_raw": f"WITH {_FEED} SELECT {_TRACE}, raw_json, ts AS kafka_timestamp FROM feed",
+    "quarantine": f"""WITH {_VALIDATED},
+poisoned AS (
+  SELECT n, event_id, CASE n % 100 WHEN 8 THEN 'fare_usd_numeric' WHEN 28 THEN 'event_version_max_length' WHEN 48 THEN 'driver_id_max_length'
+    WHEN 68 THEN 'rider_id_max_length,pickup_location_max_length' ELSE '' END AS constraint_names
+  FROM validated WHERE validation_error IS NULL
+)
+SELECT constraint_names, event_id FROM poisoned WHERE constraint_names <> ''
+UNION ALL
+SELECT DISTINCT '', event_id FROM poisoned WHERE constraint_names = ''""",
+    "refill_keys": f"""WITH {_STAGED}, {_DIMS}, {_TRIPS}, keyed AS ({_keyed('trips', 'trip_completed_at', 'trip_date_key')})
+SELECT * REPLACE (CASE WHEN ride_id LIKE '%7' THEN -1 ELSE driver_key END AS driver_key) FROM keyed""",
+    "load_counts": f"""WITH {_STAGED}, {_DIMS}, {_TRIPS}, {_PAYMENTS}, {_staged_until('first_load', '2024-01-16')},
+valid AS (SELECT * FROM validated WHERE validation_error IS NULL)
+SELECT 'first_attempted' AS name, count(*) AS rows FROM valid WHERE ts < TIMESTAMP '2024-01-16 00:00:00'
+UNION ALL SELECT 'second_attempted', count(*) FROM valid
+UNION ALL SELECT 'first_inserted', count(*) FROM first_load
+UNION ALL SELECT 'second_inserted', count(*) FROM staged WHERE event_id NOT IN (SELECT event_id FROM first_load)
+UNION ALL SELECT 'fct_ride_events', count(*) FROM staged
+UNION ALL SELECT 'fct_trips', count(*) FROM trips
+UNION ALL SELECT 'fct_payments', count(*) FROM payments
+""" + "\n".join(
+        f"UNION ALL SELECT '{name}', count(*) FROM {name}"
+        for name in ("dim_payment_method", "dim_location", "dim_date", "dim_driver", "dim_rider")
+    ),
+    "newest_file_load": f"WITH {_STRICT} SELECT * FROM staged",
     "landed_lines": f"WITH {_CLEAN_FEED} SELECT raw_json AS value FROM feed",
     "batch_warehouse": f"""WITH {_STRICT}
 SELECT event_id, event_type, fare_usd, payment_method AS payment_method_name, pickup_location AS pickup_name,

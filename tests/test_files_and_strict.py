@@ -8,7 +8,7 @@ import pytest
 from tripflow.operators.staging import FILE_ORDER, stage_events, staging_rows_from_files
 from tripflow.operators.strict import StrictLoadError, check_strict, strict_violations
 from tripflow.schemas import EVENT_FIELDS
-from tripflow.sources.files import land_raw_files, newest_file, read_event_files
+from tripflow.sources.files import bad_lines, land_raw_files, newest_file, read_event_files
 
 EVENT = {
     "event_id": "evt_1", "ride_id": "ride_1", "driver_id": "drv_1", "rider_id": "rdr_1", "event_type": "trip_completed",
@@ -117,11 +117,20 @@ def test_newest_file(spark, tmp_path):
         newest_file(spark, str(tmp_path / "empty"))
 
 
-def test_landing_copies_lines_unparsed(spark, tmp_path):
-    path = write(tmp_path / "a.jsonl", EVENT, "not json", "é")
-    for repeat in (1, 2):
-        land_raw_files(spark, path, str(tmp_path / "raw"))
-        landed = sorted(r.value for r in spark.read.text(str(tmp_path / "raw")).collect())
-        assert landed == sorted([json.dumps(EVENT), "not json", "é"] * repeat)
+def test_landing_again_replaces_only_the_file(spark, tmp_path):
+    path = write(tmp_path / "a.jsonl", EVENT, "not json", "é\r")
+    other = write(tmp_path / "b.jsonl", "other")
+    for source in (path, other, path):
+        land_raw_files(spark, source, str(tmp_path / "raw"))
+    landed = spark.read.option("lineSep", "\n").text(str(tmp_path / "raw")).collect()
+    expected = [(json.dumps(EVENT), "a.jsonl"), ("not json", "a.jsonl"), ("é\r", "a.jsonl"), ("other", "b.jsonl")]
+    assert sorted((r.value, r.source_file) for r in landed) == sorted(expected)
     with pytest.raises(Exception):
         land_raw_files(spark, str(tmp_path / "missing.jsonl"), str(tmp_path / "raw"))
+
+
+def test_bad_lines_are_named(spark, tmp_path):
+    path = write(tmp_path / "a.jsonl", EVENT, "not json", EVENT, {"event_id": "x"})
+    found = bad_lines(spark, path)
+    assert [text for _, _, text in found] == ["not json", '{"event_id": "x"}']
+    assert all(file.endswith("/a.jsonl") and at == 0 for file, at, _ in found)

@@ -1,6 +1,6 @@
 import pytest
 
-from tripflow.session import shared_folder, shared_path, spread, write_aside
+from tripflow.session import shared_folder, shared_path, write_aside
 
 
 class Unset:
@@ -27,11 +27,3 @@ def test_only_a_local_session_falls_back(tmp_path):
 def test_written_aside_rows_are_the_same(spark):
     rows = spark.range(10).selectExpr("id", "named_struct('a', id) AS nested", "CAST(NULL AS STRING) AS nothing")
     assert sorted(write_aside(rows, "t").collect()) == sorted(rows.collect())
-
-
-def test_only_small_scans_are_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(0, 10, numPartitions=1)).rdd.getNumPartitions() == cores
-    assert spread(spark.range(0, 10, numPartitions=cores)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 10, numPartitions=cores)
-    assert "Exchange" not in spread(wide)._jdf.queryExecution().executedPlan().toString()

@@ -3,7 +3,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tripflow.operators import keys
 from tripflow.operators.keys import Lookup, assign_keys, fill_keys, key_coverage, unfilled
 from tripflow.operators.upsert import first_per_key, insert_if_absent
 
@@ -41,7 +40,7 @@ def test_a_repeated_key_is_reduced_before_the_shuffle(spark):
     first = first_per_key(frame, "key", ["ord"])
     assert first.collect() == [("hot", 0)]
     plan = first._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("Exchange hashpartitioning(") < plan.index("partial_min")
+    assert plan.index("Exchange hashpartitioning(") < plan.index("WindowGroupLimit [key", plan.index("Exchange hashpartitioning("))
 
 
 def test_equal_order_picks_the_same_row_every_time(spark):
@@ -78,15 +77,15 @@ def fact(spark):
     return spark.createDataFrame(rows, "id int, name string, first_key bigint, second_key bigint")
 
 
-@pytest.mark.parametrize("limit", [keys.BROADCAST_ROWS, 0])
-def test_fill_keys(spark, fact, monkeypatch, limit):
-    """By broadcast and by shuffle: set keys stay, unmatched and null names stay null, no row is lost."""
-    monkeypatch.setattr(keys, "BROADCAST_ROWS", limit)
-    dim = spark.createDataFrame([(10, "a"), (20, "b"), (30, "hot"), (40, "unused")], "name_key bigint, name string")
+@pytest.mark.parametrize("growing", [frozenset(), frozenset({"dim"})])
+def test_fill_keys(spark, fact, growing):
+    """Both joins: set keys stay, unmatched and null names stay null, no row is lost or doubled by a name with two keys."""
+    dim = spark.createDataFrame([(10, "a"), (20, "b"), (30, "hot"), (31, "hot"), (40, "unused")], "name_key bigint, name string")
     lookups = [
         Lookup(column, F.col("name"), "dim", "name", "name_key") for column in ("first_key", "second_key")
     ]
-    filled = fill_keys(fact, lookups, {"dim": dim}, "id")
+    filled = fill_keys(fact, lookups, {"dim": dim}, "id", growing)
+    assert filled.count() == fact.count()
     found = {r.id: (r.first_key, r.second_key) for r in filled.collect()}
     expected = {1: (10, 900), 2: (20, 20), 3: (None, None), 4: (None, None), 5: (77, 10)}
     assert found == expected | {i: (30, 30) for i in range(6, 1006)}
@@ -96,22 +95,19 @@ def test_fill_keys(spark, fact, monkeypatch, limit):
     assert coverage == {"first_key": (1005, 2)}
 
 
-def test_large_dimension_is_not_broadcast(spark, fact, monkeypatch):
+def test_the_plan_does_not_count_dimensions(spark, fact):
+    """No job runs while a plan is built, and Catalyst may broadcast a small dimension."""
     dim = spark.range(10).select(F.col("id").alias("name_key"), F.col("id").cast("string").alias("name"))
     lookups = [Lookup("first_key", F.col("name"), "dim", "name", "name_key")]
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        for limit, broadcast in ((10, True), (9, False)):
-            monkeypatch.setattr(keys, "BROADCAST_ROWS", limit)
-            plan = fill_keys(fact, lookups, {"dim": dim}, "id")._jdf.queryExecution().executedPlan().toString()
-            assert ("BroadcastHashJoin" in plan) is broadcast
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.sparkContext.setJobGroup("planning", "none")
+    filled = fill_keys(fact, lookups, {"dim": dim}, "id")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("planning") == []
+    spark.sparkContext.setJobGroup("", "")
+    assert "Join" in filled._jdf.queryExecution().executedPlan().toString()
 
 
-def test_a_hot_key_is_split_in_the_shuffle_join(spark, monkeypatch):
+def test_a_hot_key_is_split_in_the_shuffle_join(spark):
     """Half of the fact has one name; adaptive execution divides that partition among tasks."""
-    monkeypatch.setattr(keys, "BROADCAST_ROWS", 0)
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50000",
@@ -125,7 +121,7 @@ def test_a_hot_key_is_split_in_the_shuffle_join(spark, monkeypatch):
             F.col("id"), F.lit(None).cast("bigint").alias("name_key"),
         )
         dim = spark.range(1000).select(F.col("id").alias("dim_key"), F.col("id").cast("string").alias("dim_name"))
-        filled = fill_keys(fact, [Lookup("name_key", F.col("name"), "dim", "dim_name", "dim_key")], {"dim": dim}, "id")
+        filled = fill_keys(fact, [Lookup("name_key", F.col("name"), "dim", "dim_name", "dim_key")], {"dim": dim}, "id", frozenset({"dim"}))
         assert [r.name for r in filled.filter("name_key <> CAST(name AS BIGINT) OR name_key IS NULL").take(1)] == []
         assert len(filled.collect()) == 200_000
         assert "skew=true" in filled._jdf.queryExecution().executedPlan().toString()

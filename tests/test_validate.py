@@ -12,23 +12,23 @@ from tripflow.fixtures import as_records
 
 # Rows per code at the two small scales.
 GOLDEN = {
-    None: (864, 8650),
-    "missing_event_id": (16, 159),
-    "missing_ride_id": (8, 80),
-    "missing_driver_id": (8, 80),
-    "missing_rider_id": (8, 80),
-    "missing_event_type": (8, 79),
-    "invalid_event_type": (8, 80),
-    "missing_or_invalid_event_timestamp": (8, 80),
-    "missing_pickup_location": (8, 80),
-    "missing_dropoff_location": (8, 79),
-    "missing_payment_method": (8, 79),
-    "invalid_payment_method": (8, 79),
-    "missing_payment_status": (8, 79),
-    "invalid_payment_status": (8, 79),
-    "fare_required_for_completed_events": (8, 79),
-    "fare_must_be_positive_for_completed_events": (8, 79),
-    "payment_completed_must_have_paid_status": (8, 79),
+    None: (839, 8402),
+    "missing_event_id": (14, 139),
+    "missing_ride_id": (7, 70),
+    "missing_driver_id": (14, 139),
+    "missing_rider_id": (7, 70),
+    "missing_event_type": (7, 70),
+    "invalid_event_type": (14, 139),
+    "missing_or_invalid_event_timestamp": (14, 139),
+    "missing_pickup_location": (14, 139),
+    "missing_dropoff_location": (7, 70),
+    "missing_payment_method": (7, 70),
+    "invalid_payment_method": (7, 69),
+    "missing_payment_status": (7, 70),
+    "invalid_payment_status": (7, 69),
+    "fare_required_for_completed_events": (14, 138),
+    "fare_must_be_positive_for_completed_events": (14, 138),
+    "payment_completed_must_have_paid_status": (7, 69),
 }
 
 

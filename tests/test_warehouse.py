@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import uuid
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -183,7 +184,7 @@ def test_large_dimensions_leave_the_fact_in_place(spark, warehouse, files, monke
     path = files("a", [event(n, rider_id=None if n % 10 == 0 else "rdr_1") for n in range(60)])
     run_batch(spark, warehouse, path)
     expected = contents(warehouse, "fct_ride_events")
-    monkeypatch.setattr("tripflow.operators.keys.BROADCAST_ROWS", 0)
+    monkeypatch.setattr("tripflow.plans.warehouse.fill_keys", partial(fill_keys, growing=frozenset(DIMENSIONS)))
     other = Warehouse(spark, f"w_{uuid.uuid4().hex}", warehouse.location + "_b", buckets=4).create()
     run_batch(spark, other, path)
     assert contents(other, "fct_ride_events") == expected
@@ -192,7 +193,7 @@ def test_large_dimensions_leave_the_fact_in_place(spark, warehouse, files, monke
     try:
         build, lookups = FACTS["fct_ride_events"]
         rows = build(other.table("ride_events"), other.table("fct_ride_events"))
-        filled = fill_keys(rows, lookups(), other.dimensions(), "event_id")
+        filled = fill_keys(rows, lookups(), other.dimensions(), "event_id", frozenset(DIMENSIONS))
         plan = filled._jdf.queryExecution().executedPlan()
         widths = exchanges(plan)
     finally:
@@ -211,6 +212,46 @@ def exchanges(plan):
     return found
 
 
+def test_another_bucket_count_hides_no_row(spark, warehouse, files):
+    """Created with 4 buckets, opened without a count: fill, group-by, join and a second load see each row once."""
+    warehouse.load_staging(files("a", [event(n) for n in range(100)]))
+    warehouse.load_fact("fct_ride_events")
+    for name in DIMENSIONS:
+        warehouse.load_dimension(name)
+    opened = Warehouse(spark, warehouse.database, warehouse.location).create()
+    assert {opened.buckets(name) for name in ("ride_events", "fct_ride_events", "fct_trips", "fct_payments")} == {4}
+    opened.fill_fact_keys("fct_ride_events")
+    fact = opened.table("fct_ride_events")
+    assert fact.groupBy("event_id").count().count() == fact.count() == 100
+    assert fact.join(opened.table("ride_events"), "event_id").count() == 100
+    assert opened.load_fact("fct_ride_events") == 100
+    with pytest.raises(ValueError, match="4 buckets, not 8"):
+        Warehouse(spark, warehouse.database, warehouse.location, buckets=8).create()
+
+
+def test_one_writer_per_table(spark, warehouse, files):
+    warehouse.load_staging(files("a", [event(n) for n in range(20)]))
+    second = Warehouse(spark, warehouse.database, warehouse.location)
+    with second.writing("dim_driver"):
+        with pytest.raises(RuntimeError, match="being written"):
+            warehouse.load_dimension("dim_driver")
+        assert warehouse.load_dimension("dim_rider") == 4
+    assert warehouse.load_dimension("dim_driver") == 4
+    with pytest.raises(ZeroDivisionError), second.writing("dim_driver"):
+        raise ZeroDivisionError
+    assert warehouse.load_dimension("dim_driver") == 4
+
+
+def test_replaced_folders_are_cleaned(spark, warehouse, files):
+    warehouse.load_staging(files("a", [event(n) for n in range(20)]))
+    warehouse.load_fact("fct_trips")
+    for name in DIMENSIONS:
+        warehouse.load_dimension(name)
+    warehouse.fill_fact_keys("fct_trips")
+    assert warehouse.clean() == 0 and warehouse.clean(older_than_hours=0) == 1
+    assert warehouse.count("fct_trips") == 4 and warehouse.clean(older_than_hours=0) == 0
+
+
 def test_first_completion_of_a_ride_wins(spark, warehouse, files):
     late, early, tie = (
         event(3, event_id=i, event_timestamp=t, fare_usd=f)

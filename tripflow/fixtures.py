@@ -1,8 +1,8 @@
 """Maps the ``events`` test table to a ride-event feed, row by row, with injected faults.
 
-Every field is integer arithmetic on the dense ``event_id`` (``n``), so any engine derives the same
-feed. Five consecutive events form one ride. With ``faults=True`` one row in seven is damaged, cycling
-through eighteen kinds of damage; with ``faults=False`` only the repeated deliveries remain.
+Every field is arithmetic on the dense ``event_id`` (``n``), on ``user_id`` (``u``) and the other columns, so any engine derives the same feed, and
+riders, drivers and stops grow with the table. Five consecutive events form one ride. With ``faults=True`` one row in six is damaged,
+cycling through 24 kinds of damage made from the validation rules; with ``faults=False`` only the repeated deliveries remain.
 """
 
 from __future__ import annotations
@@ -11,17 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .schemas import EVENT_TIME_PATTERN, EVENT_TYPES
-from .session import spread
 
 # The feed's vocabulary.
-LOCATIONS = [
-    "Harare CBD", "Avondale", "Borrowdale", "Mbare", "Highfield",
-    "Westgate", "Belvedere", "Waterfalls", "Marlborough", "Greendale",
-]
 FEED_PAYMENT_METHODS = ["cash", "EcoCash", "card"]
 TOPIC = "ride_events"
 
-TRUNCATED, REPEATED = 16, 17
+# Damage by number. 0-9: this field is null. Then a value outside its vocabulary, and completed events that break a fare rule.
+NULLED = [
+    "event_id", "ride_id", "driver_id", "rider_id", "event_type", "event_timestamp", "pickup_location", "dropoff_location",
+    "payment_method", "payment_status",
+]
+ODD_TYPE, ODD_METHOD, ODD_STATUS, ODD_TIME = 10, 11, 12, 13
+TRIP_NO_FARE, PAID_NO_FARE, TRIP_ZERO_FARE, PAID_NEGATIVE_FARE, PAYMENT_FAILED = 14, 15, 16, 17, 18
+# Two faults at once: the rule that comes first must win.
+NO_DRIVER_ODD_METHOD, ODD_TYPE_NO_TIME, NO_PICKUP_ODD_STATUS = 19, 20, 21
+TRUNCATED, REPEATED = 22, 23
+KINDS = 24
 
 
 def _pick(values: list[str], index: str) -> str:
@@ -33,26 +38,35 @@ def _number(prefix: str, value: str, width: int) -> str:
     return f"concat('{prefix}', lpad({digits}, greatest({width}, length({digits})), '0'))"
 
 
-# Fields of one event. n: row number; r: ride; k: step of the ride; f: kind of damage, -1 for none.
+def _unless_nulled(name: str, value: str, *more: int) -> str:
+    kinds = ", ".join(map(str, (NULLED.index(name), *more)))
+    return f"CASE WHEN f NOT IN ({kinds}) THEN {value} END"
+
+
+# Fields of one event. n: row number; u: user; r: ride; k: step of the ride; f: kind of damage, -1 for none.
 _FIELDS = {
-    "event_id": f"CASE WHEN f <> 0 THEN {_number('evt_', f'if(f = {REPEATED}, n - 1, n)', 6)} END",
-    "ride_id": f"CASE WHEN f <> 1 THEN {_number('ride_', 'r', 6)} END",
-    "driver_id": f"CASE WHEN f <> 2 THEN {_number('drv_', 'r % 40', 4)} END",
-    "rider_id": f"CASE WHEN f <> 3 THEN {_number('rdr_', 'r * 7 % 150', 4)} END",
-    "event_type": f"""CASE WHEN f = 4 THEN 'unknown_event'
-        WHEN f IN (10, 11) THEN if(n % 2 = 0, 'trip_completed', 'payment_completed')
-        WHEN f = 12 THEN 'payment_completed'
-        WHEN f <> 13 THEN {_pick(EVENT_TYPES, 'k')} END""",
-    "event_version": "'1.0'",
-    "event_timestamp": f"""if(f = 5, 'not-a-valid-date', date_format(ts, "{EVENT_TIME_PATTERN}"))""",
-    "pickup_location": f"CASE WHEN f <> 6 THEN {_pick(LOCATIONS, 'r % 10')} END",
-    "dropoff_location": f"CASE WHEN f <> 7 THEN {_pick(LOCATIONS, '(r % 10 + 1 + r % 9) % 10')} END",
-    "fare_usd": """CASE WHEN f = 10 THEN NULL WHEN f = 11 THEN '-5.0'
-        WHEN f = 12 OR k IN (3, 4) THEN CAST(round(value, 2) AS STRING) END""",
-    "payment_method": f"""CASE WHEN f = 8 THEN 'gold_coins'
-        WHEN f <> 14 THEN {_pick(FEED_PAYMENT_METHODS, 'r % 3')} END""",
-    "payment_status": """CASE WHEN f = 9 THEN 'unknown_status' WHEN f IN (10, 11) AND n % 2 = 1 THEN 'paid'
-        WHEN f = 12 THEN 'pending' WHEN f <> 15 THEN if(k = 4, 'paid', 'pending') END""",
+    "event_id": _unless_nulled("event_id", _number("evt_", f"if(f = {REPEATED}, n - 1, n)", 6)),
+    "ride_id": _unless_nulled("ride_id", _number("ride_", "r", 6)),
+    "driver_id": _unless_nulled("driver_id", _number("drv_", "(u * 3 + r % 3) div 4", 4), NO_DRIVER_ODD_METHOD),
+    "rider_id": _unless_nulled("rider_id", _number("rdr_", "u", 4)),
+    "event_type": _unless_nulled("event_type", f"""CASE WHEN f IN ({ODD_TYPE}, {ODD_TYPE_NO_TIME}) THEN 'ride_paused'
+        WHEN f IN ({TRIP_NO_FARE}, {TRIP_ZERO_FARE}) THEN 'trip_completed'
+        WHEN f IN ({PAID_NO_FARE}, {PAID_NEGATIVE_FARE}, {PAYMENT_FAILED}) THEN 'payment_completed'
+        ELSE {_pick(EVENT_TYPES, 'k')} END"""),
+    "event_version": "if(source_type = 'error', '1.1', '1.0')",
+    "event_timestamp": _unless_nulled(
+        "event_timestamp", f"""if(f = {ODD_TIME}, '2024-02-30T25:61:00', date_format(ts, "{EVENT_TIME_PATTERN}"))""", ODD_TYPE_NO_TIME
+    ),
+    "pickup_location": _unless_nulled("pickup_location", _number("Stop ", "u div 8", 1), NO_PICKUP_ODD_STATUS),
+    "dropoff_location": _unless_nulled("dropoff_location", _number("Stop ", "u div 8 + 1 + n % 5", 1)),
+    "fare_usd": f"""CASE WHEN f IN ({TRIP_NO_FARE}, {PAID_NO_FARE}) THEN NULL
+        WHEN f = {TRIP_ZERO_FARE} THEN '0.0' WHEN f = {PAID_NEGATIVE_FARE} THEN '-0.01'
+        WHEN f = {PAYMENT_FAILED} OR k IN (3, 4) THEN CAST(round(value, 2) AS STRING) END""",
+    "payment_method": _unless_nulled("payment_method", f"""CASE WHEN f IN ({ODD_METHOD}, {NO_DRIVER_ODD_METHOD}) THEN 'barter'
+        ELSE {_pick(FEED_PAYMENT_METHODS, 'r % 3')} END"""),
+    "payment_status": _unless_nulled("payment_status", f"""CASE WHEN f IN ({ODD_STATUS}, {NO_PICKUP_ODD_STATUS}) THEN 'on_hold'
+        WHEN f IN ({PAID_NO_FARE}, {PAID_NEGATIVE_FARE}) THEN 'paid' WHEN f = {PAYMENT_FAILED} THEN 'failed'
+        ELSE if(k = 4, 'paid', 'pending') END"""),
 }
 
 
@@ -65,16 +79,19 @@ def _member(name: str) -> str:
 
 def ride_feed(events: DataFrame, faults: bool = True) -> DataFrame:
     """Text envelope plus ``n``, the delivery order."""
-    kind = "if(event_id % 7 = 3, event_id div 7 % 18, -1)"
+    kind = f"if(event_id % 6 = 1, event_id div 6 % {KINDS}, -1)"
     if not faults:
         kind = f"if({kind} = {REPEATED}, {REPEATED}, -1)"
     return (
-        events.selectExpr("event_id AS n", "event_id div 5 AS r", "event_id % 5 AS k", "ts", "value", f"{kind} AS f")
+        events.selectExpr(
+            "event_id AS n", "user_id AS u", "event_id div 5 AS r", "event_id % 5 AS k", "ts", "value", "event_type AS source_type",
+            f"{kind} AS f",
+        )
         .selectExpr("n", "f", "ts", *(f"{value} AS {name}" for name, value in _FIELDS.items()))
         .selectExpr(
             "n",
             "coalesce(ride_id, event_id, concat('bad_record_', n)) AS kafka_key",
-            f"""CASE WHEN f = {TRUNCATED} THEN '{{"event_id":"evt_'
+            f"""CASE WHEN f = {TRUNCATED} THEN '{{"event_id"'
                 ELSE concat('{{', concat_ws(',', {', '.join(map(_member, _FIELDS))}), '}}') END AS raw_json""",
             f"'{TOPIC}' AS topic",
             "0 AS partition",
@@ -85,7 +102,7 @@ def ride_feed(events: DataFrame, faults: bool = True) -> DataFrame:
 
 
 def load_feed(spark: SparkSession, sf_dir: str, faults: bool = True) -> DataFrame:
-    return ride_feed(spread(spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "value")), faults)
+    return ride_feed(spark.read.parquet(f"{sf_dir}/events.parquet"), faults)
 
 
 def as_records(feed: DataFrame) -> DataFrame:

@@ -9,11 +9,10 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import use_shared_checkpoints
+from ..session import use_shared_checkpoints, write_aside
 
-# A dimension row in a lookup is one name of at most 100 characters and one number, so this many rows
-# stay below about 100 MB even with four-byte characters. Larger dimensions are joined by shuffle.
-BROADCAST_ROWS = 200_000
+# Dimensions that grow with the data. Only ids and keys are shuffled to them; Catalyst chooses the join of the others by their statistics.
+GROWING = frozenset({"dim_driver", "dim_rider"})
 
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row's position in the low 33 bits
 
@@ -28,10 +27,12 @@ def assign_keys(new_rows: DataFrame, natural_key: str, key: str, start: int = 0)
     The ranking is global but no task sees more than its share: natural keys are range-partitioned,
     numbered inside their range, and shifted by the sizes of the ranges before it. Range bounds come
     from sampling, so the numbered keys are checkpointed once and never recomputed with other bounds.
-    Only the natural keys are ranked and checkpointed; other columns are joined on afterwards, by the
-    hash partitioning that the rows usually have already.
+    Only the natural keys are ranked and checkpointed. Rows with other columns are written aside first, so that what they
+    are computed from runs once, and get their keys by a join.
     """
     use_shared_checkpoints(new_rows.sparkSession)
+    if new_rows.columns != [natural_key]:
+        new_rows = write_aside(new_rows, "new-rows")
     numbered = (
         new_rows.select(natural_key)
         .repartitionByRange(natural_key)
@@ -97,33 +98,27 @@ def _location_lookups() -> list[Lookup]:
     ]
 
 
-def _fits_broadcast(dim: DataFrame) -> bool:
-    return dim.count() <= BROADCAST_ROWS
-
-
-def fill_keys(fact: DataFrame, lookups: list[Lookup], dims: dict[str, DataFrame], row_id: str) -> DataFrame:
+def fill_keys(
+    fact: DataFrame, lookups: list[Lookup], dims: dict[str, DataFrame], row_id: str, growing: frozenset[str] = GROWING
+) -> DataFrame:
     """Sets each key column that is null and has a match; set keys and unmatched rows stay as they are.
 
-    All keys of a fact are filled in one plan. Natural keys are unique in their dimension and ``row_id``
-    in the fact, so no join multiplies rows.
+    All keys of a fact are filled in one plan. ``row_id`` is unique in the fact. A dimension that names a value twice, as two
+    unguarded writers can make it, gives its smallest key, so no join multiplies rows.
 
-    A dimension within ``BROADCAST_ROWS`` is joined without moving the fact. For a larger one only pairs
-    of row id and natural key travel to the dimension, and row id and key travel back; the fact's other
-    columns stay where they are. Rows without a natural key take no part, so null is never a hot key,
-    and adaptive execution splits the partitions of names that are.
+    For the dimensions in ``growing`` only pairs of row id and natural key travel to the dimension, and row id and key travel
+    back; the fact's other columns stay where they are. Rows without a natural key take no part, so null is never a hot
+    key, and adaptive execution splits the partitions of names that are.
     """
-    small = {name: _fits_broadcast(dims[name]) for name in {lookup.dim for lookup in lookups}}
     filled = fact
     for lookup in lookups:
         found, wanted = f"found_{lookup.key_column}", f"wanted_{lookup.key_column}"
-        side = dims[lookup.dim].select(
-            F.col(lookup.natural_key).alias(wanted), F.col(lookup.dim_key).alias(found)
-        )
-        if small[lookup.dim]:
-            filled = filled.join(F.broadcast(side), lookup.fact_value == F.col(wanted), "left")
-        else:
+        side = dims[lookup.dim].groupBy(F.col(lookup.natural_key).alias(wanted)).agg(F.min(lookup.dim_key).alias(found))
+        if lookup.dim in growing:
             pairs = fact.filter(_is_open(lookup)).select(row_id, lookup.fact_value.alias(wanted))
             filled = filled.join(pairs.join(side, wanted).select(row_id, found), row_id, "left")
+        else:
+            filled = filled.join(side, lookup.fact_value == F.col(wanted), "left")
         filled = filled.withColumn(lookup.key_column, F.coalesce(lookup.key_column, found)).drop(found, wanted)
     return filled.select(*fact.columns)
 
@@ -133,8 +128,9 @@ def _is_open(lookup: Lookup) -> Column:
 
 
 def unfilled(fact: DataFrame, lookups: list[Lookup]) -> DataFrame:
-    """Rows with a key still null although its natural value is known."""
-    return fact.filter(reduce(or_, map(_is_open, lookups)))
+    """Rows with a key still null although its natural value is known. Files whose statistics show no null key are skipped."""
+    null_key = reduce(or_, (F.col(lookup.key_column).isNull() for lookup in lookups))
+    return fact.filter(null_key).filter(reduce(or_, map(_is_open, lookups)))
 
 
 def key_coverage(fact: DataFrame, key_columns: list[str]) -> DataFrame:

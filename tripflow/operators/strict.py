@@ -29,6 +29,12 @@ def constraints(columns: list[str]) -> dict[str, Column]:
     return found
 
 
+def broken_constraints(rows: DataFrame) -> Column:
+    """Names of the constraints that a row breaks, comma-separated; empty for a good row."""
+    names = [F.when(broken, F.lit(name)) for name, broken in constraints(rows.columns).items()]
+    return F.concat_ws(",", *names)
+
+
 def violation_counts(rows: DataFrame) -> list[Column]:
     """Aggregates for one pass over the rows, alone or observed during a write."""
     return [F.count_if(broken).alias(name) for name, broken in constraints(rows.columns).items()]

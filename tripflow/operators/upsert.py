@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def first_per_key(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The earliest row of every ``key`` by ``order``; the order columns are dropped.
 
-    The minimum of ``(order, row)`` is a partial aggregate: each input partition sends at most one row
-    per key to the shuffle, so a key that repeats in a third of all rows costs one row per task.
-    Row values break ties in ``order``, which keeps the choice the same on every run.
+    Row values break ties in ``order``, which keeps the choice the same on every run. The rank is limited to 1 before the shuffle,
+    so each input partition sends one row per key, and a key that repeats in a third of all rows costs one row per task.
     """
     carried = [name for name in rows.columns if name != key and name not in order]
-    ranking = F.struct(*order, *carried)
-    first = rows.groupBy(key).agg(F.min(ranking).alias("first"))
-    kept = [key if name == key else f"first.{name}" for name in rows.columns if name not in order]
-    return first.select(*kept)
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order, *carried))
+    kept = [name for name in rows.columns if name not in order]
+    return rows.withColumn("__rank", rank).filter("__rank = 1").select(*kept)
 
 
 def absent_from(rows: DataFrame, target: DataFrame | None, key: str) -> DataFrame:

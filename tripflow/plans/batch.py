@@ -28,7 +28,7 @@ def load_star(warehouse: Warehouse, since: datetime | None = None) -> dict[str,
     """Dimensions, then facts with their keys. Returns the row count of every table.
 
     New fact rows find their keys as they are added. Older rows that were added without keys are
-    filled afterwards; where there are none, that is a statistics check and rewrites nothing.
+    filled afterwards; where there are none, the check skips all files without null keys and rewrites nothing.
     """
 
     def load_fact(name: str) -> int:

@@ -26,7 +26,7 @@ from ..operators.validate import split_valid, validate
 from ..operators.zones import clean_zone, raw_zone, rejected_zone
 from ..schemas import EVENT_FIELDS, STAGING_REQUIRED, UNIQUE_COLUMN
 from ..session import shared_path, write_aside
-from ..sources.files import land_raw_files, parse_lines
+from ..sources.files import land_raw_files, newest_file, parse_lines
 from ..sources.streams import RecordFiles, tap_view
 from ..streaming.job import start_streaming
 from ..streaming.lake import Lake
@@ -253,10 +253,75 @@ def _event_files(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+def stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw zone as the streaming job leaves it."""
+    return _portable(_routed_lake(spark, sf_dir).read_raw(spark))
+
+
+def _poisoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean zone with events that pass all rules and still do not fit the table: one kind in each of four rows in a hundred."""
+    clean, kind = clean_zone(_validated(spark, sf_dir)), F.col("offset") % 100
+    return clean.withColumns({
+        "fare_usd": F.when(kind == 8, F.lit(1e9)).otherwise(F.col("fare_usd")),
+        "event_version": F.when(kind == 28, F.lit("v" * 11)).otherwise(F.col("event_version")),
+        "driver_id": F.when(kind == 48, F.lit("d" * 101)).otherwise(F.col("driver_id")),
+        "rider_id": F.when(kind == 68, F.lit("r" * 101)).otherwise(F.col("rider_id")),
+        "pickup_location": F.when(kind == 68, F.lit("p" * 101)).otherwise(F.col("pickup_location")),
+    })
+
+
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged and quarantined events after the same clean zone was promoted twice."""
+    warehouse = _fresh_warehouse(spark)
+    for _ in range(2):
+        warehouse.stage_from_clean(_poisoned(spark, sf_dir))
+    staged = warehouse.table("ride_events").select(F.lit("").alias("constraint_names"), "event_id")
+    return staged.unionByName(warehouse.table("quarantined_events").select("constraint_names", "event_id"))
+
+
+def refill_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts before dimensions, one key set by hand, and the fill by a session object that is told no bucket count."""
+    warehouse = Warehouse(spark, f"tripflow_{uuid.uuid4().hex}", shared_path(spark, "warehouse"), buckets=3).create()
+    warehouse.stage_from_clean(clean_zone(_validated(spark, sf_dir)))
+    warehouse.load_fact("fct_trips")
+    trips = warehouse.table("fct_trips")
+    preset = F.when(F.col("ride_id").endswith("7"), F.lit(-1)).cast("bigint")
+    warehouse.replace("fct_trips", trips.withColumn("driver_key", preset))
+    load_star(warehouse)
+    reopened = Warehouse(spark, warehouse.database, warehouse.location).create()
+    reopened.fill_fact_keys("fct_trips")
+    reopened.load_fact("fct_trips")
+    return _portable(reopened.table("fct_trips"))
+
+
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two loads report, half of the month and then all of it, and the tables' row counts after them."""
+    warehouse = _fresh_warehouse(spark)
+    clean = clean_zone(_validated(spark, sf_dir))
+    reported = {}
+    for name, rows in (("first", clean.filter(F.col("kafka_timestamp") < F.lit(FIRST_HALF_END).cast("timestamp"))), ("second", clean)):
+        counts = warehouse.stage_from_clean(rows)
+        reported |= {f"{name}_attempted": counts["attempted"], f"{name}_inserted": counts["inserted"]}
+        reported |= load_star(warehouse)
+    return spark.range(1).select(F.explode(F.create_map(*(F.lit(x) for pair in reported.items() for x in pair))).alias("name", "rows"))
+
+
+def newest_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of event files, of which a batch takes the newest; returns what was staged."""
+    warehouse, folder = _fresh_warehouse(spark), shared_path(spark, "incoming")
+    feed = load_feed(spark, sf_dir, faults=False)
+    for number, rows in enumerate((feed.filter("n % 2 = 0"), feed.repartitionByRange("n").sortWithinPartitions("n"))):
+        rows.select("raw_json").coalesce(1).write.text(f"{folder}/{number}.jsonl")
+    warehouse.load_staging(newest_file(spark, folder, recursive=True))
+    return _portable(warehouse.table("ride_events"))
+
+
 def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = shared_path(spark, "raw")
-    land_raw_files(spark, _event_files(spark, sf_dir), folder)
-    return spark.read.text(folder)
+    """The raw zone after the same files were landed twice."""
+    folder, files = shared_path(spark, "raw"), _event_files(spark, sf_dir)
+    for _ in range(2):
+        land_raw_files(spark, files, folder)
+    return spark.read.text(folder).select("value")
 
 
 def batch_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,12 +334,12 @@ def batch_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
         names = location.select(
             F.col("location_key").alias(f"{side}_location_key"), F.col("location_name").alias(f"{side}_name")
         )
-        fact = fact.join(names, f"{side}_location_key")
+        fact = fact.join(names, f"{side}_location_key", "left")  # a missing key shows as a missing name
     return (
-        fact.join(warehouse.table("dim_payment_method"), "payment_method_key")
-        .join(warehouse.table("dim_date").withColumnRenamed("date_key", "event_date_key"), "event_date_key")
-        .join(warehouse.table("dim_driver").withColumnRenamed("driver_id", "driver_name"), "driver_key")
-        .join(warehouse.table("dim_rider").withColumnRenamed("rider_id", "rider_name"), "rider_key")
+        fact.join(warehouse.table("dim_payment_method"), "payment_method_key", "left")
+        .join(warehouse.table("dim_date").withColumnRenamed("date_key", "event_date_key"), "event_date_key", "left")
+        .join(warehouse.table("dim_driver").withColumnRenamed("driver_id", "driver_name"), "driver_key", "left")
+        .join(warehouse.table("dim_rider").withColumnRenamed("rider_id", "rider_name"), "rider_key", "left")
         .select(
             "event_id", "event_type", "fare_usd", "payment_method_name", "pickup_name", "dropoff_name",
             "full_date", "day_name", "driver_name", "rider_name",
@@ -305,7 +370,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         dim_payment_method, dim_location, dim_date, dim_driver, dim_rider, dim_rider_incremental,
         fct_ride_events, fct_trips, fct_payments, fct_trips_incremental,
         fill_event_keys, fill_trip_keys, fill_payment_keys, key_coverage,
-        stream_route, stream_to_warehouse, landed_lines, batch_warehouse,
+        stream_route, stream_raw, stream_to_warehouse, landed_lines, batch_warehouse,
+        quarantine, refill_keys, load_counts, newest_file_load,
         driver_activity, revenue_by_date_and_method, demand_by_pickup_and_hour,
     )
 }

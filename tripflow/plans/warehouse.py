@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -14,47 +15,93 @@ from ..operators.dims import DIMENSIONS
 from ..operators.facts import FACTS
 from ..operators.keys import fill_keys, unfilled
 from ..operators.staging import FILE_ORDER, ZONE_ORDER, stage_events, staging_rows_from_clean, staging_rows_from_files
-from ..operators.strict import raise_if_violated, violation_counts
-from ..schemas import TABLES, UNIQUE_COLUMN
-from ..session import shared_folder
+from ..operators.strict import broken_constraints, raise_if_violated, violation_counts
+from ..schemas import STAGING_FIELDS, TABLES, UNIQUE_COLUMN
+from ..session import shared_folder, write_aside
 from ..sources.files import read_event_files
 
 # Large tables are bucketed on their conflict column. Loads then find existing keys without moving
 # the table, and the staging-to-fact load moves neither side.
 BUCKETED = ["ride_events", "fct_ride_events", "fct_trips", "fct_payments"]
+QUARANTINE = "quarantined_events"
 _LOAD_TIME = {name: "loaded_at" if name == "fct_ride_events" else "created_at" for name in TABLES}
 
 
 class Warehouse:
     """Staging, facts and dimensions as Parquet tables of one catalog database.
 
-    ``location`` must be shared storage. ``buckets`` is fixed when the tables are created: choose it so
-    that one bucket of the key column of the largest table fits one task (thousands at 100 TB). With
-    ``spark.sql.shuffle.partitions`` at the same number a staging load shuffles its rows just once.
-    Loads only append, and append only rows whose key is absent, so a load that was cut short is
-    completed by running it again.
+    ``location`` must be shared storage. ``buckets`` is fixed when the tables are created and read back from the catalog ever
+    after: choose it so that one bucket of the key column of the largest table fits one task (thousands at 100 TB; without it
+    new tables get one bucket per core of the creating session). With ``spark.sql.shuffle.partitions`` at the same number a
+    staging load shuffles its rows just once. Loads only append, and append only rows whose key is absent, so a load that was
+    cut short is completed by running it again. A table has one writer at a time: see ``writing``.
     """
 
     def __init__(self, spark: SparkSession, database: str, location: str, buckets: int | None = None):
         self.spark = spark
         self.database = database
         self.location = location.rstrip("/")
-        self.buckets = buckets or spark.sparkContext.defaultParallelism
+        self._asked = buckets
+        self._known: dict[str, int] = {}
 
     # -- tables ------------------------------------------------------------------------------------
 
     def create(self) -> Warehouse:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
         for name in TABLES:
-            self._create_table(name, name, self._new_location(name))
+            number = self._asked or self.spark.sparkContext.defaultParallelism
+            self._create_table(name, name, self._new_location(name), number)
+        for name in BUCKETED:
+            self.buckets(name)
+        quarantine = "constraint_names string, " + ", ".join(f"{f} string" for f in STAGING_FIELDS)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.database}.{QUARANTINE} ({quarantine}, topic string, partition int, offset bigint, "
+            f"created_at timestamp_ntz) USING parquet LOCATION '{self._new_location(QUARANTINE)}'"
+        )
         return self
 
+    def buckets(self, name: str) -> int:
+        """The table's own bucket count. Files laid out for another one would be hidden from bucketed scans."""
+        if name not in self._known:
+            details = self.spark.sql(f"DESCRIBE FORMATTED {self.database}.{name}")
+            found = int(details.filter("col_name = 'Num Buckets'").first()["data_type"])
+            if self._asked and found != self._asked:
+                raise ValueError(f"{self.database}.{name} has {found} buckets, not {self._asked}")
+            self._known[name] = found
+        return self._known[name]
+
+    @contextmanager
+    def writing(self, name: str) -> Iterator[None]:
+        """Holds the table's lock: a file below ``location`` that exactly one session can create.
+
+        Two loads at once would both find a key absent and both add it. A session that died leaves its lock; ``unlock`` removes it.
+        """
+        path, store = self._lock(name)
+        try:
+            store.create(path, False).close()
+        except Exception as error:
+            if not store.exists(path):
+                raise
+            raise RuntimeError(f"{self.database}.{name} is being written; if its writer died, unlock('{name}')") from error
+        try:
+            yield
+        finally:
+            store.delete(path, False)
+
+    def unlock(self, name: str) -> None:
+        path, store = self._lock(name)
+        store.delete(path, False)
+
+    def _lock(self, name: str) -> tuple:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        path = hadoop.Path(f"{self.location}/_locks/{self.database}.{name}")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def _new_location(self, name: str) -> str:
         return f"{self.location}/{name}/{uuid.uuid4().hex}"
 
-    def _create_table(self, name: str, model: str, location: str) -> None:
-        key = UNIQUE_COLUMN[model]
-        layout = f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {self.buckets} BUCKETS" if model in BUCKETED else ""
+    def _create_table(self, name: str, model: str, location: str, buckets: int) -> None:
+        layout = f"CLUSTERED BY ({UNIQUE_COLUMN[model]}) INTO {buckets} BUCKETS" if model in BUCKETED else ""
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.database}.{name} ({TABLES[model]}) "
             f"USING parquet {layout} LOCATION '{location}'"
@@ -70,7 +117,7 @@ class Warehouse:
         columns = self.table(name).columns
         rows = rows.select(*columns)
         # One task per bucket, so a load adds one file to each bucket and not one per task and bucket.
-        return rows.repartition(self.buckets, UNIQUE_COLUMN[name]) if name in BUCKETED else rows
+        return rows.repartition(self.buckets(name), UNIQUE_COLUMN[name]) if name in BUCKETED else rows
 
     def append(self, name: str, rows: DataFrame) -> int:
         """Adds rows, stamped with the load time, and returns how many. They are counted in the writing
@@ -87,12 +134,27 @@ class Warehouse:
         at them; readers see the old contents or the new ones.
         """
         location, pending = self._new_location(name), f"{name}_{uuid.uuid4().hex}"
-        self._create_table(pending, name, location)
+        self._create_table(pending, name, location, self.buckets(name) if name in BUCKETED else 1)
         self._laid_out(name, rows).write.insertInto(f"{self.database}.{pending}")
         self.spark.sql(f"ALTER TABLE {self.database}.{name} SET LOCATION '{location}'")
         self.spark.sql(f"DROP TABLE {self.database}.{pending}")  # external: the files stay
         self.spark.catalog.refreshTable(f"{self.database}.{name}")
 
+    def clean(self, older_than_hours: float = 24.0) -> int:
+        """Removes folders of replaced table contents that nothing points to. The age protects readers that still use them."""
+        removed, now = 0, time.time()
+        for name in TABLES:
+            details = self.spark.sql(f"DESCRIBE FORMATTED {self.database}.{name}")
+            current = details.filter("col_name = 'Location'").first()["data_type"].rstrip("/").rsplit("/", 1)[1]
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.location}/{name}")
+            store = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            for status in store.listStatus(path):
+                old = now - status.getModificationTime() / 1000 > older_than_hours * 3600
+                if status.getPath().getName() != current and old:
+                    store.delete(status.getPath(), True)
+                    removed += 1
+        return removed
+
     @contextmanager
     def _scratch_table(self) -> Iterator[str]:
         """A table in the shared checkpoint folder that is dropped with its files afterwards."""
@@ -109,7 +171,7 @@ class Warehouse:
         """Parses once: constraints and row count are observed while the typed rows are written aside,
         and nothing reaches the table unless every constraint holds."""
         checked = Observation()
-        with self._scratch_table() as scratch:
+        with self.writing("ride_events"), self._scratch_table() as scratch:
             observed = rows.observe(checked, F.count(F.lit(1)).alias("attempted"), *violation_counts(rows))
             observed.write.format("parquet").saveAsTable(scratch)
             counts = dict(checked.get)
@@ -124,9 +186,33 @@ class Warehouse:
         return self._load_staging(staging_rows_from_files(read_event_files(self.spark, path)), FILE_ORDER)
 
     def stage_from_clean(self, clean: DataFrame) -> dict[str, int]:
-        """Validated events of the clean zone to staging. Pass the ingestion dates that are new; events
-        that were staged before are left as they are."""
-        return self._load_staging(staging_rows_from_clean(clean), ZONE_ORDER)
+        """Validated events of the clean zone to staging. Pass the ingestion dates that are new; events that were staged before
+        are left as they are.
+
+        The validation rules are wider than the table: an event may pass them and break a constraint. Such rows go to the
+        quarantine table with the names of the constraints, once for each place in the topic, and the others are loaded.
+        """
+        rows = staging_rows_from_clean(clean)
+        checked = Observation()
+        with self.writing("ride_events"), self._scratch_table() as scratch:
+            named = rows.withColumn("constraint_names", broken_constraints(rows))
+            named = named.observe(checked, F.count(F.lit(1)).alias("attempted"), F.count_if(F.col("constraint_names") != "").alias("bad"))
+            named.write.format("parquet").saveAsTable(scratch)
+            counts = dict(checked.get)
+            stored = self.spark.table(scratch)
+            good = stored.filter("constraint_names = ''")
+            inserted = self.append("ride_events", stage_events(self.table("ride_events"), good, ZONE_ORDER))
+            quarantined = self._quarantine(stored.filter("constraint_names <> ''")) if counts["bad"] else 0
+        return {"attempted": counts["attempted"], "inserted": inserted, "quarantined": quarantined}
+
+    def _quarantine(self, rows: DataFrame) -> int:
+        known = self.table(QUARANTINE).select(*ZONE_ORDER)
+        fields = [F.col("fare_text" if f == "fare_usd" else f).cast("string").alias(f) for f in STAGING_FIELDS]
+        fresh = rows.select("constraint_names", *fields, *ZONE_ORDER).dropDuplicates(ZONE_ORDER).join(known, ZONE_ORDER, "left_anti")
+        fresh = fresh.withColumn("created_at", F.localtimestamp()).select(*self.table(QUARANTINE).columns)
+        added = Observation()
+        fresh.observe(added, F.count(F.lit(1)).alias("rows")).write.insertInto(f"{self.database}.{QUARANTINE}")
+        return added.get["rows"]
 
     # -- dimensions and facts ----------------------------------------------------------------------
 
@@ -141,7 +227,8 @@ class Warehouse:
         Loads read all of staging unless ``since`` is given. It is right when every load of earlier rows
         is known to be complete, and spares a daily load from reading years of history.
         """
-        self.append(name, DIMENSIONS[name](self._staged(since), self.table(name)))
+        with self.writing(name):
+            self.append(name, DIMENSIONS[name](self._staged(since), self.table(name)))
         return self.count(name)
 
     def dimensions(self) -> dict[str, DataFrame]:
@@ -154,15 +241,17 @@ class Warehouse:
         fact as a load followed by ``fill_fact_keys`` would, without rewriting what is already there.
         """
         build, lookups = FACTS[name]
-        rows = build(self._staged(since), self.table(name))
-        if with_keys:
-            rows = fill_keys(rows, lookups(), self.dimensions(), UNIQUE_COLUMN[name])
-        self.append(name, rows)
+        with self.writing(name):
+            rows = build(self._staged(since), self.table(name))
+            if with_keys:
+                rows = fill_keys(write_aside(rows, "new-rows"), lookups(), self.dimensions(), UNIQUE_COLUMN[name])
+            self.append(name, rows)
         return self.count(name)
 
     def fill_fact_keys(self, name: str) -> None:
         """Fills keys of rows that were loaded before their dimension value existed."""
         _, lookups = FACTS[name]
-        fact = self.table(name)
-        if not unfilled(fact, lookups()).isEmpty():
-            self.replace(name, fill_keys(fact, lookups(), self.dimensions(), UNIQUE_COLUMN[name]))
+        with self.writing(name):
+            fact = self.table(name)
+            if not unfilled(fact, lookups()).isEmpty():
+                self.replace(name, fill_keys(fact, lookups(), self.dimensions(), UNIQUE_COLUMN[name]))

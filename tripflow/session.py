@@ -53,16 +53,6 @@ def build_session(
     return builder.getOrCreate()
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Deals the rows of a scan with few splits out to all cores, for the parsing that follows.
-
-    That is a small file, or a compressed one that cannot be split. A scan that already keeps a
-    quarter of the cores busy is returned as it is, so large inputs are never shuffled for this.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() * 4 <= cores else rows
-
-
 @cache
 def _local_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix="tripflow-")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import EVENT_FIELDS
-from ..session import spread
 
 # Amounts are read as written, so that their rounding to two decimals starts from the exact text.
 _TEXT_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in EVENT_FIELDS])
@@ -31,9 +30,11 @@ def parse_lines(lines: DataFrame, order: str) -> DataFrame:
     )
 
 
-def read_event_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_event_files(spark: SparkSession, path: str | list[str], partitions: int | None = None) -> DataFrame:
     """All events of one or many files; blank lines are skipped and one bad line fails the read.
 
+    ``partitions`` deals the lines out before they are parsed: for one compressed file, which cannot be split.
+
     ``arrival`` orders events as they stand in the files (files by name). A split is read front to
     back by one task, so file, split start and row number in the task give the line order however
     the files are split, and again after a task is retried elsewhere.
@@ -46,12 +47,16 @@ def read_event_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
             F.monotonically_increasing_id().alias("row_no"),
         ).alias("arrival"),
     )
-    return parse_lines(spread(lines), "arrival")
+    return parse_lines(lines.repartition(partitions) if partitions else lines, "arrival")
+
 
+def newest_file(spark: SparkSession, folder: str, pattern: str = "*.jsonl", recursive: bool = False) -> str:
+    """Path of the last modified event file. Only the listing is read, never the contents.
 
-def newest_file(spark: SparkSession, folder: str, pattern: str = "*.jsonl") -> str:
-    """Path of the last modified event file. Only the listing is read, never the contents."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    ``recursive`` also looks into folders, such as those that Spark writes, whose files have names of their own.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
+    files = reader.option("pathGlobFilter", "part-*" if recursive else pattern).load(folder)
     newest = files.select("path", "modificationTime").orderBy(F.desc("modificationTime"), "path").first()
     if newest is None:
         raise FileNotFoundError(f"no {pattern} file in {folder}")
@@ -59,5 +64,19 @@ def newest_file(spark: SparkSession, folder: str, pattern: str = "*.jsonl") -> s
 
 
 def land_raw_files(spark: SparkSession, path: str | list[str], raw_folder: str) -> None:
-    """Copies event files line by line into the raw zone, unparsed. A missing file is an error."""
-    spark.read.text(path).write.mode("append").text(raw_folder)
+    """Copies event files into the raw zone, unparsed, each into a partition with its name. A missing file is an error.
+
+    Landing a file again replaces its partition and nothing else. Only line feeds end a line, so carriage returns stay.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_name").alias("source_file"))
+    writer = lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("lineSep", "\n")
+    writer.partitionBy("source_file").text(raw_folder)
+
+
+def bad_lines(spark: SparkSession, path: str | list[str], limit: int = 5) -> list[tuple[str, int, str]]:
+    """File, byte offset of its split and text of the first lines that are no event object, to name in an error."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    wanted = F.array(*map(F.lit, EVENT_FIELDS))
+    whole = F.coalesce(F.size(F.array_except(wanted, F.json_object_keys("value"))) == 0, F.lit(False))
+    found = lines.filter(F.col("value").rlike(r"\S") & ~whole).limit(limit).collect()
+    return [(r["file"], r["at"], r["value"][:200]) for r in found]
