@@ -113,12 +113,14 @@ def fill_keys(
     filled = fact
     for lookup in lookups:
         found, wanted = f"found_{lookup.key_column}", f"wanted_{lookup.key_column}"
-        side = dims[lookup.dim].groupBy(F.col(lookup.natural_key).alias(wanted)).agg(F.min(lookup.dim_key).alias(found))
+        side = dims[lookup.dim].select(F.col(lookup.natural_key).alias(wanted), F.col(lookup.dim_key).alias(found))
+        smallest = F.min(found).alias(found)
         if lookup.dim in growing:
             pairs = fact.filter(_is_open(lookup)).select(row_id, lookup.fact_value.alias(wanted))
-            filled = filled.join(pairs.join(side, wanted).select(row_id, found), row_id, "left")
+            # Reduced after the join and not before it: only a join of two plain shuffles can be split where a name is hot.
+            filled = filled.join(pairs.join(side, wanted).groupBy(row_id).agg(smallest), row_id, "left")
         else:
-            filled = filled.join(side, lookup.fact_value == F.col(wanted), "left")
+            filled = filled.join(side.groupBy(wanted).agg(smallest), lookup.fact_value == F.col(wanted), "left")
         filled = filled.withColumn(lookup.key_column, F.coalesce(lookup.key_column, found)).drop(found, wanted)
     return filled.select(*fact.columns)
 

@@ -148,7 +148,7 @@ class Warehouse:
             current = details.filter("col_name = 'Location'").first()["data_type"].rstrip("/").rsplit("/", 1)[1]
             path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.location}/{name}")
             store = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-            for status in store.listStatus(path):
+            for status in store.listStatus(path) if store.exists(path) else ():
                 old = now - status.getModificationTime() / 1000 > older_than_hours * 3600
                 if status.getPath().getName() != current and old:
                     store.delete(status.getPath(), True)
