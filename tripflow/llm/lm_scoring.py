@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,8 @@ HEAD_WORDS = 1 << 18
 HEAD_WORD_BYTES = 64
 #: Shares of the training documents in each round of training and averaging, in percent.
 ROUNDS = (10, 30, 60)
-#: Documents that a task trains on or scores together, by their tokens.
-CHUNK_TOKENS = 600_000
+#: Documents that a task trains on or scores together, by their tokens: enough that no lane is left alone with a long document for long.
+CHUNK_TOKENS = 3_000_000
 #: Distinct words that a task counts before it hands them on.
 COUNTED_WORDS = 500_000
 #: Weights that travel as one row.
@@ -98,23 +99,26 @@ def head_of(counts: DataFrame, limit: int = HEAD_WORDS) -> Vocabulary:
     return Vocabulary([bytes(r["word"]) for r in top], numbers, int((total["tokens"] or 0) - numbers.sum()), total["words"] - len(top))
 
 
-def _numbered(found: list[bytes], vocabulary: Vocabulary) -> np.ndarray:
+def _chunks(
+    batches: Iterable[pa.RecordBatch], vocabulary: Vocabulary, with_rest: bool
+) -> Iterator[tuple[list[pa.RecordBatch], list[np.ndarray], list[Counter]]]:
+    """Batches, the numbers of their documents' words, and the words that have none. The texts themselves are let go at once."""
     number, rest = vocabulary.number, vocabulary.rest
-    return np.fromiter((number.get(w, rest) for w in found), np.int64, len(found))
-
-
-def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBatch], list[list[bytes]]]]:
-    held, found, size = [], [], 0
+    held, documents, others, size = [], [], [], 0
     for batch in batches:
-        held.append(batch)
+        held.append(batch.drop_columns(["text"]))
         for text in batch.column("text").to_pylist():
-            found.append(tokens_of(text))
-            size += len(found[-1])
+            found = tokens_of(text)
+            numbers = np.fromiter(map(number.get, found, repeat(rest)), np.int32, len(found))
+            documents.append(numbers)
+            if with_rest:
+                others.append(Counter(map(found.__getitem__, np.flatnonzero(numbers == rest).tolist())))
+            size += len(found)
         if size >= CHUNK_TOKENS:
-            yield held, found
-            held, found, size = [], [], 0
-    if found:
-        yield held, found
+            yield held, documents, others
+            held, documents, others, size = [], [], [], 0
+    if documents:
+        yield held, documents, others
 
 
 def train(training: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
@@ -128,8 +132,8 @@ def train(training: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
 
         def learn(batches: Iterable[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
             trainer = Trainer(start.value, shared.value)
-            for _, found in _chunks(batches):
-                trainer.learn([_numbered(f, shared.value) for f in found])
+            for _, documents, _ in _chunks(batches, shared.value, with_rest=False):
+                trainer.learn(documents)
             if trainer.tokens:
                 flat = recurrent.flatten(trainer.p)
                 blocks = [flat[k : k + BLOCK] for k in range(0, len(flat), BLOCK)]
@@ -174,10 +178,8 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
         base = np.append(np.log10(v.counts + 0.5), 0.0)
-        for held, found in _chunks(batches):
-            numbers = [_numbered(f, v) for f in found]
+        for held, numbers, rest in _chunks(batches, v, with_rest=True):
             scores = recurrent.score(weights.value, v, numbers) / np.log(10)
-            rest = [Counter(w for w, k in zip(f, x, strict=True) if k == v.rest) if (x == v.rest).any() else {} for f, x in zip(found, numbers, strict=True)]
             yield batch_of(
                 SCORED, doc_id=[i for b in held for i in b.column("doc_id").to_pylist()],
                 held_out=[i for b in held for i in b.column("held_out").to_pylist()], n_tokens=[len(x) for x in numbers],

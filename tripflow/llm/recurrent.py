@@ -11,7 +11,7 @@ HIDDEN = 16
 FINE_WORDS = 2048
 CLASS_WORDS = 64
 BINS = 15
-WINDOW = 24
+WINDOW = 32
 LANES = 256
 TRAIN_LANES = 128
 RATE = 0.05
@@ -72,12 +72,19 @@ def _sigmoid(a: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * a) + 0.5
 
 
-def _log_softmax(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    a = a - a.max(axis=-1, keepdims=True)
-    e = np.exp(a)
-    total = e.sum(axis=-1, keepdims=True)
-    e /= total
-    return a - np.log(total), e
+def _softmax(a: np.ndarray) -> np.ndarray:
+    a -= a.max(axis=-1, keepdims=True)
+    np.exp(a, out=a)
+    a /= a.sum(axis=-1, keepdims=True)
+    return a
+
+
+def _log_chosen(a: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The log softmax at one place of each row."""
+    a -= a.max(axis=-1, keepdims=True)
+    at = a[np.arange(len(a)), chosen]
+    np.exp(a, out=a)
+    return at - np.log(a.sum(axis=-1))
 
 
 class Lanes:
@@ -138,14 +145,12 @@ def _by_class(cls: np.ndarray, fine_classes: int) -> tuple[np.ndarray, np.ndarra
 def window_score(p: dict[str, np.ndarray], v: Vocabulary, states: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Natural log probabilities of tokens given their states; of words of the last class, that of the class."""
     cls = v.cls[tokens]
-    log_class, _ = _log_softmax(states @ p["wc"] + p["bc"])
-    score = log_class[np.arange(len(cls)), cls].astype(np.float64) + v.share[tokens]
+    score = _log_chosen(states @ p["wc"] + p["bc"], cls).astype(np.float64) + v.share[tokens]
     order, edges = _by_class(cls, v.fine_classes)
     for k in range(v.fine_classes):
         rows = order[edges[k] : edges[k + 1]]
         if len(rows):
-            inside, _ = _log_softmax(states[rows] @ p["wi"][k] + p["bi"][k])
-            score[rows] += inside[np.arange(len(rows)), v.slot[tokens[rows]]]
+            score[rows] += _log_chosen(states[rows] @ p["wi"][k] + p["bi"][k], v.slot[tokens[rows]])
     return score
 
 
@@ -169,8 +174,8 @@ def gradients(
     states, cache = _states(p, h, inputs, first, keep=True)
     flat, target = states[there], tokens[there]
     cls, n = v.cls[target], len(target)
-    log_class, soft = _log_softmax(flat @ p["wc"] + p["bc"])
-    loss = -float(log_class[np.arange(n), cls].sum())
+    soft = _softmax(flat @ p["wc"] + p["bc"])
+    loss = -float(np.log(soft[np.arange(n), cls]).sum())
     soft[np.arange(n), cls] -= 1
     grads = {"wc": flat.T @ soft, "bc": soft.sum(axis=0), "wi": np.zeros_like(p["wi"]), "bi": np.zeros_like(p["bi"])}
     back = soft @ p["wc"].T
@@ -178,9 +183,9 @@ def gradients(
     for k in range(v.fine_classes):
         rows = order[edges[k] : edges[k + 1]]
         if len(rows):
-            log_inside, soft = _log_softmax(flat[rows] @ p["wi"][k] + p["bi"][k])
+            soft = _softmax(flat[rows] @ p["wi"][k] + p["bi"][k])
             slot = v.slot[target[rows]]
-            loss -= float(log_inside[np.arange(len(rows)), slot].sum())
+            loss -= float(np.log(soft[np.arange(len(rows)), slot]).sum())
             soft[np.arange(len(rows)), slot] -= 1
             grads["wi"][k], grads["bi"][k] = flat[rows].T @ soft, soft.sum(axis=0)
             back[rows] += soft @ p["wi"][k].T
