@@ -2,6 +2,7 @@ import pytest
 
 import tripflow.__main__ as cli
 from tripflow.fixtures import as_records, load_feed
+from tripflow.plans.warehouse import Warehouse
 from tripflow.streaming.lake import Lake
 
 
@@ -30,3 +31,20 @@ def test_arguments_are_required():
     for command in (["stream"], ["batch"], ["promote"], []):
         with pytest.raises(SystemExit):
             cli.main(command)
+
+
+def test_single_steps(spark, here, tmp_path, capsys):
+    target = ["--warehouse", str(tmp_path / "tables"), "--database", "cli_steps", "--buckets", "2"]
+    records, lake = str(tmp_path / "records"), str(tmp_path / "lake")
+    as_records(load_feed(spark, "/root/testdata/sf0.001")).write.parquet(records)
+    cli.main(["stream", "--records", records, "--lake", lake, "--checkpoint", str(tmp_path / "cp"), "--drain"])
+    cli.main(["promote", "--lake", lake, "--date", "1999-01-01", *target])
+    cli.main(["load", "--table", "dim_driver", *target])
+    cli.main(["load", "--table", "fct_trips", "--since", "2000-01-01T00:00:00", *target])
+    cli.main(["fill", "--table", "fct_trips", *target])
+    cli.main(["clean", "--older-than-hours", "0", *target])
+    out = capsys.readouterr().out
+    assert "{'dim_driver': 0}" in out and "{'fct_trips': 0}" in out and "{'removed': 0}" in out
+    with Warehouse(spark, "cli_steps", str(tmp_path / "tables")).writing("dim_driver"):
+        cli.main(["unlock", "--table", "dim_driver", *target])
+        cli.main(["load", "--table", "dim_driver", *target])

@@ -112,6 +112,10 @@ def test_one_bad_row_keeps_the_whole_file_out(spark, warehouse, files):
     warehouse.load_staging(files("a", [event(n) for n in range(10)]))
     with pytest.raises(StrictLoadError):
         warehouse.load_staging(files("b", [event(n) for n in range(10, 20)] + [event(20, ride_id=None)]))
+    for line in ("not json at all", {"event_id": "x"}):
+        with pytest.raises(StrictLoadError, match="c.jsonl") as caught:
+            warehouse.load_staging(files("c", [event(n) for n in range(10, 12)] + [line]))
+        assert [text for _, _, text in caught.value.lines] == [json.dumps(line)]
     assert warehouse.count("ride_events") == 10
     assert not [d for d in spark.catalog.listDatabases() if "scratch" in d.name]
 

@@ -1,11 +1,15 @@
-"""Command line: ``stream``, ``tap``, ``batch`` and ``promote`` (clean zone to the star)."""
+"""Command line: ``stream``, ``tap``, ``batch``, ``promote`` (clean zone to the star), and single steps: ``load``, ``fill``, ``clean``, ``unlock``."""
 
 from __future__ import annotations
 
 import argparse
+from datetime import datetime
 
+from .operators.dims import DIMENSIONS
+from .operators.facts import FACTS
 from .plans.batch import load_star, run_batch
 from .plans.warehouse import Warehouse
+from .schemas import TABLES
 from .session import build_session
 from .sources.streams import RecordFiles, TopicSource, tap_stream
 from .streaming.job import TRIGGER, run_streaming
@@ -40,7 +44,17 @@ def _parser() -> argparse.ArgumentParser:
     promote = add("promote", "load clean-zone events into the star")
     promote.add_argument("--lake", required=True)
     promote.add_argument("--date", help="one ingestion date; all without it")
-    for command in (batch, promote):
+    load = add("load", "load one dimension or fact from staging")
+    fill = add("fill", "fill missing keys of one fact")
+    clean = add("clean", "remove folders of replaced table contents")
+    clean.add_argument("--older-than-hours", type=float, default=24.0)
+    unlock = add("unlock", "remove the lock that a dead writer left")
+    load.add_argument("--table", required=True, choices=[*DIMENSIONS, *FACTS])
+    fill.add_argument("--table", required=True, choices=[*FACTS])
+    unlock.add_argument("--table", required=True, choices=[*TABLES])
+    for command in (batch, promote, load):
+        command.add_argument("--since", type=datetime.fromisoformat, help="read what was staged at or after this time")
+    for command in (batch, promote, load, fill, clean, unlock):
         command.add_argument("--warehouse", required=True, help="folder of the tables")
         command.add_argument("--database", default="warehouse")
         command.add_argument("--buckets", type=int)
@@ -49,7 +63,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = build_session(f"tripflow {args.command}", persistent_catalog=args.command in ("batch", "promote"))
+    spark = build_session(f"tripflow {args.command}", persistent_catalog=args.command not in ("stream", "tap"))
     if args.command == "stream":
         source = RecordFiles(args.records) if args.records else TopicSource(
             args.servers, args.topic, args.group,
@@ -68,12 +82,21 @@ def main(argv: list[str] | None = None) -> None:
         return
     warehouse = Warehouse(spark, args.database, args.warehouse, args.buckets).create()
     if args.command == "batch":
-        print(run_batch(spark, warehouse, args.source, args.raw))
-    else:
+        print(run_batch(spark, warehouse, args.source, args.raw, args.since))
+    elif args.command == "promote":
         clean = Lake(args.lake).read_clean(spark)
         if args.date:
             clean = clean.filter(clean.ingestion_date == args.date)
-        print(warehouse.stage_from_clean(clean) | load_star(warehouse))
+        print(warehouse.stage_from_clean(clean) | load_star(warehouse, args.since))
+    elif args.command == "load":
+        load = warehouse.load_dimension if args.table in DIMENSIONS else warehouse.load_fact
+        print({args.table: load(args.table, since=args.since)})
+    elif args.command == "fill":
+        warehouse.fill_fact_keys(args.table)
+    elif args.command == "clean":
+        print({"removed": warehouse.clean(args.older_than_hours)})
+    else:
+        warehouse.unlock(args.table)
 
 
 if __name__ == "__main__":

@@ -9,9 +9,12 @@ from ..schemas import STAGING_MAX_LENGTH, STAGING_REQUIRED
 
 
 class StrictLoadError(ValueError):
-    def __init__(self, violations: dict[str, int]):
-        self.violations = violations
-        super().__init__("load rejected: " + ", ".join(f"{k} ({n} rows)" for k, n in violations.items()))
+    """Names the broken constraints and, for a load of files, the first lines that are no whole event."""
+
+    def __init__(self, violations: dict[str, int], lines: list[tuple[str, int, str]] = ()):
+        self.violations, self.lines = violations, lines
+        text = "load rejected: " + ", ".join(f"{k} ({n} rows)" for k, n in violations.items())
+        super().__init__(text + "".join(f"\n  {file} (split at byte {at}): {line}" for file, at, line in lines))
 
 
 def constraints(columns: list[str]) -> dict[str, Column]:

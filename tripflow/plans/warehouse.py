@@ -8,6 +8,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +17,10 @@ from ..operators.dims import DIMENSIONS
 from ..operators.facts import FACTS
 from ..operators.keys import fill_keys, unfilled
 from ..operators.staging import FILE_ORDER, ZONE_ORDER, stage_events, staging_rows_from_clean, staging_rows_from_files
-from ..operators.strict import broken_constraints, raise_if_violated, violation_counts
+from ..operators.strict import StrictLoadError, broken_constraints, raise_if_violated, violation_counts
 from ..schemas import STAGING_FIELDS, TABLES, UNIQUE_COLUMN
 from ..session import shared_folder, write_aside
-from ..sources.files import read_event_files
+from ..sources.files import bad_lines, read_event_files
 
 # Large tables are bucketed on their conflict column. Loads then find existing keys without moving
 # the table, and the staging-to-fact load moves neither side.
@@ -182,8 +184,15 @@ class Warehouse:
         return {"attempted": attempted, "inserted": inserted}
 
     def load_staging(self, path: str | list[str]) -> dict[str, int]:
-        """Event files to staging: all of them or none."""
-        return self._load_staging(staging_rows_from_files(read_event_files(self.spark, path)), FILE_ORDER)
+        """Event files to staging: all of them or none. A refused load names the first lines that are no whole event."""
+        try:
+            return self._load_staging(staging_rows_from_files(read_event_files(self.spark, path)), FILE_ORDER)
+        except StrictLoadError as error:
+            raise StrictLoadError(error.violations, bad_lines(self.spark, path)) from error
+        except (PySparkException, Py4JJavaError) as error:  # a malformed record is raised by a task
+            if found := bad_lines(self.spark, path):
+                raise StrictLoadError({"malformed_line": len(found)}, found) from error
+            raise
 
     def stage_from_clean(self, clean: DataFrame) -> dict[str, int]:
         """Validated events of the clean zone to staging. Pass the ingestion dates that are new; events that were staged before

@@ -25,19 +25,22 @@ _JSON_OPTIONS = {
 class Lake:
     """``raw``, ``clean`` and ``rejected`` folders below one root, on any file system Spark can reach.
 
-    ``rows_per_file`` keeps short triggers from leaving one small file per source partition, and bounds
-    the files of a source partition that holds most of a batch.
+    ``rows_per_task`` keeps short triggers from leaving one small file per source partition while a large batch is still written by
+    all cores; ``rows_per_file`` bounds the files of a source partition that holds most of a batch.
     """
 
     root: str
     rows_per_file: int = 500_000
+    rows_per_task: int = 50_000
 
     def path(self, zone: str) -> str:
         return f"{self.root.rstrip('/')}/{zone}/ride_events"
 
     def _write(self, rows: DataFrame, zone: str, fmt: str, run_id: str, batch_id: int, count: int) -> None:
+        cores = rows.sparkSession.sparkContext.defaultParallelism
+        tasks = max(-(-count // self.rows_per_file), min(cores, -(-count // self.rows_per_task)))
         writer = (
-            rows.coalesce(-(-count // self.rows_per_file))
+            rows.coalesce(tasks)
             .withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")})
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
