@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import repeat
+from itertools import accumulate, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ from . import recurrent
 from .common import arrow_map, batch_of, small_batches, write_aside
 from .recurrent import END, Trainer, Vocabulary
 
-HEAD_WORDS = 1 << 18
+HEAD_WORDS = 1 << 17
 #: Longer words are never head words, so that the head has a proven size.
 HEAD_WORD_BYTES = 64
 #: Shares of the training documents in each round of training and averaging, in percent.
@@ -92,11 +92,19 @@ def count_words(training: DataFrame) -> DataFrame:
 
 
 def head_of(counts: DataFrame, limit: int = HEAD_WORDS) -> Vocabulary:
-    """The vocabulary that every task gets: ``limit`` words of HEAD_WORD_BYTES at most, and the size of the rest."""
+    """The vocabulary that every task gets: ``limit`` words of HEAD_WORD_BYTES at most, and the size of the rest.
+
+    Words are cut off between classes of similar counts, so that no sorted prefixes of all partitions meet in the driver: it gets a row for
+    each class, about a thousand at most, and then the head alone.
+    """
     total = counts.agg(F.sum("n").alias("tokens"), F.count("*").alias("words")).first()
-    top = counts.filter(F.octet_length("word") <= HEAD_WORD_BYTES).orderBy(F.desc("n"), "word").limit(limit).collect()
-    numbers = np.array([r["n"] for r in top], np.float64)
-    return Vocabulary([bytes(r["word"]) for r in top], numbers, int((total["tokens"] or 0) - numbers.sum()), total["words"] - len(top))
+    short = counts.filter(F.octet_length("word") <= HEAD_WORD_BYTES).withColumn("class", F.floor(F.log2("n") * 16))
+    classes = sorted(short.groupBy("class").count().collect(), key=lambda r: -r["class"])
+    inside = [r["class"] for r, size in zip(classes, accumulate(r["count"] for r in classes), strict=True) if size <= limit]
+    head = short.filter(F.col("class") >= F.lit(inside[-1] if inside else 1 << 20)).select("word", "n").toArrow()
+    top = sorted(zip(head["n"].to_pylist(), head["word"].to_pylist(), strict=True), key=lambda x: (-x[0], x[1]))
+    numbers = np.array([n for n, _ in top], np.float64)
+    return Vocabulary([w for _, w in top], numbers, int((total["tokens"] or 0) - numbers.sum()), total["words"] - len(top))
 
 
 def _chunks(

@@ -14,7 +14,6 @@ from .lm_scoring import lm_scores
 from .near_dedup import near_report
 from .packing import pack
 from .quality_rules import quality_report
-
 from .secrets import scan as secret_scan
 from .unit_dedup import removal_report
 from .warc import archive_report
@@ -62,5 +61,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_lm_scoring, op2_warc_bundles, op3_secret_scan, op4_near_dedup, op5_decontaminate, op6_license_scan, op7_quality_rules, op8_best_fit_packing, op9_line_dedup, op10_substring_dedup)
+    for query in (
+        op1_lm_scoring, op2_warc_bundles, op3_secret_scan, op4_near_dedup, op5_decontaminate, op6_license_scan, op7_quality_rules,
+        op8_best_fit_packing, op9_line_dedup, op10_substring_dedup,
+    )
 }
