@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -55,7 +57,9 @@ def build_session(
 
 @cache
 def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix="tripflow-")
+    folder = tempfile.mkdtemp(prefix="tripflow-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # a local session's own folder goes with it
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:
