@@ -224,6 +224,10 @@ def propose(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         ended.append(told.filter(F.lit(level == DEPTH) | F.col("dense")).select("node", "cls"))
         frontier = told.filter("NOT dense").select(F.explode(F.array("left", "right")).alias("node"), "cls")
     proposed = reduce(DataFrame.union, pairs).groupBy("a", "b").agg(F.max("equal").alias("equal"))
+    # Sets whose sizes differ too much cannot be similar enough, whatever they share.
+    sizes = classes.select("cls", "n_shingles")
+    proposed = proposed.join(sizes.toDF("a", "a_size"), "a").join(sizes.toDF("b", "b_size"), "b")
+    proposed = proposed.filter(100 * F.least("a_size", "b_size") >= SIMILAR_PERCENT * F.greatest("a_size", "b_size")).drop("a_size", "b_size")
     return write_aside(proposed, "proposed"), reduce(DataFrame.union, ended, large.limit(0))
 
 
@@ -282,8 +286,9 @@ def _stragglers(classes: DataFrame, ended: DataFrame, roots: DataFrame) -> DataF
     odd = named.join(main, "node").filter("root <> main").select("node", F.col("cls").alias("x"), F.col("root").alias("x_root"))
     met = odd.join(named.select("node", F.col("cls").alias("y"), "root"), "node").filter("root <> x_root")
     met = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    sketches = classes.select("cls", "sketch")
-    seen = met.join(sketches.toDF("a", "a_sketch"), "a").join(sketches.toDF("b", "b_sketch"), "b")
+    sketches = classes.select("cls", "sketch", "n_shingles")
+    seen = met.join(sketches.toDF("a", "a_sketch", "a_size"), "a").join(sketches.toDF("b", "b_sketch", "b_size"), "b")
+    seen = seen.filter(100 * F.least("a_size", "b_size") >= SIMILAR_PERCENT * F.greatest("a_size", "b_size"))
     return arrow_map(seen, _pair_task, "a long, b long")
 
 
@@ -292,7 +297,9 @@ def label_components(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     found = write_aside(profiles(docs), "profiles")
     usable = found.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = usable.groupBy("set_key").agg(F.min("doc_id").alias("least_doc"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch"))
+    classes = usable.groupBy("set_key").agg(
+        F.min("doc_id").alias("least_doc"), *(F.first(c).alias(c) for c in ("n_shingles", "sig", "sketch"))
+    )
     classes = write_aside(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
 
     proposed, ended = propose(classes)
