@@ -4,7 +4,7 @@ A document is the set of its 2-word shingles. Documents with equal sets form a c
 min-hash values. A tree starts with all classes in its root. A node chooses ``BRANCHES`` coordinates and hands its members
 on to one child for each value there: sets of similarity s stay together with probability s for each choice, so a pair at the threshold of 0.8
 survives at least one path of a tree with probability 0.93 at any depth, and unrelated sets part at once. Nodes of at most ``LEAF`` members
-are compared exhaustively. ``TREES`` independent trees leave a miss below one in a million.
+are compared exhaustively. ``TREES`` independent trees leave a miss below one in a million, and proposing (see ``PROPOSE``) one of about ten in a million.
 
 What min-hash values propose is confirmed on full sets. To do little of that, each class first confirms its best partner; other
 proposals follow only if their ends are not connected by then. In a large node all members are compared with ``PIVOTS`` of them. If these
@@ -33,16 +33,16 @@ from .components import connected_components
 
 SIMILAR_PERCENT = 80
 SHINGLE_WORDS = 2
-COORDINATES = 64
+COORDINATES = 128
 TREES = 6
 BRANCHES = 2
 LEAF = 32
 DEPTH = 5
 PIVOTS = 8
-#: Equal min-hash values out of COORDINATES that make a proposal. A pair at the threshold has 51 on average; 4 pairs in a million have fewer than 36.
-PROPOSE = 36
+#: Equal min-hash values out of COORDINATES that make a proposal. A pair at the threshold has 102 on average; 9 pairs in a million have fewer than 82.
+PROPOSE = 82
 #: Equal values by which a pivot covers a member, and the covered share that ends a node.
-COVER, COVERED = 44, 0.5
+COVER, COVERED = 90, 0.5
 CACHED_WORDS = 200_000
 
 _ODD = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -91,28 +91,30 @@ def _profile_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     shingle = Shingles()
     for batch in batches:
         sets = [shingle(text) for text in batch.column("text").to_pylist()]
-        sigs = [signature(s) if len(s) else None for s in sets]
+        there = np.array([len(s) > 0 for s in sets], bool)
+        sigs = np.array([signature(s) for s in sets if len(s)], np.uint32).reshape(-1, COORDINATES)
+        roots = np.stack([node for tree in range(TREES) for node in children(np.full(len(sigs), tree, np.int64), sigs)], axis=1)
+        spread = lambda rows: pa.array([next(rows) if t else None for t in there])
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"), batch.column("row"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
-                pa.array([s.tobytes() if s is not None else None for s in sigs], pa.binary()),
-                pa.array([s.astype(np.uint8).tobytes() if s is not None else None for s in sigs], pa.binary()),
+                spread(iter(roots)).cast(pa.list_(pa.int64())), spread(iter([s.astype(np.uint8).tobytes() for s in sigs])).cast(pa.binary()),
             ],
-            names=["doc_id", "row", "n_shingles", "set_key", "sig", "sketch"],
+            names=["doc_id", "row", "n_shingles", "set_key", "roots", "sketch"],
         )
 
 
 def profiles(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", "text", row_key(F.col("text")).alias("row"))
-    return arrow_map(texts, _profile_task, "doc_id long, row long, n_shingles long, set_key binary, sig binary, sketch binary")
+    return arrow_map(texts, _profile_task, "doc_id long, row long, n_shingles long, set_key binary, roots array<long>, sketch binary")
 
 
 # -- trees -----------------------------------------------------------------------------------------
 
 
-def _bytes(column: pa.Array, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, COORDINATES)
+def _bytes(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES)
 
 
 def children(nodes: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
@@ -128,15 +130,6 @@ def children(nodes: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
         ]
 
 
-def _root_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            sigs = _bytes(batch.column("sig"), np.uint32)
-            for tree in range(TREES):
-                for node in children(np.full(len(sigs), tree, np.int64), sigs):
-                    yield pa.RecordBatch.from_arrays([pa.array(node), batch.column("cls")], names=["node", "cls"])
-
-
 BRANCH = pa.schema([
     ("node", pa.int64()), ("cls", pa.int64()), ("covered", pa.bool_()), ("left", pa.int64()), ("right", pa.int64()),
     ("near", pa.list_(pa.struct([("pivot", pa.int64()), ("equal", pa.int32())]))),
@@ -149,7 +142,7 @@ def _branch_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        values, nodes, cls = _bytes(batch.column("sketch"), np.uint8), batch.column("node").to_numpy(), batch.column("cls").to_numpy()
+        values, nodes, cls = _bytes(batch.column("sketch")), batch.column("node").to_numpy(), batch.column("cls").to_numpy()
         near, covered = [], []
         for own, mine, pivots in zip(cls, values, batch.column("pivots").to_pylist(), strict=True):
             others = [p for p in pivots if p["pivot"] != own]
@@ -170,7 +163,7 @@ def _leaf_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The last rows stay for the next batch, whose first node may have begun in them.
         nodes = np.concatenate([nodes[-LEAF:], batch.column("node").to_numpy()])
         cls = np.concatenate([cls[-LEAF:], batch.column("cls").to_numpy()])
-        values = np.concatenate([values[-LEAF:], _bytes(batch.column("sketch"), np.uint8)])
+        values = np.concatenate([values[-LEAF:], _bytes(batch.column("sketch"))])
         old = len(nodes) - batch.num_rows
         for step in range(1, LEAF):
             later = np.arange(max(old, step), len(nodes))
@@ -188,7 +181,7 @@ def _leaf_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _pair_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            equal = (_bytes(batch.column("a_sketch"), np.uint8) == _bytes(batch.column("b_sketch"), np.uint8)).sum(axis=1)
+            equal = (_bytes(batch.column("a_sketch")) == _bytes(batch.column("b_sketch"))).sum(axis=1)
             good = pa.array(equal >= PROPOSE)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], names=["a", "b"])
 
@@ -198,7 +191,7 @@ def propose(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     sketches = classes.select("cls", "sketch")
     pairs: list[DataFrame] = []
     ended: list[DataFrame] = []
-    frontier = arrow_map(classes.select("cls", "sig"), _root_task, "node long, cls long")
+    frontier = classes.select(F.explode("roots").alias("node"), "cls")
     for level in range(1, DEPTH + 1):
         # A pivot is the member whose id, scrambled by the node and its own constant, is smallest.
         keys = [F.col("node").bitwiseXOR(F.lit(int(mix(np.array([k], np.uint64)).view(np.int64)[0]))) for k in range(1, PIVOTS + 1)]
@@ -250,7 +243,7 @@ def _set_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     wanted = wanted.join(classes.select("cls", "set_key", "least_doc"), "cls")
     texts = wanted.join(docs.select(F.col("doc_id").alias("least_doc"), "text"), "least_doc").select("cls", "set_key", "text")
     sets = write_aside(arrow_map(texts, _set_task, "cls long, shingles array<long>").dropDuplicates(["cls"]), "sets")
@@ -298,7 +291,7 @@ def label_components(docs: DataFrame) -> DataFrame:
     found = write_aside(profiles(docs), "profiles")
     usable = found.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = usable.groupBy("set_key").agg(
-        F.min("doc_id").alias("least_doc"), *(F.first(c).alias(c) for c in ("n_shingles", "sig", "sketch"))
+        F.min("doc_id").alias("least_doc"), *(F.first(c).alias(c) for c in ("n_shingles", "roots", "sketch"))
     )
     classes = write_aside(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
 
