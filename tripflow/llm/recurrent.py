@@ -12,8 +12,8 @@ FINE_WORDS = 2048
 CLASS_WORDS = 64
 BINS = 15
 WINDOW = 32
-LANES = 256
-TRAIN_LANES = 128
+LANES = 512
+TRAIN_LANES = 256
 RATE = 0.05
 END = b"\n"  # no word has white space
 
