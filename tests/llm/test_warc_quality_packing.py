@@ -124,6 +124,13 @@ def test_chunk_memory_changes_nothing(spark):
         assert encode(r["text"] or "") == encode.whole.encode(r["text"] or "", add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["about 5 or 100\n~5 and ~100\n~100", "~5 first\nand 5 later ~5", "a ~~ b\n~~~ c\n~~~~ d\n~/path and /path", "x  y\n~x y"])
+def test_chunks_after_a_space_are_not_first_chunks(text):
+    encode = packing.ByteBpe()
+    for each in (text, "\n".join(reversed(text.split("\n")))):
+        assert encode(each) == encode.whole.encode(each, add_special_tokens=False).ids
+
+
 def test_fullest_bin_is_best_by_search():
     draw = np.random.default_rng(3)
     for _ in range(200):

@@ -82,10 +82,11 @@ class ByteBpe:
             first, *others = line.split(" ")
             add(known.get(first) or known.setdefault(first, self.plain(first)))
             for chunk in others:
-                # "~" marks the chunks that a space precedes; the first of a line has none.
-                found = known.get("~" + chunk)
+                # The space is part of the key: the first chunk of a line has none, so the two kinds never meet.
+                spaced = " " + chunk
+                found = known.get(spaced)
                 if found is None:
-                    found = known["~" + chunk] = self.plain(" " + chunk)
+                    found = known[spaced] = self.plain(spaced)
                 add(found)
         return ids
 
