@@ -53,3 +53,36 @@ def test_every_template_has_a_cue():
         found = set(re.findall(r"[a-z0-9]+", body.lower()))
         assert set(names.split()) <= found
         assert re.search(licenses.CUES, names.split()[0])
+
+
+WRAPPED = {
+    "MIT": licenses.TEMPLATES[2][2] + ", and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+    "GPL": licenses.TEMPLATES[7][2],
+    "LGPL": licenses.TEMPLATES[9][2],
+    "BSD": licenses.TEMPLATES[14][2],
+    "MPL": licenses.TEMPLATES[15][2] + " If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+}
+SHORT = {
+    "SPDX-License-Identifier: MIT": "MIT", "// SPDX-License-Identifier: Apache-2.0": "Apache", "# SPDX-License-Identifier: GPL-2.0-or-later": "GPL",
+    "License: MIT": "MIT", "MIT License": "MIT", "SPDX-License-Identifier: BSD-3-Clause": "BSD",
+}
+
+
+def test_wrapped_and_short_notices(spark):
+    import textwrap
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = licenses.fit(docs)
+    before, after = "He went home late.\n\n", "\n\nThe end of the file is here."
+    cases = [
+        (f, before + textwrap.fill(body, width, initial_indent=mark, subsequent_indent=mark) + after)
+        for f, body in WRAPPED.items() for width in (40, 72, 80) for mark in ("", "# ", " * ")
+    ]
+    cases += [(f, before + text + after) for text, f in SHORT.items()]
+    cases += [("", "He asked for permission\nand left the house free of charge.\nThe license was red."), ("", "license\n" * 300)]
+    rows = {r["doc_id"]: r for r in licenses.scan(docs_of(spark, [text for _, text in cases]), model).collect()}
+    assert [(f, rows[k]["families"], rows[k]["n_licenses"]) for k, (f, _) in enumerate(cases)] == [(f, f, int(bool(f))) for f, _ in cases]
+    for k, (f, text) in enumerate(cases):
+        if f:
+            start, end = map(int, rows[k]["spans"].split(":")[1:])
+            assert len(before) <= start < end <= len(text) - len(after)
