@@ -100,3 +100,42 @@ def test_unit_texts(spark):
 @pytest.mark.parametrize("text", ["", "a", "A. B? c!\n\n d", "no end"])
 def test_spans_are_inside(text):
     assert all(0 <= s <= e <= len(text) for s, e in unit_dedup.unit_spans(text))
+
+
+def test_passages_with_other_borders(spark):
+    def some(seed, n):
+        return [hashlib.sha256(f"{seed} {k}".encode()).hexdigest()[:7] for k in range(n)]
+
+    passage = some("passage", 60)
+    # Other lines, no sentence ends, one word changed inside, other words around.
+    edited = [*passage[:52], "changed", *passage[53:]]
+    texts = {
+        1: " ".join([*some("a", 9), *passage, *some("b", 9)]),
+        2: " ".join([*some("c", 5), "\n".join(passage[:20]), " ".join(passage[20:]).upper(), *some("d", 7)]),
+        3: " ".join([*some("e", 30), *edited, *some("f", 3)]),
+    }
+    cut = {r["doc_id"]: r["text"].lower().split() for r in unit_dedup.drop_units(docs_of(spark, list(texts.items()))).collect()}
+    assert cut[1] == texts[1].split()
+    for doc in (2, 3):
+        own = [w for w in texts[doc].lower().split() if w not in passage]
+        assert [w for w in cut[doc] if w not in passage] == own
+        assert len([w for w in cut[doc] if w in passage]) <= 2 * unit_dedup.GAP + 8
+
+
+def test_every_long_passage_holds_a_run():
+    size = unit_dedup.RUN + 2 * unit_dedup.GAP + 1
+    for seed in range(300):
+        passage = [hashlib.sha256(f"{seed} {k}".encode()).hexdigest()[:5] for k in range(size)]
+        forms = [
+            {text[s:e] for s, e in unit_dedup.run_spans(text)}
+            for text in (" ".join([*("x" + w for w in passage[:around]), *passage, *("y" + w for w in passage)]) for around in (0, 3, 40))
+        ]
+        assert any(form in " ".join(passage) for form in forms[0] & forms[1] & forms[2])
+
+
+def test_runs_leave_the_first_copy_of_a_cycle_whole():
+    text = "one two three four five six seven eight nine ten eleven twelve " * 20
+    spans = list(unit_dedup.run_spans(text))
+    first = {}
+    for start, end in spans:
+        assert first.setdefault(text[start:end], end) == end or start >= first[text[start:end]]

@@ -1,6 +1,9 @@
 """Substring dedup by line hashing: normalised units are grouped by digest across the corpus, and the earliest ranked occurrence stays.
 
-Units are lines and, since passages are also pasted inside lines, the sentences of a line. The normal form of a unit has A-Z lower-cased, runs of
+Units are lines, the sentences of a line, and, since copies of a passage may have other line and sentence borders, runs of ``RUN`` words or more.
+A run begins and ends at anchors: the words whose hash is the least of ``GAP`` in a row. Anchors depend on nothing outside of the passage, and
+from any of them the next is at most ``GAP`` words away. So every repeated passage of ``RUN + 2 * GAP`` words has a run inside it, and at most about
+``GAP`` words stay at each of its borders. The normal form of a unit has A-Z lower-cased, runs of
 white space as one space, and neither white space nor ASCII punctuation at its ends. Units whose normal form has fewer than ``MIN_CHARS`` code
 points always stay. Occurrences are ranked by doc_id, then by place, so a unit that comes back within its own document is removed there too.
 Removed units keep their offsets in the original text.
@@ -16,16 +19,21 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, batch_of, row_key, small_batches
+from .common import arrow_map, batch_of, mix, row_key, small_batches
 
 MIN_CHARS = 30
+#: Words that a run has at least, and words in a row of which one is an anchor.
+RUN, GAP = 16, 16
 
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SENTENCE_END = re.compile(r"[.!?][\x20\x09-\x0D]+")
 #: White space and ASCII punctuation.
 _ENDS = b" \t\n\x0b\x0c\r!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -44,7 +52,58 @@ def normal_form(unit: str) -> bytes | None:
     return form
 
 
+def anchors_of(found: list[bytes]) -> np.ndarray:
+    """Places of the words that begin and end runs. A word's hash takes in the next word, so that common words are not always chosen."""
+    if len(found) <= GAP:
+        return np.zeros(0, np.int64)
+    codes = np.fromiter(map(zlib.crc32, found), np.uint64, len(found))
+    hashes = mix(codes[:-1] << np.uint64(32) | codes[1:])
+    # The last of equal ones.
+    least = GAP - 1 - np.lib.stride_tricks.sliding_window_view(hashes[::-1], GAP).argmin(axis=1)[::-1]
+    return np.unique(np.arange(len(least)) + least)
+
+
+def _runs(text: str) -> Iterator[tuple[int, int, bytes]]:
+    """Start, end and normal form of every run. One that overlaps an earlier equal one is left out: it is not another copy."""
+    found = text.encode("utf-8", "surrogatepass").lower().split()
+    anchors = anchors_of(found)
+    stops = np.searchsorted(anchors, anchors + RUN)
+    stops = stops[stops < len(anchors)]
+    if not len(stops):
+        return
+    places = [m.span() for m in _WORD.finditer(text)]
+    ends: dict[bytes, int] = {}
+    for begin, stop in zip(anchors.tolist(), anchors[stops].tolist(), strict=False):
+        start, end = places[begin][0], places[stop - 1][1]
+        form = b" ".join(found[begin:stop]).strip(_ENDS)
+        if ends.get(form, 0) <= start:
+            ends[form] = end
+            yield start, end, form
+
+
+def run_spans(text: str) -> Iterator[tuple[int, int]]:
+    for start, end, _ in _runs(text):
+        yield start, end
+
+
+def _units(text: str) -> Iterator[tuple[int, int, bytes | None]]:
+    """Start, end and normal form (None if too short) of every line, of every sentence of a line that has several, and of every run that is
+    none of these."""
+    known = set()
+    for start, end in _line_spans(text):
+        known.add((start, end))
+        yield start, end, normal_form(text[start:end]) if end - start >= MIN_CHARS else None
+    for start, end, form in _runs(text):
+        if (start, end) not in known:
+            yield start, end, form if len(form) >= 4 * MIN_CHARS else normal_form(text[start:end])
+
+
 def unit_spans(text: str) -> Iterator[tuple[int, int]]:
+    for start, end, _ in _units(text):
+        yield start, end
+
+
+def _line_spans(text: str) -> Iterator[tuple[int, int]]:
     """Start and end of every line, and of every sentence of a line that has several."""
     start = 0
     for line in text.split("\n"):
@@ -64,10 +123,7 @@ def _units_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for doc_id, row, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "text")), strict=True):
             seen: dict[bytes, int] = {}
-            for start, end in unit_spans(text) if text else ():
-                if end - start < MIN_CHARS:
-                    continue
-                form = normal_form(text[start:end])
+            for start, end, form in _units(text) if text else ():
                 if form is not None:
                     digest = hashlib.blake2b(form, digest_size=16).digest()
                     first = seen.setdefault(digest, start)
