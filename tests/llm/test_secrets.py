@@ -90,3 +90,15 @@ def test_long_run_is_linear(spark):
     run = F.expr("array_join(transform(sequence(1, 1000), i -> sha2(cast(i AS string), 256)), '')")
     frame = spark.range(1).select(F.col("id").alias("doc_id"), run.alias("text"))
     assert secrets.scan(frame).first()["spans"] == "hex:0:64000,entropy:0:64000"
+
+
+def test_letters_only_and_samples_elsewhere_in_the_run(spark):
+    key, letters = "kq7Zp2Xw9Lr4Vt8Ny3Bm6Hs1", "kQzPxWmLrVtNyBhSjDgFcT"
+    far = "/" + "z" * 30 + "/"
+    texts = [
+        letters, f"x {letters} y", "thequickbrownfoxjumpsoverthelazydog", f"sample{far}{key}", f"{key}{far}abcdefgh", f"example{key}", f"{letters}{far}dummy",
+    ]
+    spans = {k: row[-1] for k, row in found(docs_of(spark, texts)).items()}
+    assert spans[0] == f"entropy:0:{len(letters)}" and spans[1] == f"entropy:2:{2 + len(letters)}"
+    assert spans[2] == spans[5] == ""
+    assert all(spans[k].startswith("entropy:") for k in (3, 4, 6))

@@ -6,7 +6,7 @@ matching would let others start inside them. Positions come from the texts betwe
 Entropy. Candidates are runs of ``CANDIDATE``; a candidate belongs to one character class, which sets its threshold. A window of ``WINDOW``
 characters moves over it. Entering and leaving characters change counts and the sum of c*log2(c), kept in whole numbers, so that the sum is exact
 however long the run. The span reaches from the first window above the threshold to the end of the last. Candidates that match
-``ALLOWED`` are not reported; rule matches always are.
+``FORMS`` and spans with one of ``SAMPLES`` inside are not reported; rule matches always are.
 
 Defined results: a null or empty text has no spans. A null doc_id and repeated rows are carried through. Extra columns are ignored.
 """
@@ -30,18 +30,22 @@ RULES = (
 ENTROPY = "entropy"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
-#: Character classes with their least entropy in bits per character; the first that fits counts. Other candidates are prose or paths.
+#: Character classes with their least entropy in bits per character; the first that fits counts. Letters of one case are prose or paths.
 CLASSES = (
     (r"\A[0-9]+\z", 3.1),
     (r"\A[0-9a-f]+\z|\A[0-9A-F]+\z", 3.2),
     (r"\A(?=.*[0-9])(?=.*[A-Za-z]).*\z", 3.8),
+    (r"\A(?=.*[a-z])(?=.*[A-Z])[^0-9]*\z", 4.0),
 )
-#: Forms that look random and are no secrets.
-ALLOWED = (
-    r"(?i)example|sample|placeholder|changeme|dummy|x{6}|0123456789|abcdefgh"
+#: Words of samples, which excuse a span that they are in.
+SAMPLES = r"(?i)example|sample|placeholder|changeme|dummy|0123456789|abcdefgh"
+#: Whole candidates that look random and are no secrets.
+FORMS = (
+    r"(?i)x{6}"
     r"|\A[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\z"
     r"|\Asha(?:1|256|384|512)[-_=]"
 )
+ALLOWED = f"{SAMPLES}|{FORMS.removeprefix('(?i)')}"
 #: c*log2(c) in units of 2**-20 bit.
 SCALE = 1 << 20
 WEIGHTS = [round(c * math.log2(c) * SCALE) if c else 0 for c in range(WINDOW + 2)]
@@ -152,9 +156,10 @@ def scan(docs: DataFrame) -> DataFrame:
     for kind, _, _, _, least in RULES:
         spans = f"filter(coalesce({positions(f'{kind}_found')}, {none}), p -> p.size >= {least})"
         rows = rows.withColumn(kind, F.expr(spans))
-    looked = f"filter(coalesce({positions('candidates')}, {none}), p -> NOT p.body RLIKE r'{ALLOWED}')"
-    ranged = f"transform({looked}, p -> struct(p.start AS at, {_class_range('p.body')} AS range))"
-    hot = f"transform(filter({ranged}, p -> p.range.first IS NOT NULL), p -> struct(p.at + p.range.first AS start, p.at + p.range.last AS end))"
+    looked = f"filter(coalesce({positions('candidates')}, {none}), p -> NOT p.body RLIKE r'{FORMS}')"
+    ranged = f"transform({looked}, p -> struct(p.start AS at, p.body AS body, {_class_range('p.body')} AS range))"
+    meant = f"p.range.first IS NOT NULL AND NOT substring(p.body, p.range.first + 1, p.range.last - p.range.first) RLIKE r'{SAMPLES}'"
+    hot = f"transform(filter({ranged}, p -> {meant}), p -> struct(p.at + p.range.first AS start, p.at + p.range.last AS end))"
     rows = rows.withColumn(ENTROPY, F.expr(hot))
     base = "concat(" + ", ".join(_ranked(kind, rank, kind) for rank, (kind, *_) in enumerate(RULES)) + ")"
     rows = rows.select("doc_id", *(kind for kind, *_ in RULES), ENTROPY, F.expr(base).alias("base"))
