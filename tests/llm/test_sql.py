@@ -16,7 +16,7 @@ from .helpers import SF_DIR
 @pytest.fixture(scope="module")
 def oracle():
     con = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "labels"):
+    for name in ("documents", "pages", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
     return con
 
@@ -32,7 +32,7 @@ def test_matches_sql(spark, oracle, name):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in LLM_QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_pipeline_runs_every_stage(spark):

@@ -108,6 +108,83 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM named
 """
 
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Every round compares all parts with all entries; the numbers of a part are rows (place, x)."""
+
+    def nearest(books: str) -> str:
+        return f"""
+  SELECT vec, part, entry, distance FROM (
+    SELECT n.vec, n.part, b.entry, sum((n.x - b.x) * (n.x - b.x))::BIGINT AS distance
+    FROM numbers n JOIN {books} b ON n.part = b.part AND n.place = b.place GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY vec, part ORDER BY distance, entry) = 1"""
+
+    steps = ""
+    for k in range(1, rounds + 1):
+        steps += f""", near{k} AS MATERIALIZED ({nearest(f"books{k - 1}")}
+), books{k} AS MATERIALIZED (
+  SELECT b.part, b.entry, b.place, coalesce(m.x, b.x) AS x FROM books{k - 1} b LEFT JOIN (
+    SELECT part, entry, place, floor(sum(x) / count(*))::BIGINT AS x FROM near{k} JOIN numbers USING (vec, part) GROUP BY ALL
+  ) m USING (part, entry, place)
+)"""
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, embedding, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS vec FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), numbers AS MATERIALIZED (
+  SELECT vec, spot * {parts} // size AS part, spot - (spot * {parts} // size) * (size // {parts}) AS place, floor(1024 * x::DOUBLE)::BIGINT AS x
+  FROM (SELECT vec, len(embedding) AS size, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS spot FROM kept)
+), books0 AS MATERIALIZED (
+  SELECT part, vec AS entry, place, x FROM numbers WHERE vec < {entries}
+){steps}, coded AS (
+  SELECT vec, string_agg(lpad(lower(to_hex(entry)), 2, '0'), '' ORDER BY part) AS code, sum(distance)::BIGINT AS error
+  FROM ({nearest(f"books{rounds}")}) GROUP BY vec
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, place)) FROM books{rounds}) AS codebooks_sha256
+FROM kept JOIN coded USING (vec)
+"""
+
+
+OP12 = _codes_sql()
+
+OP13 = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rn, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), firsts AS (
+  SELECT text, min(doc_id) AS first_id FROM docs GROUP BY text
+), told AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), failed AS (
+  SELECT d.part, coalesce(t.good, 0) AS good, coalesce(t.toxic, 0) AS toxic, {
+    'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w),
+    'C': 100 * length(regexp_replace(d.text, '[^A-Z]', '', 'g')) > 3 * length(d.text),
+    'D': regexp_matches(d.text, '[#$%&*|]'), 'E': coalesce(f.first_id < d.doc_id, false)} AS f
+  FROM docs d JOIN firsts f ON d.text = f.text LEFT JOIN told t ON d.doc_id = t.doc_id
+), letters AS (
+  SELECT part, good, toxic, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: CASE x WHEN 'A' THEN f.A WHEN 'B' THEN f.B WHEN 'C' THEN f.C
+         WHEN 'D' THEN f.D ELSE f.E END) AS fails FROM failed
+), combos AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM letters GROUP BY ALL
+), orders AS (
+  SELECT '' AS o UNION ALL SELECT o || x FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) WHERE NOT contains(o, x)
+), steps AS (
+  SELECT o AS filter_order, s::INT AS step, o[s] AS own, string_split(o[:s - 1], '') AS earlier
+  FROM orders, (SELECT unnest(range(1, 6)) AS s) WHERE length(o) = 5
+), judged AS (
+  SELECT part, filter_order, step, n, good, toxic, list_contains(fails, own) AS fail, list_has_any(fails, earlier) AS gone,
+         len(fails) AS k FROM combos, steps
+)
+SELECT part, filter_order, step, coalesce(sum(n) FILTER (NOT fail AND NOT gone), 0)::BIGINT AS kept,
+       coalesce(sum(n) FILTER (fail AND NOT gone), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (fail AND gone), 0)::BIGINT AS redundant,
+       coalesce(sum(n) FILTER (fail AND k = 1), 0)::BIGINT AS unique_fails,
+       coalesce(sum(good) FILTER (fail AND NOT gone), 0)::BIGINT AS good_lost,
+       coalesce(sum(toxic) FILTER (fail AND NOT gone), 0)::BIGINT AS toxic_lost,
+       coalesce(sum(120 * n // greatest(k, 1)) FILTER (fail), 0)::BIGINT AS shapley
+FROM judged GROUP BY part, filter_order, step
+"""
+
 LLM_SQL: dict[str, str] = {
     "op2_warc_bundles": OP2, "op4_near_dedup": OP4, "op5_decontaminate": OP5, "op9_line_dedup": OP9,
+    "op12_vector_codes": OP12, "op13_filter_audit": OP13,
 }
