@@ -235,6 +235,20 @@ _UNVALIDATED = _first(
     "unvalidated", "parsed", " AND ".join(f"{name} IS NOT NULL" for name in STAGING_REQUIRED)
 )
 
+_REPORTS = {
+    "driver_activity": """SELECT driver_id, CAST(trip_completed_at AS DATE) AS activity_date, count(*) AS trips,
+  CAST(sum(fare_usd) AS DECIMAL(20, 2)) AS fare_usd FROM trips GROUP BY 1, 2""",
+    "revenue_by_date_and_method": """SELECT CAST(payment_timestamp AS DATE) AS payment_date, payment_method, count(*) AS payments,
+  CAST(sum(amount_usd) AS DECIMAL(20, 2)) AS revenue_usd FROM payments GROUP BY 1, 2""",
+    "demand_by_pickup_and_hour": """SELECT pickup_location, date_trunc('hour', event_timestamp) AS request_hour, count(*) AS requests
+FROM staged WHERE event_type = 'ride_requested' GROUP BY 1, 2""",
+}
+
+_FIELD_LIST = _list([
+    "event_id", "ride_id", "driver_id", "rider_id", "event_type", "event_version", "event_timestamp", "pickup_location",
+    "dropoff_location", "fare_usd", "payment_method", "payment_status",
+])
+
 ORACLE_SQL = {
     "parse_events": f'WITH {_PARSED} SELECT n AS "offset", {_EVENT_COLUMNS} FROM parsed',
     "tap_events": f"""WITH {_FEED}
@@ -329,13 +343,34 @@ SELECT event_id, event_type, fare_usd, payment_method AS payment_method_name, pi
   dropoff_location AS dropoff_name, CAST(event_timestamp AS DATE) AS full_date,
   rpad(dayname(event_timestamp), 9, ' ') AS day_name, driver_id AS driver_name, rider_id AS rider_name
 FROM staged""",
-    "driver_activity": f"""WITH {_STAGED}, {_TRIPS}
-SELECT driver_id, CAST(trip_completed_at AS DATE) AS activity_date, count(*) AS trips,
-  CAST(sum(fare_usd) AS DECIMAL(20, 2)) AS fare_usd FROM trips GROUP BY 1, 2""",
-    "revenue_by_date_and_method": f"""WITH {_STAGED}, {_PAYMENTS}
-SELECT CAST(payment_timestamp AS DATE) AS payment_date, payment_method, count(*) AS payments,
-  CAST(sum(amount_usd) AS DECIMAL(20, 2)) AS revenue_usd FROM payments GROUP BY 1, 2""",
-    "demand_by_pickup_and_hour": f"""WITH {_STAGED}
-SELECT pickup_location, date_trunc('hour', event_timestamp) AS request_hour, count(*) AS requests
-FROM staged WHERE event_type = 'ride_requested' GROUP BY 1, 2""",
+    "driver_activity": f"WITH {_STAGED}, {_TRIPS} {_REPORTS['driver_activity']}",
+    "revenue_by_date_and_method": f"WITH {_STAGED}, {_PAYMENTS} {_REPORTS['revenue_by_date_and_method']}",
+    "demand_by_pickup_and_hour": f"WITH {_STAGED} {_REPORTS['demand_by_pickup_and_hour']}",
+    "curated_marts": f"""WITH {_STAGED}, {_TRIPS}, {_PAYMENTS}
+SELECT 'mart_driver_activity' AS mart, driver_id AS name, strftime(activity_date, '%Y-%m-%d 00') AS hour, trips AS number, fare_usd AS amount
+FROM ({_REPORTS['driver_activity']})
+UNION ALL SELECT 'mart_revenue', payment_method, strftime(payment_date, '%Y-%m-%d 00'), payments, revenue_usd
+FROM ({_REPORTS['revenue_by_date_and_method']})
+UNION ALL SELECT 'mart_demand', pickup_location, strftime(request_hour, '%Y-%m-%d %H'), requests, NULL
+FROM ({_REPORTS['demand_by_pickup_and_hour']})""",
+    "refill_buckets": f"""WITH {_STAGED}, {_DIMS}, {_TRIPS}, keyed AS ({_keyed('trips', 'trip_completed_at', 'trip_date_key')})
+SELECT * REPLACE (CASE WHEN driver_id = 'drv_0003' THEN (SELECT count(*) FROM dim_driver)
+  WHEN driver_id > 'drv_0003' THEN driver_key - 1 ELSE driver_key END AS driver_key), true AS as_planned FROM keyed""",
+    "bad_line_numbers": f"""WITH {_FEED},
+lines AS (SELECT n // 5000 AS file_no, row_number() OVER (PARTITION BY n // 5000 ORDER BY n) AS line_number, raw_json AS line FROM feed)
+SELECT * FROM lines
+WHERE NOT coalesce(list_has_all(CASE WHEN json_valid(line) THEN json_keys(line) END, {_FIELD_LIST}), false)""",
+    "landed_bytes": f"""WITH {_CLEAN_FEED},
+files AS (SELECT n // 5000 AS file_no, string_agg(raw_json, chr(13) || chr(10) ORDER BY n) AS body FROM feed GROUP BY 1)
+SELECT file_no, octet_length(encode(body)) AS bytes, sha256(body) AS sha256 FROM files""",
+    "promotions": f"""WITH {_VALIDATED}, {_staged_until('first_load', '2024-01-16')}, {_first('staged', 'validated', 'validation_error IS NULL')},
+valid AS (SELECT *, ts < TIMESTAMP '2024-01-16 00:00:00' AS early FROM validated WHERE validation_error IS NULL)
+SELECT 'first_attempted' AS name, count(*) AS rows FROM valid WHERE early
+UNION ALL SELECT 'first_inserted', count(*) FROM first_load
+UNION ALL SELECT name, 0 FROM (VALUES ('again_attempted'), ('again_inserted'), ('again_files')) AS t(name)
+UNION ALL SELECT 'second_attempted', count(*) FROM valid WHERE NOT early
+UNION ALL SELECT 'second_inserted', count(*) FROM staged WHERE event_id NOT IN (SELECT event_id FROM first_load)""",
+    "stream_replay": f"""WITH {_VALIDATED}
+SELECT 'raw' AS zone, NULL AS validation_error, n AS "offset" FROM validated
+UNION ALL SELECT CASE WHEN validation_error IS NULL THEN 'clean' ELSE 'rejected' END, validation_error, n FROM validated""",
 }

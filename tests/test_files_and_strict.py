@@ -8,7 +8,8 @@ import pytest
 from tripflow.operators.staging import FILE_ORDER, stage_events, staging_rows_from_files
 from tripflow.operators.strict import StrictLoadError, check_strict, strict_violations
 from tripflow.schemas import EVENT_FIELDS
-from tripflow.sources.files import bad_lines, land_raw_files, newest_file, read_event_files
+from tripflow.sources.files import bad_lines, newest_file, numbered_bad_lines, read_event_files
+from tripflow.sources.landing import copy_lines, land_raw_files, landed_digests, partition_value, ranges
 
 EVENT = {
     "event_id": "evt_1", "ride_id": "ride_1", "driver_id": "drv_1", "rider_id": "rdr_1", "event_type": "trip_completed",
@@ -133,4 +134,95 @@ def test_bad_lines_are_named(spark, tmp_path):
     path = write(tmp_path / "a.jsonl", EVENT, "not json", EVENT, {"event_id": "x"})
     found = bad_lines(spark, path)
     assert [text for _, _, text in found] == ["not json", '{"event_id": "x"}']
-    assert all(file.endswith("/a.jsonl") and at == 0 for file, at, _ in found)
+    assert [(file.rsplit("/", 1)[1], number) for file, number, _ in found] == [("a.jsonl", 2), ("a.jsonl", 4)]
+
+
+def test_bad_lines_are_numbered_across_splits_and_files(spark, tmp_path):
+    """Blank lines, carriage returns and lines longer than a split; some files have no line feed at their end."""
+    expected = set()
+    for name in ("a", "b", "c"):
+        lines = []
+        for n in range(1, 700):
+            kind = (n * 7 + ord(name)) % 13
+            line = {0: "", 1: f"broken {n}", 2: "   ", 3: json.dumps({"event_id": n}), 4: "x" * 5000}.get(kind, json.dumps(EVENT | {"event_id": f"e{n}"}))
+            if kind in (1, 3, 4):
+                expected.add((f"{name}.jsonl", n, line))
+            lines.append(line)
+        end = "\r\n" if name == "b" else "\n"
+        (tmp_path / f"{name}.jsonl").write_bytes(end.join(lines).encode() + (b"" if name == "c" else end.encode()))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        found = numbered_bad_lines(spark, str(tmp_path))
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 100
+        assert sorted((r.file.rsplit("/", 1)[1], r.line_number, r.value) for r in found.collect()) == sorted(expected)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {(r.file.rsplit("/", 1)[1], r.line_number, r.value) for r in found.collect()} == expected
+
+
+def deliver(spark, folder, marked=True):
+    writer = spark.range(10).selectExpr("cast(id AS string)").repartition(3).write
+    writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(marked).lower()).text(folder)
+    return folder
+
+
+def test_newest_whole_delivery(spark, tmp_path):
+    """Files and folders of part files compete; one that is still written does not count, however new."""
+    write(tmp_path / "old.jsonl", EVENT)
+    os.utime(tmp_path / "old.jsonl", (1_700_000_000,) * 2)
+    (tmp_path / "other").mkdir()
+    write(tmp_path / "other" / "deep.jsonl", EVENT)  # no delivery of this folder
+    assert newest_file(spark, str(tmp_path)).endswith("/old.jsonl")
+    whole = deliver(spark, str(tmp_path / "whole.jsonl"))
+    deliver(spark, str(tmp_path / "unfinished.jsonl"), marked=False)
+    found = newest_file(spark, str(tmp_path))
+    assert found.endswith("/whole.jsonl") and spark.read.text(found).count() == 10
+    assert spark.read.text(whole).count() == 10
+    os.utime(tmp_path / "old.jsonl", (4_000_000_000,) * 2)
+    assert newest_file(spark, str(tmp_path)).endswith("/old.jsonl")
+
+
+CONTENTS = {
+    "a.jsonl": b"one\ntwo\r\n\n\nthree", "b.jsonl": b"one\n", "empty.jsonl": b"", "c.jsonl": b"\n\n\n", "d=%1.jsonl": b"x" * 5000,
+    "\u00e9 f.jsonl": b"\xff\xfe bad \x00 utf\n" * 300, "long.jsonl": b"y" * 300 + b"\n" + b"z\n" * 50 + b"w" * 999,
+}
+
+
+@pytest.mark.parametrize("range_bytes", [1 << 20, 64, 7])
+def test_landed_bytes_are_the_source_bytes(spark, tmp_path, range_bytes):
+    source, raw = tmp_path / "source", tmp_path / "raw"
+    source.mkdir()
+    for name, content in CONTENTS.items():
+        (source / name).write_bytes(content)
+    for _ in range(2):
+        listed = land_raw_files(spark, str(source), str(raw), range_bytes)
+    for name, content in CONTENTS.items():
+        parts = sorted((raw / f"source_file={partition_value(name)}").glob("part-*"))
+        assert b"".join(p.read_bytes() for p in parts) == content
+        assert all(p.read_bytes().endswith(b"\n") for p in parts[:-1])  # whole lines, so readers of lines see the file's
+    rows = {(r.source_file, r.part): (r.bytes, r.sha256) for r in listed.collect()}
+    assert {(r.source_file, r.part): (r.bytes, r.sha256) for r in landed_digests(spark, str(raw)).collect()} == rows
+    assert sorted(p.name for p in raw.iterdir() if not p.name.startswith("source_file=")) == ["_landed", "_landing"]
+    assert not list((raw / "_landing").iterdir())
+
+
+def test_files_of_one_name_share_a_partition(spark, tmp_path):
+    for folder in ("x", "y"):
+        (tmp_path / folder).mkdir()
+        write(tmp_path / folder / "a.jsonl", folder)
+    land_raw_files(spark, [str(tmp_path / "x" / "a.jsonl"), str(tmp_path / "y" / "a.jsonl")], str(tmp_path / "raw"))
+    assert {(r.value, r.source_file) for r in spark.read.text(str(tmp_path / "raw")).collect()} == {("x", "a.jsonl"), ("y", "a.jsonl")}
+
+
+def test_ranges_are_dealt_out(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_bytes(b"x" * 1000)
+    found = sorted((r.begin, r.stop, r.part) for r in ranges(spark, str(tmp_path / "a.jsonl"), 300).collect())
+    assert found == [(0, 300, 0), (300, 600, 1), (600, 900, 2), (900, 1000, 3)]
+
+
+def test_a_file_that_became_shorter_is_an_error(tmp_path):
+    import pyarrow as pa
+
+    (tmp_path / "a").write_bytes(b"one\ntwo\n")
+    with pa.OSFile(str(tmp_path / "a")) as source, pytest.raises(OSError, match="shorter"):
+        copy_lines(source, 0, 20, 20, lambda: pa.BufferOutputStream())

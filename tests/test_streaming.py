@@ -160,3 +160,21 @@ def test_a_day_is_read_by_partition_pruning(spark, tmp_path, records):
         found = lake.read_clean(spark).filter(F.col("ingestion_date") == F.lit(wanted).cast("date"))
         assert found.count() == rows
     assert "PartitionFilters: [isnotnull(ingestion_date" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_counts_take_no_job_of_their_own(spark, tmp_path):
+    """Three zones, three writing jobs; a replay reports the same counts."""
+    from tripflow.operators.parse import decode_envelope, normalise
+    from tripflow.operators.validate import validate
+
+    batch = validate(normalise(decode_envelope(as_records(load_feed(spark, SF_DIR).coalesce(1)))))
+    lake, context = Lake(str(tmp_path / "lake")), spark.sparkContext
+    for attempt in range(2):
+        context.setJobGroup(f"batch {attempt}", "")
+        try:
+            assert route_batch(batch, 0, lake, "run", expected=1000) == {"total": 1000, "valid": 839, "rejected": 161}
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+        assert len(context.statusTracker().getJobIdsForGroup(f"batch {attempt}")) <= 3
+    assert sizes(spark, lake) == (1000, 839, 161)
+    assert len(glob.glob(f"{lake.path('raw')}/*/*/*/*.json")) == 1

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from tripflow.operators import marts
 from tripflow.operators.dims import DIMENSIONS
 from tripflow.operators.facts import FACTS
-from tripflow.operators.keys import fill_keys, key_coverage
+from tripflow.operators.keys import fill_keys, key_coverage, own_partitions
 from tripflow.operators.strict import StrictLoadError
-from tripflow.plans.batch import load_star, run_batch
+from tripflow.plans import warehouse as plans
+from tripflow.plans.batch import load_star, refresh_marts, run_batch
 from tripflow.plans.warehouse import Warehouse
 from tripflow.schemas import TABLES
 
@@ -285,3 +286,163 @@ def test_reports_against_brute_force(spark, warehouse, files):
     assert {(str(r[0]), r[1]): (r.payments, float(r.revenue_usd)) for r in found} == revenue
     found = marts.demand_by_pickup_and_hour(warehouse.table("fct_ride_events")).collect()
     assert {(r[0], r.request_hour.isoformat()[:13]): r.requests for r in found} == demand
+
+
+@pytest.mark.parametrize("partitions", [2, 4, 8, 16])
+def test_the_fact_stays_whatever_the_shuffle_partitions(spark, warehouse, files, partitions):
+    """Of a table with 4 buckets, and of rows dealt out by bucket, no shuffle is wider than a row id and a key."""
+    run_batch(spark, warehouse, files("a", [event(n) for n in range(60)]))
+    expected = contents(warehouse, "fct_ride_events")
+    _, lookups = FACTS["fct_ride_events"]
+    names = [lookup.key_column for lookup in lookups()]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        fact = warehouse.table("fct_ride_events")
+        unkeyed = fact.withColumns({name: F.lit(None).cast(fact.schema[name].dataType) for name in names})
+        assert own_partitions(unkeyed, "event_id") == own_partitions(unkeyed.repartition(4, "event_id"), "event_id") == 4
+        assert own_partitions(unkeyed.repartition("ride_id"), "event_id") is None and own_partitions(unkeyed, "ride_id") is None
+        filled = fill_keys(unkeyed, lookups(), warehouse.dimensions(), "event_id", frozenset(DIMENSIONS))
+        assert max(exchanges(filled._jdf.queryExecution().executedPlan())) == 2
+        assert sorted(map(tuple, filled.drop("loaded_at").collect()), key=str) == expected
+        assert {f.name: f.dataType for f in filled.schema} == {f.name: f.dataType for f in fact.schema}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def file_names(warehouse, name):
+    return {row.file_name: row.bucket for row in warehouse.files(name).collect()}
+
+
+def partly_keyed(spark, path, location, files, buckets=16):
+    """Events keyed while one driver was unknown, of whom only two rides are."""
+    warehouse = Warehouse(spark, f"w_{uuid.uuid4().hex}", location, buckets=buckets).create()
+    late = {"driver_id": "late"}
+    warehouse.load_staging(files(path, [event(n, **(late if n // 5 in (3, 11) else {})) for n in range(200)]))
+    for name in DIMENSIONS:
+        rows = DIMENSIONS[name](warehouse.table("ride_events").filter("driver_id <> 'late'"), warehouse.table(name))
+        warehouse.append(name, rows) if name == "dim_driver" else warehouse.load_dimension(name)
+    warehouse.load_fact("fct_trips", with_keys=True)
+    return warehouse
+
+
+def test_only_buckets_with_a_found_key_get_new_files(spark, files, tmp_path):
+    warehouse = partly_keyed(spark, "a", str(tmp_path / "tables"), files)
+    before = file_names(warehouse, "fct_trips")
+    assert warehouse.fill_fact_keys("fct_trips") == 0 and file_names(warehouse, "fct_trips") == before  # no dimension has the name
+    place = F.col("_metadata.file_name")
+    fact = warehouse.table("fct_trips").select("*", place.alias("file"))
+    touched = {before[r.file] for r in fact.filter("driver_id = 'late'").collect()}
+    expected = {r.ride_id: r for r in warehouse.table("fct_trips").collect()}
+    warehouse.load_dimension("dim_driver")
+    assert warehouse.fill_fact_keys("fct_trips") == len(touched) in (1, 2)
+    after = file_names(warehouse, "fct_trips")
+    assert {bucket for file, bucket in after.items() if file not in before} == touched
+    assert {bucket for file, bucket in before.items() if file not in after} == touched
+    assert len(after) == len(set(after.values()))  # one file for each bucket, still
+    rows = warehouse.table("fct_trips").collect()
+    assert len(rows) == 40
+    for row in rows:
+        old = expected[row.ride_id].asDict()
+        assert row.asDict() | {"driver_key": None} == old | {"driver_key": None}
+        assert row.driver_key == (7 if row.driver_id == "late" else old["driver_key"]) or row.driver_id == "late" and row.driver_key
+    assert warehouse.table("fct_trips").groupBy("ride_id").count().count() == 40
+    assert warehouse.fill_fact_keys("fct_trips") == 0
+
+
+@pytest.mark.parametrize("moves", [0, 1, 2])
+def test_a_switch_that_was_cut_short_is_finished_by_the_next_writer(spark, files, tmp_path, monkeypatch, moves):
+    warehouse = partly_keyed(spark, "a", str(tmp_path / "tables"), files, buckets=4)
+    warehouse.load_dimension("dim_driver")
+    real, done = Warehouse._finish_switch, []
+
+    def stop(self, name):
+        note, store = self._switch_note(name)
+        if not store.exists(note):
+            return
+        text = json.loads(open(note.toString().removeprefix("file:")).read())
+        for file in text["old"][:moves]:
+            store.delete(plans.hadoop_path(spark, f"{text['to']}/{file}")[0], False)
+        for file in text["new"][: moves - 1 if moves else 0]:
+            store.rename(*(plans.hadoop_path(spark, f"{text[end]}/{file}")[0] for end in ("from", "to")))
+        done.append(name)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(Warehouse, "_finish_switch", stop)
+    with pytest.raises(KeyboardInterrupt):
+        warehouse.fill_fact_keys("fct_trips")
+    monkeypatch.setattr(Warehouse, "_finish_switch", real)
+    assert done == ["fct_trips"] and warehouse.clean(older_than_hours=0) == 0  # the note keeps the new files
+    with warehouse.writing("fct_trips"):
+        pass
+    rows = warehouse.table("fct_trips").collect()
+    assert len(rows) == len({r.ride_id for r in rows}) == 40 and all(r.driver_key for r in rows)
+
+
+def test_promotion_reads_new_batches_only(spark, warehouse, tmp_path, monkeypatch):
+    from tests.test_streaming import SF_DIR
+    from tripflow.fixtures import as_records, load_feed
+    from tripflow.operators.parse import decode_envelope, normalise
+    from tripflow.operators.validate import validate
+    from tripflow.streaming.job import route_batch
+    from tripflow.streaming.lake import Lake
+
+    validated, lake = validate(normalise(decode_envelope(as_records(load_feed(spark, SF_DIR))))), Lake(str(tmp_path / "lake"))
+    assert warehouse.promote(lake) == {"batches": 0, "files": 0, "attempted": 0, "inserted": 0, "quarantined": 0}
+    route_batch(validated.filter("offset < 400"), 0, lake, "run")
+    first = warehouse.promote(lake)
+    assert first["batches"] == 1 and first["attempted"] >= first["inserted"] > 0
+    again = warehouse.promote(lake)
+    assert again == {"batches": 0, "files": 0, "attempted": 0, "inserted": 0, "quarantined": 0}
+    route_batch(validated.filter("offset >= 400 AND offset < 700"), 1, lake, "run")
+    monkeypatch.setattr(plans, "LISTED_BATCHES", 0)  # more batches than are listed: joined instead
+    route_batch(validated.filter("offset >= 700"), 0, lake, "other run")
+    second = warehouse.promote(lake)
+    assert second["batches"] == 2 and first["attempted"] + second["attempted"] == 839
+    assert warehouse.count("ride_events") == first["inserted"] + second["inserted"] == 833
+
+    # Cut short between staging and the note: the batch is read again and adds nothing.
+    route_batch(validated.filter("offset < 10"), 7, lake, "run")
+    with monkeypatch.context() as broken:
+        broken.setattr(F, "localtimestamp", lambda: F.raise_error(F.lit("lost")).cast("timestamp_ntz"))
+        broken.setattr(Warehouse, "stage_from_clean", lambda self, clean: {"attempted": clean.count(), "inserted": 0, "quarantined": 0})
+        with pytest.raises(Exception, match="lost"):
+            warehouse.promote(lake)
+    assert warehouse.promote(lake)["batches"] == 1 and warehouse.count("ride_events") == 833
+
+
+def test_marts_add_loads_up(spark, warehouse, files, monkeypatch):
+    reports = {"mart_driver_activity": marts.driver_activity, "mart_revenue": marts.revenue_by_date_and_method, "mart_demand": marts.demand_by_pickup_and_hour}
+
+    def check():
+        for name, report in reports.items():
+            whole = report(warehouse.table(marts.MARTS[name].fact))
+            found = warehouse.mart(name).select(*whole.columns)
+            assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+
+    def load(name, numbers):
+        warehouse.load_staging(files(name, [event(n, **({"driver_id": None} if n % 50 == 3 else {})) for n in numbers]))
+        for fact in FACTS:
+            warehouse.load_fact(fact)
+
+    assert set(refresh_marts(warehouse).values()) == {0}
+    load("a", range(60))
+    assert set(refresh_marts(warehouse, fold=False).values()) == {1}
+    check()
+    load("b", range(300, 400))
+    load("c", range(40, 120))
+    assert set(refresh_marts(warehouse, fold=False).values()) == {2}
+    check()
+    load("d", range(500, 530))
+    with monkeypatch.context() as broken:  # cut short: nothing has changed, and the load is added the next time
+        broken.setattr(Warehouse, "replace", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            warehouse.refresh_mart("mart_demand")
+    assert set(refresh_marts(warehouse).values()) == {1}
+    check()
+    assert set(refresh_marts(warehouse).values()) == {0}
+    stored = warehouse.table("mart_demand")
+    assert stored.filter("included_load IS NOT NULL").count() == 4
+    keys = stored.filter("included_load IS NULL").groupBy("pickup_location", "request_hour").count()
+    assert keys.filter("count > 1").isEmpty()  # folded: one row for each key

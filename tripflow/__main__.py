@@ -1,4 +1,5 @@
-"""Command line: ``stream``, ``tap``, ``batch``, ``promote`` (clean zone to the star), and single steps: ``load``, ``fill``, ``clean``, ``unlock``."""
+"""Command line: ``stream``, ``tap``, ``batch``, ``promote`` (clean zone to the star), ``curate`` (stored reports), and single steps:
+``load``, ``fill``, ``clean``, ``unlock``."""
 
 from __future__ import annotations
 
@@ -7,9 +8,9 @@ from datetime import datetime
 
 from .operators.dims import DIMENSIONS
 from .operators.facts import FACTS
-from .plans.batch import load_star, run_batch
-from .plans.warehouse import Warehouse
-from .schemas import TABLES
+from .plans.batch import load_star, refresh_marts, run_batch
+from .plans.warehouse import PROMOTED, Warehouse
+from .schemas import MART_TABLES, TABLES
 from .session import build_session
 from .sources.streams import RecordFiles, TopicSource, tap_stream
 from .streaming.job import TRIGGER, run_streaming
@@ -38,12 +39,13 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--min-partitions", type=int)
     stream.add_argument("--show-samples", type=int, default=0)
 
-    batch = add("batch", "load the newest event file of a folder, or one .jsonl file")
+    batch = add("batch", "load the newest delivery of a folder, or one .jsonl file or folder")
     batch.add_argument("--source", required=True)
-    batch.add_argument("--raw", help="folder that receives the unparsed lines")
+    batch.add_argument("--raw", help="folder that receives the files as they are")
     promote = add("promote", "load clean-zone events into the star")
     promote.add_argument("--lake", required=True)
-    promote.add_argument("--date", help="one ingestion date; all without it")
+    promote.add_argument("--date", help="one ingestion date, whole; without it all batches that were not promoted before")
+    curate = add("curate", "add new loads to the stored reports")
     load = add("load", "load one dimension or fact from staging")
     fill = add("fill", "fill missing keys of one fact")
     clean = add("clean", "remove folders of replaced table contents")
@@ -51,10 +53,10 @@ def _parser() -> argparse.ArgumentParser:
     unlock = add("unlock", "remove the lock that a dead writer left")
     load.add_argument("--table", required=True, choices=[*DIMENSIONS, *FACTS])
     fill.add_argument("--table", required=True, choices=[*FACTS])
-    unlock.add_argument("--table", required=True, choices=[*TABLES])
+    unlock.add_argument("--table", required=True, choices=[*TABLES, *MART_TABLES, PROMOTED])
     for command in (batch, promote, load):
         command.add_argument("--since", type=datetime.fromisoformat, help="read what was staged at or after this time")
-    for command in (batch, promote, load, fill, clean, unlock):
+    for command in (batch, promote, curate, load, fill, clean, unlock):
         command.add_argument("--warehouse", required=True, help="folder of the tables")
         command.add_argument("--database", default="warehouse")
         command.add_argument("--buckets", type=int)
@@ -84,10 +86,15 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "batch":
         print(run_batch(spark, warehouse, args.source, args.raw, args.since))
     elif args.command == "promote":
-        clean = Lake(args.lake).read_clean(spark)
+        lake = Lake(args.lake)
         if args.date:
-            clean = clean.filter(clean.ingestion_date == args.date)
-        print(warehouse.stage_from_clean(clean) | load_star(warehouse, args.since))
+            clean = lake.read_clean(spark)
+            counts = warehouse.stage_from_clean(clean.filter(clean.ingestion_date == args.date))
+        else:
+            counts = warehouse.promote(lake)
+        print(counts | load_star(warehouse, args.since))
+    elif args.command == "curate":
+        print(refresh_marts(warehouse))
     elif args.command == "load":
         load = warehouse.load_dimension if args.table in DIMENSIONS else warehouse.load_fact
         print({args.table: load(args.table, since=args.since)})

@@ -106,25 +106,69 @@ def fill_keys(
     All keys of a fact are filled in one plan. ``row_id`` is unique in the fact. A dimension that names a value twice, as two
     unguarded writers can make it, gives its smallest key, so no join multiplies rows.
 
-    For the dimensions in ``growing`` only pairs of row id and natural key travel to the dimension, and row id and key travel
-    back; the fact's other columns stay where they are. Rows without a natural key take no part, so null is never a hot
-    key, and adaptive execution splits the partitions of names that are.
+    For the dimensions in ``growing`` only pairs of row id and natural key travel to the dimension. What all of them find travels back
+    in one shuffle of row ids and keys, which is dealt out as the fact is, so the fact's other columns stay where they are. Rows without a
+    natural key take no part, so null is never a hot key, and adaptive execution splits the partitions of names that are.
     """
     filled = fact
+    grown = [lookup for lookup in lookups if lookup.dim in growing]
+    if grown:
+        keys, partitions = found_keys(fact, grown, dims, row_id), own_partitions(fact, row_id)
+        if partitions:
+            keys = keys.repartition(partitions, row_id)
+        # Reduced after the joins and not before them: only a join of two plain shuffles can be split where a name is hot.
+        found = F.col("found")
+        smallest = [F.min(F.when(found["lookup"] == x.key_column, found["key"])).alias(f"found_{x.key_column}") for x in grown]
+        keys = keys.groupBy(row_id).agg(*smallest)
+        filled = filled.join(keys.hint("shuffle_hash") if partitions else keys, row_id, "left")
     for lookup in lookups:
         found, wanted = f"found_{lookup.key_column}", f"wanted_{lookup.key_column}"
-        side = dims[lookup.dim].select(F.col(lookup.natural_key).alias(wanted), F.col(lookup.dim_key).alias(found))
-        smallest = F.min(found).alias(found)
-        if lookup.dim in growing:
-            pairs = fact.filter(_is_open(lookup)).select(row_id, lookup.fact_value.alias(wanted))
-            # Reduced after the join and not before it: only a join of two plain shuffles can be split where a name is hot.
-            filled = filled.join(pairs.join(side, wanted).groupBy(row_id).agg(smallest), row_id, "left")
-        else:
-            filled = filled.join(side.groupBy(wanted).agg(smallest), lookup.fact_value == F.col(wanted), "left")
-        filled = filled.withColumn(lookup.key_column, F.coalesce(lookup.key_column, found)).drop(found, wanted)
+        if lookup not in grown:
+            side = _side(lookup, dims, wanted, found).groupBy(wanted).agg(F.min(found).alias(found))
+            filled = filled.join(side, lookup.fact_value == F.col(wanted), "left")
+        key = F.col(found).cast(fact.schema[lookup.key_column].dataType)
+        filled = filled.withColumn(lookup.key_column, F.coalesce(lookup.key_column, key)).drop(found, wanted)
     return filled.select(*fact.columns)
 
 
+def found_keys(fact: DataFrame, lookups: list[Lookup], dims: dict[str, DataFrame], row_id: str) -> DataFrame:
+    """(row_id, found): the key column and the key of every open key that has a match."""
+    parts = []
+    for lookup in lookups:
+        wanted, key = f"wanted_{lookup.key_column}", f"found_{lookup.key_column}"
+        pairs = fact.filter(_is_open(lookup)).select(row_id, lookup.fact_value.alias(wanted))
+        found = F.struct(F.lit(lookup.key_column).alias("lookup"), F.col(key).cast("bigint").alias("key"))
+        parts.append(pairs.join(_side(lookup, dims, wanted, key), wanted).select(row_id, found.alias("found")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _side(lookup: Lookup, dims: dict[str, DataFrame], wanted: str, found: str) -> DataFrame:
+    return dims[lookup.dim].select(F.col(lookup.natural_key).alias(wanted), F.col(lookup.dim_key).alias(found))
+
+
+def own_partitions(rows: DataFrame, row_id: str) -> int | None:
+    """The number of partitions, if rows are already dealt out by the hash of ``row_id``: by a table's buckets, or by ``repartition`` with a number.
+
+    Spark would else bring both sides of a join to ``spark.sql.shuffle.partitions``, moving the larger side for the sake of the smaller.
+    Rows are only planned here.
+    """
+    plan = rows.groupBy(row_id).count()._jdf.queryExecution().executedPlan()
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        plan = plan.initialPlan()
+    partitions = plan.outputPartitioning().numPartitions()
+    while plan.children().size() == 1:
+        if plan.nodeName() == "Exchange":
+            return partitions if plan.shuffleOrigin().toString() == "REPARTITION_BY_NUM" else None
+        plan = plan.children().apply(0)
+    return partitions
+
+
+def buckets_of(row_ids: DataFrame, row_id: str, buckets: int) -> list[int]:
+    """The buckets that these rows are in, by the hash that deals tables out into buckets."""
+    bucket = F.pmod(F.hash(row_id), F.lit(buckets)).alias("bucket")
+    return sorted(row["bucket"] for row in row_ids.select(bucket).distinct().collect())
+
+
 def _is_open(lookup: Lookup) -> Column:
     return F.col(lookup.key_column).isNull() & lookup.fact_value.isNotNull()
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,3 +28,26 @@ def demand_by_pickup_and_hour(events: DataFrame) -> DataFrame:
     return requests.groupBy(
         "pickup_location", F.date_trunc("hour", "event_timestamp").cast("timestamp_ntz").alias("request_hour")
     ).agg(F.count(F.lit(1)).alias("requests"))
+
+
+class Mart(NamedTuple):
+    """A report that is kept: its measures are counts and sums, so reports over parts of a fact add up to the report over all of it."""
+
+    fact: str
+    report: Callable[[DataFrame], DataFrame]
+    keys: list[str]
+    measures: dict[str, str]
+
+
+MARTS = {
+    "mart_driver_activity": Mart("fct_trips", driver_activity, ["driver_id", "activity_date"], {"trips": "bigint", "fare_usd": "decimal(20,2)"}),
+    "mart_revenue": Mart(
+        "fct_payments", revenue_by_date_and_method, ["payment_date", "payment_method"], {"payments": "bigint", "revenue_usd": "decimal(20,2)"}
+    ),
+    "mart_demand": Mart("fct_ride_events", demand_by_pickup_and_hour, ["pickup_location", "request_hour"], {"requests": "bigint"}),
+}
+
+
+def add_up(mart: Mart, parts: DataFrame) -> DataFrame:
+    """The report from reports over parts."""
+    return parts.groupBy(*mart.keys).agg(*(F.sum(name).cast(kind).alias(name) for name, kind in mart.measures.items()))

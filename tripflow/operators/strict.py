@@ -14,7 +14,7 @@ class StrictLoadError(ValueError):
     def __init__(self, violations: dict[str, int], lines: list[tuple[str, int, str]] = ()):
         self.violations, self.lines = violations, lines
         text = "load rejected: " + ", ".join(f"{k} ({n} rows)" for k, n in violations.items())
-        super().__init__(text + "".join(f"\n  {file} (split at byte {at}): {line}" for file, at, line in lines))
+        super().__init__(text + "".join(f"\n  {file}, line {number}: {line}" for file, number, line in lines))
 
 
 def constraints(columns: list[str]) -> dict[str, Column]:

@@ -11,7 +11,9 @@ from pyspark.sql import SparkSession
 
 from ..operators.dims import DIMENSIONS
 from ..operators.facts import FACTS
-from ..sources.files import land_raw_files, newest_file
+from ..operators.marts import MARTS
+from ..sources.files import newest_file
+from ..sources.landing import land_raw_files
 from .warehouse import Warehouse
 
 
@@ -40,10 +42,15 @@ def load_star(warehouse: Warehouse, since: datetime | None = None) -> dict[str,
     return counts | _together(warehouse.spark, load_fact, FACTS)
 
 
+def refresh_marts(warehouse: Warehouse, fold: bool = True) -> dict[str, int]:
+    """Adds new loads to every stored report; returns how many loads were new to each."""
+    return _together(warehouse.spark, lambda name: warehouse.refresh_mart(name, fold), MARTS)
+
+
 def run_batch(
     spark: SparkSession, warehouse: Warehouse, source: str, raw_folder: str | None = None, since: datetime | None = None
 ) -> dict[str, int]:
-    """Lands the newest event file of a folder (or the given ``.jsonl`` file), stages it and loads the star.
+    """Lands the newest delivery of a folder (or the given ``.jsonl`` file or folder), stages it and loads the star.
 
     Any failing step raises and ends the run. Every step can be repeated, so a new run finishes it.
     """

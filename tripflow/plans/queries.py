@@ -7,8 +7,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixtures import as_records, load_feed
@@ -26,12 +28,13 @@ from ..operators.validate import split_valid, validate
 from ..operators.zones import clean_zone, raw_zone, rejected_zone
 from ..schemas import EVENT_FIELDS, STAGING_REQUIRED, UNIQUE_COLUMN
 from ..session import shared_path, write_aside
-from ..sources.files import land_raw_files, newest_file, parse_lines
+from ..sources.files import newest_file, numbered_bad_lines, parse_lines
+from ..sources.landing import land_raw_files, landed_digests
 from ..sources.streams import RecordFiles, tap_view
-from ..streaming.job import start_streaming
+from ..streaming.job import route_batch, start_streaming
 from ..streaming.lake import Lake
-from .batch import load_star, run_batch
-from .warehouse import Warehouse
+from .batch import load_star, refresh_marts, run_batch
+from .warehouse import Warehouse, bucket_of_file
 
 WALL_CLOCK = ["ingested_at", "ingestion_date", "created_at", "loaded_at"]
 
@@ -294,6 +297,10 @@ def refill_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _portable(reopened.table("fct_trips"))
 
 
+def _named(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    return spark.range(1).select(F.explode(F.create_map(*(F.lit(x) for pair in counts.items() for x in pair))).alias("name", "rows"))
+
+
 def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What two loads report, half of the month and then all of it, and the tables' row counts after them."""
     warehouse = _fresh_warehouse(spark)
@@ -303,19 +310,147 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         counts = warehouse.stage_from_clean(rows)
         reported |= {f"{name}_attempted": counts["attempted"], f"{name}_inserted": counts["inserted"]}
         reported |= load_star(warehouse)
-    return spark.range(1).select(F.explode(F.create_map(*(F.lit(x) for pair in reported.items() for x in pair))).alias("name", "rows"))
+    return _named(spark, reported)
+
+
+def refill_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips keyed before one driver was known, and filled afterwards: ``as_planned`` is true where a row's bucket has a new file just if
+    some row of the bucket lacked its key."""
+    late = "drv_0003"
+    warehouse = Warehouse(spark, f"tripflow_{uuid.uuid4().hex}", shared_path(spark, "warehouse"), buckets=64).create()
+    warehouse.stage_from_clean(clean_zone(_validated(spark, sf_dir)))
+    for name in dims.DIMENSIONS:
+        if name != "dim_driver":
+            warehouse.load_dimension(name)
+    known = warehouse.table("ride_events").filter(F.col("driver_id") != late)
+    warehouse.append("dim_driver", dims.dim_driver(known, warehouse.table("dim_driver")))
+    warehouse.load_fact("fct_trips", with_keys=True)
+    file_name = F.col("_metadata.file_name")
+    before = warehouse.table("fct_trips").select(
+        "ride_id", file_name.alias("old_file"), bucket_of_file(file_name).alias("bucket"), F.col("driver_key").isNull().alias("open")
+    )
+    before = write_aside(before, "files")
+    warehouse.load_dimension("dim_driver")
+    warehouse.fill_fact_keys("fct_trips")
+    wanted = before.groupBy("bucket").agg(F.bool_or("open").alias("wanted"))
+    expected = before.join(wanted, "bucket").select("ride_id", "old_file", "wanted")
+    after = warehouse.table("fct_trips").select("*", file_name.alias("new_file")).join(expected, "ride_id")
+    moved = F.col("old_file") != F.col("new_file")
+    return _portable(after.withColumn("as_planned", moved == F.col("wanted")).drop("old_file", "new_file", "wanted"))
 
 
 def newest_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A folder of event files, of which a batch takes the newest; returns what was staged."""
+    """A folder of deliveries in many parts, of which a batch takes the newest whole one; returns what was staged."""
     warehouse, folder = _fresh_warehouse(spark), shared_path(spark, "incoming")
-    feed = load_feed(spark, sf_dir, faults=False)
-    for number, rows in enumerate((feed.filter("n % 2 = 0"), feed.repartitionByRange("n").sortWithinPartitions("n"))):
-        rows.select("raw_json").coalesce(1).write.text(f"{folder}/{number}.jsonl")
-    warehouse.load_staging(newest_file(spark, folder, recursive=True))
+    feed = load_feed(spark, sf_dir, faults=False).select("n", "raw_json")
+    half = feed.filter("n % 2 = 0").select("raw_json")
+    half.write.text(f"{folder}/0.jsonl")
+    feed.repartitionByRange("n").sortWithinPartitions("n").select("raw_json").write.text(f"{folder}/1.jsonl")
+    unfinished = half.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    unfinished.text(f"{folder}/2.jsonl")
+    warehouse.load_staging(newest_file(spark, folder))
     return _portable(warehouse.table("ride_events"))
 
 
+LINES_PER_FILE = 5_000
+
+
+def _file_no() -> Column:
+    return F.expr(f"CAST(n div {LINES_PER_FILE} AS BIGINT)").alias("file_no")
+
+
+def _no_of_file(path: str) -> Column:
+    return F.regexp_extract(path, "file_no=([0-9]+)/", 1).cast("bigint").alias("file_no")
+
+
+def bad_line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the faulty feed's files that are no whole event, with their numbers."""
+    folder = shared_path(spark, "files")
+    feed = load_feed(spark, sf_dir).select(_file_no(), "n", "raw_json").repartition("file_no").sortWithinPartitions("file_no", "n")
+    feed.select("file_no", "raw_json").write.partitionBy("file_no").text(folder)
+    return numbered_bad_lines(spark, folder).select(_no_of_file("file"), "line_number", F.col("value").alias("line"))
+
+
+def landed_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of landed files, from the landed bytes. The files' lines end in carriage return and line feed; the last has no end."""
+    source, raw = shared_path(spark, "files"), shared_path(spark, "raw")
+    feed = load_feed(spark, sf_dir, faults=False).select(_file_no(), "n", "raw_json")
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("n", "raw_json"))), lambda line: line["raw_json"])
+    files = feed.groupBy("file_no").agg(F.array_join(lines, "\r\n").alias("text"))
+    # An event's last character is the only one of its kind, so it can stand for the end that the writer puts after each text.
+    files = files.select("file_no", F.expr("substring(text, 1, length(text) - 1)").alias("text"))
+    files.repartition("file_no").write.option("lineSep", "}").partitionBy("file_no").text(source)
+    landed = land_raw_files(spark, f"{source}/*", raw)
+    return landed_digests(spark, raw).join(landed.select("path", "part"), "part").select(_no_of_file("path"), "bytes", "sha256")
+
+
+def promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What three promotions of a clean zone report: of its first half, of the same again, and after the second half came."""
+    warehouse, lake = _fresh_warehouse(spark), Lake(shared_path(spark, "lake"))
+    validated, reported = _validated(spark, sf_dir), {}
+    half = F.col("kafka_timestamp") < F.lit(FIRST_HALF_END).cast("timestamp")
+    for name, batch_id, rows in (("first", 0, validated.filter(half)), ("again", None, None), ("second", 1, validated.filter(~half))):
+        if batch_id is not None:
+            route_batch(rows, batch_id, lake, "run")
+        counts = warehouse.promote(lake)
+        reported |= {f"{name}_{key}": counts[key] for key in ("attempted", "inserted")}
+        if batch_id is None:
+            reported["again_files"] = counts["files"]
+    return _named(spark, reported)
+
+
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three zones after a batch that failed between two of its writes was replayed."""
+    root = shared_path(spark, "replay")
+    as_records(load_feed(spark, sf_dir)).write.parquet(f"{root}/records")
+
+    class Interrupted(Lake):
+        def write_clean(self, *_: object) -> None:
+            raise RuntimeError("interrupted after the raw zone was written")
+
+    def drain(lake: Lake) -> None:
+        start_streaming(spark, RecordFiles(f"{root}/records"), lake, f"{root}/checkpoint", trigger=None).awaitTermination()
+
+    try:
+        drain(Interrupted(f"{root}/lake"))
+    except StreamingQueryException as error:
+        if "interrupted after" not in str(error):
+            raise
+    lake = Lake(f"{root}/lake")
+    drain(lake)
+    zones = [("raw", lake.read_raw(spark)), ("clean", lake.read_clean(spark))]
+    parts = [rows.select(F.lit(zone).alias("zone"), F.lit(None).cast("string").alias("validation_error"), "offset") for zone, rows in zones]
+    parts.append(lake.read_rejected(spark).select(F.lit("rejected").alias("zone"), "validation_error", "offset"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def curated_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored reports after two loads, half of the month as a part and all of it folded in, and a refresh without a new load."""
+    warehouse = _fresh_warehouse(spark)
+    clean = clean_zone(_validated(spark, sf_dir))
+    first = clean.filter(F.col("kafka_timestamp") < F.lit(FIRST_HALF_END).cast("timestamp"))
+    for rows, fold in ((first, False), (clean, True)):
+        warehouse.stage_from_clean(rows)
+        for name in facts.FACTS:
+            warehouse.load_fact(name)
+        refresh_marts(warehouse, fold)
+    refresh_marts(warehouse)
+    columns = {
+        "mart_driver_activity": ("driver_id", "activity_date", "trips", "fare_usd"),
+        "mart_revenue": ("payment_method", "payment_date", "payments", "revenue_usd"),
+        "mart_demand": ("pickup_location", "request_hour", "requests", None),
+    }
+    reports = []
+    for mart, (name, time, number, amount) in columns.items():
+        report = warehouse.mart(mart)
+        money = F.col(amount) if amount else F.lit(None)
+        reports.append(report.select(
+            F.lit(mart).alias("mart"), F.col(name).alias("name"), F.date_format(time, "yyyy-MM-dd HH").alias("hour"),
+            F.col(number).alias("number"), money.cast("decimal(20,2)").alias("amount"),
+        ))
+    return reduce(DataFrame.unionByName, reports)
+
+
 def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw zone after the same files were landed twice."""
     folder, files = shared_path(spark, "raw"), _event_files(spark, sf_dir)
@@ -371,7 +506,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fct_ride_events, fct_trips, fct_payments, fct_trips_incremental,
         fill_event_keys, fill_trip_keys, fill_payment_keys, key_coverage,
         stream_route, stream_raw, stream_to_warehouse, landed_lines, batch_warehouse,
-        quarantine, refill_keys, load_counts, newest_file_load,
+        quarantine, refill_keys, refill_buckets, load_counts, newest_file_load, bad_line_numbers, landed_bytes,
+        promotions, stream_replay, curated_marts,
         driver_activity, revenue_by_date_and_method, demand_by_pickup_and_hour,
     )
 }

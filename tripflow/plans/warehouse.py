@@ -2,33 +2,44 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import closing, contextmanager
 from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dims import DIMENSIONS
 from ..operators.facts import FACTS
-from ..operators.keys import fill_keys, unfilled
+from ..operators.keys import buckets_of, fill_keys, found_keys, unfilled
+from ..operators.marts import MARTS, add_up
 from ..operators.staging import FILE_ORDER, ZONE_ORDER, stage_events, staging_rows_from_clean, staging_rows_from_files
 from ..operators.strict import StrictLoadError, broken_constraints, raise_if_violated, violation_counts
-from ..schemas import STAGING_FIELDS, TABLES, UNIQUE_COLUMN
-from ..session import shared_folder, write_aside
+from ..schemas import MART_TABLES, PROMOTED_BATCHES, STAGING_FIELDS, TABLES, UNIQUE_COLUMN
+from ..session import hadoop_path, shared_folder, write_aside
 from ..sources.files import bad_lines, read_event_files
+from ..streaming.lake import PARTITIONS, Lake
 
 # Large tables are bucketed on their conflict column. Loads then find existing keys without moving
 # the table, and the staging-to-fact load moves neither side.
 BUCKETED = ["ride_events", "fct_ride_events", "fct_trips", "fct_payments"]
 QUARANTINE = "quarantined_events"
+PROMOTED = "promoted_batches"
+#: Batches that are read folder by folder; of more, the whole zone is listed and joined with them.
+LISTED_BATCHES = 10_000
 _LOAD_TIME = {name: "loaded_at" if name == "fct_ride_events" else "created_at" for name in TABLES}
 
 
+def bucket_of_file(name: Column) -> Column:
+    """Files of a bucketed table end in the number of their bucket."""
+    return F.regexp_extract(name, r"_(\d+)(?:\..*)?$", 1).try_cast("int")
+
+
 class Warehouse:
     """Staging, facts and dimensions as Parquet tables of one catalog database.
 
@@ -60,6 +71,12 @@ class Warehouse:
             f"CREATE TABLE IF NOT EXISTS {self.database}.{QUARANTINE} ({quarantine}, topic string, partition int, offset bigint, "
             f"created_at timestamp_ntz) USING parquet LOCATION '{self._new_location(QUARANTINE)}'"
         )
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.database}.{PROMOTED} ({PROMOTED_BATCHES}) "
+            f"USING parquet LOCATION '{self._new_location(PROMOTED)}'"
+        )
+        for name in MARTS:
+            self._create_table(name, name, self._new_location(name), 1)
         return self
 
     def buckets(self, name: str) -> int:
@@ -86,6 +103,7 @@ class Warehouse:
                 raise
             raise RuntimeError(f"{self.database}.{name} is being written; if its writer died, unlock('{name}')") from error
         try:
+            self._finish_switch(name)
             yield
         finally:
             store.delete(path, False)
@@ -95,9 +113,7 @@ class Warehouse:
         store.delete(path, False)
 
     def _lock(self, name: str) -> tuple:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        path = hadoop.Path(f"{self.location}/_locks/{self.database}.{name}")
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return hadoop_path(self.spark, f"{self.location}/_locks/{self.database}.{name}")
 
     def _new_location(self, name: str) -> str:
         return f"{self.location}/{name}/{uuid.uuid4().hex}"
@@ -105,7 +121,7 @@ class Warehouse:
     def _create_table(self, name: str, model: str, location: str, buckets: int) -> None:
         layout = f"CLUSTERED BY ({UNIQUE_COLUMN[model]}) INTO {buckets} BUCKETS" if model in BUCKETED else ""
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.database}.{name} ({TABLES[model]}) "
+            f"CREATE TABLE IF NOT EXISTS {self.database}.{name} ({(TABLES | MART_TABLES)[model]}) "
             f"USING parquet {layout} LOCATION '{location}'"
         )
 
@@ -116,16 +132,15 @@ class Warehouse:
         return self.table(name).count()
 
     def _laid_out(self, name: str, rows: DataFrame) -> DataFrame:
-        columns = self.table(name).columns
-        rows = rows.select(*columns)
         # One task per bucket, so a load adds one file to each bucket and not one per task and bucket.
         return rows.repartition(self.buckets(name), UNIQUE_COLUMN[name]) if name in BUCKETED else rows
 
-    def append(self, name: str, rows: DataFrame) -> int:
+    def append(self, name: str, rows: DataFrame, laid_out: bool = False) -> int:
         """Adds rows, stamped with the load time, and returns how many. They are counted in the writing
         tasks, after the last shuffle, so a repeated shuffle task does not count twice."""
         added = Observation()
-        rows = self._laid_out(name, rows.withColumn(_LOAD_TIME[name], F.localtimestamp()))
+        rows = rows.withColumn(_LOAD_TIME[name], F.localtimestamp()).select(*self.table(name).columns)
+        rows = rows if laid_out else self._laid_out(name, rows)
         rows.observe(added, F.count(F.lit(1)).alias("rows")).write.insertInto(f"{self.database}.{name}")
         return added.get["rows"]
 
@@ -135,21 +150,73 @@ class Warehouse:
         The new contents are complete in their own folder before one catalog change points the table
         at them; readers see the old contents or the new ones.
         """
+        location = self._write_apart(name, self._laid_out(name, rows.select(*self.table(name).columns)))
+        self.spark.sql(f"ALTER TABLE {self.database}.{name} SET LOCATION '{location}'")
+        self.spark.catalog.refreshTable(f"{self.database}.{name}")
+
+    def _write_apart(self, name: str, rows: DataFrame) -> str:
+        """Writes rows in the table's layout to a folder of their own."""
         location, pending = self._new_location(name), f"{name}_{uuid.uuid4().hex}"
         self._create_table(pending, name, location, self.buckets(name) if name in BUCKETED else 1)
-        self._laid_out(name, rows).write.insertInto(f"{self.database}.{pending}")
-        self.spark.sql(f"ALTER TABLE {self.database}.{name} SET LOCATION '{location}'")
+        rows.write.insertInto(f"{self.database}.{pending}")
         self.spark.sql(f"DROP TABLE {self.database}.{pending}")  # external: the files stay
+        return location
+
+    def _folder(self, name: str) -> str:
+        details = self.spark.sql(f"DESCRIBE FORMATTED {self.database}.{name}")
+        return details.filter("col_name = 'Location'").first()["data_type"].rstrip("/")
+
+    def files(self, name: str) -> DataFrame:
+        """(file_name, bucket): the table's files, by their listing; the bucket is null where the table has none."""
+        listed = self.spark.read.format("binaryFile").load(self._folder(name)).select(F.element_at(F.split("path", "/"), -1).alias("file_name"))
+        return listed.select("file_name", bucket_of_file(F.col("file_name")).alias("bucket"))
+
+    def replace_buckets(self, name: str, buckets: list[int], rows: DataFrame) -> None:
+        """Swaps the files of these buckets for ``rows``, which may be computed from them and must be dealt out by bucket; no other file is touched.
+
+        The new files are complete in a folder of their own, and a note of what comes and goes is written, before the first file is moved. A
+        writer that dies then leaves the note, and the next one finishes what it says. Readers hold the lock only if they ask for it:
+        one that lists the folder during the switch can miss a bucket, and one that began before it fails on a file that went.
+        """
+        apart, folder = self._write_apart(name, rows.select(*self.table(name).columns)), self._folder(name)
+        path, store = hadoop_path(self.spark, apart)
+        wanted = set(buckets)
+        old = [row["file_name"] for row in self.files(name).collect() if row["bucket"] in wanted]
+        new = [status.getPath().getName() for status in store.listStatus(path) if status.getPath().getName().startswith("part-")]
+        note, store = self._switch_note(name)
+        written, _ = hadoop_path(self.spark, f"{note.toString()}.{uuid.uuid4().hex}")
+        with closing(store.create(written, False)) as out:
+            out.write(json.dumps({"from": apart, "to": folder, "old": old, "new": new}).encode())
+        store.rename(written, note)
+        self._finish_switch(name)
+
+    def _switch_note(self, name: str) -> tuple:
+        return hadoop_path(self.spark, f"{self.location}/_switches/{self.database}.{name}")
+
+    def _finish_switch(self, name: str) -> None:
+        note, store = self._switch_note(name)
+        if not store.exists(note):
+            return
+        with closing(store.open(note)) as stream:
+            switch = json.loads(bytes(stream.readAllBytes()))
+        for file in switch["old"]:
+            store.delete(hadoop_path(self.spark, f"{switch['to']}/{file}")[0], False)
+        for file in switch["new"]:
+            source, _ = hadoop_path(self.spark, f"{switch['from']}/{file}")
+            if store.exists(source):  # else moved already
+                store.rename(source, hadoop_path(self.spark, f"{switch['to']}/{file}")[0])
+        store.delete(note, False)
         self.spark.catalog.refreshTable(f"{self.database}.{name}")
 
     def clean(self, older_than_hours: float = 24.0) -> int:
         """Removes folders of replaced table contents that nothing points to. The age protects readers that still use them."""
         removed, now = 0, time.time()
-        for name in TABLES:
-            details = self.spark.sql(f"DESCRIBE FORMATTED {self.database}.{name}")
-            current = details.filter("col_name = 'Location'").first()["data_type"].rstrip("/").rsplit("/", 1)[1]
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.location}/{name}")
-            store = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for name in TABLES | MART_TABLES:
+            note, store = self._switch_note(name)
+            if store.exists(note):  # the next writer still needs a folder
+                continue
+            current = self._folder(name).rsplit("/", 1)[1]
+            path, store = hadoop_path(self.spark, f"{self.location}/{name}")
             for status in store.listStatus(path) if store.exists(path) else ():
                 old = now - status.getModificationTime() / 1000 > older_than_hours * 3600
                 if status.getPath().getName() != current and old:
@@ -214,6 +281,24 @@ class Warehouse:
             quarantined = self._quarantine(stored.filter("constraint_names <> ''")) if counts["bad"] else 0
         return {"attempted": counts["attempted"], "inserted": inserted, "quarantined": quarantined}
 
+    def promote(self, lake: Lake) -> dict[str, int]:
+        """Batches of the clean zone that were not promoted before, to staging. Only their folders are read.
+
+        What was promoted is noted after staging has it, so a promotion that was cut short is repeated whole, and adds only what is absent. A
+        batch that was written again by a replay holds the same records.
+        """
+        with self.writing(PROMOTED):
+            known = self.table(PROMOTED).select(*PARTITIONS)
+            fresh = write_aside(lake.clean_batches(self.spark).join(known, PARTITIONS, "left_anti"), "batches")
+            seen = fresh.agg(F.count("*").alias("batches"), F.coalesce(F.sum("files"), F.lit(0)).alias("files")).first().asDict()
+            if not seen["batches"]:
+                return seen | {"attempted": 0, "inserted": 0, "quarantined": 0}
+            few = seen["batches"] <= LISTED_BATCHES
+            counts = self.stage_from_clean(lake.read_clean(self.spark, fresh.collect() if few else fresh))
+            noted = fresh.withColumn("created_at", F.localtimestamp()).select(*self.table(PROMOTED).columns)
+            noted.write.insertInto(f"{self.database}.{PROMOTED}")
+        return seen | counts
+
     def _quarantine(self, rows: DataFrame) -> int:
         known = self.table(QUARANTINE).select(*ZONE_ORDER)
         fields = [F.col("fare_text" if f == "fare_usd" else f).cast("string").alias(f) for f in STAGING_FIELDS]
@@ -253,14 +338,62 @@ class Warehouse:
         with self.writing(name):
             rows = build(self._staged(since), self.table(name))
             if with_keys:
-                rows = fill_keys(write_aside(rows, "new-rows"), lookups(), self.dimensions(), UNIQUE_COLUMN[name])
-            self.append(name, rows)
+                # Dealt out by bucket first: the keys come to the rows, and the append needs no other shuffle of them.
+                rows = self._laid_out(name, write_aside(rows, "new-rows"))
+                rows = fill_keys(rows, lookups(), self.dimensions(), UNIQUE_COLUMN[name])
+            self.append(name, rows, laid_out=with_keys)
         return self.count(name)
 
-    def fill_fact_keys(self, name: str) -> None:
-        """Fills keys of rows that were loaded before their dimension value existed."""
+    def fill_fact_keys(self, name: str) -> int:
+        """Fills keys of rows that were loaded before their dimension value existed; returns how many buckets got new files.
+
+        Open keys are found by the files' statistics, matched by row ids and names alone, and only buckets with a match are read and
+        written whole. A name that no dimension has is no reason to write anything.
+        """
         _, lookups = FACTS[name]
+        row_id = UNIQUE_COLUMN[name]
         with self.writing(name):
             fact = self.table(name)
-            if not unfilled(fact, lookups()).isEmpty():
-                self.replace(name, fill_keys(fact, lookups(), self.dimensions(), UNIQUE_COLUMN[name]))
+            found = found_keys(unfilled(fact, lookups()), lookups(), self.dimensions(), row_id)
+            buckets = buckets_of(found, row_id, self.buckets(name))
+            if buckets:
+                some = fact.filter(bucket_of_file(F.col("_metadata.file_name")).isin(buckets))
+                self.replace_buckets(name, buckets, fill_keys(some, lookups(), self.dimensions(), row_id))
+        return len(buckets)
+
+    # -- marts -------------------------------------------------------------------------------------
+
+    def mart(self, name: str) -> DataFrame:
+        """The report as stored, whatever parts it is stored in."""
+        return add_up(MARTS[name], self.table(name).filter("included_load IS NULL").drop("included_load"))
+
+    def refresh_mart(self, name: str, fold: bool = True) -> int:
+        """Adds the fact's new loads to a stored report; returns how many loads were new. Rows of other loads are not read again.
+
+        The loads that a report includes are stored with it, so both change in one step: a refresh that was cut short has changed nothing.
+        ``fold`` stores the sums, one row for each key, in place of what was there; without it the new loads' sums are added
+        as a part, for reports that are large beside a load.
+        """
+        mart = MARTS[name]
+        load_time = _LOAD_TIME[mart.fact]
+        with self.writing(name):
+            stored, fact = self.table(name), self.table(mart.fact)
+            included = stored.filter("included_load IS NOT NULL").select("included_load")
+            loads = fact.select(F.col(load_time).alias("included_load")).distinct().join(included, "included_load", "left_anti")
+            loads = [row["included_load"] for row in loads.collect()]  # as many as there were loads since
+            if not loads:
+                return 0
+            # Each load's files have one load time, so their statistics tell which to read.
+            times = [F.lit(str(time_)).cast("timestamp_ntz") for time_ in loads]
+            sums = mart.report(fact.filter(F.col(load_time).isin(times)))
+            marks = self.spark.createDataFrame([(str(time_),) for time_ in loads], "included_load string")
+            marks = marks.select(F.col("included_load").cast("timestamp_ntz"))
+            if fold:
+                sums = add_up(mart, self.mart(name).unionByName(sums))
+                marks = marks.union(included)
+            rows = sums.unionByName(marks, allowMissingColumns=True).select(*stored.columns)
+            if fold:
+                self.replace(name, rows)
+            else:
+                rows.write.insertInto(f"{self.database}.{name}")
+        return len(loads)

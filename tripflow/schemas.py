@@ -136,3 +136,13 @@ STAGING_MAX_LENGTH = {
     "pickup_location": 100, "dropoff_location": 100, "payment_method": 50, "payment_status": 50,
     "event_version": 10,
 }
+
+# Stored reports: sums by key, and one row without keys for each load of the fact that they include.
+MART_TABLES = {
+    "mart_driver_activity": "driver_id varchar(100), activity_date date, trips bigint, fare_usd decimal(20,2), included_load timestamp_ntz",
+    "mart_revenue": "payment_date date, payment_method varchar(50), payments bigint, revenue_usd decimal(20,2), included_load timestamp_ntz",
+    "mart_demand": "pickup_location varchar(100), request_hour timestamp_ntz, requests bigint, included_load timestamp_ntz",
+}
+
+# Batches of the clean zone that staging has.
+PROMOTED_BATCHES = "ingestion_date date, run_id string, batch_id bigint, files bigint, created_at timestamp_ntz"

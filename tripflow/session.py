@@ -72,6 +72,12 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder(spark.sparkContext.applicationId)
 
 
+def hadoop_path(spark: SparkSession, path: str) -> tuple:
+    """A path and the file system that it is on, for what concerns whole files."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def use_shared_checkpoints(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import EVENT_FIELDS
+from ..session import hadoop_path
 
 # Amounts are read as written, so that their rounding to two decimals starts from the exact text.
 _TEXT_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in EVENT_FIELDS])
@@ -50,33 +51,53 @@ def read_event_files(spark: SparkSession, path: str | list[str], partitions: int
     return parse_lines(lines.repartition(partitions) if partitions else lines, "arrival")
 
 
-def newest_file(spark: SparkSession, folder: str, pattern: str = "*.jsonl", recursive: bool = False) -> str:
-    """Path of the last modified event file. Only the listing is read, never the contents.
+def newest_file(spark: SparkSession, folder: str, suffix: str = ".jsonl") -> str:
+    """Path of the newest delivery: an event file of the folder, or a folder of part files that a Spark job has finished writing.
 
-    ``recursive`` also looks into folders, such as those that Spark writes, whose files have names of their own.
+    Names end in ``suffix``. A delivery is as new as the newest of its files; only listings are read, never contents. A folder without the
+    mark that writers leave at their end is still being written, or its writer has died, and does not count.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
-    files = reader.option("pathGlobFilter", "part-*" if recursive else pattern).load(folder)
-    newest = files.select("path", "modificationTime").orderBy(F.desc("modificationTime"), "path").first()
-    if newest is None:
-        raise FileNotFoundError(f"no {pattern} file in {folder}")
-    return newest.path
+    path, store = hadoop_path(spark, folder)
+    root = F.lit(store.makeQualified(path).toString().rstrip("/") + "/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", "modificationTime")
+    # The first part of the path below the folder.
+    top = F.concat(root, F.substring_index(F.substr("path", F.length(root) + 1), "/", 1))
+    deliveries = files.groupBy(top.alias("delivery")).agg(
+        F.max("modificationTime").alias("newest"), F.bool_or(F.col("path") == top).alias("is_file")
+    )
+    deliveries = deliveries.filter(F.col("delivery").endswith(suffix)).orderBy(F.desc("newest"), "delivery")
+    for delivery in deliveries.toLocalIterator():
+        if delivery["is_file"] or store.exists(hadoop_path(spark, f"{delivery['delivery']}/_SUCCESS")[0]):
+            return delivery["delivery"]
+    raise FileNotFoundError(f"no whole *{suffix} delivery in {folder}")
 
 
-def land_raw_files(spark: SparkSession, path: str | list[str], raw_folder: str) -> None:
-    """Copies event files into the raw zone, unparsed, each into a partition with its name. A missing file is an error.
+# -- bad lines -------------------------------------------------------------------------------------
 
-    Landing a file again replaces its partition and nothing else. Only line feeds end a line, so carriage returns stay.
-    """
-    lines = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_name").alias("source_file"))
-    writer = lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("lineSep", "\n")
-    writer.partitionBy("source_file").text(raw_folder)
 
+def numbered_bad_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, line_number, value) of the lines that are no event object with every field. Blank lines count, but are not bad.
 
-def bad_lines(spark: SparkSession, path: str | list[str], limit: int = 5) -> list[tuple[str, int, str]]:
-    """File, byte offset of its split and text of the first lines that are no event object, to name in an error."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    A file is read in splits by as many tasks. Each split counts its lines, and a line's number is its place in its split
+    plus the lines of the splits before; there are as many counts as the scan has splits. Bad lines alone meet the counts.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("row_no"),  # front to back within a split, and the same in both readings
+    )
+    counts = lines.groupBy("file", "split").agg(F.count("*").alias("lines"), F.min("row_no").alias("first_row"))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("file", "split", "first_row", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("before"))
     wanted = F.array(*map(F.lit, EVENT_FIELDS))
     whole = F.coalesce(F.size(F.array_except(wanted, F.json_object_keys("value"))) == 0, F.lit(False))
-    found = lines.filter(F.col("value").rlike(r"\S") & ~whole).limit(limit).collect()
-    return [(r["file"], r["at"], r["value"][:200]) for r in found]
+    bad = lines.filter(F.col("value").rlike(r"\S") & ~whole)
+    number = F.col("before") + F.col("row_no") - F.col("first_row") + 1
+    return bad.join(counts, ["file", "split"]).select("file", number.alias("line_number"), "value")
+
+
+def bad_lines(spark: SparkSession, path: str | list[str], limit: int = 5) -> list[tuple[str, int, str]]:
+    """File, line number and text of the first bad lines, to name in an error."""
+    found = numbered_bad_lines(spark, path).orderBy("file", "line_number").limit(limit).collect()
+    return [(r["file"], r["line_number"], r["value"][:200]) for r in found]

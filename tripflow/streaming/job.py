@@ -6,11 +6,11 @@ import logging
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.parse import decode_envelope, normalise
-from ..operators.quality import batch_metrics
+from ..operators.quality import metric_columns
 from ..operators.validate import validate
 from ..operators.zones import clean_zone, rejected_zone
 from ..sources.streams import RecordFiles, TopicSource, read_event_stream
@@ -34,22 +34,24 @@ def _checkpoint_identity(batch: DataFrame) -> str:
 
 
 def route_batch(
-    batch: DataFrame, batch_id: int, lake: Lake, run_id: str | None = None, show_samples: int = 0
+    batch: DataFrame, batch_id: int, lake: Lake, run_id: str | None = None, show_samples: int = 0, expected: int | None = None
 ) -> dict[str, int]:
     """Writes one validated micro-batch to its three zones and returns its counts.
 
-    The source is read and parsed once: counting fills the cache, and the zones are written from it.
+    The source is read and parsed once: writing the raw zone, which takes every record, fills the cache and observes the counts on the
+    way, and the other zones are written from the cache. ``expected`` is about how many records will come, such as the
+    last batch had; it decides how many tasks write the raw zone. Without it as many do as hold the batch, up to the cores.
     """
     run_id = run_id or _checkpoint_identity(batch)
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        metrics = batch_metrics(batch).first().asDict()
+        counts = Observation()
+        lake.write_raw(batch.observe(counts, *metric_columns()), run_id, batch_id, expected)
+        metrics = dict(counts.get)
         log.info("batch %s: %s", batch_id, metrics)
         if show_samples and metrics["total"]:
             clean_zone(batch).show(show_samples, truncate=False)
             rejected_zone(batch).show(show_samples, truncate=False)
-        if metrics["total"]:
-            lake.write_raw(batch, run_id, batch_id, metrics["total"])
         if metrics["valid"]:
             lake.write_clean(batch, run_id, batch_id, metrics["valid"])
         if metrics["rejected"]:
@@ -70,8 +72,11 @@ def start_streaming(
 ) -> StreamingQuery:
     """Starts the job. ``trigger=None`` drains what is available and stops (backfills, tests)."""
 
+    last: dict[str, int] = {}
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        metrics = route_batch(batch, batch_id, lake, show_samples=show_samples)
+        metrics = route_batch(batch, batch_id, lake, show_samples=show_samples, expected=last.get("total"))
+        last.update(metrics)
         if on_metrics:
             on_metrics(batch_id, metrics)
 

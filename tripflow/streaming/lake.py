@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.zones import clean_zone, raw_zone, rejected_zone
 from ..schemas import CLEAN_ZONE_SCHEMA, RAW_ZONE_SCHEMA, REJECTED_ZONE_SCHEMA
+from ..session import hadoop_path
 
 # Each batch owns its own partitions, so a replayed batch replaces what its first attempt left.
 PARTITIONS = ["ingestion_date", "run_id", "batch_id"]
+_BATCH_DDL = "ingestion_date date, run_id string, batch_id bigint"
 
 # The JSON writer keeps milliseconds by default; zones keep all that Spark has.
 _JSON_OPTIONS = {
@@ -36,9 +39,10 @@ class Lake:
     def path(self, zone: str) -> str:
         return f"{self.root.rstrip('/')}/{zone}/ride_events"
 
-    def _write(self, rows: DataFrame, zone: str, fmt: str, run_id: str, batch_id: int, count: int) -> None:
-        cores = rows.sparkSession.sparkContext.defaultParallelism
-        tasks = max(-(-count // self.rows_per_file), min(cores, -(-count // self.rows_per_task)))
+    def _write(self, rows: DataFrame, zone: str, fmt: str, run_id: str, batch_id: int, count: int | None) -> None:
+        tasks = cores = rows.sparkSession.sparkContext.defaultParallelism
+        if count is not None:
+            tasks = max(1, -(-count // self.rows_per_file), min(cores, -(-count // self.rows_per_task)))
         writer = (
             rows.coalesce(tasks)
             .withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")})
@@ -51,9 +55,9 @@ class Lake:
             writer = writer.options(**_JSON_OPTIONS)
         writer.format(fmt).save(self.path(zone))
 
-    # ``count`` is the number of records the zone receives.
+    # ``count`` is the number of records the zone receives; where it is not known, all cores write.
 
-    def write_raw(self, validated: DataFrame, run_id: str, batch_id: int, count: int) -> None:
+    def write_raw(self, validated: DataFrame, run_id: str, batch_id: int, count: int | None = None) -> None:
         self._write(raw_zone(validated), "raw", "json", run_id, batch_id, count)
 
     def write_clean(self, validated: DataFrame, run_id: str, batch_id: int, count: int) -> None:
@@ -62,7 +66,9 @@ class Lake:
     def write_rejected(self, validated: DataFrame, run_id: str, batch_id: int, count: int) -> None:
         self._write(rejected_zone(validated), "rejected", "json", run_id, batch_id, count)
 
-    def _read(self, spark: SparkSession, zone: str, fmt: str, schema: T.StructType) -> DataFrame:
+    def _read(
+        self, spark: SparkSession, zone: str, fmt: str, schema: T.StructType, batches: Iterable[Row] | DataFrame | None = None
+    ) -> DataFrame:
         # JSON leaves nulls out, so the schema is given and never inferred from what happens to be there.
         stored = T.StructType(
             schema.fields + [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
@@ -70,13 +76,31 @@ class Lake:
         reader = spark.read.schema(stored)
         if fmt == "json":
             reader = reader.options(**_JSON_OPTIONS)
-        return reader.format(fmt).load(self.path(zone)).select(*schema.fieldNames())
+        if batches is None or isinstance(batches, DataFrame):
+            found = reader.format(fmt).load(self.path(zone))
+            found = found if batches is None else found.join(batches.select(*PARTITIONS), PARTITIONS, "left_semi")
+        else:
+            folders = ["/".join([self.path(zone), *(f"{name}={row[name]}" for name in PARTITIONS)]) for row in batches]
+            found = reader.option("basePath", self.path(zone)).format(fmt).load(folders)
+        return found.select(*schema.fieldNames())
+
+    def clean_batches(self, spark: SparkSession) -> DataFrame:
+        """(ingestion_date, run_id, batch_id, files) of the clean zone, from its listing alone."""
+        folder, store = hadoop_path(spark, self.path("clean"))
+        if not store.exists(folder):  # no batch has had a valid event yet
+            return spark.createDataFrame([], f"{_BATCH_DDL}, files bigint")
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(self.path("clean"))
+        part = lambda name: F.regexp_extract("path", f"/{name}=([^/]*)/", 1)
+        batch = [part("ingestion_date").cast("date"), part("run_id"), part("batch_id").cast("bigint")]
+        named = [column.alias(name) for name, column in zip(PARTITIONS, batch, strict=True)]
+        return listed.groupBy(*named).agg(F.count(F.lit(1)).alias("files"))
 
     def read_raw(self, spark: SparkSession) -> DataFrame:
         return self._read(spark, "raw", "json", RAW_ZONE_SCHEMA)
 
-    def read_clean(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark, "clean", "parquet", CLEAN_ZONE_SCHEMA)
+    def read_clean(self, spark: SparkSession, batches: Iterable[Row] | DataFrame | None = None) -> DataFrame:
+        """The zone, or these batches of it: rows by which only their folders are listed and read, or a table that is joined."""
+        return self._read(spark, "clean", "parquet", CLEAN_ZONE_SCHEMA, batches)
 
     def read_rejected(self, spark: SparkSession) -> DataFrame:
         return self._read(spark, "rejected", "json", REJECTED_ZONE_SCHEMA)
