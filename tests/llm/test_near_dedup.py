@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from tripflow.llm import near_dedup
 from tripflow.llm.components import connected_components
 from tripflow.llm.common import words
@@ -79,6 +81,49 @@ def test_groups_of_near_copies(spark):
     assert found(docs_of(spark, rows)) == by_hand(rows)
 
 
+def test_clusters_of_many_blocks(spark, monkeypatch):
+    """Groups whose members are near each other and mostly no links, with blocks far smaller than the groups."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    draw = random.Random(11)
+    vocabulary = [f"v{k}" for k in range(600)]
+    texts = []
+    for low, high, size in ((12, 30, 120), (0, 12, 80), (4, 18, 60)):
+        base = draw.choices(vocabulary, k=140)
+        texts += [edited(draw, base, draw.randrange(low, high)) for _ in range(size)]
+    rows = list(enumerate(texts)) + [(k, texts[k]) for k in range(0, 260, 9)] + [(None, texts[0])]
+    draw.shuffle(rows)
+    assert found(docs_of(spark, rows, extra=True)) == by_hand(rows)
+
+
+def test_similar_by_products():
+    draw = np.random.default_rng(2)
+    sets = [np.unique(draw.integers(0, 120, draw.integers(1, 90)).astype(np.uint64)) for _ in range(40)]
+    sets += [sets[0], np.array([5], np.uint64), np.arange(5000, 15_000, dtype=np.uint64), np.arange(5500, 15_500, dtype=np.uint64)]
+    others = sets[::3]
+    want = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))
+    assert near_dedup.similar(sets).tolist() == [[want(a, b) for b in sets] for a in sets]
+    assert near_dedup.similar(sets, others).tolist() == [[want(a, b) for b in others] for a in sets]
+
+
+def test_other_texts_of_the_same_documents(spark):
+    """Documents that are near copies by either text go with the smallest that is left."""
+    one, two = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    docs = docs_of(spark, [(4, "left of one"), (7, "left of another"), (9, two), (11, two + " tail"), (12, ""), (13, None), (20, "alone"), (None, two)])
+    whole = docs_of(spark, [(4, one), (7, one + " end"), (9, two), (11, "something else"), (12, one), (20, "quite alone here")])
+    kept = near_dedup.keep_first(docs, whole.select("doc_id", "text"))
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["13", "20", "4", "9", "None"]
+
+
+def test_nothing_is_left_behind(spark):
+    from tripflow.session import hadoop_path, shared_folder
+
+    path, store = hadoop_path(spark, shared_folder(spark))
+    kept = lambda: {f.getPath().getName() for f in store.listStatus(path) if f.getPath().getName().startswith("near-")}
+    before = kept()
+    near_dedup.near_report(docs_of(spark, ["a b c", "a b c", "d"])).collect()
+    assert kept() == before
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(60)] + [(200, 100 + k) for k in range(90)] + [(500, 501), (501, 500)]
     roots = {r["vertex"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -9,10 +10,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_path, use_shared_checkpoints, write_aside
+from ..session import hadoop_path, shared_path, use_shared_checkpoints, write_aside
 
 __all__ = [
-    "ASCII_SPACE", "arrow_map", "batch_of", "join_lines_except", "lines_of", "lower_ascii", "mix", "read_table", "row_key",
+    "ASCII_SPACE", "Scratch", "arrow_map", "batch_of", "join_lines_except", "lines_of", "lower_ascii", "mix", "read_table", "row_key",
     "shared_path", "small_batches", "use_shared_checkpoints", "words", "write_aside",
 ]
 
@@ -78,6 +79,32 @@ def batch_of(schema: pa.Schema, **columns: object) -> pa.RecordBatch:
     )
 
 
+class Scratch:
+    """Tables written aside for later stages of one operator, in a folder of the shared one, and dropped when they have been read."""
+
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self.spark, self.folder = spark, shared_path(spark, label)
+        self._paths: dict[int, str] = {}
+
+    def keep(self, rows: DataFrame, label: str) -> DataFrame:
+        path = f"{self.folder}/{label}-{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        kept = self.spark.read.schema(rows.schema).parquet(path)
+        self._paths[id(kept)] = path
+        return kept
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Removes tables that no plan reads any more."""
+        for table in tables:
+            path, store = hadoop_path(self.spark, self._paths.pop(id(table)))
+            store.delete(path, True)
+
+    def drop_all(self) -> None:
+        path, store = hadoop_path(self.spark, self.folder)
+        store.delete(path, True)
+        self._paths.clear()
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijective scramble of unsigned 64-bit integers."""
     with np.errstate(over="ignore"):

@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import write_aside
+from .common import Scratch
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(vertex, root) for the vertices of ``edges`` (a, b). Links and labels stay distributed; a round is one written table.
 
     In a round a vertex, and the root it has so far, take the smallest root among the neighbours; then roots are replaced by their roots.
     """
-    both = write_aside(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "links")
-    labels = write_aside(both.groupBy("a").agg(F.min("b").alias("b")).select(
+    scratch = scratch or Scratch(edges.sparkSession, "components")
+    both = scratch.keep(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "links")
+    labels = scratch.keep(both.groupBy("a").agg(F.min("b").alias("b")).select(
         F.col("a").alias("vertex"), F.least("a", "b").alias("root")
     ), "labels")
     while True:
@@ -29,6 +30,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         up = moved.select(F.col("vertex").alias("root"), F.col("root").alias("top"))
         after = moved.join(up, "root").select("vertex", F.col("top").alias("root"))
         before = labels.withColumnRenamed("root", "old")
-        labels = write_aside(after.join(before, "vertex").select("vertex", "root", (F.col("root") != F.col("old")).alias("moved")), "labels")
+        found = scratch.keep(after.join(before, "vertex").select("vertex", "root", (F.col("root") != F.col("old")).alias("moved")), "labels")
+        scratch.drop(labels)
+        labels = found
         if labels.filter("moved").isEmpty():
+            scratch.drop(both)
             return labels.select("vertex", "root")

@@ -4,12 +4,17 @@ A document is the set of its 2-word shingles. Documents with equal sets form a c
 min-hash values. A tree starts with all classes in its root. A node chooses ``BRANCHES`` coordinates and hands its members
 on to one child for each value there: sets of similarity s stay together with probability s for each choice, so a pair at the threshold of 0.8
 survives at least one path of a tree with probability 0.93 at any depth, and unrelated sets part at once. Nodes of at most ``LEAF`` members
-are compared exhaustively. ``TREES`` independent trees leave a miss below one in a million, and proposing (see ``PROPOSE``) one of about ten in a million.
+are compared exhaustively. ``TREES`` trees choose their coordinates by seeds of their own, but from the same values of a class; tests
+measure what is found. A large node compares its members with ``PIVOTS`` of them. If these cover half of the members the node holds
+similar sets, which branching would keep together: it ends there, and so does one at the last level.
 
-What min-hash values propose is confirmed on full sets. To do little of that, each class first confirms its best partner; other
-proposals follow only if their ends are not connected by then. In a large node all members are compared with ``PIVOTS`` of them. If these
-cover half of the members the node holds similar sets, which branching would keep together: it ends there, and members that are still
-unconnected after confirmation are compared with everything else in it. So no group is ever expanded into all its pairs, and none sits in one task.
+What the trees find are clusters: classes connected by pairs that agree on ``PROPOSE`` values (see there), and whole nodes that ended. They are told by few
+edges for each member of a node, never by all pairs. Then sets meet in tasks, which return forests of the links that they confirm:
+
+- a cluster of at most ``BLOCK`` classes is compared exhaustively by one task, all pairs of sets by matrix products;
+- of a larger one, each class first confirms its best pair. Classes that are not connected to the cluster's largest component by then
+  visit its blocks, of about ``BLOCK`` classes each, and are compared with all of them. Its pairs are never rows, but a cluster
+  of m classes most of which are no links, only near to it, still sends up to m / ``BLOCK`` copies of a class.
 
 Defined results: a text without words (null, empty, blank) has an empty set and is linked with nothing. A document without doc_id is
 linked with nothing, its component_id is null, and it is kept. Rows that repeat a doc_id are judged by their own texts; all rows of a kept id and
@@ -28,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, batch_of, mix, row_key, small_batches, words, write_aside
+from .common import Scratch, arrow_map, batch_of, mix, row_key, small_batches, words, write_aside
 from .components import connected_components
 
 SIMILAR_PERCENT = 80
@@ -43,6 +48,8 @@ PIVOTS = 8
 PROPOSE = 82
 #: Equal values by which a pivot covers a member, and the covered share that ends a node.
 COVER, COVERED = 90, 0.5
+#: Classes whose sets a task holds at a time to compare all of them, and shingles in one matrix product.
+BLOCK, PRODUCT = 512, 4096
 CACHED_WORDS = 200_000
 
 _ODD = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -132,9 +139,16 @@ def children(nodes: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
 
 BRANCH = pa.schema([
     ("node", pa.int64()), ("cls", pa.int64()), ("covered", pa.bool_()), ("left", pa.int64()), ("right", pa.int64()),
-    ("near", pa.list_(pa.struct([("pivot", pa.int64()), ("equal", pa.int32())]))),
+    ("near", pa.list_(pa.struct([("b", pa.int64()), ("equal", pa.int32())]))),
 ])
-BRANCH_DDL = "node long, cls long, covered boolean, left long, right long, near array<struct<pivot: long, equal: int>>"
+BRANCH_DDL = "node long, cls long, covered boolean, left long, right long, near array<struct<b: long, equal: int>>"
+EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("equal", pa.int32())])
+EDGES_DDL = "a long, b long, equal int"
+
+
+def _sizes_allow(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sets whose sizes differ too much cannot be similar enough, whatever they share."""
+    return 100 * np.minimum(a, b) >= SIMILAR_PERCENT * np.maximum(a, b)
 
 
 def _branch_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,84 +158,98 @@ def _branch_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         values, nodes, cls = _bytes(batch.column("sketch")), batch.column("node").to_numpy(), batch.column("cls").to_numpy()
         near, covered = [], []
-        for own, mine, pivots in zip(cls, values, batch.column("pivots").to_pylist(), strict=True):
-            others = [p for p in pivots if p["pivot"] != own]
+        columns = (cls, values, batch.column("n_shingles").to_pylist(), batch.column("pivots").to_pylist())
+        for own, mine, size, pivots in zip(*columns, strict=True):
+            others = [p for p in pivots if p["b"] != own]
             table = np.frombuffer(b"".join(p["sketch"] for p in others), np.uint8).reshape(-1, COORDINATES)
             equal = (table == mine).sum(axis=1)
+            good = (equal >= PROPOSE) & _sizes_allow(np.array([p["n_shingles"] for p in others], np.int64), np.int64(size))
             covered.append(bool((equal >= COVER).any()))
-            near.append([{"pivot": p["pivot"], "equal": int(e)} for p, e in zip(others, equal, strict=True) if e >= PROPOSE])
+            near.append([{"b": others[k]["b"], "equal": int(equal[k])} for k in np.flatnonzero(good)])
         left, right = children(nodes, values)
         yield batch_of(BRANCH, node=nodes, cls=cls, covered=covered, left=left, right=right, near=near)
 
 
+def _together(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest of ``count`` places that each can reach by the pairs (a, b)."""
+    least = np.arange(count)
+    while True:
+        before = least.copy()
+        np.minimum.at(least, a, least[b])
+        np.minimum.at(least, b, least[a])
+        least = least[least]
+        if (least == before).all():
+            return least
+
+
 def _leaf_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Proposals within small nodes. Rows come sorted by node; a node is at most LEAF rows long."""
-    nodes, cls, values = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, COORDINATES), np.uint8)
+    """Edges within small nodes: each member's best pair, and one to the first that it is connected with. Rows come sorted by node; a node is
+    at most LEAF rows long."""
+    nodes, cls, sizes, values = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, COORDINATES), np.uint8)
     for batch in batches:
         if not batch.num_rows:
             continue
         # The last rows stay for the next batch, whose first node may have begun in them.
         nodes = np.concatenate([nodes[-LEAF:], batch.column("node").to_numpy()])
         cls = np.concatenate([cls[-LEAF:], batch.column("cls").to_numpy()])
+        sizes = np.concatenate([sizes[-LEAF:], batch.column("n_shingles").to_numpy()])
         values = np.concatenate([values[-LEAF:], _bytes(batch.column("sketch"))])
         old = len(nodes) - batch.num_rows
+        found = []
         for step in range(1, LEAF):
             later = np.arange(max(old, step), len(nodes))
             later = later[nodes[later] == nodes[later - step]]
             if not len(later):
                 break
-            equal = (values[later] == values[later - step]).sum(axis=1).astype(np.int32)
-            later, equal = later[equal >= PROPOSE], equal[equal >= PROPOSE]
-            a, b = cls[later], cls[later - step]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(equal)], names=["a", "b", "equal"]
-            )
-
-
-def _pair_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            equal = (_bytes(batch.column("a_sketch")) == _bytes(batch.column("b_sketch"))).sum(axis=1)
-            good = pa.array(equal >= PROPOSE)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], names=["a", "b"])
+            equal = (values[later] == values[later - step]).sum(axis=1)
+            good = (equal >= PROPOSE) & _sizes_allow(sizes[later], sizes[later - step])
+            found.append(np.stack([later[good], later[good] - step, equal[good]]))
+        a, b, equal = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
+        if not len(a):
+            continue
+        ends, partners, equals = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([equal, equal])
+        order = np.lexsort((partners, -equals, ends))
+        best = order[np.unique(ends[order], return_index=True)[1]]
+        least = _together(len(nodes), a, b)
+        apart = np.flatnonzero(least != np.arange(len(nodes)))
+        x, y = np.concatenate([cls[ends[best]], cls[apart]]), np.concatenate([cls[partners[best]], cls[least[apart]]])
+        yield batch_of(
+            EDGES, a=np.minimum(x, y), b=np.maximum(x, y), equal=np.concatenate([equals[best], np.zeros(len(apart), np.int64)]).astype(np.int32)
+        )
 
 
-def propose(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Proposed pairs (a, b, equal), and the members (node, cls) of large nodes that were not branched."""
-    sketches = classes.select("cls", "sketch")
-    pairs: list[DataFrame] = []
-    ended: list[DataFrame] = []
+def find_edges(classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b, equal): edges that connect the clusters; ``equal`` is 0 where an edge is no pair to confirm by itself."""
+    sketches = classes.select("cls", "n_shingles", "sketch")
+    edges: list[DataFrame] = []
     frontier = classes.select(F.explode("roots").alias("node"), "cls")
     for level in range(1, DEPTH + 1):
         # A pivot is the member whose id, scrambled by the node and its own constant, is smallest.
         keys = [F.col("node").bitwiseXOR(F.lit(int(mix(np.array([k], np.uint64)).view(np.int64)[0]))) for k in range(1, PIVOTS + 1)]
         least = [F.min(F.col("cls").bitwiseXOR(key)).alias(f"p{k}") for k, key in enumerate(keys)]
-        sizes = frontier.groupBy("node").agg(F.count("*").alias("size"), *least).filter("size > 1")
-        sizes = write_aside(sizes, "sizes")
-        members = write_aside(frontier.join(sizes.select("node", "size"), "node"), "members")
+        sizes = scratch.keep(frontier.groupBy("node").agg(F.count("*").alias("size"), *least).filter("size > 1"), "sizes")
+        members = scratch.keep(frontier.join(sizes.select("node", "size"), "node"), "members")
         small = members.filter(F.col("size") <= LEAF).select("node", "cls").join(sketches, "cls")
         ordered = small.repartition("node").sortWithinPartitions("node")
-        pairs.append(write_aside(arrow_map(ordered, _leaf_task, "a long, b long, equal int"), "pairs"))
+        edges.append(scratch.keep(arrow_map(ordered, _leaf_task, EDGES_DDL), "edges"))
         large = members.filter(F.col("size") > LEAF).select("node", "cls")
         if large.isEmpty():
             break
         found = F.array_distinct(F.array(*(F.col(f"p{k}").bitwiseXOR(key) for k, key in enumerate(keys))))
-        pivots = sizes.filter(F.col("size") > LEAF).select("node", F.explode(found).alias("pivot"))
-        pivots = pivots.join(sketches.withColumnRenamed("cls", "pivot"), "pivot")
-        pivots = pivots.groupBy("node").agg(F.collect_list(F.struct("pivot", "sketch")).alias("pivots"))
-        branched = write_aside(arrow_map(large.join(sketches, "cls").join(pivots, "node"), _branch_task, BRANCH_DDL), "branches")
+        pivots = sizes.filter(F.col("size") > LEAF).select("node", F.explode(found).alias("b"))
+        pivots = pivots.join(sketches.withColumnRenamed("cls", "b"), "b")
+        pivots = pivots.groupBy("node").agg(F.collect_list(F.struct("b", "n_shingles", "sketch")).alias("pivots"))
+        branched = scratch.keep(arrow_map(large.join(sketches, "cls").join(pivots, "node"), _branch_task, BRANCH_DDL), "branches")
         near = branched.select("cls", F.explode("near").alias("near"))
-        pairs.append(near.select(F.least("cls", "near.pivot").alias("a"), F.greatest("cls", "near.pivot").alias("b"), "near.equal"))
+        edges.append(near.select(F.least("cls", "near.b").alias("a"), F.greatest("cls", "near.b").alias("b"), "near.equal"))
         cover = branched.groupBy("node").agg((F.avg(F.col("covered").cast("int")) >= COVERED).alias("dense"))
         told = branched.select("node", "cls", "left", "right").join(cover, "node")
-        ended.append(told.filter(F.lit(level == DEPTH) | F.col("dense")).select("node", "cls"))
+        ended = told.filter(F.lit(level == DEPTH) | F.col("dense")).select("node", "cls")
+        first = sizes.select("node", F.col("p0").bitwiseXOR(keys[0]).alias("first"))
+        star = ended.join(first, "node").filter("cls <> first").select(F.least("cls", "first").alias("a"), F.greatest("cls", "first").alias("b"))
+        edges.append(star.withColumn("equal", F.lit(0)))
         frontier = told.filter("NOT dense").select(F.explode(F.array("left", "right")).alias("node"), "cls")
-    proposed = reduce(DataFrame.union, pairs).groupBy("a", "b").agg(F.max("equal").alias("equal"))
-    # Sets whose sizes differ too much cannot be similar enough, whatever they share.
-    sizes = classes.select("cls", "n_shingles")
-    proposed = proposed.join(sizes.toDF("a", "a_size"), "a").join(sizes.toDF("b", "b_size"), "b")
-    proposed = proposed.filter(100 * F.least("a_size", "b_size") >= SIMILAR_PERCENT * F.greatest("a_size", "b_size")).drop("a_size", "b_size")
-    return write_aside(proposed, "proposed"), reduce(DataFrame.union, ended, large.limit(0))
+    return scratch.keep(reduce(DataFrame.union, edges).groupBy("a", "b").agg(F.max("equal").alias("equal")), "edges")
 
 
 # -- confirmation ----------------------------------------------------------------------------------
@@ -233,7 +261,7 @@ def _set_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, sets = [], []
         for cls, key, text in zip(*(batch.column(c).to_pylist() for c in ("cls", "set_key", "text")), strict=True):
             found = shingle(text)
-            if len(found) and _digest(found) == key:  # rows that repeat a doc_id may have another text
+            if len(found) and _digest(found) == key:  # two texts can share a row's key
                 kept.append(cls)
                 sets.append(found.view(np.int64))
         yield pa.RecordBatch.from_arrays(
@@ -241,12 +269,17 @@ def _set_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+def with_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """The members of a table of classes (cls, set_key, least_doc, least_row, ...) with one text each."""
+    texts = docs.select(F.col("doc_id").alias("least_doc"), row_key(F.col("text")).alias("least_row"), "text")
+    return members.join(texts, ["least_doc", "least_row"]).dropDuplicates(["least_doc", "least_row", "cls"])
+
+
+def confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    wanted = wanted.join(classes.select("cls", "set_key", "least_doc"), "cls")
-    texts = wanted.join(docs.select(F.col("doc_id").alias("least_doc"), "text"), "least_doc").select("cls", "set_key", "text")
-    sets = write_aside(arrow_map(texts, _set_task, "cls long, shingles array<long>").dropDuplicates(["cls"]), "sets")
+    members = wanted.join(classes.select("cls", "set_key", "least_doc", "least_row"), "cls")
+    sets = scratch.keep(arrow_map(with_texts(docs, members).select("cls", "set_key", "text"), _set_task, "cls long, shingles array<long>"), "sets")
     both = (
         pairs.select("a", "b")
         .join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("left")), "a")
@@ -256,12 +289,111 @@ def confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     return common.filter(100 * F.col("common") >= SIMILAR_PERCENT * (F.col("total") - F.col("common"))).select("a", "b")
 
 
-def _roots_of(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose ends are not connected."""
-    a_root = roots.select(F.col("vertex").alias("a"), F.col("root").alias("a_root"))
-    b_root = roots.select(F.col("vertex").alias("b"), F.col("root").alias("b_root"))
-    apart = pairs.join(a_root, "a", "left").join(b_root, "b", "left").filter("coalesce(a_root, a) <> coalesce(b_root, b)")
-    return apart.drop("a_root", "b_root")
+def similar(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
+    """Which sets of one list are similar enough to which of the other, or of the same, by the sizes of all intersections."""
+    one = right is None
+    right = left if one else right
+    a_sizes, b_sizes = (np.array([len(s) for s in sets], np.int64) for sets in (left, right))
+    a, b = np.concatenate(left), np.concatenate(right)
+    if one:
+        shared, times = np.unique(a, return_counts=True)
+        shared = shared[times > 1]
+    else:
+        shared = np.intersect1d(np.unique(a), np.unique(b), assume_unique=True)
+
+    def placed(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(shared, values)
+        known = at < len(shared)
+        known[known] = shared[at[known]] == values[known]
+        at, owner = at[known], np.repeat(np.arange(len(sizes)), sizes)[known]
+        order = np.argsort(at, kind="stable")
+        return at[order], owner[order]
+
+    def matrix(at: np.ndarray, owner: np.ndarray, rows: int, begin: int) -> np.ndarray:
+        part = slice(*np.searchsorted(at, [begin, begin + PRODUCT]))
+        cells = np.zeros((rows, min(PRODUCT, len(shared) - begin)), np.float32)  # sums of ones are exact up to 2^24
+        cells[owner[part], at[part] - begin] = 1
+        return cells
+
+    a_at, b_at = placed(a, a_sizes), None if one else placed(b, b_sizes)
+    common = np.zeros((len(left), len(right)), np.int64)
+    for begin in range(0, len(shared), PRODUCT):
+        cells = matrix(*a_at, len(left), begin)
+        others = cells if one else matrix(*b_at, len(right), begin)
+        common += (cells @ others.T).astype(np.int64)
+    return 100 * common >= SIMILAR_PERCENT * (a_sizes[:, None] + b_sizes[None, :] - common)
+
+
+class Forest:
+    """Joins labels; tells which joins were new."""
+
+    def __init__(self) -> None:
+        self.above: dict[int, int] = {}
+
+    def top(self, label: int) -> int:
+        while (up := self.above.get(label, label)) != label:
+            self.above[label] = label = self.above.get(up, up)
+        return label
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.top(a), self.top(b)
+        self.above[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _meet_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of the classes that meet in a block. Rows come sorted by block, residents before visitors.
+
+    In a cluster of one block all residents are compared with each other, else visitors with residents of another component.
+    """
+    shingle = Shingles()
+    place: tuple[int, int] | None = None
+    residents: dict[int, tuple[int, np.ndarray]] = {}
+    visitors: dict[int, tuple[int, np.ndarray]] = {}
+    forest = Forest()
+    links: list[tuple[int, int]] = []
+
+    def compare_residents() -> None:
+        if len(residents) > 1:
+            names = list(residents)
+            a, b = np.nonzero(similar([found for _, found in residents.values()]))
+            least = _together(len(names), a, b)
+            links.extend((names[least[k]], names[k]) for k in np.flatnonzero(least != np.arange(len(names))))
+
+    def compare_visitors() -> None:
+        if residents and visitors:
+            v_roots, r_roots = (np.array([root for root, _ in side.values()]) for side in (visitors, residents))
+            near = similar([found for _, found in visitors.values()], [found for _, found in residents.values()])
+            v, r = np.nonzero(near & (v_roots[:, None] != r_roots[None, :]))
+            for a, b in np.unique(np.stack([v_roots[v], r_roots[r]], axis=1), axis=0).tolist():
+                if forest.join(a, b):
+                    links.append((a, b))
+        visitors.clear()
+
+    def told() -> pa.RecordBatch:
+        found = np.array(links, np.int64).reshape(-1, 2)
+        links.clear()
+        return pa.RecordBatch.from_arrays([pa.array(found.min(axis=1)), pa.array(found.max(axis=1))], names=["a", "b"])
+
+    whole = True
+    for batch in batches:
+        columns = ("cluster", "block", "whole", "visiting", "root", "cls", "set_key", "text")
+        for cluster, block, alone, visiting, root, cls, key, text in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
+            if (cluster, block) != place:
+                compare_residents() if whole else compare_visitors()
+                place, whole, forest = (cluster, block), alone, Forest()
+                residents.clear()
+                visitors.clear()
+            found = shingle(text)
+            if len(found) and _digest(found) == key:  # two texts can share a row's key
+                (visitors if visiting else residents)[cls] = (root, found)
+            if len(visitors) >= BLOCK:
+                compare_visitors()
+        if links:
+            yield told()
+    compare_residents() if whole else compare_visitors()
+    if links:
+        yield told()
 
 
 def _best(pairs: DataFrame) -> DataFrame:
@@ -271,60 +403,87 @@ def _best(pairs: DataFrame) -> DataFrame:
     return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _stragglers(classes: DataFrame, ended: DataFrame, roots: DataFrame) -> DataFrame:
-    """Near pairs of a node's members that are still unconnected: one end is not in the node's main component."""
-    rooted = roots.select(F.col("vertex").alias("cls"), "root")
-    named = write_aside(ended.join(rooted, "cls", "left").withColumn("root", F.coalesce("root", "cls")), "named")
-    main = named.groupBy("node", "root").count().groupBy("node").agg(F.max_by("root", "count").alias("main"))
-    odd = named.join(main, "node").filter("root <> main").select("node", F.col("cls").alias("x"), F.col("root").alias("x_root"))
-    met = odd.join(named.select("node", F.col("cls").alias("y"), "root"), "node").filter("root <> x_root")
-    met = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    sketches = classes.select("cls", "sketch", "n_shingles")
-    seen = met.join(sketches.toDF("a", "a_sketch", "a_size"), "a").join(sketches.toDF("b", "b_sketch", "b_size"), "b")
-    seen = seen.filter(100 * F.least("a_size", "b_size") >= SIMILAR_PERCENT * F.greatest("a_size", "b_size"))
-    return arrow_map(seen, _pair_task, "a long, b long")
+def link_clusters(docs: DataFrame, classes: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """(vertex, root): connected classes, by links between their full sets."""
+    rooted = scratch.keep(connected_components(edges, scratch).toDF("cls", "cluster"), "clusters")
+    sizes = rooted.groupBy("cluster").agg(F.count("*").alias("size"))
+    named = rooted.join(sizes, "cluster").join(classes.select("cls", "set_key", "least_doc", "least_row"), "cls")
+    named = scratch.keep(named, "named")
+    small, large = named.filter(F.col("size") <= BLOCK), named.filter(F.col("size") > BLOCK)
+    place = lambda block, visiting: F.struct(block.cast("int").alias("block"), F.lit(visiting).alias("visiting"))
+    meeting = small.select("*", F.col("cls").alias("root"), F.lit(True).alias("whole"), F.array(place(F.lit(0), False)).alias("places"))
+    confirmed = edges.select("a", "b").limit(0)
+    if not large.isEmpty():
+        pairs = edges.filter("equal > 0").join(large.select(F.col("cls").alias("a")), "a", "left_semi")
+        confirmed = scratch.keep(confirm(docs, classes, _best(pairs), scratch), "confirmed")
+        roots = connected_components(confirmed, scratch).withColumnRenamed("vertex", "cls")
+        large = scratch.keep(large.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls")), "rooted")
+        main = large.groupBy("cluster", "root").count().groupBy("cluster").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
+        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+        own = F.array(place(F.pmod(F.xxhash64("cls"), blocks), False))
+        visits = F.transform(F.sequence(F.lit(0), blocks - 1), lambda block: place(block, True))
+        places = F.when(F.col("root") == F.col("main"), own).otherwise(F.concat(own, visits)).alias("places")
+        parted = large.join(main, "cluster").select(*named.columns, "root", F.lit(False).alias("whole"), places)
+        meeting = meeting.unionByName(parted)
+    met = with_texts(docs, meeting).select("cluster", "whole", "root", "cls", "set_key", "text", F.explode("places").alias("place"))
+    met = met.select("cluster", "place.block", "whole", "place.visiting", "root", "cls", "set_key", "text")
+    met = met.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "visiting", "cls")
+    links = scratch.keep(arrow_map(met, _meet_task, "a long, b long"), "links")
+    return connected_components(links.union(confirmed), scratch)
 
 
 def label_components(docs: DataFrame) -> DataFrame:
     """(doc_id, row, n_shingles, component_id, kept) for every row of ``docs``."""
     small_batches(docs.sparkSession)
-    found = write_aside(profiles(docs), "profiles")
+    scratch = Scratch(docs.sparkSession, "near")
+    found = scratch.keep(profiles(docs), "profiles")
     usable = found.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = usable.groupBy("set_key").agg(
-        F.min("doc_id").alias("least_doc"), *(F.first(c).alias(c) for c in ("n_shingles", "roots", "sketch"))
+        F.min(F.struct("doc_id", "row")).alias("least"), *(F.first(c).alias(c) for c in ("n_shingles", "roots", "sketch"))
     )
-    classes = write_aside(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
-
-    proposed, ended = propose(classes)
-    links = write_aside(confirm(docs, classes, _best(proposed)), "confirmed")
-    roots = connected_components(links)
-    for pick in (_best, lambda pairs: pairs.select("a", "b")):
-        apart = write_aside(_roots_of(proposed, roots), "apart")
-        if apart.isEmpty():
-            break
-        links = write_aside(links.union(confirm(docs, classes, pick(apart))), "confirmed")
-        roots = connected_components(links)
-    odd = write_aside(_stragglers(classes, ended, roots), "stragglers")
-    if not odd.isEmpty():
-        roots = connected_components(links.union(write_aside(confirm(docs, classes, odd), "confirmed")))
+    classes = classes.select("set_key", F.col("least.doc_id").alias("least_doc"), F.col("least.row").alias("least_row"), "n_shingles", "roots", "sketch")
+    classes = scratch.keep(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
+    edges = find_edges(classes, scratch)
+    roots = link_clusters(docs, classes, edges, scratch)
 
     rooted = classes.select("cls", "set_key", "least_doc").join(roots.withColumnRenamed("vertex", "cls"), "cls", "left")
-    rooted = write_aside(rooted.withColumn("root", F.coalesce("root", "cls")).drop("cls"), "rooted")
+    rooted = scratch.keep(rooted.withColumn("root", F.coalesce("root", "cls")).drop("cls"), "rooted")
     first = rooted.groupBy("root").agg(F.min("least_doc").alias("component_id"))
     labels = rooted.join(first, "root").select("set_key", "component_id")
     linked = usable.select("doc_id", "row", "n_shingles", "set_key").join(labels, "set_key")
     alone = found.filter("NOT (n_shingles > 0 AND doc_id IS NOT NULL)").withColumn("component_id", F.col("doc_id"))
     columns = ["doc_id", "row", "n_shingles", "component_id"]
     together = linked.select(*columns).union(alone.select(*columns))
-    return together.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    told = write_aside(together.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "components")
+    scratch.drop_all()
+    return told
 
 
 def near_report(docs: DataFrame) -> DataFrame:
     return label_components(docs).drop("row")
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each component, with all its columns."""
-    lost = label_components(docs).filter("NOT kept").select(F.col("doc_id").alias("__near_doc"), F.col("row").alias("__near_row"))
+def keep_first(docs: DataFrame, others: DataFrame | None = None) -> DataFrame:
+    """One document of each component, with all its columns.
+
+    ``others`` (doc_id, text) are other texts of the same documents, such as the texts before lines were cut from them: documents are linked if
+    any of their texts are, and go with the smallest doc_id that is left.
+    """
+    if others is None:
+        told = label_components(docs)
+    else:
+        told = _merge_views(label_components(docs.select("doc_id", "text").unionByName(others.select("doc_id", "text"))))
+    lost = told.filter("NOT kept").select(F.col("doc_id").alias("__near_doc"), F.col("row").alias("__near_row"))
     same = (F.col("doc_id") == F.col("__near_doc")) & (row_key(F.col("text")) == F.col("__near_row"))
     return docs.join(lost, same, "left_anti")
+
+
+def _merge_views(told: DataFrame) -> DataFrame:
+    """Components of which some document has texts in both become one, named by the smallest of them."""
+    known = told.filter("doc_id IS NOT NULL")
+    edges = known.join(known.groupBy("doc_id").agg(F.min("component_id").alias("a")), "doc_id")
+    edges = edges.select("a", F.col("component_id").alias("b")).filter("a <> b").distinct()
+    roots = connected_components(edges)
+    merged = known.join(roots.withColumnRenamed("vertex", "component_id"), "component_id", "left")
+    merged = merged.withColumn("component_id", F.coalesce("root", "component_id"))
+    return merged.withColumn("kept", F.col("doc_id") == F.col("component_id"))
