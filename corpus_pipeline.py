@@ -7,6 +7,7 @@ pieces. Between stages the documents are a written table, so a lost executor rep
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripflow.llm.common import read_table, write_aside
 from tripflow.llm.decontaminate import drop_contaminated
@@ -21,11 +22,16 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_lines(docs)
+    shorter = drop_lines(docs)
+    return shorter.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_first(docs)
+    """Near copies lose different lines to documents before them, so documents are compared by their whole texts too. What has no word left was
+    made of other documents' lines."""
+    whole = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    whole = whole.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    return keep_first(docs, whole).filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
