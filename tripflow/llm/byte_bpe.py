@@ -8,8 +8,8 @@ merged first, the leftmost of equals.
 The table is built once by the driver from a rank file, whose size is that of the vocabulary, and travels with the tasks. Encoding and
 decoding are map-only. Token ids are stored packed, as little-endian unsigned 32-bit integers.
 
-No pre-token goes on over white space, so a text is taken chunk by chunk (white space, then other characters), and a task remembers up to
-``CACHED_CHUNKS`` short ones. Long texts are encoded in segments of whole chunks.
+No pre-token goes on over white space, so a text is taken chunk by chunk (white space, then other characters), and a worker remembers the short
+ones of late, up to twice ``CACHED_CHUNKS``. Long texts are encoded in segments of whole chunks.
 
 Defined results: a null or empty text has no tokens and decodes to nothing. Repeated rows and null doc_ids give rows of their own. Ids that
 the vocabulary lacks, or bytes that are no whole ids, decode to null. An empty table gives an empty result. Extra columns are ignored.
@@ -18,11 +18,12 @@ the vocabulary lacks, or bytes that are no whole ids, decode to null. An empty t
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 from array import array
 from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
-from itertools import accumulate, chain
+from itertools import accumulate, chain, product
 
 import numpy as np
 import public_tokenizers
@@ -36,7 +37,7 @@ from .common import arrow_map
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Keys of a bucket of the perfect hash, on average.
 BUCKET_KEYS = 2
-#: A task's memory: chunks, and characters of the longest that is remembered.
+#: Half of a worker's memory: chunks, and characters of the longest that is remembered.
 CACHED_CHUNKS, CACHED_CHARS = 300_000, 48
 #: Characters of a text, or ids, that are worked on at a time.
 SEGMENT = 1_000_000
@@ -116,7 +117,9 @@ class Vocabulary:
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
+        self.digest = hashlib.sha256(repr(sorted(ranks.items())).encode()).hexdigest()
         self.byte_ids = [ranks[bytes([byte])] for byte in range(256)]
+        self.of_two = [ranks.get(bytes(two), -1) for two in product(range(256), repeat=2)]  # by the two bytes as one number
         self.slot_of = PerfectHash(list(ranks))
         self.token_at, self.id_at = [b""] * len(ranks), array("q", bytes(8 * len(ranks)))
         for token, number in ranks.items():
@@ -135,10 +138,12 @@ class Vocabulary:
         return (self.id_at[slot],) if self.token_at[slot] == piece else self.merge(piece)
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
-        find, size = self.ranks.get, len(piece)
+        find, of_two, size = self.ranks.get, self.of_two, len(piece)
         ids: list[int] = [self.byte_ids[byte] for byte in piece]  # by the place where a part begins; -1 within parts
         after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-        pairs = [find(piece[at : at + 2], -1) for at in range(size - 1)] + [-1]  # rank of a part and the next, if they make a token
+        # Rank of a part and the next, if they make a token.
+        pairs = [of_two[first << 8 | second] for first, second in zip(piece, piece[1:], strict=False)]
+        pairs.append(-1)
         # A waiting pair is one number, its rank and then its place, so that the leftmost of equal ranks comes first.
         waiting = [rank * size + at for at, rank in enumerate(pairs) if rank >= 0]
         heapify(waiting)
@@ -183,6 +188,8 @@ class Encoder(dict):
         self.findall = regex.compile(spelled).findall
 
     def pieces(self, chunk: str) -> list[str]:
+        if chunk.isascii():
+            return self.findall(chunk)
         known = _NEWER.sub("\ue000", chunk)  # a character for private use is neither letter, number nor space
         found = self.findall(known)
         if known == chunk:
@@ -211,6 +218,18 @@ class Encoder(dict):
         )
 
 
+_worker: dict[tuple[str, str], Encoder] = {}
+
+
+def worker_encoder(vocabulary: Vocabulary, pattern: str) -> Encoder:
+    """The encoder of this Python worker: its memory outlives a task. A worker keeps one."""
+    key = (vocabulary.digest, pattern)
+    if key not in _worker:
+        _worker.clear()
+        _worker[key] = Encoder(vocabulary, pattern)
+    return _worker[key]
+
+
 def segments(text: str) -> Iterator[str]:
     """Whole chunks of at least ``SEGMENT`` characters in all, but for the last."""
     begin = 0
@@ -227,7 +246,7 @@ def encode(
     table = vocabulary or Vocabulary.read(path or public_tokenizers.path(RANKS))
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(table, pattern)
+        encoder = worker_encoder(table, pattern)
         for batch in batches:
             ids = [encoder.packed(text or "") for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])

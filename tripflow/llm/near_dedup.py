@@ -8,8 +8,9 @@ are compared exhaustively. ``TREES`` trees choose their coordinates by seeds of
 measure what is found. A large node compares its members with ``PIVOTS`` of them. If these cover half of the members the node holds
 similar sets, which branching would keep together: it ends there, and so does one at the last level.
 
-What the trees find are clusters: classes connected by pairs that agree on ``PROPOSE`` values (see there), and whole nodes that ended. They are told by few
-edges for each member of a node, never by all pairs. Then sets meet in tasks, which return forests of the links that they confirm:
+What the trees find are clusters: classes connected by pairs that agree on ``PROPOSE`` values (see there). The members of a node that ended are compared
+by their values exhaustively, block against block of ``SKETCH_BLOCK``. Pairs are told by a forest and each member's best one, never all of them. Then sets
+meet in tasks, which return forests of the links that they confirm:
 
 - a cluster of at most ``BLOCK`` classes is compared exhaustively by one task, all pairs of sets by matrix products;
 - of a larger one, each class first confirms its best pair. Classes that are not connected to the cluster's largest component by then
@@ -50,6 +51,8 @@ PROPOSE = 82
 COVER, COVERED = 90, 0.5
 #: Classes whose sets a task holds at a time to compare all of them, and shingles in one matrix product.
 BLOCK, PRODUCT = 512, 4096
+#: The same for sketches.
+SKETCH_BLOCK = 2048
 CACHED_WORDS = 200_000
 
 _ODD = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -205,17 +208,61 @@ def _leaf_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             good = (equal >= PROPOSE) & _sizes_allow(sizes[later], sizes[later - step])
             found.append(np.stack([later[good], later[good] - step, equal[good]]))
         a, b, equal = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
-        if not len(a):
-            continue
-        ends, partners, equals = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([equal, equal])
-        order = np.lexsort((partners, -equals, ends))
-        best = order[np.unique(ends[order], return_index=True)[1]]
-        least = _together(len(nodes), a, b)
-        apart = np.flatnonzero(least != np.arange(len(nodes)))
-        x, y = np.concatenate([cls[ends[best]], cls[apart]]), np.concatenate([cls[partners[best]], cls[least[apart]]])
-        yield batch_of(
-            EDGES, a=np.minimum(x, y), b=np.maximum(x, y), equal=np.concatenate([equals[best], np.zeros(len(apart), np.int64)]).astype(np.int32)
-        )
+        if len(a):
+            yield _forest(cls, a, b, equal)
+
+
+def _forest(cls: np.ndarray, a: np.ndarray, b: np.ndarray, equal: np.ndarray) -> pa.RecordBatch:
+    """Edges that connect what the pairs (a, b) of places connect: each member's best pair, and one to the first that it is connected with."""
+    ends, partners, equals = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([equal, equal])
+    order = np.lexsort((partners, -equals, ends))
+    best = order[np.unique(ends[order], return_index=True)[1]]
+    least = _together(len(cls), a, b)
+    apart = np.flatnonzero(least != np.arange(len(cls)))
+    x, y = np.concatenate([cls[ends[best]], cls[apart]]), np.concatenate([cls[partners[best]], cls[least[apart]]])
+    weights = np.concatenate([equals[best], np.zeros(len(apart), np.int64)])
+    return batch_of(EDGES, a=np.minimum(x, y), b=np.maximum(x, y), equal=weights.astype(np.int32))
+
+
+def _ended_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges between the members of two blocks of a node, or within one. Rows come sorted by node and blocks."""
+    place: tuple[int, int, int] | None = None
+    members: list[tuple[int, int, int, bytes]] = []
+
+    def compared() -> Iterator[pa.RecordBatch]:
+        if len(members) < 2:
+            return
+        cls, block, sizes = (np.array([m[k] for m in members], np.int64) for k in range(3))
+        values = np.frombuffer(b"".join(m[3] for m in members), np.uint8).reshape(-1, COORDINATES)
+        left = np.flatnonzero(block == place[1])
+        right = left if place[1] == place[2] else np.flatnonzero(block == place[2])
+        found = []
+        for one in left:
+            others = right[right > one] if right is left else right
+            others = others[_sizes_allow(sizes[others], sizes[one])]
+            equal = (values[others] == values[one]).sum(axis=1)
+            good = equal >= PROPOSE
+            found.append(np.stack([np.full(int(good.sum()), one), others[good], equal[good]]))
+        a, b, equal = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
+        if len(a):
+            yield _forest(cls, a, b, equal)
+
+    for batch in batches:
+        for node, low, high, *member in zip(*(batch.column(c).to_pylist() for c in ("node", "low", "high", "cls", "block", "n_shingles", "sketch")), strict=True):
+            if (node, low, high) != place:
+                yield from compared()
+                place, members = (node, low, high), []
+            members.append(tuple(member))
+    yield from compared()
+
+
+def _ended_edges(ended: DataFrame) -> DataFrame:
+    """All pairs of the members of nodes that ended, compared by their sketches in tasks; a member meets every block of its node."""
+    blocks = F.ceil(F.col("size") / SKETCH_BLOCK).cast("int")
+    own = ended.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
+    met = own.select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    met = met.select("node", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "cls", "block", "n_shingles", "sketch")
+    return arrow_map(met.repartition("node", "low", "high").sortWithinPartitions("node", "low", "high", "cls"), _ended_task, EDGES_DDL)
 
 
 def find_edges(classes: DataFrame, scratch: Scratch) -> DataFrame:
@@ -245,9 +292,7 @@ def find_edges(classes: DataFrame, scratch: Scratch) -> DataFrame:
         cover = branched.groupBy("node").agg((F.avg(F.col("covered").cast("int")) >= COVERED).alias("dense"))
         told = branched.select("node", "cls", "left", "right").join(cover, "node")
         ended = told.filter(F.lit(level == DEPTH) | F.col("dense")).select("node", "cls")
-        first = sizes.select("node", F.col("p0").bitwiseXOR(keys[0]).alias("first"))
-        star = ended.join(first, "node").filter("cls <> first").select(F.least("cls", "first").alias("a"), F.greatest("cls", "first").alias("b"))
-        edges.append(star.withColumn("equal", F.lit(0)))
+        edges.append(scratch.keep(_ended_edges(ended.join(sizes.select("node", "size"), "node").join(sketches, "cls")), "edges"))
         frontier = told.filter("NOT dense").select(F.explode(F.array("left", "right")).alias("node"), "cls")
     return scratch.keep(reduce(DataFrame.union, edges).groupBy("a", "b").agg(F.max("equal").alias("equal")), "edges")
 
