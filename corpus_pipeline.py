@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import read_table, write_aside
+from tripflow.llm.common import read_table, row_key, write_aside
 from tripflow.llm.decontaminate import drop_contaminated
 from tripflow.llm.line_dedup import drop_lines
 from tripflow.llm.near_dedup import keep_first
@@ -27,10 +27,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near copies lose different lines to documents before them, so documents are compared by their whole texts too. What has no word left was
-    made of other documents' lines."""
-    whole = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    whole = whole.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    """Near copies lose different lines to documents before them, so documents that lost some are compared by their whole texts too. What has no
+    word left was made of other documents' lines."""
+    left = docs.select(F.col("doc_id").alias("left_id"), row_key(F.col("text")).alias("left_row"))
+    shortened = (F.col("doc_id") == F.col("left_id")) & (row_key(F.col("text")) != F.col("left_row"))
+    whole = read_table(spark, sf_dir, "documents").select("doc_id", "text").join(left, shortened, "left_semi")
     return keep_first(docs, whole).filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 
