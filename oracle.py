@@ -249,6 +249,10 @@ _FIELD_LIST = _list([
     "dropoff_location", "fare_usd", "payment_method", "payment_status",
 ])
 
+_ALL_ZONES = f"""WITH {_VALIDATED}
+SELECT 'raw' AS zone, NULL AS validation_error, n AS "offset" FROM validated
+UNION ALL SELECT CASE WHEN validation_error IS NULL THEN 'clean' ELSE 'rejected' END, validation_error, n FROM validated"""
+
 ORACLE_SQL = {
     "parse_events": f'WITH {_PARSED} SELECT n AS "offset", {_EVENT_COLUMNS} FROM parsed',
     "tap_events": f"""WITH {_FEED}
@@ -370,7 +374,6 @@ UNION ALL SELECT 'first_inserted', count(*) FROM first_load
 UNION ALL SELECT name, 0 FROM (VALUES ('again_attempted'), ('again_inserted'), ('again_files')) AS t(name)
 UNION ALL SELECT 'second_attempted', count(*) FROM valid WHERE NOT early
 UNION ALL SELECT 'second_inserted', count(*) FROM staged WHERE event_id NOT IN (SELECT event_id FROM first_load)""",
-    "stream_replay": f"""WITH {_VALIDATED}
-SELECT 'raw' AS zone, NULL AS validation_error, n AS "offset" FROM validated
-UNION ALL SELECT CASE WHEN validation_error IS NULL THEN 'clean' ELSE 'rejected' END, validation_error, n FROM validated""",
+    "stream_replay": _ALL_ZONES,
+    "packed_zones": _ALL_ZONES,
 }

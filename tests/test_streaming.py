@@ -178,3 +178,59 @@ def test_counts_take_no_job_of_their_own(spark, tmp_path):
         assert len(context.statusTracker().getJobIdsForGroup(f"batch {attempt}")) <= 3
     assert sizes(spark, lake) == (1000, 839, 161)
     assert len(glob.glob(f"{lake.path('raw')}/*/*/*/*.json")) == 1
+
+
+def test_packing_changes_files_and_nothing_else(spark, tmp_path, monkeypatch):
+    from tripflow.operators.parse import decode_envelope, normalise
+    from tripflow.operators.validate import validate
+
+    lake = Lake(str(tmp_path / "lake"))
+    validated = validate(normalise(decode_envelope(as_records(load_feed(spark, SF_DIR)))))
+    for n in range(3):
+        route_batch(validated.filter(f"offset % 5 = {n}"), n, lake, "run")
+    readers = {"raw": lake.read_raw, "clean": lake.read_clean, "rejected": lake.read_rejected}
+    contents = lambda: {zone: sorted(map(str, read(spark).collect())) for zone, read in readers.items()}
+    before = contents()
+    (day,) = {r.ingestion_date.isoformat() for r in lake.batches(spark, "clean").collect()}
+    note = Lake._note_packs
+
+    def lost(self, spark_, zone, packs):
+        if packs["runs"]:
+            raise KeyboardInterrupt
+        note(self, spark_, zone, packs)
+
+    for zone in readers:
+        with monkeypatch.context() as broken:  # the packed files are there, and nobody sees them
+            broken.setattr(Lake, "_note_packs", lost)
+            with pytest.raises(KeyboardInterrupt):
+                lake.pack(spark, zone, day)
+        assert contents() == before and lake.batches(spark, zone).count() == 3
+        assert lake.pack(spark, zone, day) == 3 and contents() == before
+        assert lake.batches(spark, zone).first().files == 1
+    route_batch(validated.filter("offset % 5 >= 3"), 9, lake, "run")  # late, and shown beside the packed files
+    assert sizes(spark, lake) == (1000, 839, 161)
+    plan = lake.read_clean(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "DataFilters: []" in plan and " Filter " not in plan  # hidden folders are not read
+    whole = contents()
+    for zone in readers:
+        assert lake.remove_replaced(spark, zone) == 3 and lake.remove_replaced(spark, zone) == 0
+        assert contents() == whole
+        assert lake.pack(spark, zone, day) == 2 and lake.pack(spark, zone, day) == 0 and contents() == whole
+    assert lake.pack(spark, "raw", "1999-01-01") == 0
+    with pytest.raises(RuntimeError, match="meanwhile"):
+        lake._note_packs(spark, "raw", lake._packs(spark, "raw") | {"version": 1})
+
+
+def test_replayed_batches_of_a_packed_day(spark, tmp_path):
+    """A batch that is written again after its day was packed stays hidden: the packed files hold the same records."""
+    from tripflow.operators.parse import decode_envelope, normalise
+    from tripflow.operators.validate import validate
+
+    lake = Lake(str(tmp_path / "lake"))
+    batch = validate(normalise(decode_envelope(as_records(load_feed(spark, SF_DIR)))))
+    for n in range(2):
+        route_batch(batch, n, lake, "run")
+    (day,) = {r.ingestion_date.isoformat() for r in lake.batches(spark, "raw").collect()}
+    assert lake.pack(spark, "raw", day) == 2
+    route_batch(batch, 1, lake, "run")
+    assert lake.read_raw(spark).count() == 2000

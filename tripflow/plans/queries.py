@@ -418,12 +418,29 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
             raise
     lake = Lake(f"{root}/lake")
     drain(lake)
+    return _zone_rows(spark, lake)
+
+
+def _zone_rows(spark: SparkSession, lake: Lake) -> DataFrame:
     zones = [("raw", lake.read_raw(spark)), ("clean", lake.read_clean(spark))]
     parts = [rows.select(F.lit(zone).alias("zone"), F.lit(None).cast("string").alias("validation_error"), "offset") for zone, rows in zones]
     parts.append(lake.read_rejected(spark).select(F.lit("rejected").alias("zone"), "validation_error", "offset"))
     return reduce(DataFrame.unionByName, parts)
 
 
+def packed_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three zones after three batches were packed, their old files removed, and one more batch came."""
+    lake, validated = Lake(shared_path(spark, "lake")), write_aside(_validated(spark, sf_dir), "validated")
+    for batch_id in range(4):
+        if batch_id == 3:
+            for zone in ("raw", "clean", "rejected"):
+                for day in lake.batches(spark, zone).select("ingestion_date").distinct().collect():
+                    lake.pack(spark, zone, day["ingestion_date"].isoformat())
+                lake.remove_replaced(spark, zone)
+        route_batch(validated.filter(F.least(F.col("offset") % 5, F.lit(3)) == batch_id), batch_id, lake, "run")
+    return _zone_rows(spark, lake)
+
+
 def curated_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored reports after two loads, half of the month as a part and all of it folded in, and a refresh without a new load."""
     warehouse = _fresh_warehouse(spark)
@@ -507,7 +524,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fill_event_keys, fill_trip_keys, fill_payment_keys, key_coverage,
         stream_route, stream_raw, stream_to_warehouse, landed_lines, batch_warehouse,
         quarantine, refill_keys, refill_buckets, load_counts, newest_file_load, bad_line_numbers, landed_bytes,
-        promotions, stream_replay, curated_marts,
+        promotions, stream_replay, packed_zones, curated_marts,
         driver_activity, revenue_by_date_and_method, demand_by_pickup_and_hour,
     )
 }
