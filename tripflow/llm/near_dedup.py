@@ -320,11 +320,10 @@ def with_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
     return members.join(texts, ["least_doc", "least_row"]).dropDuplicates(["least_doc", "least_row", "cls"])
 
 
-def confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
+def confirm(texts: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The pairs whose full sets are similar enough. ``texts`` are (cls, set_key, text)."""
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    members = wanted.join(classes.select("cls", "set_key", "least_doc", "least_row"), "cls")
-    sets = scratch.keep(arrow_map(with_texts(docs, members).select("cls", "set_key", "text"), _set_task, "cls long, shingles array<long>"), "sets")
+    sets = scratch.keep(arrow_map(texts.join(wanted, "cls", "left_semi"), _set_task, "cls long, shingles array<long>"), "sets")
     both = (
         pairs.select("a", "b")
         .join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("left")), "a")
@@ -454,13 +453,16 @@ def link_clusters(docs: DataFrame, classes: DataFrame, edges: DataFrame, scratch
     sizes = rooted.groupBy("cluster").agg(F.count("*").alias("size"))
     named = rooted.join(sizes, "cluster").join(classes.select("cls", "set_key", "least_doc", "least_row"), "cls")
     named = scratch.keep(named, "named")
+    # The texts of all documents move here, once; from now on it is those of the clusters.
+    texts = scratch.keep(with_texts(docs, named).select("cls", "set_key", "text"), "texts")
+    named = named.drop("set_key", "least_doc", "least_row")
     small, large = named.filter(F.col("size") <= BLOCK), named.filter(F.col("size") > BLOCK)
     place = lambda block, visiting: F.struct(block.cast("int").alias("block"), F.lit(visiting).alias("visiting"))
     meeting = small.select("*", F.col("cls").alias("root"), F.lit(True).alias("whole"), F.array(place(F.lit(0), False)).alias("places"))
     confirmed = edges.select("a", "b").limit(0)
     if not large.isEmpty():
         pairs = edges.filter("equal > 0").join(large.select(F.col("cls").alias("a")), "a", "left_semi")
-        confirmed = scratch.keep(confirm(docs, classes, _best(pairs), scratch), "confirmed")
+        confirmed = scratch.keep(confirm(texts, _best(pairs), scratch), "confirmed")
         roots = connected_components(confirmed, scratch).withColumnRenamed("vertex", "cls")
         large = scratch.keep(large.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls")), "rooted")
         main = large.groupBy("cluster", "root").count().groupBy("cluster").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
@@ -470,7 +472,7 @@ def link_clusters(docs: DataFrame, classes: DataFrame, edges: DataFrame, scratch
         places = F.when(F.col("root") == F.col("main"), own).otherwise(F.concat(own, visits)).alias("places")
         parted = large.join(main, "cluster").select(*named.columns, "root", F.lit(False).alias("whole"), places)
         meeting = meeting.unionByName(parted)
-    met = with_texts(docs, meeting).select("cluster", "whole", "root", "cls", "set_key", "text", F.explode("places").alias("place"))
+    met = meeting.join(texts, "cls").select("cluster", "whole", "root", "cls", "set_key", "text", F.explode("places").alias("place"))
     met = met.select("cluster", "place.block", "whole", "place.visiting", "root", "cls", "set_key", "text")
     met = met.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "visiting", "cls")
     links = scratch.keep(arrow_map(met, _meet_task, "a long, b long"), "links")
