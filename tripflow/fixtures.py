@@ -33,8 +33,7 @@ def _pick(values: list[str], index: str) -> str:
     return f"element_at(array({', '.join(repr(value) for value in values)}), CAST({index} + 1 AS INT))"
 
 
-def _number(prefix: str, value: str, width: int) -> str:
-    digits = f"CAST({value} AS STRING)"
+def _number(prefix: str, digits: str, width: int) -> str:
     return f"concat('{prefix}', lpad({digits}, greatest({width}, length({digits})), '0'))"
 
 
@@ -43,12 +42,21 @@ def _unless_nulled(name: str, value: str, *more: int) -> str:
     return f"CASE WHEN f NOT IN ({kinds}) THEN {value} END"
 
 
+# Numbers of one event, as text. They are columns of their own: an expression that a field uses twice is compiled twice, and the JVM never
+# compiles a method above 8000 bytes of bytecode, which is what one task's code for the feed would come to.
+_NUMBERS = {
+    "event_no": f"CAST(if(f = {REPEATED}, n - 1, n) AS STRING)",
+    "ride_no": "CAST(r AS STRING)",
+    "driver_no": "CAST((u * 3 + r % 3) div 4 AS STRING)",
+    "rider_no": "CAST(u AS STRING)",
+}
+
 # Fields of one event. n: row number; u: user; r: ride; k: step of the ride; f: kind of damage, -1 for none.
 _FIELDS = {
-    "event_id": _unless_nulled("event_id", _number("evt_", f"if(f = {REPEATED}, n - 1, n)", 6)),
-    "ride_id": _unless_nulled("ride_id", _number("ride_", "r", 6)),
-    "driver_id": _unless_nulled("driver_id", _number("drv_", "(u * 3 + r % 3) div 4", 4), NO_DRIVER_ODD_METHOD),
-    "rider_id": _unless_nulled("rider_id", _number("rdr_", "u", 4)),
+    "event_id": _unless_nulled("event_id", _number("evt_", "event_no", 6)),
+    "ride_id": _unless_nulled("ride_id", _number("ride_", "ride_no", 6)),
+    "driver_id": _unless_nulled("driver_id", _number("drv_", "driver_no", 4), NO_DRIVER_ODD_METHOD),
+    "rider_id": _unless_nulled("rider_id", _number("rdr_", "rider_no", 4)),
     "event_type": _unless_nulled("event_type", f"""CASE WHEN f IN ({ODD_TYPE}, {ODD_TYPE_NO_TIME}) THEN 'ride_paused'
         WHEN f IN ({TRIP_NO_FARE}, {TRIP_ZERO_FARE}) THEN 'trip_completed'
         WHEN f IN ({PAID_NO_FARE}, {PAID_NEGATIVE_FARE}, {PAYMENT_FAILED}) THEN 'payment_completed'
@@ -57,8 +65,8 @@ _FIELDS = {
     "event_timestamp": _unless_nulled(
         "event_timestamp", f"""if(f = {ODD_TIME}, '2024-02-30T25:61:00', date_format(ts, "{EVENT_TIME_PATTERN}"))""", ODD_TYPE_NO_TIME
     ),
-    "pickup_location": _unless_nulled("pickup_location", _number("Stop ", "u div 8", 1), NO_PICKUP_ODD_STATUS),
-    "dropoff_location": _unless_nulled("dropoff_location", _number("Stop ", "u div 8 + 1 + n % 5", 1)),
+    "pickup_location": _unless_nulled("pickup_location", "concat('Stop ', CAST(u div 8 AS STRING))", NO_PICKUP_ODD_STATUS),
+    "dropoff_location": _unless_nulled("dropoff_location", "concat('Stop ', CAST(u div 8 + 1 + n % 5 AS STRING))"),
     "fare_usd": f"""CASE WHEN f IN ({TRIP_NO_FARE}, {PAID_NO_FARE}) THEN NULL
         WHEN f = {TRIP_ZERO_FARE} THEN '0.0' WHEN f = {PAID_NEGATIVE_FARE} THEN '-0.01'
         WHEN f = {PAYMENT_FAILED} OR k IN (3, 4) THEN CAST(round(value, 2) AS STRING) END""",
@@ -71,10 +79,15 @@ _FIELDS = {
 
 
 def _member(name: str) -> str:
-    if name == "event_id":  # left out of the object when null; all other nulls are written
-        return """concat('"event_id":"', event_id, '"')"""
     value = name if name == "fare_usd" else f"""concat('"', {name}, '"')"""
-    return f"""concat('"{name}":', coalesce({value}, 'null'))"""
+    return f"""',"{name}":', coalesce({value}, 'null')"""
+
+
+def _object() -> str:
+    first, second, *others = _FIELDS
+    # The event id is left out of the object when null; all other nulls are written.
+    start = f"""coalesce(concat('{{"{first}":"', {first}, '",'), '{{'), '"{second}":', coalesce(concat('"', {second}, '"'), 'null')"""
+    return f"concat({start}, {', '.join(map(_member, others))}, '}}')"
 
 
 def ride_feed(events: DataFrame, faults: bool = True) -> DataFrame:
@@ -87,12 +100,12 @@ def ride_feed(events: DataFrame, faults: bool = True) -> DataFrame:
             "event_id AS n", "user_id AS u", "event_id div 5 AS r", "event_id % 5 AS k", "ts", "value", "event_type AS source_type",
             f"{kind} AS f",
         )
+        .selectExpr("*", *(f"{value} AS {name}" for name, value in _NUMBERS.items()))
         .selectExpr("n", "f", "ts", *(f"{value} AS {name}" for name, value in _FIELDS.items()))
         .selectExpr(
             "n",
             "coalesce(ride_id, event_id, concat('bad_record_', n)) AS kafka_key",
-            f"""CASE WHEN f = {TRUNCATED} THEN '{{"event_id"'
-                ELSE concat('{{', concat_ws(',', {', '.join(map(_member, _FIELDS))}), '}}') END AS raw_json""",
+            f"""CASE WHEN f = {TRUNCATED} THEN '{{"event_id"' ELSE {_object()} END AS raw_json""",
             f"'{TOPIC}' AS topic",
             "0 AS partition",
             "n AS offset",
