@@ -234,3 +234,24 @@ def test_replayed_batches_of_a_packed_day(spark, tmp_path):
     assert lake.pack(spark, "raw", day) == 2
     route_batch(batch, 1, lake, "run")
     assert lake.read_raw(spark).count() == 2000
+
+
+def test_packing_sorts_nothing(spark, tmp_path, monkeypatch):
+    """A packed file is a quarter of a gigabyte of compressed rows; no task may hold them all, to deal them out or to write them."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from tripflow.operators.parse import decode_envelope, normalise
+    from tripflow.operators.validate import validate
+
+    lake = Lake(str(tmp_path / "lake"))
+    batch = validate(normalise(decode_envelope(as_records(load_feed(spark, SF_DIR)))))
+    for n in range(2):
+        route_batch(batch.filter(f"offset % 2 = {n}"), n, lake, "run")
+    (day,) = {r.ingestion_date.isoformat() for r in lake.batches(spark, "clean").collect()}
+    plans, partitioned, save = [], [], DataFrameWriter.save
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda self, *names: partitioned.append(names) or self)
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self, *args: (plans.append(self._df._jdf.queryExecution().executedPlan().toString()), save(self, *args)))
+    assert lake.pack(spark, "clean", day, file_bytes=10_000) == 2
+    (plan,) = plans
+    assert not partitioned and "hashpartitioning(topic" in plan and "Sort" not in plan and "RoundRobin" not in plan
+    assert lake.read_clean(spark).count() == 839

@@ -158,10 +158,13 @@ class Lake:
             self._note_packs(spark, zone, packs)
             packs = self._packs(spark, zone)
         fmt, _ = _ZONES[zone]
-        rows = self._stored(spark, zone, old).withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(0).cast("bigint")})
-        rows = rows.repartition(max(1, -(-sum(row["bytes"] for row in old) // file_bytes)))
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS)
-        (writer.options(**_JSON_OPTIONS) if fmt == "json" else writer).format(fmt).save(self.path(zone))
+        rows = self._stored(spark, zone, old).drop(*PARTITIONS)
+        # Dealt out by place and written to the one folder they belong to: a round robin would sort what a task reads, and
+        # partitionBy what it writes, and a packed file holds as many rows as compress to its size.
+        rows = rows.repartition(max(1, -(-sum(row["bytes"] for row in old) // file_bytes)), "topic", "partition", "offset")
+        writer = rows.write.mode("overwrite")
+        folder = "/".join([self.path(zone), f"ingestion_date={day}", f"run_id={run_id}", "batch_id=0"])
+        (writer.options(**_JSON_OPTIONS) if fmt == "json" else writer).format(fmt).save(folder)
         replaced = ["/".join(str(row[name]) for name in PARTITIONS) for row in old]
         self._note_packs(spark, zone, packs | {
             "runs": [*packs["runs"], run_id], "replaced": [*packs["replaced"], *replaced],
