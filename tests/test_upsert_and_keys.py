@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripflow.operators.keys import Lookup, assign_keys, fill_keys, key_coverage, unfilled
-from tripflow.operators.upsert import first_per_key, insert_if_absent
+from tripflow.operators.upsert import absent_from, first_per_key, insert_if_absent
 
 
 def brute_force(existing, incoming):
@@ -128,3 +128,13 @@ def test_a_hot_key_is_split_in_the_shuffle_join(spark):
     finally:
         for name in conf:
             spark.conf.unset(name)
+
+
+def test_nothing_that_grows_is_broadcast(spark, fact):
+    rows = spark.range(10).select(F.col("id").cast("string").alias("key"))
+    drivers = spark.createDataFrame([("d", 1)], "driver_id string, driver_key bigint")
+    lookup = Lookup("driver_key", F.col("driver_id"), "dim_driver", "driver_id", "driver_key")
+    trips = spark.createDataFrame([("r", "d", None)], "ride_id string, driver_id string, driver_key bigint")
+    for plan in (absent_from(rows, rows, "key"), fill_keys(trips, [lookup], {"dim_driver": drivers}, "ride_id")):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "Broadcast" not in text

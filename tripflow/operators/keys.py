@@ -120,7 +120,7 @@ def fill_keys(
         found = F.col("found")
         smallest = [F.min(F.when(found["lookup"] == x.key_column, found["key"])).alias(f"found_{x.key_column}") for x in grown]
         keys = keys.groupBy(row_id).agg(*smallest)
-        filled = filled.join(keys.hint("shuffle_hash") if partitions else keys, row_id, "left")
+        filled = filled.join(keys.hint("shuffle_hash" if partitions else "merge"), row_id, "left")
     for lookup in lookups:
         found, wanted = f"found_{lookup.key_column}", f"wanted_{lookup.key_column}"
         if lookup not in grown:
@@ -138,7 +138,9 @@ def found_keys(fact: DataFrame, lookups: list[Lookup], dims: dict[str, DataFrame
         wanted, key = f"wanted_{lookup.key_column}", f"found_{lookup.key_column}"
         pairs = fact.filter(_is_open(lookup)).select(row_id, lookup.fact_value.alias(wanted))
         found = F.struct(F.lit(lookup.key_column).alias("lookup"), F.col(key).cast("bigint").alias("key"))
-        parts.append(pairs.join(_side(lookup, dims, wanted, key), wanted).select(row_id, found.alias("found")))
+        side = _side(lookup, dims, wanted, key)
+        side = side.hint("merge") if lookup.dim in GROWING else side  # else the pairs or the names may be broadcast
+        parts.append(pairs.join(side, wanted).select(row_id, found.alias("found")))
     return reduce(DataFrame.unionByName, parts)
 
 

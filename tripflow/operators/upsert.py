@@ -21,11 +21,12 @@ def first_per_key(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
 def absent_from(rows: DataFrame, target: DataFrame | None, key: str) -> DataFrame:
     """Rows whose key the target lacks. Only the key column of the target is read.
 
-    Where the target is bucketed on the key, its side of this join is not shuffled.
+    Where the target is bucketed on the key, its side of this join is not shuffled. It is never broadcast: keys that take few bytes in
+    files would still be collected as rows by the driver, and their number grows with the table.
     """
     if target is None:
         return rows
-    return rows.join(target.select(key), key, "left_anti")
+    return rows.join(target.select(key).hint("merge"), key, "left_anti")
 
 
 def insert_if_absent(target: DataFrame | None, incoming: DataFrame, key: str, order: list[str]) -> DataFrame:

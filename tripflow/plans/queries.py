@@ -205,7 +205,7 @@ def fill_payment_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def key_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events that meet the table constraints but were never validated, keyed from validated staging."""
     rows = staging_rows_from_clean(_normalised(spark, sf_dir)).dropna(subset=STAGING_REQUIRED)
-    fact = facts.fct_ride_events(rows_to_stage(None, rows, ZONE_ORDER))
+    fact = write_aside(facts.fct_ride_events(rows_to_stage(None, rows, ZONE_ORDER)), "fact")
     lookups = facts.event_lookups()
     staged = _staged_once(spark, sf_dir)
     built = {name: build(staged) for name, build in dims.DIMENSIONS.items()}
