@@ -255,3 +255,21 @@ def test_packing_sorts_nothing(spark, tmp_path, monkeypatch):
     (plan,) = plans
     assert not partitioned and "hashpartitioning(topic" in plan and "Sort" not in plan and "RoundRobin" not in plan
     assert lake.read_clean(spark).count() == 839
+
+
+def test_a_batch_is_cached_as_it_is(spark, tmp_path):
+    """No encodings are looked for, and the session's own setting comes back."""
+    from tripflow.operators.parse import decode_envelope, normalise
+    from tripflow.operators.validate import validate
+
+    name, seen = "spark.sql.inMemoryColumnarStorage.compressed", []
+
+    class Seen(Lake):
+        def write_raw(self, validated, *args):
+            seen.append(spark.conf.get(name))
+            super().write_raw(validated, *args)
+
+    lake = Seen(str(tmp_path / "lake"))
+    route_batch(validate(normalise(decode_envelope(as_records(load_feed(spark, SF_DIR))))), 0, lake, "run")
+    assert seen == ["false"] and spark.conf.get(name) == "true"
+    assert sizes(spark, lake) == (1000, 839, 161)

@@ -20,6 +20,7 @@ log = logging.getLogger("tripflow.streaming")
 
 TRIGGER = "15 seconds"
 QUERY_NAME = "ride_events_to_lake"
+_COMPRESSED = "spark.sql.inMemoryColumnarStorage.compressed"
 
 
 def validated_stream(spark: SparkSession, source: TopicSource | RecordFiles) -> DataFrame:
@@ -43,6 +44,9 @@ def route_batch(
     last batch had; it decides how many tasks write the raw zone. Without it as many do as hold the batch, up to the cores.
     """
     run_id = run_id or _checkpoint_identity(batch)
+    conf, before = batch.sparkSession.conf, batch.sparkSession.conf.get(_COMPRESSED)
+    # Looking for an encoding of every column takes as long as the parse, and most texts of a batch are different ones.
+    conf.set(_COMPRESSED, "false")
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         counts = Observation()
@@ -58,6 +62,7 @@ def route_batch(
             lake.write_rejected(batch, run_id, batch_id, metrics["rejected"])
         return metrics
     finally:
+        conf.set(_COMPRESSED, before)
         batch.unpersist()
 
 
