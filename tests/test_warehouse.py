@@ -14,7 +14,8 @@ from tripflow.operators.strict import StrictLoadError
 from tripflow.plans import warehouse as plans
 from tripflow.plans.batch import load_star, refresh_marts, run_batch
 from tripflow.plans.warehouse import Warehouse
-from tripflow.schemas import TABLES
+from tripflow.schemas import TABLES, UNIQUE_COLUMN
+from tripflow.session import write_aside
 
 TYPES = ["ride_requested", "driver_assigned", "trip_started", "trip_completed", "payment_completed"]
 PLACES = ["Mbare", "Avondale", "Borrowdale"]
@@ -184,6 +185,28 @@ def test_loads_use_the_bucketing(spark, warehouse, files):
     assert "ReadSchema: struct<event_id:string>" in plan
 
 
+def test_a_first_load_of_events_is_not_written_aside(spark, warehouse, files, monkeypatch):
+    """Staging is dealt out as the fact is, and its rows get no key of their own; later loads look for keys in the new rows alone."""
+    aside = []
+
+    def recorded(rows, label):
+        aside.append(UNIQUE_COLUMN["fct_ride_events"] in rows.columns)
+        return write_aside(rows, label)
+
+    monkeypatch.setattr(plans, "write_aside", recorded)
+    warehouse.load_staging(files("a", [event(n) for n in range(60)]))
+    load_star(warehouse)
+    assert sorted(aside) == [False, False]
+    assert warehouse.table("fct_ride_events").filter("rider_key IS NULL OR driver_key IS NULL").count() == 0
+    assert len({row["bucket"] for row in warehouse.files("fct_ride_events").collect()}) == warehouse.files("fct_ride_events").count()
+    warehouse.load_staging(files("b", [event(n) for n in range(100)]))
+    load_star(warehouse)
+    assert sorted(aside) == [False, False, False, False, True]
+    fact = warehouse.table("fct_ride_events")
+    assert fact.count() == fact.select("event_id").distinct().count() == 100
+    assert fact.filter("rider_key IS NULL OR driver_key IS NULL").count() == 0
+
+
 def test_large_dimensions_leave_the_fact_in_place(spark, warehouse, files, monkeypatch):
     """Keys are the same, and the only shuffles are of row ids with a natural key or a found key."""
     path = files("a", [event(n, rider_id=None if n % 10 == 0 else "rdr_1") for n in range(60)])

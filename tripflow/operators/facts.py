@@ -57,6 +57,9 @@ def fct_payments(staging: DataFrame, existing: DataFrame | None = None) -> DataF
     return _with_null_keys(keyed, payment_lookups())
 
 
+#: Facts whose rows get a key of their own when they are loaded.
+NUMBERED = frozenset({"fct_trips", "fct_payments"})
+
 FACTS = {
     "fct_ride_events": (fct_ride_events, event_lookups),
     "fct_trips": (fct_trips, trip_lookups),

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dims import DIMENSIONS
-from ..operators.facts import FACTS
+from ..operators.facts import FACTS, NUMBERED
 from ..operators.keys import buckets_of, fill_keys, found_keys, unfilled
 from ..operators.marts import MARTS, add_up
 from ..operators.staging import FILE_ORDER, ZONE_ORDER, stage_events, staging_rows_from_clean, staging_rows_from_files
@@ -128,6 +128,11 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return self.spark.table(f"{self.database}.{name}")
 
+    def _existing(self, name: str) -> DataFrame | None:
+        """The table, or None while it has no row: a first load then compares its rows with nothing."""
+        table = self.table(name)
+        return None if table.isEmpty() else table
+
     def count(self, name: str) -> int:
         return self.table(name).count()
 
@@ -246,7 +251,7 @@ class Warehouse:
             counts = dict(checked.get)
             attempted = counts.pop("attempted")
             raise_if_violated(counts)
-            new_rows = stage_events(self.table("ride_events"), self.spark.table(scratch), order)
+            new_rows = stage_events(self._existing("ride_events"), self.spark.table(scratch), order)
             inserted = self.append("ride_events", new_rows)
         return {"attempted": attempted, "inserted": inserted}
 
@@ -277,7 +282,7 @@ class Warehouse:
             counts = dict(checked.get)
             stored = self.spark.table(scratch)
             good = stored.filter("constraint_names = ''")
-            inserted = self.append("ride_events", stage_events(self.table("ride_events"), good, ZONE_ORDER))
+            inserted = self.append("ride_events", stage_events(self._existing("ride_events"), good, ZONE_ORDER))
             quarantined = self._quarantine(stored.filter("constraint_names <> ''")) if counts["bad"] else 0
         return {"attempted": counts["attempted"], "inserted": inserted, "quarantined": quarantined}
 
@@ -322,7 +327,7 @@ class Warehouse:
         is known to be complete, and spares a daily load from reading years of history.
         """
         with self.writing(name):
-            self.append(name, DIMENSIONS[name](self._staged(since), self.table(name)))
+            self.append(name, DIMENSIONS[name](self._staged(since), self._existing(name)))
         return self.count(name)
 
     def dimensions(self) -> dict[str, DataFrame]:
@@ -336,10 +341,13 @@ class Warehouse:
         """
         build, lookups = FACTS[name]
         with self.writing(name):
-            rows = build(self._staged(since), self.table(name))
+            existing = self._existing(name)
+            rows = build(self._staged(since), existing)
             if with_keys:
-                # Dealt out by bucket first: the keys come to the rows, and the append needs no other shuffle of them.
-                rows = self._laid_out(name, write_aside(rows, "new-rows"))
+                # Dealt out by bucket first: the keys come to the rows, and the append needs no other shuffle of them. Where all of staging
+                # is new and gets no key of its own, its buckets are the fact's, and nothing is gained by writing them aside.
+                if existing is not None or name in NUMBERED or self.buckets("ride_events") != self.buckets(name):
+                    rows = self._laid_out(name, write_aside(rows, "new-rows"))
                 rows = fill_keys(rows, lookups(), self.dimensions(), UNIQUE_COLUMN[name])
             self.append(name, rows, laid_out=with_keys)
         return self.count(name)
