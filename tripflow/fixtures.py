@@ -114,8 +114,12 @@ def ride_feed(events: DataFrame, faults: bool = True) -> DataFrame:
     )
 
 
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
 def load_feed(spark: SparkSession, sf_dir: str, faults: bool = True) -> DataFrame:
-    return ride_feed(spark.read.parquet(f"{sf_dir}/events.parquet"), faults)
+    return ride_feed(read_events(spark, sf_dir), faults)
 
 
 def as_records(feed: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..fixtures import as_records, load_feed
+from ..fixtures import as_records, load_feed, read_events, ride_feed
 from ..operators import dims, facts, marts, quality
 from ..operators.keys import fill_keys, key_coverage as count_missing_keys
 from ..operators.parse import decode_envelope, normalise
@@ -251,8 +251,9 @@ def stream_to_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _event_files(spark: SparkSession, sf_dir: str) -> str:
     """The feed as event files whose names and lines follow the delivery order."""
     folder = f"{shared_path(spark, 'files')}.jsonl"
-    feed = load_feed(spark, sf_dir, faults=False).repartitionByRange("n").sortWithinPartitions("n")
-    feed.select("raw_json").write.text(folder)
+    # Sorted before the lines are made of them: the bounds' sample then makes no lines, and none is shuffled.
+    events = read_events(spark, sf_dir).repartitionByRange("event_id").sortWithinPartitions("event_id")
+    ride_feed(events, faults=False).select("raw_json").write.text(folder)
     return folder
 
 
