@@ -277,8 +277,9 @@ def _poisoned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged and quarantined events after the same clean zone was promoted twice."""
     warehouse = _fresh_warehouse(spark)
+    clean = write_aside(_poisoned(spark, sf_dir), "clean")
     for _ in range(2):
-        warehouse.stage_from_clean(_poisoned(spark, sf_dir))
+        warehouse.stage_from_clean(clean)
     staged = warehouse.table("ride_events").select(F.lit("").alias("constraint_names"), "event_id")
     return staged.unionByName(warehouse.table("quarantined_events").select("constraint_names", "event_id"))
 
@@ -305,7 +306,7 @@ def _named(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
 def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What two loads report, half of the month and then all of it, and the tables' row counts after them."""
     warehouse = _fresh_warehouse(spark)
-    clean = clean_zone(_validated(spark, sf_dir))
+    clean = write_aside(clean_zone(_validated(spark, sf_dir)), "clean")
     reported = {}
     for name, rows in (("first", clean.filter(F.col("kafka_timestamp") < F.lit(FIRST_HALF_END).cast("timestamp"))), ("second", clean)):
         counts = warehouse.stage_from_clean(rows)
@@ -445,7 +446,7 @@ def packed_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 def curated_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored reports after two loads, half of the month as a part and all of it folded in, and a refresh without a new load."""
     warehouse = _fresh_warehouse(spark)
-    clean = clean_zone(_validated(spark, sf_dir))
+    clean = write_aside(clean_zone(_validated(spark, sf_dir)), "clean")
     first = clean.filter(F.col("kafka_timestamp") < F.lit(FIRST_HALF_END).cast("timestamp"))
     for rows, fold in ((first, False), (clean, True)):
         warehouse.stage_from_clean(rows)
