@@ -95,6 +95,32 @@ def test_clusters_of_many_blocks(spark, monkeypatch):
     assert found(docs_of(spark, rows, extra=True)) == by_hand(rows)
 
 
+def test_edges_of_a_hot_group_are_few(spark):
+    """One group of near texts: its stars, which become components, are about as many as its members, whatever the nodes that it is in."""
+    draw = random.Random(3)
+    base = draw.choices([f"v{k}" for k in range(400)], k=130)
+    docs = docs_of(spark, [edited(draw, base, draw.randrange(1, 6)) for _ in range(300)])
+    classes = near_dedup.profiles(docs).withColumnRenamed("doc_id", "cls")
+    scratch = near_dedup.Scratch(spark, "test-edges")
+    edges = near_dedup.find_edges(classes, scratch)
+    stars, pairs = edges.filter("equal = 0"), edges.filter("equal > 0")
+    roots = {r["vertex"]: r["root"] for r in connected_components(stars.select("a", "b")).collect()}
+    assert len(roots) == 300 and set(roots.values()) == {0}
+    assert stars.count() <= 4 * 300 and pairs.count() <= 12 * 300
+    assert pairs.filter("equal < 82").isEmpty()
+
+
+def test_wanted_rows(spark):
+    """No wanted row is lost, and most of the others are left out."""
+    rows = spark.range(40_000).selectExpr("id - 20000 AS a", "id * 7 AS b", "id")
+    wanted = rows.filter("id % 10 = 3").select("a", "b")
+    left = near_dedup.wanted_rows(rows, wanted, ["a", "b"])
+    assert left.columns == rows.columns
+    assert left.filter("id % 10 = 3").count() == 4000
+    assert left.count() < 4000 + 0.1 * 36_000
+    assert near_dedup.wanted_rows(rows, wanted.limit(0), ["a", "b"]).isEmpty()
+
+
 def test_similar_by_products():
     draw = np.random.default_rng(2)
     sets = [np.unique(draw.integers(0, 120, draw.integers(1, 90)).astype(np.uint64)) for _ in range(40)]

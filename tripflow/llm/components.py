@@ -19,18 +19,15 @@ def connected_components(edges: DataFrame, scratch: Scratch | None = None) -> Da
         F.col("a").alias("vertex"), F.least("a", "b").alias("root")
     ), "labels")
     while True:
-        near = both.join(labels.select(F.col("vertex").alias("b"), F.col("root").alias("offer")), "b")
-        offers = near.groupBy("a").agg(F.min("offer").alias("offer"))
-        hooked = labels.join(offers.withColumnRenamed("a", "vertex"), "vertex")
-        moved = (
-            hooked.select("vertex", F.least("root", "offer").alias("root"))
-            .union(hooked.select(F.col("root"), F.least("root", "offer")))
-            .groupBy("vertex").agg(F.min("root").alias("root"))
-        )
+        near = both.join(labels.select(F.col("vertex").alias("b"), "root"), "b")
+        # Each vertex has one old root; offers have none.
+        lowest = [F.min("root").alias("root"), F.max("old").alias("old")]
+        offers = labels.select("vertex", "root", F.col("root").alias("old")).union(near.select("a", "root", F.lit(None)))
+        hooked = offers.groupBy("vertex").agg(*lowest)
+        moved = hooked.union(hooked.select("old", "root", F.lit(None))).groupBy("vertex").agg(*lowest)
         up = moved.select(F.col("vertex").alias("root"), F.col("root").alias("top"))
-        after = moved.join(up, "root").select("vertex", F.col("top").alias("root"))
-        before = labels.withColumnRenamed("root", "old")
-        found = scratch.keep(after.join(before, "vertex").select("vertex", "root", (F.col("root") != F.col("old")).alias("moved")), "labels")
+        after = moved.join(up, "root").select("vertex", F.col("top").alias("root"), (F.col("top") != F.col("old")).alias("moved"))
+        found = scratch.keep(after, "labels")
         scratch.drop(labels)
         labels = found
         if labels.filter("moved").isEmpty():

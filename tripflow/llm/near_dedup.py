@@ -9,8 +9,9 @@ measure what is found. A large node compares its members with ``PIVOTS`` of them
 similar sets, which branching would keep together: it ends there, and so does one at the last level.
 
 What the trees find are clusters: classes connected by pairs that agree on ``PROPOSE`` values (see there). The members of a node that ended are compared
-by their values exhaustively, block against block of ``SKETCH_BLOCK``. Pairs are told by a forest and each member's best one, never all of them. Then sets
-meet in tasks, which return forests of the links that they confirm:
+by their values exhaustively, block against block of ``SKETCH_BLOCK``, so that its pivots' pairs are not needed. Pairs are told by stars and each member's best
+one, never all of them. A star joins members to the smallest of them, which is mostly the same in all nodes that hold a group, so that the stars of a group are
+about as many as its members. Components are made of stars alone. Then sets meet in tasks, which return forests of the links that they confirm:
 
 - a cluster of at most ``BLOCK`` classes is compared exhaustively by one task, all pairs of sets by matrix products;
 - of a larger one, each class first confirms its best pair. Classes that are not connected to the cluster's largest component by then
@@ -53,6 +54,8 @@ COVER, COVERED = 90, 0.5
 BLOCK, PRODUCT = 512, 4096
 #: The same for sketches.
 SKETCH_BLOCK = 2048
+#: Bits for each class of a cluster in the bitmap by which other documents are left out before texts move: one in 16 of them still moves.
+WANTED_BITS = 16
 CACHED_WORDS = 200_000
 
 _ODD = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -142,9 +145,9 @@ def children(nodes: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
 
 BRANCH = pa.schema([
     ("node", pa.int64()), ("cls", pa.int64()), ("covered", pa.bool_()), ("left", pa.int64()), ("right", pa.int64()),
-    ("near", pa.list_(pa.struct([("b", pa.int64()), ("equal", pa.int32())]))),
+    ("near", pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("equal", pa.int32())]))),
 ])
-BRANCH_DDL = "node long, cls long, covered boolean, left long, right long, near array<struct<b: long, equal: int>>"
+BRANCH_DDL = "node long, cls long, covered boolean, left long, right long, near array<struct<a: long, b: long, equal: int>>"
 EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("equal", pa.int32())])
 EDGES_DDL = "a long, b long, equal int"
 
@@ -155,7 +158,7 @@ def _sizes_allow(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _branch_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of large nodes: the pivots that are near, whether one covers the member, and the member's children."""
+    """Members of large nodes: edges to the pivots that are near, whether one covers the member, and the member's children."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -168,11 +171,21 @@ def _branch_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             equal = (table == mine).sum(axis=1)
             good = (equal >= PROPOSE) & _sizes_allow(np.array([p["n_shingles"] for p in others], np.int64), np.int64(size))
             covered.append(bool((equal >= COVER).any()))
-            near.append([{"b": others[k]["b"], "equal": int(equal[k])} for k in np.flatnonzero(good)])
+            near.append(_star(own, [(others[k]["b"], int(equal[k])) for k in np.flatnonzero(good)]))
         left, right = children(nodes, values)
         yield batch_of(BRANCH, node=nodes, cls=cls, covered=covered, left=left, right=right, near=near)
 
 
+def _star(own: int, near: list[tuple[int, int]]) -> list[dict]:
+    """A member's best pair among the near ones, and the edges of all of them to the smallest."""
+    if not near:
+        return []
+    least = min(own, min(b for b, _ in near))
+    best, equal = min(near, key=lambda pair: (-pair[1], pair[0]))
+    star = [{"a": least, "b": b, "equal": 0} for b in (own, *(b for b, _ in near)) if b != least]
+    return [{"a": min(own, best), "b": max(own, best), "equal": equal}, *star]
+
+
 def _together(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The smallest of ``count`` places that each can reach by the pairs (a, b)."""
     least = np.arange(count)
@@ -186,8 +199,7 @@ def _together(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _leaf_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges within small nodes: each member's best pair, and one to the first that it is connected with. Rows come sorted by node; a node is
-    at most LEAF rows long."""
+    """Edges within small nodes. Rows come sorted by node; a node is at most LEAF rows long."""
     nodes, cls, sizes, values = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, COORDINATES), np.uint8)
     for batch in batches:
         if not batch.num_rows:
@@ -213,11 +225,14 @@ def _leaf_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _forest(cls: np.ndarray, a: np.ndarray, b: np.ndarray, equal: np.ndarray) -> pa.RecordBatch:
-    """Edges that connect what the pairs (a, b) of places connect: each member's best pair, and one to the first that it is connected with."""
+    """Edges that connect what the pairs (a, b) of places connect: one to the smallest class that a member is connected with. Besides, its best pair."""
     ends, partners, equals = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([equal, equal])
     order = np.lexsort((partners, -equals, ends))
     best = order[np.unique(ends[order], return_index=True)[1]]
-    least = _together(len(cls), a, b)
+    order = np.argsort(cls, kind="stable")  # places in the order of classes, so that the smallest place is that of the smallest class
+    place = np.empty(len(cls), np.int64)
+    place[order] = np.arange(len(cls))
+    least = order[_together(len(cls), place[a], place[b])][place]
     apart = np.flatnonzero(least != np.arange(len(cls)))
     x, y = np.concatenate([cls[ends[best]], cls[apart]]), np.concatenate([cls[partners[best]], cls[least[apart]]])
     weights = np.concatenate([equals[best], np.zeros(len(apart), np.int64)])
@@ -266,35 +281,34 @@ def _ended_edges(ended: DataFrame) -> DataFrame:
 
 
 def find_edges(classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """(a, b, equal): edges that connect the clusters; ``equal`` is 0 where an edge is no pair to confirm by itself."""
+    """(a, b, equal): the edges that connect the clusters have an ``equal`` of 0; the others are pairs to confirm, which connect nothing more."""
     sketches = classes.select("cls", "n_shingles", "sketch")
     edges: list[DataFrame] = []
     frontier = classes.select(F.explode("roots").alias("node"), "cls")
     for level in range(1, DEPTH + 1):
-        # A pivot is the member whose id, scrambled by the node and its own constant, is smallest.
-        keys = [F.col("node").bitwiseXOR(F.lit(int(mix(np.array([k], np.uint64)).view(np.int64)[0]))) for k in range(1, PIVOTS + 1)]
-        least = [F.min(F.col("cls").bitwiseXOR(key)).alias(f"p{k}") for k, key in enumerate(keys)]
-        sizes = scratch.keep(frontier.groupBy("node").agg(F.count("*").alias("size"), *least).filter("size > 1"), "sizes")
-        members = scratch.keep(frontier.join(sizes.select("node", "size"), "node"), "members")
+        sizes = scratch.keep(frontier.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
+        members = scratch.keep(frontier.join(sizes, "node"), "members")
         small = members.filter(F.col("size") <= LEAF).select("node", "cls").join(sketches, "cls")
         ordered = small.repartition("node").sortWithinPartitions("node")
         edges.append(scratch.keep(arrow_map(ordered, _leaf_task, EDGES_DDL), "edges"))
         large = members.filter(F.col("size") > LEAF).select("node", "cls")
         if large.isEmpty():
             break
+        # A pivot is the member whose id, scrambled by the node and its own constant, is smallest.
+        keys = [F.col("node").bitwiseXOR(F.lit(int(mix(np.array([k], np.uint64)).view(np.int64)[0]))) for k in range(1, PIVOTS + 1)]
+        least = large.groupBy("node").agg(*(F.min(F.col("cls").bitwiseXOR(key)).alias(f"p{k}") for k, key in enumerate(keys)))
         found = F.array_distinct(F.array(*(F.col(f"p{k}").bitwiseXOR(key) for k, key in enumerate(keys))))
-        pivots = sizes.filter(F.col("size") > LEAF).select("node", F.explode(found).alias("b"))
+        pivots = least.select("node", F.explode(found).alias("b"))
         pivots = pivots.join(sketches.withColumnRenamed("cls", "b"), "b")
         pivots = pivots.groupBy("node").agg(F.collect_list(F.struct("b", "n_shingles", "sketch")).alias("pivots"))
         branched = scratch.keep(arrow_map(large.join(sketches, "cls").join(pivots, "node"), _branch_task, BRANCH_DDL), "branches")
-        near = branched.select("cls", F.explode("near").alias("near"))
-        edges.append(near.select(F.least("cls", "near.b").alias("a"), F.greatest("cls", "near.b").alias("b"), "near.equal"))
         cover = branched.groupBy("node").agg((F.avg(F.col("covered").cast("int")) >= COVERED).alias("dense"))
-        told = branched.select("node", "cls", "left", "right").join(cover, "node")
-        ended = told.filter(F.lit(level == DEPTH) | F.col("dense")).select("node", "cls")
-        edges.append(scratch.keep(_ended_edges(ended.join(sizes.select("node", "size"), "node").join(sketches, "cls")), "edges"))
+        told = scratch.keep(branched.join(cover.withColumn("dense", F.lit(level == DEPTH) | F.col("dense")), "node"), "told")
+        ended = told.filter("dense").select("node", "cls")
+        edges.append(scratch.keep(_ended_edges(ended.join(sizes.filter(F.col("size") > LEAF), "node").join(sketches, "cls")), "edges"))
+        edges.append(told.filter("NOT dense").select(F.explode("near").alias("near")).select("near.*"))
         frontier = told.filter("NOT dense").select(F.explode(F.array("left", "right")).alias("node"), "cls")
-    return scratch.keep(reduce(DataFrame.union, edges).groupBy("a", "b").agg(F.max("equal").alias("equal")), "edges")
+    return scratch.keep(reduce(DataFrame.union, edges).distinct(), "edges")
 
 
 # -- confirmation ----------------------------------------------------------------------------------
@@ -314,9 +328,22 @@ def _set_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def wanted_rows(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` without most of those whose keys are not in ``wanted``, so that these are not shuffled. What goes to every task is a bitmap of
+    ``WANTED_BITS`` bits for each wanted row, in parts of 32,768 bits."""
+    parts = wanted.count() * WANTED_BITS // 32768 + 1
+    number = F.xxhash64(*keys, F.lit("wanted"))
+    part, bit = F.pmod(number, F.lit(parts)), F.pmod(F.shiftright(number, 24), F.lit(32768))
+    bitmaps = wanted.groupBy(part.alias("__part")).agg(F.bitmap_construct_agg(bit).alias("__bitmap"))
+    byte = F.conv(F.hex(F.substring("__bitmap", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    there = F.call_function("getbit", byte, F.pmod(bit, F.lit(8)).cast("int")) == 1
+    return rows.join(F.broadcast(bitmaps), (part == F.col("__part")) & there, "left_semi")
+
+
 def with_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
     """The members of a table of classes (cls, set_key, least_doc, least_row, ...) with one text each."""
     texts = docs.select(F.col("doc_id").alias("least_doc"), row_key(F.col("text")).alias("least_row"), "text")
+    texts = wanted_rows(texts, members, ["least_doc", "least_row"])
     return members.join(texts, ["least_doc", "least_row"]).dropDuplicates(["least_doc", "least_row", "cls"])
 
 
@@ -449,19 +476,24 @@ def _best(pairs: DataFrame) -> DataFrame:
 
 def link_clusters(docs: DataFrame, classes: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(vertex, root): connected classes, by links between their full sets."""
-    rooted = scratch.keep(connected_components(edges, scratch).toDF("cls", "cluster"), "clusters")
+    rooted = scratch.keep(connected_components(edges.filter("equal = 0").select("a", "b"), scratch).toDF("cls", "cluster"), "clusters")
     sizes = rooted.groupBy("cluster").agg(F.count("*").alias("size"))
     named = rooted.join(sizes, "cluster").join(classes.select("cls", "set_key", "least_doc", "least_row"), "cls")
     named = scratch.keep(named, "named")
-    # The texts of all documents move here, once; from now on it is those of the clusters.
-    texts = scratch.keep(with_texts(docs, named).select("cls", "set_key", "text"), "texts")
+    # The texts of the clusters, and few others, move here and once more to where they meet.
+    texts = scratch.keep(with_texts(docs, named).select("cls", "cluster", "size", "set_key", "text"), "texts")
     named = named.drop("set_key", "least_doc", "least_row")
-    small, large = named.filter(F.col("size") <= BLOCK), named.filter(F.col("size") > BLOCK)
+    large = named.filter(F.col("size") > BLOCK)
     place = lambda block, visiting: F.struct(block.cast("int").alias("block"), F.lit(visiting).alias("visiting"))
-    meeting = small.select("*", F.col("cls").alias("root"), F.lit(True).alias("whole"), F.array(place(F.lit(0), False)).alias("places"))
+    told = ["cluster", "block", "whole", "visiting", "root", "cls", "set_key", "text"]
+    alone = texts.filter(F.col("size") <= BLOCK).withColumns({
+        "block": F.lit(0), "whole": F.lit(True), "visiting": F.lit(False), "root": F.col("cls"),
+    })
+    met = alone.select(*told)
     confirmed = edges.select("a", "b").limit(0)
     if not large.isEmpty():
         pairs = edges.filter("equal > 0").join(large.select(F.col("cls").alias("a")), "a", "left_semi")
+        texts = texts.filter(F.col("size") > BLOCK).select("cls", "set_key", "text")
         confirmed = scratch.keep(confirm(texts, _best(pairs), scratch), "confirmed")
         roots = connected_components(confirmed, scratch).withColumnRenamed("vertex", "cls")
         large = scratch.keep(large.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls")), "rooted")
@@ -470,10 +502,9 @@ def link_clusters(docs: DataFrame, classes: DataFrame, edges: DataFrame, scratch
         own = F.array(place(F.pmod(F.xxhash64("cls"), blocks), False))
         visits = F.transform(F.sequence(F.lit(0), blocks - 1), lambda block: place(block, True))
         places = F.when(F.col("root") == F.col("main"), own).otherwise(F.concat(own, visits)).alias("places")
-        parted = large.join(main, "cluster").select(*named.columns, "root", F.lit(False).alias("whole"), places)
-        meeting = meeting.unionByName(parted)
-    met = meeting.join(texts, "cls").select("cluster", "whole", "root", "cls", "set_key", "text", F.explode("places").alias("place"))
-    met = met.select("cluster", "place.block", "whole", "place.visiting", "root", "cls", "set_key", "text")
+        parted = large.join(main, "cluster").select("cluster", F.lit(False).alias("whole"), "root", "cls", places).join(texts, "cls")
+        parted = parted.select("cluster", "whole", "root", "cls", "set_key", "text", F.explode("places").alias("place"))
+        met = met.union(parted.select("cluster", "place.block", "whole", "place.visiting", "root", "cls", "set_key", "text"))
     met = met.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "visiting", "cls")
     links = scratch.keep(arrow_map(met, _meet_task, "a long, b long"), "links")
     return connected_components(links.union(confirmed), scratch)
