@@ -131,6 +131,16 @@ def test_chunks_after_a_space_are_not_first_chunks(text):
         assert encode(each) == encode.whole.encode(each, add_special_tokens=False).ids
 
 
+def test_a_text_is_encoded_at_once():
+    """Words that occur once cost most when they are encoded one by one."""
+    encode, calls = packing.ByteBpe(), []
+    plain = encode.plain
+    encode.plain = lambda text: calls.append(text) or plain(text)
+    text = "\n".join(f"once{k} twice{k} é{k}" for k in range(300)) + " \t end\u3000"
+    assert encode(text) == encode.whole.encode(text, add_special_tokens=False).ids
+    assert calls == [text]
+
+
 def test_fullest_bin_is_best_by_search():
     draw = np.random.default_rng(3)
     for _ in range(200):

@@ -15,10 +15,10 @@ An empty table gives an empty result. Extra columns are ignored.
 from __future__ import annotations
 
 import base64
-import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +35,6 @@ VOCABULARY = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 #: Blocks in which the pieces of one length are numbered.
 BLOCKS = 256
-#: A task's memory of space-separated chunks and their ids.
-CACHED_CHUNKS = 400_000
 
 PIECES = pa.schema([
     ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
@@ -47,12 +45,10 @@ PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
 class ByteBpe:
     """Ids of the byte-level vocabulary, as its JSON file defines them.
 
-    In a text whose white space is single spaces and line ends inside it, every space and line end starts a new pre-token. Chunks between
-    them are encoded once and remembered. All other texts are encoded whole.
+    Texts with a special token go to the tokenizer of that file, all others to an equal vocabulary. Remembering what was encoded costs more than encoding
+    it again, as much of a corpus occurs once.
     """
 
-    _odd = re.compile(r"\s\s|\A\s|\s\Z|[^\S \n]")
-
     def __init__(self, vocabulary: str = VOCABULARY, ranks: str = RANKS) -> None:
         import tiktoken
         from tokenizers import Tokenizer
@@ -64,31 +60,11 @@ class ByteBpe:
             vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}
         ).encode_ordinary
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.line_end = self.plain("\n")
-        self.chunks: dict[str, list[int]] = {}
 
     def __call__(self, text: str) -> list[int]:
         if any(map(text.__contains__, self.special)):
             return self.whole.encode(text, add_special_tokens=False).ids
-        if not text or self._odd.search(text):
-            return self.plain(text)
-        if len(self.chunks) > CACHED_CHUNKS:
-            self.chunks.clear()
-        ids: list[int] = []
-        known, add = self.chunks, ids.extend
-        for line in text.split("\n"):
-            if ids:
-                add(self.line_end)
-            first, *others = line.split(" ")
-            add(known.get(first) or known.setdefault(first, self.plain(first)))
-            for chunk in others:
-                # The space is part of the key: the first chunk of a line has none, so the two kinds never meet.
-                spaced = " " + chunk
-                found = known.get(spaced)
-                if found is None:
-                    found = known[spaced] = self.plain(spaced)
-                add(found)
-        return ids
+        return self.plain(text)
 
 
 def cut(ids: np.ndarray, capacity: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -106,7 +82,7 @@ def pieces_of(docs: DataFrame, capacity: int = CAPACITY, encoder: Callable[[], C
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = np.array([*encode(text or ""), END_TOKEN], "<u4")
+                ids = np.fromiter(chain(encode(text or ""), (END_TOKEN,)), "<u4")
                 for number, (start, piece) in enumerate(cut(ids, capacity)):
                     rows.append((doc_id, number, start, len(piece), zlib.crc32(piece.tobytes())))
             columns = list(zip(*rows, strict=True)) or [[]] * len(PIECES)
