@@ -102,3 +102,13 @@ def test_defined_results(spark):
     assert b.round_trip_report(docs.filter("false")).count() == 0
     wrong = encoded.select("doc_id", F.lit(bytes([255] * 4)).alias("ids")).unionByName(encoded.select("doc_id", F.lit(b"abc").alias("ids")))
     assert {r["decoded"] for r in b.decode(wrong).collect()} == {None}
+
+
+def test_memory_holds_packed_ids():
+    """What is remembered is joined as it is: ids become integers once, when a pre-token is merged."""
+    vocabulary = b.Vocabulary.read(public_tokenizers.path(b.RANKS))
+    encoder = b.Encoder(vocabulary, public_tokenizers.PATTERN)
+    text = "Straße, ellerean'll\n 12345 qzxwvkjq \u3000é"
+    packed = encoder.packed(text)
+    assert vocabulary.decode(packed) == text.encode()
+    assert all(vocabulary.decode(ids) == chunk.encode() for chunk, ids in encoder.items())

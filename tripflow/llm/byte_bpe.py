@@ -23,7 +23,8 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
-from itertools import accumulate, chain, product
+from itertools import accumulate, product
+from struct import pack
 
 import numpy as np
 import public_tokenizers
@@ -139,7 +140,7 @@ class Vocabulary:
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
         find, of_two, size = self.ranks.get, self.of_two, len(piece)
-        ids: list[int] = [self.byte_ids[byte] for byte in piece]  # by the place where a part begins; -1 within parts
+        ids: list[int] = list(map(self.byte_ids.__getitem__, piece))  # by the place where a part begins; -1 within parts
         after, before = list(range(1, size + 1)), list(range(-1, size - 1))
         # Rank of a part and the next, if they make a token.
         pairs = [of_two[first << 8 | second] for first, second in zip(piece, piece[1:], strict=False)]
@@ -148,23 +149,28 @@ class Vocabulary:
         waiting = [rank * size + at for at, rank in enumerate(pairs) if rank >= 0]
         heapify(waiting)
         while waiting:
-            rank, at = divmod(heappop(waiting), size)
+            pair = heappop(waiting)
+            rank = pair // size
+            at = pair - rank * size
             if pairs[at] != rank:  # one of the two has been merged since
                 continue
             middle = after[at]
             end = after[at] = after[middle]
-            ids[at], ids[middle], pairs[at], pairs[middle] = rank, -1, -1, -1
+            ids[at] = rank
+            ids[middle] = pairs[middle] = -1
             if end < size:
                 before[end] = at
                 pairs[at] = found = find(piece[at : after[end]], -1)
                 if found >= 0:
                     heappush(waiting, found * size + at)
+            else:
+                pairs[at] = -1
             if at:
                 start = before[at]
                 pairs[start] = found = find(piece[start:end], -1)
                 if found >= 0:
                     heappush(waiting, found * size + start)
-        return tuple(number for number in ids if number >= 0)
+        return tuple([number for number in ids if number >= 0])
 
     def decode(self, packed: bytes) -> bytes | None:
         try:
@@ -176,14 +182,14 @@ class Vocabulary:
 
 
 class Encoder(dict):
-    """Encodes texts; as a dictionary it is the memory of chunks and pre-tokens, and ``older`` the one that it filled before."""
+    """Encodes texts; as a dictionary it is the memory of chunks' and pre-tokens' packed ids, and ``older`` the one that it filled before."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str) -> None:
         import regex
 
         super().__init__()
         self.vocabulary = vocabulary
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, bytes] = {}
         spelled = pattern.replace(r"[^\s", f"[^{WHITE_SPACE}").replace(r"\s", f"[{WHITE_SPACE}]").replace(r"\S", f"[^{WHITE_SPACE}]")
         self.findall = regex.compile(spelled).findall
 
@@ -197,14 +203,15 @@ class Encoder(dict):
         ends = list(accumulate(map(len, found)))
         return [chunk[begin:end] for begin, end in zip([0, *ends], ends, strict=False)]
 
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
+    def __missing__(self, chunk: str) -> bytes:
         ids = self.older.get(chunk)
         if ids is None:
             pieces = self.pieces(chunk)
             if len(pieces) == 1:
-                ids = self.vocabulary.encode(chunk.encode())
+                numbers = self.vocabulary.encode(chunk.encode())
+                ids = pack(f"<{len(numbers)}I", *numbers)
             else:
-                ids = tuple(chain.from_iterable(map(self.__getitem__, pieces)))
+                ids = b"".join(map(self.__getitem__, pieces))
         if len(chunk) <= CACHED_CHARS:
             if len(self) >= CACHED_CHUNKS:
                 self.older = dict(self)
@@ -213,9 +220,7 @@ class Encoder(dict):
         return ids
 
     def packed(self, text: str) -> bytes:
-        return b"".join(
-            np.fromiter(chain.from_iterable(map(self.__getitem__, _CHUNK.findall(part))), "<u4").tobytes() for part in segments(text)
-        )
+        return b"".join(b"".join(map(self.__getitem__, _CHUNK.findall(part))) for part in segments(text))
 
 
 _worker: dict[tuple[str, str], Encoder] = {}
