@@ -139,3 +139,17 @@ def test_runs_leave_the_first_copy_of_a_cycle_whole():
     first = {}
     for start, end in spans:
         assert first.setdefault(text[start:end], end) == end or start >= first[text[start:end]]
+
+
+def test_places_of_words():
+    """By lengths where words have one character between them, else by search."""
+    for text in ("", "one", "a bé\nç\td", " a b", "a b ", "a  b", "a\u3000b c", "\n", "é" * 9 + "\x0bz"):
+        spans = [m.span() for m in unit_dedup._WORD.finditer(text)]
+        assert list(zip(*unit_dedup.word_places(text), strict=True)) == spans
+
+
+def test_search_for_first_documents_gets_a_row_a_digest(spark):
+    line = "a line that is long enough to be one unit"
+    docs = docs_of(spark, [f"{line}\n{line}\n{line}", line, None])
+    made = unit_dedup.arrow_map(docs.select("doc_id", "text"), unit_dedup._digests_task, "doc_id long, digest binary, again boolean").collect()
+    assert sorted((r["doc_id"], r["again"]) for r in made) == [(0, True), (1, False)]

@@ -21,6 +21,8 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,7 @@ _ENDS = b" \t\n\x0b\x0c\r!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 UNITS = pa.schema([
     ("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("digest", pa.binary()), ("again", pa.bool_()),
 ])
+DIGESTS = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("again", pa.bool_())])
 UNITS_DDL = "doc_id long, row long, start long, end long, digest binary, again boolean"
 
 
@@ -63,6 +66,17 @@ def anchors_of(found: list[bytes]) -> np.ndarray:
     return np.unique(np.arange(len(least)) + least)
 
 
+def word_places(text: str) -> tuple[list[int], list[int]]:
+    """Start and end of every word, in code points. With single spaces or line ends between words their lengths tell."""
+    found = _WORD.findall(text)
+    sizes = list(map(len, found))
+    ends = list(accumulate(sizes, lambda end, size: end + 1 + size))
+    if ends and ends[-1] == len(text):
+        return list(map(sub, ends, sizes)), ends
+    spans = [m.span() for m in _WORD.finditer(text)]
+    return [start for start, _ in spans], [end for _, end in spans]
+
+
 def _runs(text: str) -> Iterator[tuple[int, int, bytes]]:
     """Start, end and normal form of every run. One that overlaps an earlier equal one is left out: it is not another copy."""
     found = text.encode("utf-8", "surrogatepass").lower().split()
@@ -71,10 +85,10 @@ def _runs(text: str) -> Iterator[tuple[int, int, bytes]]:
     stops = stops[stops < len(anchors)]
     if not len(stops):
         return
-    places = [m.span() for m in _WORD.finditer(text)]
+    starts, stops_at = word_places(text)
     ends: dict[bytes, int] = {}
     for begin, stop in zip(anchors.tolist(), anchors[stops].tolist(), strict=False):
-        start, end = places[begin][0], places[stop - 1][1]
+        start, end = starts[begin], stops_at[stop - 1]
         form = b" ".join(found[begin:stop]).strip(_ENDS)
         if ends.get(form, 0) <= start:
             ends[form] = end
@@ -118,6 +132,22 @@ def _line_spans(text: str) -> Iterator[tuple[int, int]]:
         start = end + 1
 
 
+def _digests_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the search for first documents needs of the units: a row for each digest of a text, and whether it comes again there."""
+    for batch in batches:
+        docs, digests, again = [], [], []
+        for doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text")), strict=True):
+            seen: dict[bytes, int] = {}
+            repeated = set()
+            for start, _, form in _units(text) if text else ():
+                if form is not None and seen.setdefault(form, start) != start:
+                    repeated.add(form)
+            docs += [doc_id] * len(seen)
+            digests += [hashlib.blake2b(form, digest_size=16).digest() for form in seen]
+            again += map(repeated.__contains__, seen)
+        yield batch_of(DIGESTS, doc_id=docs, digest=digests, again=again)
+
+
 def _units_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
@@ -143,7 +173,8 @@ def repeated_units(docs: DataFrame) -> DataFrame:
     units = units_of(docs)
     least, most = F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id")
     odd = F.max(F.col("doc_id").isNull() | F.col("again")).alias("odd")
-    firsts = units.groupBy("digest").agg(least, most, odd).filter("odd OR first_doc_id < last_doc_id")
+    digests = arrow_map(docs.select("doc_id", "text"), _digests_task, "doc_id long, digest binary, again boolean")
+    firsts = digests.groupBy("digest").agg(least, most, odd).filter("odd OR first_doc_id < last_doc_id")
     met = units.join(firsts.select("digest", "first_doc_id"), "digest")
     later = F.col("first_doc_id").isNotNull() & (F.col("doc_id").isNull() | (F.col("doc_id") > F.col("first_doc_id")))
     return met.filter(F.col("again") | later).select("doc_id", "row", "start", "end", "digest", "first_doc_id")
