@@ -110,6 +110,33 @@ def test_edges_of_a_hot_group_are_few(spark):
     assert pairs.filter("equal < 82").isEmpty()
 
 
+def test_edges_of_a_group_of_many_blocks(spark, monkeypatch):
+    """What tasks tell of one group grows with its members, not with their pairs of blocks; a group of near sets that are mostly no links is whole, too."""
+    monkeypatch.setattr(near_dedup, "SKETCH_BLOCK", 16)
+
+    class Counted(near_dedup.Scratch):
+        told = 0
+
+        def keep(self, rows, label):
+            kept = super().keep(rows, label)
+            self.told += kept.count() if label == "edges" else 0
+            return kept
+
+    draw, told = random.Random(3), []
+    vocabulary = [f"v{k}" for k in range(400)]
+    base = draw.choices(vocabulary, k=130)
+    for size in (100, 400):
+        docs = docs_of(spark, [edited(draw, base, draw.randrange(1, 6)) for _ in range(size)])
+        scratch = Counted(spark, "test-told")
+        near_dedup.find_edges(near_dedup.profiles(docs).withColumnRenamed("doc_id", "cls"), scratch)
+        told.append(scratch.told)
+    assert told[1] <= 6 * told[0] and told[1] <= 20 * 400
+    texts = [edited(draw, base, draw.randrange(low, 22)) for low in (2, 14) for _ in range(90)]
+    rows = list(enumerate(texts))
+    draw.shuffle(rows)
+    assert found(docs_of(spark, rows)) == by_hand(rows)
+
+
 def test_wanted_rows(spark):
     """No wanted row is lost, and most of the others are left out."""
     rows = spark.range(40_000).selectExpr("id - 20000 AS a", "id * 7 AS b", "id")
@@ -156,3 +183,24 @@ def test_components(spark):
     assert {v: r for v, r in roots.items() if v <= 60} == dict.fromkeys(range(61), 0)
     assert {r for v, r in roots.items() if 100 <= v <= 200} == {100}
     assert roots[501] == 500
+    path = random.Random(5).sample(range(700), 700)
+    edges = [*zip(path, path[1:]), (900, 900)]  # noqa: B905
+    roots = {r["vertex"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert roots == dict.fromkeys(range(700), 0) | {900: 900}
+
+
+def test_links_of_a_star_are_read_once(spark):
+    """Rounds after the first read what is left of the links: two stars at the ends of a chain are long done when the chain is."""
+    kept = []
+
+    class Seen(near_dedup.Scratch):
+        def keep(self, rows, label):
+            table = super().keep(rows, label)
+            kept.append((label, table.count()))
+            return table
+
+    edges = [(0, k) for k in range(1, 500)] + [(1000, k) for k in range(1001, 1500)] + [(499, 1200), (1300, 5000), (4000, 5000)]
+    roots = connected_components(spark.createDataFrame(edges, "a long, b long"), Seen(spark, "test-links")).collect()
+    assert {r["root"] for r in roots} == {0} and len(roots) == 1002
+    assert sum(n for label, n in kept if label == "links") <= len(edges) + 10
+    assert [label for label, _ in kept].count("links") > 1

@@ -9,9 +9,11 @@ measure what is found. A large node compares its members with ``PIVOTS`` of them
 similar sets, which branching would keep together: it ends there, and so does one at the last level.
 
 What the trees find are clusters: classes connected by pairs that agree on ``PROPOSE`` values (see there). The members of a node that ended are compared
-by their values exhaustively, block against block of ``SKETCH_BLOCK``, so that its pivots' pairs are not needed. Pairs are told by stars and each member's best
-one, never all of them. A star joins members to the smallest of them, which is mostly the same in all nodes that hold a group, so that the stars of a group are
-about as many as its members. Components are made of stars alone. Then sets meet in tasks, which return forests of the links that they confirm:
+by their values in blocks of ``SKETCH_BLOCK``. The pivots near a member connect it already: the smallest of them in all nodes of a level is its label, and
+what has equal labels is connected and needs no further edge. So each member tells one edge to its label at a level, whatever the number of nodes that hold
+its group, and a node tells edges between labels only. All members meet those of their own block; of a node of many blocks, those whose label is not
+the node's most frequent one visit the other blocks too. Besides, each member's best pair is told, that with a pivot or a better one of its block.
+Components are made of the edges between labels alone. Then sets meet in tasks, which return forests of the links that they confirm:
 
 - a cluster of at most ``BLOCK`` classes is compared exhaustively by one task, all pairs of sets by matrix products;
 - of a larger one, each class first confirms its best pair. Classes that are not connected to the cluster's largest component by then
@@ -145,9 +147,9 @@ def children(nodes: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
 
 BRANCH = pa.schema([
     ("node", pa.int64()), ("cls", pa.int64()), ("covered", pa.bool_()), ("left", pa.int64()), ("right", pa.int64()),
-    ("near", pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("equal", pa.int32())]))),
+    ("least", pa.int64()), ("best", pa.int64()), ("equal", pa.int32()), ("also", pa.list_(pa.int64())),
 ])
-BRANCH_DDL = "node long, cls long, covered boolean, left long, right long, near array<struct<a: long, b: long, equal: int>>"
+BRANCH_DDL = "node long, cls long, covered boolean, left long, right long, least long, best long, equal int, also array<long>"
 EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("equal", pa.int32())])
 EDGES_DDL = "a long, b long, equal int"
 
@@ -158,12 +160,16 @@ def _sizes_allow(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _branch_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of large nodes: edges to the pivots that are near, whether one covers the member, and the member's children."""
+    """Members of large nodes: the smallest and the best of the pivots that are near, whether one covers the member, and the member's children. What else
+    is near is told for the first member only that connects it with that smallest one."""
+    told: set[tuple[int, int]] = set()
     for batch in batches:
         if not batch.num_rows:
             continue
+        if len(told) > CACHED_WORDS:
+            told.clear()
         values, nodes, cls = _bytes(batch.column("sketch")), batch.column("node").to_numpy(), batch.column("cls").to_numpy()
-        near, covered = [], []
+        covered, least, best, most, also = [], [], [], [], []
         columns = (cls, values, batch.column("n_shingles").to_pylist(), batch.column("pivots").to_pylist())
         for own, mine, size, pivots in zip(*columns, strict=True):
             others = [p for p in pivots if p["b"] != own]
@@ -171,19 +177,35 @@ def _branch_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             equal = (table == mine).sum(axis=1)
             good = (equal >= PROPOSE) & _sizes_allow(np.array([p["n_shingles"] for p in others], np.int64), np.int64(size))
             covered.append(bool((equal >= COVER).any()))
-            near.append(_star(own, [(others[k]["b"], int(equal[k])) for k in np.flatnonzero(good)]))
+            near = [(-int(equal[k]), others[k]["b"]) for k in np.flatnonzero(good)]
+            first = min((b for _, b in near), default=None)
+            new = {(first, b) for _, b in near if b != first} - told
+            told |= new
+            least.append(first)
+            best.append(min(near)[1] if near else None)
+            most.append(-min(near)[0] if near else None)
+            also.append([b for _, b in new])
         left, right = children(nodes, values)
-        yield batch_of(BRANCH, node=nodes, cls=cls, covered=covered, left=left, right=right, near=near)
+        yield batch_of(BRANCH, node=nodes, cls=cls, covered=covered, left=left, right=right, least=least, best=best, equal=most, also=also)
 
 
-def _star(own: int, near: list[tuple[int, int]]) -> list[dict]:
-    """A member's best pair among the near ones, and the edges of all of them to the smallest."""
-    if not near:
-        return []
-    least = min(own, min(b for b, _ in near))
-    best, equal = min(near, key=lambda pair: (-pair[1], pair[0]))
-    star = [{"a": least, "b": b, "equal": 0} for b in (own, *(b for b, _ in near)) if b != least]
-    return [{"a": min(own, best), "b": max(own, best), "equal": equal}, *star]
+def _labels(branched: DataFrame) -> DataFrame:
+    """(cls, label, pivot, least, best, equal) of the members of a level that have near pivots: the smallest of these is ``pivot``, and ``label`` is its own
+    pivot if that is smaller, as groups have more pivots than one member is near to. ``least`` are the smallest ones by node."""
+    near = branched.filter("least IS NOT NULL").groupBy("cls").agg(
+        F.min("least").alias("pivot"), F.collect_set("least").alias("least"), F.max_by("best", F.struct("equal", "best")).alias("best"), F.max("equal").alias("equal")
+    ).withColumn("pivot", F.least("cls", "pivot"))
+    up = near.select(F.col("cls").alias("pivot"), F.col("pivot").alias("label"))
+    return near.join(up, "pivot", "left").withColumn("label", F.coalesce("label", "pivot"))
+
+
+def _label_edges(branched: DataFrame, labels: DataFrame) -> DataFrame:
+    """What near pivots connect: members and pivots with the smallest one, and each member's best pair."""
+    ends = lambda b: (F.least("a", b).alias("a"), F.greatest("a", b).alias("b"))
+    own = labels.select("cls", F.col("pivot").alias("a"), F.explode(F.array_union(F.array("cls"), "least")).alias("b"))
+    pivots = branched.select(F.col("least").alias("a"), F.explode("also").alias("b"))
+    stars = own.select("a", "b").union(pivots).filter("a <> b").select(*ends("b")).distinct().withColumn("equal", F.lit(0))
+    return stars.union(labels.select(F.col("cls").alias("a"), "best", "equal").select(*ends("best"), "equal"))
 
 
 def _together(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -221,63 +243,83 @@ def _leaf_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found.append(np.stack([later[good], later[good] - step, equal[good]]))
         a, b, equal = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
         if len(a):
-            yield _forest(cls, a, b, equal)
+            yield _forest(cls, cls, np.zeros(len(cls), np.int64), a, b, equal)
 
 
-def _forest(cls: np.ndarray, a: np.ndarray, b: np.ndarray, equal: np.ndarray) -> pa.RecordBatch:
-    """Edges that connect what the pairs (a, b) of places connect: one to the smallest class that a member is connected with. Besides, its best pair."""
+def _forest(cls: np.ndarray, label: np.ndarray, known: np.ndarray, a: np.ndarray, b: np.ndarray, equal: np.ndarray) -> pa.RecordBatch:
+    """Edges that connect what the pairs (a, b) of places connect: one to the smallest label that a label is connected with. Besides, each member's best
+    pair if it is better than the one known."""
     ends, partners, equals = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([equal, equal])
+    better = equals > known[ends]
+    ends, partners, equals = cls[ends[better]], cls[partners[better]], equals[better]
     order = np.lexsort((partners, -equals, ends))
     best = order[np.unique(ends[order], return_index=True)[1]]
-    order = np.argsort(cls, kind="stable")  # places in the order of classes, so that the smallest place is that of the smallest class
-    place = np.empty(len(cls), np.int64)
-    place[order] = np.arange(len(cls))
-    least = order[_together(len(cls), place[a], place[b])][place]
-    apart = np.flatnonzero(least != np.arange(len(cls)))
-    x, y = np.concatenate([cls[ends[best]], cls[apart]]), np.concatenate([cls[partners[best]], cls[least[apart]]])
+    names, place = np.unique(label, return_inverse=True)
+    least = _together(len(names), place[a], place[b])
+    apart = np.flatnonzero(least != np.arange(len(names)))
+    x, y = np.concatenate([ends[best], names[apart]]), np.concatenate([partners[best], names[least[apart]]])
     weights = np.concatenate([equals[best], np.zeros(len(apart), np.int64)])
     return batch_of(EDGES, a=np.minimum(x, y), b=np.maximum(x, y), equal=weights.astype(np.int32))
 
 
 def _ended_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges between the members of two blocks of a node, or within one. Rows come sorted by node and blocks."""
-    place: tuple[int, int, int] | None = None
-    members: list[tuple[int, int, int, bytes]] = []
+    """Edges between the members of a block of a node, and between these and visitors with other labels. Rows come sorted by node and block, residents
+    before visitors."""
+    place: tuple[int, int] | None = None
+    residents: list[tuple[int, int, int, int, bytes]] = []
+    visitors: list[tuple[int, int, int, int, bytes]] = []
 
-    def compared() -> Iterator[pa.RecordBatch]:
-        if len(members) < 2:
+    def compared(visiting: bool) -> Iterator[pa.RecordBatch]:
+        members = residents + visitors if visiting else residents
+        if len(members) < 2 or visiting and not (residents and visitors):
+            visitors.clear()
             return
-        cls, block, sizes = (np.array([m[k] for m in members], np.int64) for k in range(3))
-        values = np.frombuffer(b"".join(m[3] for m in members), np.uint8).reshape(-1, COORDINATES)
-        left = np.flatnonzero(block == place[1])
-        right = left if place[1] == place[2] else np.flatnonzero(block == place[2])
+        cls, label, known, sizes = (np.array([m[k] for m in members], np.int64) for k in range(4))
+        values = np.frombuffer(b"".join(m[4] for m in members), np.uint8).reshape(-1, COORDINATES)
+        if visiting:  # a member has its best pair from its own block
+            known[:] = COORDINATES
         found = []
-        for one in left:
-            others = right[right > one] if right is left else right
-            others = others[_sizes_allow(sizes[others], sizes[one])]
+        for one in range(len(residents) if visiting else 0, len(members)):
+            others = np.arange(len(residents) if visiting else one)
+            allowed = _sizes_allow(sizes[others], sizes[one])
+            others = others[allowed & (label[others] != label[one]) if visiting else allowed]
             equal = (values[others] == values[one]).sum(axis=1)
             good = equal >= PROPOSE
             found.append(np.stack([np.full(int(good.sum()), one), others[good], equal[good]]))
-        a, b, equal = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
+        visitors.clear()
+        a, b, equal = np.concatenate(found, axis=1)
         if len(a):
-            yield _forest(cls, a, b, equal)
+            yield _forest(cls, label, known, a, b, equal)
 
+    columns = ("node", "block", "visiting", "cls", "label", "known", "n_shingles", "sketch")
+    met = False
     for batch in batches:
-        for node, low, high, *member in zip(*(batch.column(c).to_pylist() for c in ("node", "low", "high", "cls", "block", "n_shingles", "sketch")), strict=True):
-            if (node, low, high) != place:
-                yield from compared()
-                place, members = (node, low, high), []
-            members.append(tuple(member))
-    yield from compared()
+        for node, block, visiting, *member in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
+            if (node, block) != place or visiting and not met:
+                yield from compared(met)
+                met = visiting
+            if (node, block) != place:
+                place = (node, block)
+                residents, visitors = [], []
+            (visitors if visiting else residents).append(tuple(member))
+            if len(visitors) >= SKETCH_BLOCK:
+                yield from compared(True)
+    yield from compared(met)
 
 
 def _ended_edges(ended: DataFrame) -> DataFrame:
-    """All pairs of the members of nodes that ended, compared by their sketches in tasks; a member meets every block of its node."""
+    """Edges between the members (node, size, cls, label, known, n_shingles, sketch) of nodes that ended, compared by their sketches in tasks. A member of the
+    label that most of its node have stays in its block, as it is connected with the others of this label; the rest visit every block."""
     blocks = F.ceil(F.col("size") / SKETCH_BLOCK).cast("int")
-    own = ended.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
-    met = own.select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    met = met.select("node", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "cls", "block", "n_shingles", "sketch")
-    return arrow_map(met.repartition("node", "low", "high").sortWithinPartitions("node", "low", "high", "cls"), _ended_task, EDGES_DDL)
+    kept = ["node", "block", "visiting", "cls", "label", "known", "n_shingles", "sketch"]
+    own = ended.withColumns({"block": F.pmod(F.xxhash64("cls"), blocks).cast("int"), "visiting": F.lit(False)})
+    large = own.filter(F.col("size") > SKETCH_BLOCK)
+    main = large.groupBy("node", "label").count().groupBy("node").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
+    away = large.join(main, "node").filter("label <> main").withColumns({
+        "block": F.explode(F.array_remove(F.sequence(F.lit(0), blocks - 1), F.col("block"))), "visiting": F.lit(True),
+    })
+    met = own.select(*kept).union(away.select(*kept))
+    return arrow_map(met.repartition("node", "block").sortWithinPartitions("node", "block", "visiting", "cls"), _ended_task, EDGES_DDL)
 
 
 def find_edges(classes: DataFrame, scratch: Scratch) -> DataFrame:
@@ -303,10 +345,13 @@ def find_edges(classes: DataFrame, scratch: Scratch) -> DataFrame:
         pivots = pivots.groupBy("node").agg(F.collect_list(F.struct("b", "n_shingles", "sketch")).alias("pivots"))
         branched = scratch.keep(arrow_map(large.join(sketches, "cls").join(pivots, "node"), _branch_task, BRANCH_DDL), "branches")
         cover = branched.groupBy("node").agg((F.avg(F.col("covered").cast("int")) >= COVERED).alias("dense"))
-        told = scratch.keep(branched.join(cover.withColumn("dense", F.lit(level == DEPTH) | F.col("dense")), "node"), "told")
-        ended = told.filter("dense").select("node", "cls")
-        edges.append(scratch.keep(_ended_edges(ended.join(sizes.filter(F.col("size") > LEAF), "node").join(sketches, "cls")), "edges"))
-        edges.append(told.filter("NOT dense").select(F.explode("near").alias("near")).select("near.*"))
+        told = scratch.keep(branched.select("node", "cls", "left", "right").join(cover.withColumn("dense", F.lit(level == DEPTH) | F.col("dense")), "node"), "told")
+        labels = scratch.keep(_labels(branched), "labels")
+        edges.append(scratch.keep(_label_edges(branched, labels), "edges"))
+        ended = told.filter("dense").select("node", "cls").join(sizes.filter(F.col("size") > LEAF), "node").join(sketches, "cls")
+        ended = ended.join(labels.select("cls", "label", F.col("equal").alias("known")), "cls", "left")
+        ended = ended.withColumns({"label": F.coalesce("label", "cls"), "known": F.coalesce("known", F.lit(0))})
+        edges.append(scratch.keep(_ended_edges(ended), "edges"))
         frontier = told.filter("NOT dense").select(F.explode(F.array("left", "right")).alias("node"), "cls")
     return scratch.keep(reduce(DataFrame.union, edges).distinct(), "edges")
 
