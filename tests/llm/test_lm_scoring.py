@@ -121,3 +121,43 @@ def test_gain_on_held_out_documents(spark):
     rows = lm_scores(docs).filter("held_out").toPandas()
     assert rows["score"].sum() > rows["base_score"].sum()
     assert (rows["score"] > rows["base_score"]).mean() > 0.6
+
+
+def test_scores_by_a_plain_loop(small):
+    """Every token of some documents by hand in double precision, also with weights whose logits have no useful bound."""
+    draw = np.random.default_rng(8)
+    documents = [np.append(draw.integers(0, small.rest + 1, n), small.end) for n in (0, 1, 40, 75, 33)]
+    for scale in (1.0, 300.0):
+        p = recurrent.initial(small, seed=6)
+        p["wc"], p["wi"] = p["wc"] * np.float32(scale), p["wi"] * np.float32(scale)
+        q = {k: a.astype(np.float64) for k, a in p.items()}
+        bounded = recurrent._lowered(p["wi"], p["bi"])[1]
+        assert bounded.all() if scale == 1.0 else not bounded.any()
+        for document, got in zip(documents, recurrent.score(p, small, documents), strict=True):
+            h, before, want = np.zeros(recurrent.HIDDEN), small.end, 0.0
+            for token in document:
+                x, g = q["x"][small.input[before]], h @ q["u"]
+                r, z = (1 / (1 + np.exp(-(x + g)[k * recurrent.HIDDEN : (k + 1) * recurrent.HIDDEN])) for k in (0, 1))
+                h = h + z * (np.tanh(x[2 * recurrent.HIDDEN :] + r * g[2 * recurrent.HIDDEN :]) - h)
+                k = small.cls[token]
+                logits = h @ q["wc"] + q["bc"]
+                want += logits[k] - np.logaddexp.reduce(logits) + small.share[token]
+                if k < small.fine_classes:
+                    logits = h @ q["wi"][k] + q["bi"][k]
+                    want += logits[small.slot[token]] - np.logaddexp.reduce(logits)
+                before = token
+            assert abs(got - want) <= 1e-4 * max(1.0, abs(want))
+
+
+def test_no_reduction_for_every_class(small):
+    """Sums and largest values of many short rows are slow as reductions: a window has a few, not some for each class."""
+    import cProfile
+    import pstats
+
+    document = np.append(np.random.default_rng(9).integers(0, small.rest, 10 * recurrent.WINDOW), small.end)
+    trainer = recurrent.Trainer(recurrent.initial(small), small)
+    for run in (lambda: recurrent.score(trainer.p, small, [document] * 64), lambda: trainer.learn([document] * 64)):
+        profile = cProfile.Profile()
+        profile.runcall(run)
+        calls = sum(entry[1] for (_, _, name), entry in pstats.Stats(profile).stats.items() if "'reduce' of" in name)
+        assert calls <= 11 * (small.fine_classes + 20)

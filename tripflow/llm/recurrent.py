@@ -68,23 +68,37 @@ def initial(vocabulary: Vocabulary, seed: int = 1) -> dict[str, np.ndarray]:
     return made | {"bc": mass.astype(np.float32), "bi": inside.astype(np.float32)}
 
 
-def _sigmoid(a: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * a) + 0.5
+def _lowered(w: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Biases less a bound of all logits, and whether every row of logits then has one above -60. States lie between -1 and 1."""
+    reach = np.abs(w).sum(axis=-2)
+    return b - (b + reach).max(axis=-1, keepdims=True), 2 * reach.max(axis=-1) <= 60
+
+
+def _logits(states: np.ndarray, w: np.ndarray, b: np.ndarray, bounded: bool) -> np.ndarray:
+    """Logits whose exponentials neither overflow nor vanish all; ``b`` and ``bounded`` are those of ``_lowered``."""
+    a = states @ w
+    a += b
+    if not bounded:
+        a -= a.max(axis=-1, keepdims=True)
+    return a
+
+
+def _sums(a: np.ndarray) -> np.ndarray:
+    """Sums of short rows: a product is faster than a reduction."""
+    return a @ np.ones(a.shape[-1], a.dtype)
 
 
 def _softmax(a: np.ndarray) -> np.ndarray:
-    a -= a.max(axis=-1, keepdims=True)
     np.exp(a, out=a)
-    a /= a.sum(axis=-1, keepdims=True)
+    a *= (1 / _sums(a))[:, None]
     return a
 
 
 def _log_chosen(a: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """The log softmax at one place of each row."""
-    a -= a.max(axis=-1, keepdims=True)
     at = a[np.arange(len(a)), chosen]
     np.exp(a, out=a)
-    return at - np.log(a.sum(axis=-1))
+    return at - np.log(_sums(a))
 
 
 class Lanes:
@@ -119,38 +133,50 @@ class Lanes:
             yield np.where(there, self.start[None, :n] + step, 0), there
 
 
-def _states(p: dict[str, np.ndarray], h: np.ndarray, inputs: np.ndarray, first: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
-    """Hidden states before each token's prediction, window long, from the state carried in."""
-    out = np.empty((*inputs.shape, HIDDEN), np.float32)
-    cache = []
-    x = p["x"][inputs]
-    for t in range(len(inputs)):
-        h = np.where(first[t, :, None], np.float32(0), h)
-        g = h @ p["u"]
-        gates = _sigmoid(x[t, :, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
-        r, z = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        c = np.tanh(x[t, :, 2 * HIDDEN :] + r * g[:, 2 * HIDDEN :])
+def _states(p: dict[str, np.ndarray], h: np.ndarray, inputs: np.ndarray, first: np.ndarray, keep: bool) -> tuple[np.ndarray, tuple]:
+    """Hidden states before each token's prediction, window long, from the state carried in. Inside, and in what is kept, lanes come last, so that gates are
+    whole blocks of memory."""
+    steps, lanes = inputs.shape
+    out = np.empty((steps, HIDDEN, lanes), p["u"].dtype)
+    x = np.ascontiguousarray(p["x"][inputs].transpose(0, 2, 1))  # becomes the gates and the candidate
+    u, going = np.ascontiguousarray(p["u"].T), (~first).astype(out.dtype)
+    before, inner = (np.empty_like(out), np.empty_like(out)) if keep else (out, out)
+    h = np.ascontiguousarray(h.T)
+    for t in range(steps):
+        h = h * going[t]
+        g = u @ h
+        gates, c = x[t, : 2 * HIDDEN], x[t, 2 * HIDDEN :]
+        gates += g[: 2 * HIDDEN]
+        gates *= 0.5
+        np.tanh(gates, out=gates)
+        gates *= 0.5
+        gates += 0.5
+        c += gates[:HIDDEN] * g[2 * HIDDEN :]
+        np.tanh(c, out=c)
         if keep:
-            cache.append((h, g[:, 2 * HIDDEN :], r, z, c))
-        h = h + z * (c - h)
-        out[t] = h
-    return out, cache
+            before[t], inner[t] = h, g[2 * HIDDEN :]
+        h = np.add(h, gates[HIDDEN:] * (c - h), out=out[t])
+    return out.transpose(0, 2, 1), (before, inner, x, going)
 
 
 def _by_class(cls: np.ndarray, fine_classes: int) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(cls, kind="stable")
+    order = np.argsort(cls.astype(np.int16), kind="stable")  # short integers are sorted by their digits; there are few classes
     return order, np.searchsorted(cls[order], np.arange(fine_classes + 1))
 
 
 def window_score(p: dict[str, np.ndarray], v: Vocabulary, states: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Natural log probabilities of tokens given their states; of words of the last class, that of the class."""
     cls = v.cls[tokens]
-    score = _log_chosen(states @ p["wc"] + p["bc"], cls).astype(np.float64) + v.share[tokens]
+    score = _log_chosen(_logits(states, p["wc"], *_lowered(p["wc"], p["bc"])), cls).astype(np.float64) + v.share[tokens]
     order, edges = _by_class(cls, v.fine_classes)
+    order = order[: edges[-1]]
+    states, slot, inside = states[order], v.slot[tokens[order]], np.empty(len(order))
+    biases, bounded = _lowered(p["wi"], p["bi"])
     for k in range(v.fine_classes):
-        rows = order[edges[k] : edges[k + 1]]
-        if len(rows):
-            score[rows] += _log_chosen(states[rows] @ p["wi"][k] + p["bi"][k], v.slot[tokens[rows]])
+        rows = slice(edges[k], edges[k + 1])
+        if edges[k] < edges[k + 1]:
+            inside[rows] = _log_chosen(_logits(states[rows], p["wi"][k], biases[k], bounded[k]), slot[rows])
+    score[order] += inside
     return score
 
 
@@ -171,43 +197,55 @@ def gradients(
     p: dict[str, np.ndarray], v: Vocabulary, h: np.ndarray, inputs: np.ndarray, first: np.ndarray, tokens: np.ndarray, there: np.ndarray
 ) -> tuple[float, dict[str, np.ndarray], np.ndarray, np.ndarray]:
     """Loss and gradients, per token, of one window (backpropagation ends at its first step), the inputs with gradients, and the last state."""
-    states, cache = _states(p, h, inputs, first, keep=True)
+    states, (before, inner, x, going) = _states(p, h, inputs, first, keep=True)
     flat, target = states[there], tokens[there]
     cls, n = v.cls[target], len(target)
-    soft = _softmax(flat @ p["wc"] + p["bc"])
+    soft = _softmax(_logits(flat, p["wc"], *_lowered(p["wc"], p["bc"])))
     loss = -float(np.log(soft[np.arange(n), cls]).sum())
     soft[np.arange(n), cls] -= 1
     grads = {"wc": flat.T @ soft, "bc": soft.sum(axis=0), "wi": np.zeros_like(p["wi"]), "bi": np.zeros_like(p["bi"])}
     back = soft @ p["wc"].T
     order, edges = _by_class(cls, v.fine_classes)
+    order = order[: edges[-1]]
+    inside, slot, more = flat[order], v.slot[target[order]], np.empty((len(order), HIDDEN), flat.dtype)
+    biases, bounded = _lowered(p["wi"], p["bi"])
     for k in range(v.fine_classes):
-        rows = order[edges[k] : edges[k + 1]]
-        if len(rows):
-            soft = _softmax(flat[rows] @ p["wi"][k] + p["bi"][k])
-            slot = v.slot[target[rows]]
-            loss -= float(np.log(soft[np.arange(len(rows)), slot]).sum())
-            soft[np.arange(len(rows)), slot] -= 1
-            grads["wi"][k], grads["bi"][k] = flat[rows].T @ soft, soft.sum(axis=0)
-            back[rows] += soft @ p["wi"][k].T
-    outer = np.zeros_like(states)
+        rows = slice(edges[k], edges[k + 1])
+        if edges[k] < edges[k + 1]:
+            soft = _softmax(_logits(inside[rows], p["wi"][k], biases[k], bounded[k]))
+            at = np.arange(len(soft)), slot[rows]
+            loss -= float(np.log(soft[at]).sum())
+            soft[at] -= 1
+            grads["wi"][k], grads["bi"][k] = inside[rows].T @ soft, soft.sum(axis=0)
+            more[rows] = soft @ p["wi"][k].T
+    back[order] += more
+    outer = np.zeros((*inputs.shape, HIDDEN), flat.dtype)
     outer[there] = back
-    dx = np.empty((*inputs.shape, 3 * HIDDEN), np.float32)
-    grads["u"], dh = np.zeros_like(p["u"]), np.zeros_like(states[0])
+    outer = np.ascontiguousarray(outer.transpose(0, 2, 1))
+    # What the loss's derivative by a state is multiplied by on its way to the candidate, the update gate and the reset gate.
+    r, z, c = x[:, :HIDDEN], x[:, HIDDEN : 2 * HIDDEN], x[:, 2 * HIDDEN :]
+    held = 1 - z
+    to_c, to_z, to_r = z * (1 - c * c), (c - before) * z * held, inner * r * (1 - r)
+    dx, dg = np.empty_like(x), np.empty_like(x)
+    dh = np.zeros_like(outer[0])
     for t in reversed(range(len(inputs))):
-        before, g, r, z, c = cache[t]
         dh = dh + outer[t]
-        da = dh * z * (1 - c * c)
-        dz = dh * (c - before) * z * (1 - z)
-        dr = da * g * r * (1 - r)
-        dx[t] = np.concatenate([dr, dz, da], axis=1)
-        dg = np.concatenate([dr, dz, da * r], axis=1)
-        grads["u"] += before.T @ dg
-        dh = np.where(first[t, :, None], np.float32(0), dh * (1 - z) + dg @ p["u"].T)
+        da = np.multiply(dh, to_c[t], out=dx[t, 2 * HIDDEN :])
+        np.multiply(da, to_r[t], out=dx[t, :HIDDEN])
+        np.multiply(dh, to_z[t], out=dx[t, HIDDEN : 2 * HIDDEN])
+        dg[t, : 2 * HIDDEN] = dx[t, : 2 * HIDDEN]
+        np.multiply(da, r[t], out=dg[t, 2 * HIDDEN :])
+        dh *= held[t]
+        dh += p["u"] @ dg[t]
+        dh *= going[t]
+    grads["u"] = before.transpose(1, 0, 2).reshape(HIDDEN, -1) @ dg.transpose(0, 2, 1).reshape(-1, 3 * HIDDEN)
     # Sums of the gradients of equal inputs.
     ids = inputs.ravel()
-    order = np.argsort(ids, kind="stable")
-    seen, at = np.unique(ids[order], return_index=True)
-    grads["x"] = np.add.reduceat(dx.reshape(-1, 3 * HIDDEN)[order], at, axis=0)
+    order = np.argsort(ids.astype(np.int16), kind="stable")  # at most FINE_WORDS and the classes
+    ids = ids[order]
+    at = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    seen = ids[at]
+    grads["x"] = np.add.reduceat(dx.transpose(0, 2, 1).reshape(-1, 3 * HIDDEN)[order], at, axis=0)
     return loss / n, {k: a / n for k, a in grads.items()}, seen, states[-1]
 
 
